@@ -136,29 +136,36 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> lis
     Every length of the histogram is covered exactly; lengths of `capacity` fill a sequence alone.
     """
     stock = Counter({int(k): int(v) for k, v in histogram.items() if v > 0})
+    full = stock.pop(capacity, 0)
     plan: Counter = Counter()
-    if full := stock.pop(capacity, 0):
+    if stock:
+        # Neighbouring lengths share a class of about equal tokens, priced at its longest length.
+        lengths = np.array(sorted(stock), dtype=np.int64)
+        demand = np.array([stock[int(x)] for x in lengths], dtype=np.float64)
+        mass = np.cumsum(lengths * demand)
+        _, cls = np.unique(np.minimum(mass / mass[-1] * CLASSES, CLASSES - 1).astype(int), return_inverse=True)
+        members = [[int(x) for x in lengths[cls == k][::-1]] for k in range(cls.max() + 1)]
+        configs = fractional(np.array([m[0] for m in members]), np.bincount(cls, weights=demand), capacity, rounds)
+        plans = [rounded(stock.copy(), configs, members, capacity, slack) for slack in (0, capacity // 512, capacity)]
+        plan = min(plans, key=lambda p: sum(p.values()))
+    if full:
         plan[(capacity,)] += full
-    if not stock:
-        return list(plan.items())
+    return sorted(plan.items(), reverse=True)
+
+
+def rounded(stock: Counter, configs: list[tuple[dict[int, int], float]], members: list[list[int]], capacity: int, slack: int) -> Counter:
+    """Whole sequences of the fractional solution; a configuration that leaves more than `slack` free waits for best fit."""
+    plan, lengths = Counter(), sorted(stock)
 
     def take(use: Counter, wanted: int | None = None) -> int:
         runs = min(stock[x] // n for x, n in use.items())
         runs = runs if wanted is None else min(runs, wanted)
-        if runs > 0:
-            plan[tuple(sorted(use.elements(), reverse=True))] += runs
-            for x, n in use.items():
-                stock[x] -= n * runs
+        plan[tuple(sorted(use.elements(), reverse=True))] += runs
+        for x, n in use.items():
+            stock[x] -= n * runs
         return runs
 
-    # Neighbouring lengths share a class of about equal tokens, priced at its longest length.
-    lengths = np.array(sorted(stock), dtype=np.int64)
-    demand = np.array([stock[int(x)] for x in lengths], dtype=np.float64)
-    mass = np.cumsum(lengths * demand)
-    _, cls = np.unique(np.minimum(mass / mass[-1] * CLASSES, CLASSES - 1).astype(int), return_inverse=True)
-    members = [[int(x) for x in lengths[cls == k][::-1]] for k in range(cls.max() + 1)]
-    sizes = np.array([m[0] for m in members])
-    for config, times in fractional(sizes, np.bincount(cls, weights=demand), capacity, rounds):
+    for config, times in configs:
         wanted = int(times)
         while wanted > 0:
             # The longest members in stock stand for their class; shorter pieces fill what is left.
@@ -173,15 +180,17 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> lis
                     break
             if not use:
                 break
-            fill([x for x in lengths.tolist() if stock[x] > 0], stock, use, capacity - sum(x * n for x, n in use.items()))
+            fill([x for x in lengths if stock[x] > 0], stock, use, capacity - sum(x * n for x, n in use.items()))
+            if capacity - sum(x * n for x, n in use.items()) > slack:
+                break
             wanted -= take(use, wanted)
 
-    # What rounding down has left: best fit decreasing, for all sequences of equal contents at once.
-    while keys := [x for x in lengths.tolist() if stock[x] > 0]:
+    # What rounding has left: best fit decreasing, for all sequences of equal contents at once.
+    while keys := [x for x in lengths if stock[x] > 0]:
         use = Counter()
         fill(keys, stock, use, capacity)
         take(use)
-    return sorted(plan.items(), reverse=True)
+    return plan
 
 
 def seats(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:

@@ -1,10 +1,14 @@
 """The queries of the text operators, by name, and their SQL."""
 
 from plumbline.llm.licenses import op4_license_scan
+from plumbline.llm.packing import op5_packing
 from plumbline.llm.shards import op8_sharding
+from plumbline.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
     "op4_license_scan": op4_license_scan,
+    "op5_packing": op5_packing,
     "op8_sharding": op8_sharding,
 }
 ORACLES: dict[str, str] = {}
