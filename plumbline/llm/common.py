@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,9 +33,32 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plumbline/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # The shuffle files behind df are of no more use; Spark drops them once the JVM forgets them.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
 def body(text_col: str) -> Column:
     """The text, an empty one for null."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """df with a unique key k that goes up with the id, and with the text among rows of one id.
+
+    Unique integer ids are the key themselves. Else rows are sorted and numbered, once, and kept in
+    the shared folder, so that a lost executor doesn't change numbers.
+    """
+    whole = df.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    if whole:
+        ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        whole = not ids.where((F.col("n") > 1) | F.col(id_col).isNull()).take(1)
+    if whole:
+        return df.withColumn("k", F.col(id_col).cast("long"))
+    spark = df.sparkSession
+    # Equal rows are told apart by their place in the written table.
+    ordered = written(df.orderBy(F.col(id_col).asc_nulls_first(), text_col), "numbered").withColumn("place", F.monotonically_increasing_id())
+    ordered = written(ordered, "placed")
+    keys = ordered.orderBy(F.col(id_col).asc_nulls_first(), F.xxhash64(text_col), "place").select("place").rdd.map(lambda r: r[0]).zipWithIndex()
+    return ordered.join(written(spark.createDataFrame(keys, "place long, k long"), "keys"), "place").drop("place")

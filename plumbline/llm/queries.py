@@ -2,6 +2,7 @@
 
 from plumbline.llm.licenses import op4_license_scan
 from plumbline.llm.packing import op5_packing
+from plumbline.llm.repeats import op7_suffix_dedup
 from plumbline.llm.shards import op8_sharding
 from plumbline.llm.token_counts import op3_token_counts
 
@@ -9,6 +10,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
 }
 ORACLES: dict[str, str] = {}
