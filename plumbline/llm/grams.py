@@ -125,3 +125,58 @@ class Spans:
     def prints(self, start: np.ndarray, end: np.ndarray, salt: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
         salt = np.asarray(salt, dtype=np.uint64) + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return tuple(mixed((s[end] - s[start]) * i[start] + salt * np.uint64(k)).view(np.int64) for s, i, k in zip(self.sums, self.inverse, (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7), strict=True))
+
+
+#: Bytes that separate words, and lower case for A-Z alone.
+SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+
+
+@dataclass
+class Words:
+    """Words of several texts in order: a 64-bit print of each, its text, and where it stands in the buffer."""
+
+    print: np.ndarray
+    text: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+
+def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE) -> Words:
+    """Runs of bytes that aren't space, prints of their lower-cased bytes; words never cross texts."""
+    if not len(data):
+        none = np.zeros(0, dtype=np.int64)
+        return Words(none.astype(np.uint64), none, none, none)
+    inside = ~space[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edge = starts[(starts < ends)]
+    begins[edge] = inside[edge]
+    stops = inside.copy()
+    stops[:-1] &= ~inside[1:]
+    edge = ends[(starts < ends)] - 1
+    stops[edge] = inside[edge]
+    start, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    prints = Spans(LOWER[data]).prints(start, end)[0].view(np.uint64)
+    return Words(prints, np.searchsorted(ends, start, side="right"), start, end)
+
+
+def shingle_prints(words: Words, n_texts: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prints of runs of `size` words, and their texts; a shorter text with words is one shingle."""
+    w, text = words.print, words.text
+    weight = np.array([0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xE7037ED1A0B428DB], dtype=np.uint64)
+    count = np.bincount(text, minlength=n_texts)
+    full = np.flatnonzero(text[: len(text) - size + 1] == text[size - 1 :]) if len(text) >= size else np.zeros(0, dtype=np.int64)
+    out = np.zeros(len(full), dtype=np.uint64)
+    for k in range(size):
+        out += mixed(w[full + k] * weight[k])
+    short = np.flatnonzero((count > 0) & (count < size))
+    first = np.searchsorted(text, short)
+    some = np.zeros(len(short), dtype=np.uint64)
+    for k in range(size - 1):
+        has = count[short] > k
+        some[has] += mixed(w[first[has] + k] * weight[k])
+    some += count[short].astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
+    prints, of = np.concatenate([mixed(out), mixed(some)]), np.concatenate([text[full], short])
+    order = np.argsort(of, kind="stable")
+    return prints[order], of[order]

@@ -1,6 +1,7 @@
 """The queries of the text operators, by name, and their SQL."""
 
 from plumbline.llm.licenses import op4_license_scan
+from plumbline.llm.neardup import op6_minhash_dedup
 from plumbline.llm.packing import op5_packing
 from plumbline.llm.repeats import op7_suffix_dedup
 from plumbline.llm.shards import op8_sharding
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
 }
