@@ -11,7 +11,6 @@ sequences by their rank among the pieces of their length, without being sorted o
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -25,52 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import body, written
+from plumbline.llm.word_bpe import WordEncoder
 
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+#: Characters of text that a worker encodes at once.
+SLICE = 1 << 20
 #: Rounds of the multiplicative weights, and how strongly a covered length gets cheaper.
 ROUNDS, STEP = 300, 0.5
 #: Classes of lengths that the pricing tells apart (each rounded up to its class's longest).
 CLASSES = 256
 
 
-class WordEncoder:
-    """Ids of a text under the lower-casing word vocabulary, with the ids of words kept.
-
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    words; words not seen before go through the library.
-    """
-
-    def __init__(self, path: str, end_id: int) -> None:
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.end = int(end_id).to_bytes(4, "little")
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.kept: dict[str, bytes] = {}
-
-    def ids(self, word: str) -> bytes:
-        out = np.asarray(self.library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) < 200:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[word] = out
-        return out
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of the text, and the end id."""
-        if any(s in text for s in self.specials) or any("\x1c" <= c <= "\x1f" for c in text if c < " "):
-            return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() + self.end
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        get, missing, out = self.kept.get, self.ids, []
-        for word in text.split():
-            ids = get(word)
-            out.append(missing(word) if ids is None else ids)
-        out.append(self.end)
-        return b"".join(out)
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str, end_id: int) -> WordEncoder:
     return WordEncoder(path, end_id)
@@ -223,8 +186,9 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             out = []
-            for doc, text in zip(batch["doc_id"], batch["t"], strict=True):
-                ids = encode(text)
+            slices = (batch["t"].map(len).cumsum() // SLICE).to_numpy()
+            coded = (x for _, texts in batch["t"].groupby(slices, sort=False) for x in encode(texts.tolist()))
+            for doc, ids in zip(batch["doc_id"], coded, strict=True):
                 for k, at in enumerate(range(0, len(ids), width)):
                     own = ids[at : at + width]
                     n = len(own) // 4
