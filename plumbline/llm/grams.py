@@ -142,8 +142,8 @@ class Words:
     end: np.ndarray
 
 
-def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE) -> Words:
-    """Runs of bytes that aren't space, prints of their lower-cased bytes; words never cross texts."""
+def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE, lower: bool = True) -> Words:
+    """Runs of bytes that aren't space and prints of their (lower-cased) bytes; words never cross texts."""
     if not len(data):
         none = np.zeros(0, dtype=np.int64)
         return Words(none.astype(np.uint64), none, none, none)
@@ -157,7 +157,7 @@ def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.n
     edge = ends[(starts < ends)] - 1
     stops[edge] = inside[edge]
     start, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    prints = Spans(LOWER[data]).prints(start, end)[0].view(np.uint64)
+    prints = Spans(LOWER[data] if lower else data).prints(start, end)[0].view(np.uint64)
     return Words(prints, np.searchsorted(ends, start, side="right"), start, end)
 
 

@@ -1,5 +1,7 @@
 """The queries of the text operators, by name, and their SQL."""
 
+from plumbline.llm.cotraining import op10_quality_classifier
+from plumbline.llm.decision_rules import op9_quality_rules
 from plumbline.llm.licenses import op4_license_scan
 from plumbline.llm.neardup import op6_minhash_dedup
 from plumbline.llm.packing import op5_packing
@@ -14,5 +16,7 @@ QUERIES = {
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
