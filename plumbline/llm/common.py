@@ -24,6 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows that go to a Python worker at once, so that long texts don't fill its memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in whose session workers get BATCH_ROWS rows at once at most."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again.
 
@@ -50,6 +62,7 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Unique integer ids are the key themselves. Else rows are sorted and numbered, once, and kept in
     the shared folder, so that a lost executor doesn't change numbers.
     """
+    df = small_batches(df)
     whole = df.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
     if whole:
         ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))

@@ -19,13 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body
+from plumbline.llm.common import body, small_batches
 from plumbline.llm.grams import LOWER, Spans
 from plumbline.llm.repeats import slices
 from plumbline.llm.text_stats import SHARES, statistics
 
 #: Texts that the views are fitted on: labelled ones and unlabelled ones, of the least hashes of their ids.
-LABELLED, UNLABELLED = 5000, 2500
+LABELLED, UNLABELLED = 8000, 3000
 #: Hashed words; rounds of co-training; share of the unlabelled texts that a view passes on a round.
 WORDS, ROUNDS, SHARE = 1 << 17, 3, 0.1
 #: Texts of the sample that a word must be in to count.
@@ -35,7 +35,7 @@ CHI_SQUARE = 11.0
 #: A share counts as such, and by whether it reaches each of these.
 STEPS = (0.03, 0.1, 0.3)
 #: A text is rejected if its quality is less likely than the first, or its toxicity likelier than the second.
-GOOD, TOXIC = 0.3, 0.8
+GOOD, TOXIC = 0.3, 0.95
 #: Texts of the labelled sample held back for calibration: one in so many.
 HELD = 4
 SOURCES, LANGS = 64, 16
@@ -99,7 +99,7 @@ class View:
     def fit(dense: np.ndarray, of: np.ndarray, word: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 120) -> View:
         """Adam on the whole sample; of/word: the (row, hashed word) pairs, empty for a view without words."""
         mean, scale = dense.mean(axis=0), dense.std(axis=0) + 1e-2
-        x = np.clip((dense - mean) / scale, -8, 8)
+        x = np.clip((dense - mean) / scale, -3, 3)
         value = lengths(of, len(y))
         # Other words would be learned by heart: those of few texts, or spread as by chance (chi-square).
         total, hits = np.bincount(word, minlength=WORDS), np.bincount(word, weights=y[of], minlength=WORDS)
@@ -127,7 +127,7 @@ class View:
         return View(theta[0], mean, scale, words, float(theta[2][0]))
 
     def logit(self, dense: np.ndarray, of: np.ndarray, word: np.ndarray) -> np.ndarray:
-        z = np.clip((dense - self.mean) / self.scale, -8, 8) @ self.dense + self.bias
+        z = np.clip((dense - self.mean) / self.scale, -3, 3) @ self.dense + self.bias
         if len(self.words):
             weight = self.words[word]
             of, weight = of[weight != 0], weight[weight != 0]
@@ -273,7 +273,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = LABELLED, pool: i
             out.append(pd.DataFrame(own))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"quality": [], "toxic": []}, dtype=float)
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body(text_col).cast("binary").alias("t"), *extra)
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body(text_col).cast("binary").alias("t"), *extra)
     scored = rows.select("row", score("t", "source", "lang").alias("s"))
     return scored.select("row", "s.quality", "s.toxic").withColumn("kept", (F.col("quality") >= GOOD) & (F.col("toxic") < TOXIC))
 

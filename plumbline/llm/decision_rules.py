@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body
+from plumbline.llm.common import body, small_batches
 from plumbline.llm.repeats import slices
 from plumbline.llm.text_stats import COUNTS, SHARES, statistics
 
@@ -145,7 +145,7 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """
     # Lengths tell languages apart rather than good from bad, so the rules do without them.
     names = [name for name, _, _ in SHARES if name != "word_length"]
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labelled(own, labels, "doc_id", sample)
     known = with_statistics(known, "doc_id", "text").join(known.select("doc_id", "_quality"), "doc_id").dropDuplicates(["doc_id"])
     table = known.select("doc_id", *names, "_quality").toPandas().sort_values("doc_id", ignore_index=True)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body, written
+from plumbline.llm.common import body, small_batches, written
 from plumbline.llm.word_bpe import WordEncoder
 
 #: Characters of text that a worker encodes at once.
@@ -178,7 +178,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
     of the tokenizer's file, at the same place on all executors.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("doc_id"), body(text_col).alias("t"))
+    docs = small_batches(docs).select(F.col(id_col).alias("doc_id"), body(text_col).alias("t"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body
+from plumbline.llm.common import body, small_batches
 
 #: How the byte-level tokenizer splits text before the merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -207,7 +207,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": batch["t"].map(count).astype("int64"), "over_limit": False})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(body(text_col)).cast("long").alias("n_bytes"), body(text_col).alias("t"))
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.octet_length(body(text_col)).cast("long").alias("n_bytes"), body(text_col).alias("t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInPandas(counts, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -17,7 +17,7 @@ import regex
 from plumbline.llm.token_counts import byte_letters
 
 #: Words, and chunks, whose ids a worker keeps, in each of two generations.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 270_000
 #: How the tokenizer splits normalized text into chunks; anything else is dropped.
 CHUNKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
