@@ -2,14 +2,18 @@
 
 from plumbline.llm.cotraining import op10_quality_classifier
 from plumbline.llm.decision_rules import op9_quality_rules
+from plumbline.llm.html_text import op1_html_extraction
 from plumbline.llm.licenses import op4_license_scan
 from plumbline.llm.neardup import op6_minhash_dedup
 from plumbline.llm.packing import op5_packing
 from plumbline.llm.repeats import op7_suffix_dedup
 from plumbline.llm.shards import op8_sharding
+from plumbline.llm.tiling import op2_decontamination
 from plumbline.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
