@@ -2,14 +2,595 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions import text
+from plumbline.functions.kernel import probit, significant, six, with_midrank
+from plumbline.operators import counting, entities, lists, scoring, timeseries
+from plumbline.plans.views import counts, monthly, observations, parts, sql, terms
 from plumbline.session import table
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Weights of the sources (event types) in the example survey.
+WEIGHTS = {"click": 1.0, "view": 0.75, "purchase": 0.5, "signup": 0.25, "error": 0.25}
+WHOLE = sum(WEIGHTS.values())
+W_SQL = "case source " + " ".join(f"when '{k}' then {v}" for k, v in WEIGHTS.items()) + " else 0.1 end"
+
+
+def query(oracle: str | None = None):
+    """Registers a query under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def weight():
+    out = F
+    for k, v in WEIGHTS.items():
+        out = out.when(F.col("source") == k, v)
+    return out.otherwise(0.1)
+
+
+# --- counting -------------------------------------------------------------------------------------
+
+
+@query("""select l_partkey package, sum(l_quantity) total, min(l_shipdate::date) as start, max(l_shipdate::date) as "end", (date_diff('day', min(l_shipdate::date), max(l_shipdate::date)) + 1)::int as days,
+ round(sum(l_quantity) * 365.0 / case when date_diff('day', min(l_shipdate::date), max(l_shipdate::date)) + 1 between 358 and 372 then 365.0 when date_diff('day', min(l_shipdate::date), max(l_shipdate::date)) + 1 between 28 and 31 then 365.0 / 12 else (date_diff('day', min(l_shipdate::date), max(l_shipdate::date)) + 1)::double end, 4) per_year
+ from lineitem group by all""")
+def count_window(spark, d):
+    obs = table(spark, d, "lineitem").select(F.col("l_partkey").alias("package"), "l_quantity", F.to_date("l_shipdate").alias("day"))
+    return counting.count_window(obs, ["package"], "l_quantity", "day").withColumn("per_year", F.round("per_year", 4)).select("package", "total", "start", "end", "days", "per_year")
+
+
+@query("""with obs as (select o_custkey k, year(o_orderdate) * 12 + month(o_orderdate) - 1 as month, 1 as n from orders),
+ recent as (select month, sum(n) sample from obs group by 1 order by 1 desc limit 12), whole as (select sum(sample)::bigint samples, min(month) f from recent)
+ select k as customer, sum(n)::bigint installs, samples, round(sum(n) / samples, 9) share, case when min(month) > f then min(month) end as start from obs join recent using (month), whole group by k, samples, f""")
+def count_pooled_share(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), timeseries.month_number(F.col("o_orderdate")).cast("long").alias("month"), F.lit(1).alias("n"))
+    return counting.pooled_share(o, "customer", "month", "n", 12).withColumn("share", F.round("share", 9))
+
+
+@query("""with cut as (select o_custkey k, o_orderpriority p, min(o_orderdate::date) created, sum(o_totalprice) now, sum(case when o_orderdate < timestamp '1998-01-01' then o_totalprice end) old from orders group by all)
+ select k as customer, p as release, round(case when old is not null then greatest(now - old, 0) when created >= date '1998-01-01' then now end, 2) growth from cut""")
+def count_snapshot_delta(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("release"), F.col("o_totalprice").alias("x"), F.to_date("o_orderdate").alias("day"))
+    day = F.to_date(F.lit("1998-01-01"))
+    state = lambda df: df.groupBy("customer", "release").agg(F.sum("x").alias("x"), F.min("day").alias("created"))
+    grown = counting.snapshot_growth(state(o), state(o.where(F.col("day") < day)), ["customer", "release"], "x", "created", day)
+    return grown.select("customer", "release", F.round("growth", 2).alias("growth"))
+
+
+@query(sql(""", last as (select distinct week from obs order by 1 desc limit 4), n as (select count(*) as weeks from last)
+ select family, round(sum(value), 4) total, weeks, round(sum(value) / weeks, 4) mean from obs join last using (week), n group by family, weeks""", "obs"))
+def count_weekly_mean(spark, d):
+    out = counting.weekly_mean(observations(spark, d), "family", "week", "value", 4)
+    return out.select("family", F.round("total", 4).alias("total"), "weeks", F.round("mean", 4).alias("mean"))
+
+
+@query(sql(""", b as (select week, source, sum(value) x from obs group by all), s as (select week, sum(case when source = 'view' then x else 0 end) m, sum(x) a from b group by 1)
+ select week, source, round(x, 4) x, round(case when source = 'view' and m > 0.2 * a then 0.2 * (a - m) / (0.8 * m) else 1.0 end, 6) factor from b join s using (week)""", "obs"))
+def startup_cap(spark, d):
+    by = observations(spark, d).groupBy("week", "source").agg(F.sum("value").alias("x"))
+    return counting.capped_share(by, "week", "source", "view", "x", 0.2).select("week", "source", F.round("x", 4).alias("x"), F.round("factor", 6).alias("factor"))
+
+
+@query("""select fold, p_name, n from (select lower(split_part(p_name, ' ', 1)) fold, p_name, p_size n, row_number() over (partition by lower(split_part(p_name, ' ', 1)) order by p_size desc, p_name) r from (select p_name, max(p_size) p_size from part group by 1)) where r = 1""")
+def case_dedupe(spark, d):
+    names = table(spark, d, "part").groupBy("p_name").agg(F.max("p_size").alias("n"))
+    return counting.largest_of_case(names, F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))), "p_name", "n").select("fold", "p_name", "n")
+
+
+def _credited(spark, d):
+    credit = F.when(F.col("package") % 7 == 0, 0.5).otherwise(1.0)
+    return parts(spark, d).withColumn("credit", credit).withColumn("bundled", F.col("package") % 2 == 0)
+
+
+@query(sql("select family, round(sum(n * case when package % 7 = 0 then 0.5 else 1.0 end), 2) credited, max(n) largest, count(*) n_keys, bool_and(package % 2 = 0) bundle_only from parts group by 1", "parts"))
+def family_sum_credit(spark, d):
+    return counting.family_sums(_credited(spark, d), "family", "package", "n", "credit", "bundled").withColumn("credited", F.round("credited", 2))
+
+
+@query(sql(""", f as (select family, quantile_cont(n, 0.1) as floor from parts where n > 0 group by 1) select package, family, n, round(floor, 6) as floor, round(greatest(n - floor, 0), 6) above from parts join f using (family)""", "parts"))
+def key_floor_p10(spark, d):
+    return counting.key_floor(parts(spark, d), "family", "n", 0.1).select("package", "family", "n", F.round("floor", 6).alias("floor"), F.round("above", 6).alias("above"))
+
+
+@query(sql(""", c as (select *, coalesce(sum(n) over (partition by family order by package rows between unbounded preceding and 1 preceding), 0) b from parts)
+ select package, family, n - least(greatest(700 - b, 0), n) above from c""", "parts"))
+def shared_floor(spark, d):
+    return counting.shared_floor(parts(spark, d), "family", "package", "n", 700.0).select("package", "family", "above")
+
+
+@query(sql("select source, family, case when x - 50 > 0 and x - 50 >= 20 then 'observed' else 'censored' end state, round(case when x - 50 > 0 and x - 50 >= 20 then x - 50 else greatest(x - 50, 0) end, 2) term from terms", "terms"))
+def floor_censor(spark, d):
+    return counting.floored(terms(spark, d), "x", 50.0, 20.0).select("source", "family", "state", F.round("term", 2).alias("term"))
+
+
+_FRAME_SQL = """, f as (select distinct family from obs), s as (select distinct source from obs), seen as (select family, min(day) first_seen from obs group by 1),
+ frame as (select source, family, first_seen from s, f join seen using (family) where family % 10 <> 9 or source = 'view'), every as (select source, family from s, f)
+ select e.source, e.family, case when fr.family is null then 'not_covered' when date_diff('day', fr.first_seen, date '2024-01-30') < 25 then 'too_new' when x is null then 'censored:no_value' when x < 100 then 'censored:below_floor' else 'observed' end state
+ from every e left join frame fr using (source, family) left join terms t using (source, family)"""
+
+
+@query(sql(_FRAME_SQL, "obs", "terms"))
+def evidence_states(spark, d):
+    obs = observations(spark, d)
+    every = obs.select("source").distinct().join(F.broadcast(obs.groupBy("family").agg(F.min("day").alias("first_seen"))))  # sources are few
+    frame = every.where("family % 10 <> 9 or source = 'view'").select("source", "family", F.lit(True).alias("in_frame"))
+    full = every.join(frame, ["source", "family"], "left").join(terms(spark, d), ["source", "family"], "left")
+    state = counting.evidence_state(F.coalesce("in_frame", F.lit(False)), counting.exposed(F.col("first_seen"), F.to_date(F.lit("2024-01-30")), 25), F.col("x"), 100.0)
+    return full.select("source", "family", state.alias("state"))
+
+
+@query(sql("select source, family, round(x / sum(x) over (partition by source), 9) share from terms where x > 0", "terms"))
+def group_shares(spark, d):
+    return counting.shares(terms(spark, d), ["source"], "x").select("source", "family", F.round("share", 9).alias("share"))
+
+
+# --- the ranking core -------------------------------------------------------------------------------
+
+#: Probit in SQL: AS 241 as macros would need DDL, so the oracle compares mid-ranks, and tests the probit itself.
+
+
+@query(sql(""", r as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts)
+ select family, round((2 * lower + here) / (2.0 * total), 9) p from r""", "counts"))
+def ruler_midrank(spark, d):
+    ranked = with_midrank(counts(spark, d).select("family", F.lit(0).alias("all"), F.col("n").cast("double").alias("x")), ["all"], "x")
+    return ranked.select("family", F.round("p", 9).alias("p"))
+
+
+@query()
+def ruler_z(spark, d):
+    return scoring.ruler(counts(spark, d), "family", "n").select("family", six(F.col("z")).alias("z"))
+
+
+def _probits(column: str) -> str:
+    from plumbline.functions import kernel
+
+    def poly(c, x):
+        out = repr(c[-1])
+        for a in reversed(c[:-1]):
+            out = f"({out} * {x} + {a!r})"
+        return out
+
+    q, r0, r = f"({column} - 0.5)", f"(0.180625 - ({column} - 0.5) * ({column} - 0.5))", f"sqrt(-ln(least({column}, 1 - {column})))"
+    near, far = (f"({poly(k[0], f'({r} - {s})')} / {poly(k[1], f'({r} - {s})')})" for k, s in ((kernel.NEAR_TAIL, 1.6), (kernel.FAR_TAIL, 5)))
+    return f"case when abs({q}) <= 0.425 then {q} * {poly(kernel.CENTRAL[0], r0)} / {poly(kernel.CENTRAL[1], r0)} else sign({q}) * case when {r} <= 5 then {near} else {far} end end"
+
+
+_EQUATE = f""", rk as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts),
+ rp as (select family, (2 * lower + here)::double / (2 * total) p from rk), ruler as (select family, {_probits("p")} z from rp),
+ pool as (select t.source, t.x, r.z from terms t join ruler r using (family)), n as (select source, count(*) n from pool group by 1),
+ pos as (select t.source, t.family, t.x, n.n, (select count(*) from pool q where q.source = t.source and q.x < t.x) lo, (select count(*) from pool q where q.source = t.source and q.x = t.x) he from terms t join n using (source)),
+ pp as (select *, case when he > 0 then (2 * lo + he)::double / (2 * n) else (2 * lo + 1)::double / (2 * (n + 1)) end p from pos),
+ hh as (select *, least(greatest(case when abs(n * p + 0.5 - round((n * p + 0.5) * 2) / 2) < 1e-9 then round((n * p + 0.5) * 2) / 2 else n * p + 0.5 end, 1), n) h from pp),
+ zs as (select source, z, row_number() over (partition by source order by z) k from pool),
+ eq as (select h.source, h.family, a.z + (h.h - floor(h.h)) * (b.z - a.z) z from hh h join zs a on a.source = h.source and a.k = floor(h.h) join zs b on b.source = h.source and b.k = ceil(h.h))"""
+
+
+def _equated(spark, d):
+    return scoring.equate(terms(spark, d), scoring.ruler(counts(spark, d), "family", "n"), "source", "family", "x")
+
+
+@query(sql(_EQUATE + " select source, family, round(z, 6) + 0.0 z from eq", "terms", "counts"))
+def equate_source(spark, d):
+    return _equated(spark, d).select("source", "family", six(F.col("z")).alias("z"))
+
+
+@query(sql(", o as (select source, count(*) n from terms join counts using (family) group by 1) select source, n, round(case when n < 15 then 0.0 else least(1.0, n / 120.0) end, 6) scale from o", "terms", "counts"))
+def overlap_scale(spark, d):
+    n = terms(spark, d).join(counts(spark, d).select("family"), "family", "left_semi").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("source", "n", F.round(scoring.overlap_scale(F.col("n"), 120, 15), 6).alias("scale"))
+
+
+_GUARD = _EQUATE + """, g as (select *, case when count(*) over (partition by family) >= 3 and abs(z - median(z) over (partition by family)) > 1.0 then 0.5 else 1.0 end guard from eq)"""
+
+
+def _guarded(spark, d):
+    return scoring.guarded(_equated(spark, d), ["family"], gap=1.0)
+
+
+@query(sql(_GUARD + " select source, family, guard from g", "terms", "counts"))
+def outlier_guard(spark, d):
+    return _guarded(spark, d).select("source", "family", "guard")
+
+
+@query()
+def outlier_guard_others(spark, d):
+    return scoring.guarded(_equated(spark, d), ["family"], gap=1.5, basis="others_mean").select("source", "family", "guard")
+
+
+_FUSE = _GUARD + f""", w as (select *, {W_SQL} w from g), su as (select family, sum(w * guard * z) wz, sum(w * guard) weight, min(z) lo, max(z) hi, count(*) n_terms from w group by 1),
+ fu as (select family, weight, n_terms, round(least(greatest(wz / (0.2 * {WHOLE} + weight), least(lo, 0)), greatest(hi, 0)), 6) + 0.0 score from su)"""
+
+
+def _fused(spark, d):
+    t = _guarded(spark, d).withColumn("w", weight())
+    return scoring.fused(t, ["family"], "w", WHOLE).withColumn("score", six(F.col("score")))
+
+
+@query(sql(_FUSE + " select family, round(weight, 6) weight, n_terms, score from fu", "terms", "counts"))
+def fuse_scores(spark, d):
+    return _fused(spark, d).select("family", F.round("weight", 6).alias("weight"), "n_terms", "score")
+
+
+_PLACE = _FUSE + """, r as (select *, family % 4 <> 0 ok, row_number() over (order by score desc, weight desc, family) rn from fu), r2 as (select *, sum(ok::int) over (order by rn) np from r),
+ l as (select max(rn) filter (where ok and np <= 20) last, max(np) mx from r2), k as (select r2.*, case when ok and np <= 20 then 0 when mx < 20 or rn <= last then 1 else 2 end kind from r2, l),
+ pl as (select family, score, row_number() over (order by kind, rn) place, kind from k)"""
+
+
+def _placed(spark, d):
+    scored = _fused(spark, d).withColumn("weight", F.round("weight", 6)).withColumn("ok", F.col("family") % 4 != 0)
+    return scoring.placed(scored, [F.desc("score"), F.desc("weight"), "family"], "ok", 20)
+
+
+@query(sql(_PLACE + """ select family, score, place, case when kind = 0 then place end as rank, kind = 1 gate_held,
+ case when kind = 0 then null when greatest(place, 21) between 21 and 50 then '21-50' when greatest(place, 21) between 51 and 100 then '51-100' else '101+' end as band from pl""", "terms", "counts"))
+def place_gate_bands(spark, d):
+    p = _placed(spark, d)
+    return p.select("family", "score", F.col("place").cast("long"), F.col("rank").cast("long"), "gate_held", scoring.band(F.col("place"), F.col("rank"), [(21, 50), (51, 100)], 101).alias("band"))
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """events to counts, ruler, equating, guard, fusion, places."""
+    return place_gate_bands(spark, d)
+
+
+@query(sql(", a as (select source, family, x, rank() over (partition by source order by x desc) rank, count(*) over (partition by source, x) c from terms) select source, family, x, rank, ((2 * (rank - 1) + c + 1) // 2)::bigint mid_rank from a", "terms"))
+def competition_rank(spark, d):
+    return lists.competition_ranks(terms(spark, d), ["source"], "x").select("source", "family", "x", "rank", "mid_rank")
+
+
+_RRF = f""", a as (select source, family, rank() over (partition by source order by x desc) rank, {W_SQL} w from terms), m as (select source, count(*) n, any_value(w) w from a group by 1),
+ p as (select sum(w / (60 + (n + 1) / 2.0)) / sum(w) p from m), s as (select family, sum(w / (60 + rank)) s, sum(w) w from a group by 1), rr as (select family, round((0.2 * {WHOLE} * p + s) / (0.2 * {WHOLE} + w), 9) rrf from s, p)"""
+
+
+def _rrf(spark, d):
+    ranks = lists.competition_ranks(terms(spark, d), ["source"], "x").withColumn("w", weight())
+    return scoring.rrf(ranks, "source", "family", "rank", "w", WHOLE).withColumn("rrf", F.round("rrf", 9))
+
+
+@query(sql(_RRF + " select * from rr", "terms"))
+def rrf_coverage(spark, d):
+    return _rrf(spark, d)
+
+
+@query(sql(_PLACE.replace(", rp as", ", rp as", 1) + _RRF.replace(", a as", ", a0 as", 1).replace("from a group", "from a0 group").replace("from a ", "from a0 ") + """, o as (select family, row_number() over (order by rrf desc, family) other from rr), o2 as (select family, row_number() over (order by score desc, family) r1 from fu)
+ select family, r1 as rank, other from o2 join o using (family) where abs(r1 - other) > 0.3 * r1""", "terms", "counts"))
+def crosscheck_moves(spark, d):
+    from pyspark.sql import Window
+
+    number = lambda df, by: df.select("family", F.row_number().over(Window.orderBy(F.desc(by), "family")).cast("long").alias("rank"))
+    return lists.moves(number(_fused(spark, d), "score"), number(_rrf(spark, d), "rrf"), ["family"], "rank", 0.3)
+
+
+@query(sql(_GUARD + f""", sc as (select unnest(['click', 'view', 'purchase', 'signup', 'error']) off), w as (select off, g.*, case when off = source then 0 else {W_SQL} end w from g, sc),
+ su as (select off, family, sum(w * guard * z) wz, sum(w * guard) weight, min(z) lo, max(z) hi from w where w > 0 group by all)
+ select off as scenario, family, round(least(greatest(wz / (0.2 * {WHOLE} + weight), least(lo, 0)), greatest(hi, 0)), 6) + 0.0 score from su""", "terms", "counts"))
+def leave_one_out(spark, d):
+    plans = spark.createDataFrame([(k, k, 0.0) for k in WEIGHTS], "scenario string, source string, factor double")
+    t = lists.scenarios(_guarded(spark, d).withColumn("w", weight()), plans, "source", "w")
+    return scoring.fused(t, ["scenario", "family"], "w", WHOLE).select("scenario", "family", six(F.col("score")).alias("score"))
+
+
+@query()
+def dirichlet_ranges(spark, d):
+    """5 and 95 % of the ranks over 100 draws of weights around the given ones, by one job over all draws."""
+    import numpy as np
+    from pyspark.sql import Window
+
+    names = sorted(WEIGHTS)
+    base = np.array([WEIGHTS[k] for k in names]) / WHOLE
+    draws = np.random.default_rng(20260925).dirichlet(20 * base, 100)
+    plans = spark.createDataFrame([(str(i), k, float(w / b)) for i, row in enumerate(draws) for k, w, b in zip(names, row, base, strict=True)], "scenario string, source string, factor double")
+    t = lists.scenarios(_guarded(spark, d).withColumn("w", weight()), plans, "source", "w")
+    scores = scoring.fused(t, ["scenario", "family"], "w", WHOLE).withColumn("score", six(F.col("score")))
+    ranks = scores.withColumn("rank", F.row_number().over(Window.partitionBy("scenario").orderBy(F.desc("score"), "family")))
+    return ranks.groupBy("family").agg(F.expr("percentile_disc(0.05) within group (order by rank)").cast("long").alias("low"), F.expr("percentile_disc(0.95) within group (order by rank)").cast("long").alias("high"))
+
+
+@query(sql(_PLACE + """ select family, least(greatest(ceil(round(score::decimal(18,6) * 100 / 3, 6)), 1), 100)::int display from pl""", "terms", "counts"))
+def display_score(spark, d):
+    return _placed(spark, d).select("family", lists.display_score(F.col("score")).alias("display"))
+
+
+# --- entities ------------------------------------------------------------------------------------------
+
+
+@query("""with rec as (select l_partkey % 2500 as k, sum(l_quantity) n from lineitem group by 1), al as (select p_partkey k, p_brand family from part where p_partkey % 5 <> 0), ok as (select distinct p_brand family from part where p_brand not like '%3')
+ select rec.k, n, ok.family, case when al.family is null then 'unmatched' when ok.family is null then 'ineligible' else 'matched' end resolution from rec left join al using (k) left join ok on al.family = ok.family""")
+def alias_resolve(spark, d):
+    part = table(spark, d, "part")
+    rec = table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 2500).alias("k")).agg(F.sum("l_quantity").alias("n"))
+    al = part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("family"))
+    ok = part.where("p_brand not like '%3'").select(F.col("p_brand").alias("family")).distinct()
+    return entities.resolved(rec, al, ["k"], ok).select("k", "n", "family", "resolution")
+
+
+@query("""with rec as (select l_partkey as k, sum(l_quantity) n from lineitem group by 1) select k, n from rec where n > 100 and k not in (select p_partkey from part where p_partkey % 5 <> 0) order by n desc, k limit 100""")
+def alias_unmatched_anti(spark, d):
+    rec = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("k")).agg(F.sum("l_quantity").alias("n"))
+    return entities.unmatched(rec, table(spark, d, "part").where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("k")), ["k"], "n", 100, 100)
+
+
+@query("""with v as (select s_nationkey k, sum(s_acctbal) x from supplier group by 1), m as (select n_nationkey k, c_mktsegment family from nation join customer on c_nationkey = n_nationkey group by all), c as (select k, count(*) n_members from m group by 1)
+ select k, round(x, 2) x, family, n_members from v join m using (k) join c using (k)""")
+def bundle_fanout(spark, d):
+    v = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.round(F.sum("s_acctbal"), 2).alias("x"))
+    m = table(spark, d, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_mktsegment").alias("family")).distinct()
+    return entities.bundles(v, m, "k")
+
+
+@query(sql(""", e as (select distinct l_suppkey dependent, l_partkey package from lineitem where l_orderkey % 4 = 0), dep as (select l_suppkey dependent, count(distinct l_orderkey) n from lineitem group by 1), ins as (select package, n from parts),
+ fn as (select family, max(n) family_n from parts group by 1)
+ select family, dependent, round(max(least(1.0, least(dep.n, ins.n) / greatest(family_n, ins.n))), 6) share from e join dep using (dependent) join ins using (package) join parts using (package) join fn using (family) where not exists (select 1 from parts o where o.family = parts.family and o.package = e.dependent + 1000000) group by all""", "parts"))
+def dependency_share(spark, d):
+    li = table(spark, d, "lineitem")
+    shift = 1_000_000  # suppliers and parts are different packages
+    edges = li.where("l_orderkey % 4 = 0").select((F.col("l_suppkey") + shift).alias("dependent"), F.col("l_partkey").alias("package")).distinct()
+    p = parts(spark, d)
+    installs = p.select("package", "n").unionByName(li.groupBy((F.col("l_suppkey") + shift).alias("package")).agg(F.count_distinct("l_orderkey").cast("double").alias("n")))
+    out = entities.dependency_shares(edges, installs, p.select("package", "family"))
+    return out.select("family", (F.col("dependent") - shift).alias("dependent"), F.round("share", 6).alias("share"))
+
+
+@query("""with f as (select o_custkey k, case when o_orderpriority like '1%' then 'preinstalled' when o_orderpriority like '2%' then 'dependency' else 'review' end reason from orders)
+ select k, case min(case reason when 'preinstalled' then 1 when 'dependency' then 2 else 3 end) when 1 then 'preinstalled' when 2 then 'dependency' else 'review' end reason from f group by 1""")
+def abstention_views(spark, d):
+    reason = F.when(F.col("o_orderpriority").startswith("1"), "preinstalled").when(F.col("o_orderpriority").startswith("2"), "dependency").otherwise("review")
+    found = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), reason.alias("reason"))
+    return entities.abstentions(found, ["k"], "reason", ["preinstalled", "dependency", "review"])
+
+
+_HOPS = "select distinct p_partkey a, p_partkey + (p_partkey % 3) * 7 + 1 b from part where p_partkey % 5 <> 0"
+
+
+@query(f"""with recursive h as ({_HOPS}), c(a, e, n) as (select a, b, 1 from h union all select c.a, h.b, n + 1 from c join h on h.a = c.e where n < 8), l as (select a, arg_max(e, n) e, max(n) n from c group by 1)
+ select a as old, e as "end", n::int steps from l where e not in (select a from h)""")
+def rename_chains(spark, d):
+    p = F.col("p_partkey")
+    hops = table(spark, d, "part").where("p_partkey % 5 <> 0").select(p.alias("old"), (p + (p % 3) * 7 + 1).alias("new")).distinct()
+    return entities.chains(hops, "old", "new")
+
+
+@query("""with recursive e as (select distinct o_custkey % 600 x, 1000 + (o_orderkey % 350) y from orders where o_orderkey % 97 = 0), s as (select x, y from e union select y, x from e),
+ r(n, l) as (select x, x from s union select s.y, r.l from r join s on s.x = r.n) select n as node, min(l) as label from r group by 1""")
+def connected_names(spark, d):
+    e = table(spark, d, "orders").where("o_orderkey % 97 = 0").select((F.col("o_custkey") % 600).alias("x"), (F.col("o_orderkey") % 350 + 1000).alias("y")).distinct()
+    return entities.connected(e, "x", "y")
+
+
+@query("""with r as (select s_name, lower(s_name) s, row_number() over (partition by trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) order by s_name) n, trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) k from (select distinct s_name from supplier))
+ select s_name, case when n = 1 then k else k || '-' || n end id from r""")
+def ids_minted(spark, d):
+    return entities.ids_minted(table(spark, d, "supplier").select("s_name").distinct(), "s_name", text.slug(F.substring("s_name", 1, 8)))
+
+
+@query("""select c_nationkey family, case when max(case when m in ('icon','symbol') then 1 end) = 1 then case when bool_or(m = 'icon') then 'icon' else 'symbol' end when bool_and(coalesce(m, '') = 'proprietary') then 'proprietary' end drop_code
+ from (select c_nationkey, case c_custkey % 40 when 1 then 'icon' when 2 then 'symbol' when 3 then 'proprietary' end m from customer where c_custkey % 3 = 0) group by 1""")
+def drop_codes(spark, d):
+    k = F.col("c_custkey") % 40
+    code = F.when(k == 1, "icon").when(k == 2, "symbol").when(k == 3, "proprietary")
+    rec = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_nationkey").alias("family"), code.alias("code"))
+    return entities.drop_code(rec, "family", "code", ["icon", "symbol", "proprietary"], "proprietary")
+
+
+# --- time -----------------------------------------------------------------------------------------------
+
+
+@query(sql(""", m as (select * from monthly), n as (select source, x from m where month = 1998 * 12), p as (select source, x from m where month = 1998 * 12 - 1) select source, round(0.3 * n.x + 0.7 * coalesce(p.x, n.x), 2) smooth from n left join p using (source)""", "monthly"))
+def ewma_smooth(spark, d):
+    m = monthly(spark, d)
+    at = lambda k: m.where(F.col("month") == k).select("source", "x")
+    return timeseries.smoothed(at(1998 * 12), at(1998 * 12 - 1), ["source"], "x", 0.3).select("source", F.round("smooth", 2).alias("smooth"))
+
+
+@query(sql(", s as (select source, month, x / sum(x) over (partition by month) share from monthly) select source, list(round(share, 9) order by month) history from s where month between 1996 * 12 and 1996 * 12 + 5 group by 1", "monthly"))
+def share_history(spark, d):
+    shares = counting.shares(monthly(spark, d), ["month"], "x").where(F.col("month").between(1996 * 12, 1996 * 12 + 5))
+    old = shares.where(F.col("month") < 1996 * 12 + 5).groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("month", "share"))), lambda x: x["share"]).alias("history"))
+    out = timeseries.history(old, shares.where(F.col("month") == 1996 * 12 + 5), ["source"], "share", 12)
+    return out.select("source", F.transform("history", lambda x: F.round(x, 9)).alias("history"))
+
+
+@query(sql(""", s as (select source, month, x / sum(x) over (partition by month) share from monthly), r as (select *, row_number() over (partition by source order by month desc) k from s)
+ select source, round(ln(avg(share) filter (where k <= 3) / avg(share)), 6) + 0.0 ratio from r where k <= 12 group by 1""", "monthly"))
+def rising_ratio(spark, d):
+    out = timeseries.rising(counting.shares(monthly(spark, d), ["month"], "x"), ["source"], "month", "share")
+    return out.select("source", six(F.col("ratio")).alias("ratio"))
+
+
+_MEMBER = """, w as (select family, sum(value) x, date_trunc('week', day)::date wk from obs group by all), o as (select family, wk, row_number() over (partition by wk order by round(x, 2) desc, family) place from w),
+ a as (select family from o where wk = date '2024-01-08' and place <= 40), n as (select family, place from o where wk = date '2024-01-15')"""
+
+
+@query(sql(_MEMBER + """ select coalesce(n.family, a.family) family, true as member, (case when coalesce(place <= 40, false) then 0 when coalesce(place <= 60, false) then 0 else 1 end)::int runs_outside from n full join a on n.family = a.family where coalesce(place <= 40, false) or a.family is not null""", "obs"))
+def hysteresis_membership(spark, d):
+    w = observations(spark, d).groupBy("family", F.col("week").alias("wk")).agg(F.round(F.sum("value"), 2).alias("x"))
+    o = lists.top(w, ["wk"], [F.desc("x"), "family"], 1 << 30).withColumnRenamed("n", "place")
+    week = lambda s: o.where(F.col("wk") == F.to_date(F.lit(s)))
+    state = week("2024-01-08").where("place <= 40").select("family", F.lit(True).alias("member"), F.lit(0).alias("runs_outside"))
+    return timeseries.hysteresis(week("2024-01-15").select("family", "place"), state, ["family"], 40, 60, 2)
+
+
+@query("""with a as (select user_id k, min(ts::date) m from events where event_id % 2 = 0 group by 1), b as (select user_id k, min(ts::date) m from events where event_id % 2 = 1 group by 1) select coalesce(a.k, b.k) k, least(a.m, b.m) m from a full join b using (k)""")
+def first_seen_merge(spark, d):
+    e = table(spark, d, "events").select("event_id", F.col("user_id").alias("k"), F.to_date("ts").alias("m"))
+    side = lambda r: e.where(F.col("event_id") % 2 == r).groupBy("k").agg(F.min("m").alias("m"))
+    return timeseries.first_seen(side(0), side(1), ["k"], "m")
+
+
+@query(sql("select source, month, round(sum(x) over w, 2) rolled, count(*) over w periods from monthly window w as (partition by source order by month range between 11 preceding and current row)", "monthly"))
+def rolling_months(spark, d):
+    return timeseries.rolling(monthly(spark, d), ["source"], "month", "x", 12).select("source", F.col("month").cast("long"), F.round("rolled", 2).alias("rolled"), "periods")
+
+
+@query("""with m as (select distinct o_custkey k, year(o_orderdate) * 12 + month(o_orderdate) - 1 as m from orders), i as (select k, m, m - row_number() over (partition by k order by m) g from m), r as (select k, min(m) f, max(m) l, count(*) c from i group by k, g)
+ select k, arg_max(f, l) as first, max(l) as last, arg_max(c, l) as months from r group by 1""")
+def latest_run_islands(spark, d):
+    m = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), timeseries.month_number(F.col("o_orderdate")).cast("long").alias("m"))
+    return timeseries.latest_run(m, ["k"], "m")
+
+
+@query("""with r as (select distinct o_custkey k, o_orderdate::date as day from orders where o_orderkey % 3 = 0), s as (select distinct o_custkey k, o_orderdate::date snap from orders where o_orderkey % 3 = 1)
+ select k, day, case when date_diff('day', max(snap), day) <= 200 then max(snap) end as snapshot from r left join s using (k) where snap is null or snap <= day group by k, day union all
+ select k, day, null from r where exists (select 1 from s where s.k = r.k) and not exists (select 1 from s where s.k = r.k and snap <= day)""")
+def asof_snapshot(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 3).alias("m"))
+    return timeseries.as_of(o.where("m = 0").select("k", "day").distinct(), o.where("m = 1").select("k", F.col("day").alias("snap")).distinct(), ["k"], "day", "snap", 200)
+
+
+# --- comparing lists -------------------------------------------------------------------------------------
+
+
+@query(sql(""", t as (select family, max(case when source = 'view' then x end) a, max(case when source = 'click' then x end) b from terms group by 1 having count(*) filter (where source in ('view', 'click')) = 2),
+ r as (select rank() over (order by a) + (count(*) over (partition by a) - 1) / 2.0 ra, rank() over (order by b) + (count(*) over (partition by b) - 1) / 2.0 rb from t) select count(*) n, round(corr(ra, rb), 6) rho from r""", "terms"))
+def spearman_sources(spark, d):
+    t = terms(spark, d).groupBy("family").pivot("source", ["view", "click"]).agg(F.max("x")).where("view is not null and click is not null").withColumn("all", F.lit(0))
+    return lists.spearman(t, ["all"], "view", "click").select("n", F.round("rho", 6).alias("rho"))
+
+
+_LISTS = """, v as (select family, row_number() over (partition by source order by x desc, family) r, source from terms), a as (select family, r from v where source = 'view'), b as (select family, r from v where source = 'click')"""
+
+
+def _two_lists(spark, d):
+    v = lists.top(terms(spark, d), ["source"], [F.desc("x"), "family"], 1 << 30).withColumnRenamed("n", "r")
+    return (v.where(F.col("source") == s).select("family", F.col("r").cast("long")) for s in ("view", "click"))
+
+
+@query(sql(_LISTS + """, n as (select least((select count(*) from a), (select count(*) from b)) n), d as (select unnest(range(1, n + 1)) d, n from n), m as (select greatest(a.r, b.r) g from a join b using (family)),
+ x as (select d, n, (select count(*) from m where g <= d) x from d) select max(n) n, round(0.02 * sum(x / d * pow(0.98, d - 1)) + max(x) / max(n) * pow(0.98, max(n)), 6) rbo from x""", "terms"))
+def rbo_lists(spark, d):
+    a, b = _two_lists(spark, d)
+    return lists.rank_biased_overlap(a, b, "family", "r").select("n", F.round("rbo", 6).alias("rbo"))
+
+
+@query(sql(_LISTS + """ select coalesce(a.family, b.family) family, a.r as before, b.r as after, case when coalesce(b.r <= 50, false) and not coalesce(a.r <= 50, false) then 'entry' when coalesce(a.r <= 50, false) and not coalesce(b.r <= 50, false) then 'exit' else 'move' end kind from a full join b on a.family = b.family where a.r <= 50 or b.r <= 50""", "terms"))
+def entries_exits(spark, d):
+    a, b = _two_lists(spark, d)
+    return lists.changes(a, b, ["family"], "r", 50)
+
+
+@query(sql(_LISTS + " select coalesce(a.family, b.family) family, a.r rank_a, b.r rank_b from a full join b on a.family = b.family where (a.r <= 30 and (b.r is null or b.r > 60)) or (b.r <= 30 and (a.r is null or a.r > 60))", "terms"))
+def disagreement(spark, d):
+    a, b = _two_lists(spark, d)
+    return lists.disagreement(a, b, ["family"], "r", 30, 60)
+
+
+@query(sql(""", s as (select family, source, x / sum(x) over (partition by source) share from terms where source in ('view', 'click')), p as (select family, max(share) filter (where source = 'view') a, max(share) filter (where source = 'click') b from s group by 1)
+ select family, round(greatest(a / b, b / a), 6) jump from p where greatest(a, b) >= 0.005 and least(a, b) > 0""", "terms"))
+def share_jumps(spark, d):
+    s = counting.shares(terms(spark, d), ["source"], "x")
+    side = lambda k: s.where(F.col("source") == k).select("family", "share")
+    return lists.share_jumps(side("view"), side("click"), ["family"], "share", 0.005).select("family", F.round("jump", 6).alias("jump"))
+
+
+@query("""with c as (select c_nationkey, c_custkey, [floor(c_acctbal / 500), (c_custkey % 17)::double] v, c_custkey % 101 s from customer) select a.c_nationkey nation, a.c_custkey high, b.c_custkey low from c a join c b on a.c_nationkey = b.c_nationkey and a.s < b.s and a.v[1] >= b.v[1] and a.v[2] >= b.v[2] and (a.v[1] > b.v[1] or a.v[2] > b.v[2])""")
+def dominance_violations(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey", F.array(F.floor(F.col("c_acctbal") / 500).cast("double"), (F.col("c_custkey") % 17).cast("double")).alias("v"), (F.col("c_custkey") % 101).alias("s"))
+    return lists.dominance_violations(c, "c_custkey", "nation", "v", "s")
+
+
+@query("""with t as (select p_brand, p_size::bigint r from part where p_size % 6 <> 0) select p_brand, h as r from (select p_brand, unnest(range(1, max(r) + 1)) h from t group by 1) where (p_brand, h) not in (select p_brand, r from t)""")
+def rank_gap(spark, d):
+    return lists.rank_holes(table(spark, d, "part").where("p_size % 6 <> 0").select("p_brand", F.col("p_size").alias("r")), ["p_brand"], "r")
+
+
+@query("""select p_partkey, p_name, p_size, n from (select p_partkey, p_name, p_size, row_number() over (partition by p_brand order by p_size desc, p_partkey) n from part where p_size & 4 = 0 and contains(lower(p_name), 'a')) where n <= 20""")
+def list_filter_sort(spark, d):
+    some = table(spark, d, "part").where((F.col("p_size").bitwiseAND(4) == 0) & F.contains(F.lower("p_name"), F.lit("a")))
+    return lists.top(some, ["p_brand"], [F.desc("p_size"), "p_partkey"], 20).select("p_partkey", "p_name", "p_size", F.col("n").cast("long"))
+
+
+@query(sql(", t as (select source, family, x, row_number() over (partition by source order by x desc, family) n from terms where x > 0) select source, family, x, n from t where n <= 10", "terms"))
+def top_k(spark, d):
+    return lists.top(terms(spark, d).where("x > 0"), ["source"], [F.desc("x"), "family"], 10).withColumn("n", F.col("n").cast("long"))
+
+
+@query(sql(_PLACE + """ select family, case when place * 0.02 / place <= 0.1 and n >= 3 then 'A' else 'B' end tier from (select pl.*, f.n_terms n from pl join fu f using (family)) where n >= 2""", "terms", "counts"))
+def tiers(spark, d):
+    p = _placed(spark, d).where("n_terms >= 2")
+    return p.select("family", lists.tier(F.col("place") * 0.02, F.col("place"), F.col("n_terms")).alias("tier"))
+
+
+# --- names and numbers --------------------------------------------------------------------------------------
+
+
+@query("select distinct c_name, regexp_replace(lower(c_name), '[#_\\s-]+', '', 'g') as k from customer")
+def match_key_ascii(spark, d):
+    return table(spark, d, "customer").select("c_name").distinct().select("c_name", F.regexp_replace(text.fold(F.col("c_name")), "#", "").alias("k"))
+
+
+@query()
+def match_keys(spark, d):
+    words = table(spark, d, "documents").select(F.substring("text", 1, 60).alias("name")).distinct()
+    return text.with_keys(words, "name").select("name", "match_key", "search_key")
+
+
+@query("select distinct p_name, trim(both '-' from regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g')) slug from part")
+def slugs(spark, d):
+    return table(spark, d, "part").select("p_name").distinct().select("p_name", text.slug(F.col("p_name")).alias("slug"))
+
+
+@query("""select r, unnest(range(lo, hi + 1))::int as point from (select * from (values ('U+41-45', 65, 69), ('U+4?', 64, 79), ('U+20AC', 8364, 8364)) t(r, lo, hi))""")
+def unicode_range_expand(spark, d):
+    given = spark.createDataFrame([("U+41-45",), ("U+4?",), ("U+20AC",), ("U+XYZ",)], "r string")
+    return given.select("r", F.explode(text.code_points(F.col("r"))).alias("point"))
+
+
+@query("""with p as (select distinct l_suppkey k, l_partkey p from lineitem), i as (select k, p, p - row_number() over (partition by k order by p) g from p) select k, min(p) low, max(p) high from i group by k, g""")
+def cmap_runs(spark, d):
+    return text.runs(table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("p")), "k", "p")
+
+
+_EXPR = {0: "MIT", 1: "MIT OR GPL-3.0-only", 2: "(Apache-2.0 AND GPL-3.0-only) OR Foo", 3: "Foo AND MIT", 4: "GPL-3.0-only WITH Font-exception-2.0"}
+
+
+@query("select p_partkey, case p_partkey % 5 when 0 then 'open' when 1 then 'open' when 2 then 'copyleft' when 3 then 'excluded' else 'copyleft' end license_class from part")
+def license_classify(spark, d):
+    expr = F
+    for k, v in _EXPR.items():
+        expr = expr.when(F.col("p_partkey") % 5 == k, v)
+    return text.with_license_class(table(spark, d, "part").select("p_partkey", expr.alias("expression")), "expression").select("p_partkey", "license_class")
+
+
+@query("select p_partkey, case when p_retailprice = 0 then 0.0 else round(p_retailprice * pow(10.0, 5 - 1 - floor(log10(abs(p_retailprice))))) / pow(10.0, 5 - 1 - floor(log10(abs(p_retailprice)))) end x from part")
+def significant_digits(spark, d):
+    return table(spark, d, "part").select("p_partkey", significant(F.col("p_retailprice"), 5).alias("x"))
+
+
+@query("select o_orderkey, date_trunc('month', o_orderdate)::date as first, last_day(o_orderdate::date) as last from orders")
+def month_bounds(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", F.to_date(F.trunc("o_orderdate", "month")).alias("first"), F.last_day(F.to_date("o_orderdate")).alias("last"))
+
+
+@query("select p_partkey, sha256(p_brand || '|' || p_name || '|' || p_size) as h from part")
+def canonical_hash(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.sha2(F.concat_ws("|", "p_brand", "p_name", F.col("p_size").cast("string")), 256).alias("h"))
+
+
+@query("select page_id, split_part(split_part(url, '://', 2), '/', 1) as host, split_part(url, '://', 1) = 'https' as https from pages")
+def link_policy(spark, d):
+    return table(spark, d, "pages").select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"), (F.parse_url("url", F.lit("PROTOCOL")) == "https").alias("https"))
+
+
+@query("select event_type as source, count(*) n, count(distinct user_id) families, sum((value > 50)::int)::bigint above, min(ts::date) as first, max(ts::date) as last from events group by 1")
+def source_report(spark, d):
+    e = table(spark, d, "events")
+    return e.groupBy(F.col("event_type").alias("source")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("families"), F.count_if(F.col("value") > 50).alias("above"), F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last"))
+
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+@query()
+def probit_table(spark, d):
+    p = spark.range(1, 1000).select((F.col("id") / 1000).alias("p"))
+    return p.select("p", six(probit(F.col("p"))).alias("z"))
