@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import body, numbered, written
@@ -68,8 +68,19 @@ def signatures(words: int):
     return rows
 
 
+def bitmap(prints: np.ndarray) -> list[int]:
+    """The set's elements in 256 bits, as four numbers."""
+    out = np.zeros(256, dtype=np.uint8)
+    out[(prints >> np.uint64(20)).astype(np.int64) & 255] = 1
+    return np.packbits(out).view("<i8").tolist()
+
+
+#: What a member has against its centre: sizes, intersection, and bitmaps of what it adds and lacks.
+AGAINST = ["nu", "nv", "both", *[f"{x}{k}" for x in "ar" for k in range(4)]]
+
+
 def overlaps(words: int, share: int):
-    """Of rows u, v, tu, tv those pairs with 100 * intersection >= share * union of their shingle sets."""
+    """Of rows u, v, tu, tv: whether 100 * intersection >= share * union of their shingle sets, and AGAINST."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -82,20 +93,43 @@ def overlaps(words: int, share: int):
                 prints, of = shingle_prints(words_of(data, starts, ends), len(part), words)
                 cut = np.searchsorted(of, np.arange(len(part) + 1))
                 sets |= {k: np.unique(prints[cut[t] : cut[t + 1]]) for t, k in enumerate(part["k"])}
-            ok = []
+            out = []
             for u, v in zip(batch["u"], batch["v"], strict=True):
                 x, y = sets[u], sets[v]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both > 0 and 100 * both >= share * (len(x) + len(y) - both))
-            yield batch.loc[ok, ["u", "v"]]
+                both = np.intersect1d(x, y, assume_unique=True)
+                ok = len(both) > 0 and 100 * len(both) >= share * (len(x) + len(y) - len(both))
+                adds, lacks = np.setdiff1d(x, both, assume_unique=True), np.setdiff1d(y, both, assume_unique=True)
+                out.append((u, v, ok, len(x), len(y), len(both), *bitmap(adds), *bitmap(lacks)))
+            yield pd.DataFrame(out, columns=["u", "v", "ok", *AGAINST])
 
     return rows
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
-    """Those pairs (u, v) whose full shingle sets are similar enough."""
+def compared(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
+    """Pairs (u, v) with their verdict (ok) on full shingle sets, and AGAINST."""
     tu, tv = (texts.select(F.col("k").alias(x), F.col("t").alias("t" + x)) for x in "uv")
-    return written(pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInPandas(overlaps(words, share), "u long, v long"), "links")
+    rows = pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
+    return written(rows.mapInPandas(overlaps(words, share), "u long, v long, ok boolean, " + ", ".join(f"{c} long" for c in AGAINST)), "compared")
+
+
+def at_most(x: str, y: str) -> Column:
+    """Upper bound of the intersection of two members of one bucket, from what each has against its centre.
+
+    What of the centre both have is its size less what either lacks; what neither has from the
+    centre must be in both of what they add. An element whose bit the other's bitmap lacks is in
+    one of them only.
+    """
+
+    def common(kind: str) -> Column:
+        def own(p: str, q: str) -> Column:
+            bits = [F.bit_count(F.col(f"{p}_{kind}{k}").bitwiseAND(F.bitwise_not(F.col(f"{q}_{kind}{k}")))) for k in range(4)]
+            size = F.col(f"{p}_nu") - F.col(f"{p}_both") if kind == "a" else F.col(f"{p}_nv") - F.col(f"{p}_both")
+            return size - (bits[0] + bits[1] + bits[2] + bits[3])
+
+        return F.least(own(x, y), own(y, x))
+
+    lacks = F.col(f"{x}_nv") - F.col(f"{x}_both") + F.col(f"{y}_nv") - F.col(f"{y}_both") - common("r")
+    return F.col(f"{x}_nv") - lacks + common("a")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -138,22 +172,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
 
     buckets = written(stand.select(F.explode("bands").alias("band"), "k", "s1", "s2"), "buckets")
     centres = buckets.groupBy("band").agg(F.min("k").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "centre")
-    stars = written(buckets.select("band", "k").join(centres, "band").where("k <> centre").select(F.col("k").alias("u"), F.col("centre").alias("v")).distinct(), "stars")
-    links = verified(stars, texts, words, share)
-    comps = written(components(links), "components")
+    met = written(buckets.join(centres, "band"), "met")
+    stars = met.where("k <> centre").select(F.col("k").alias("u"), F.col("centre").alias("v")).distinct()
+    against = compared(stars, texts, words, share)
+    comps = written(components(against.where("ok").select("u", "v")), "components")
 
     # Buckets whose members are still apart: those outside the main component against all others.
-    placed = buckets.join(centres.select("band"), "band", "left_semi").join(comps, "k", "left").withColumn("comp", F.coalesce("comp", "k"))
-    placed = written(placed, "placed")
+    placed = written(met.join(comps, "k", "left").withColumn("comp", F.coalesce("comp", "k")), "placed")
     sizes = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
     mains = sizes.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("band", "main")
-    apart = placed.join(mains, "band")
-    outside = apart.where("comp <> main").select("band", F.col("k").alias("u"), F.col("comp").alias("cu"), F.col("s1").alias("u1"), F.col("s2").alias("u2"))
-    others = apart.select(F.col("band").alias("band2"), F.col("k").alias("v"), F.col("comp").alias("cv"), "main", F.col("s1").alias("v1"), F.col("s2").alias("v2"))
-    close = F.bit_count(F.col("u1").bitwiseXOR(F.col("v1"))) + F.bit_count(F.col("u2").bitwiseXOR(F.col("v2"))) <= DIFFER
-    rest = outside.join(others, (F.col("band") == F.col("band2")) & (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("main")) | (F.col("u") > F.col("v"))) & close)
-    rest = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    more = verified(written(rest, "rest"), texts, words, share)
+    apart = placed.where("k <> centre").join(mains, "band").join(against.select(F.col("u").alias("k"), F.col("v").alias("centre"), *AGAINST), ["k", "centre"])
+    side = lambda x: apart.select(F.col("band").alias(f"{x}_band"), F.col("k").alias(x), F.col("comp").alias(f"{x}_comp"), "main" if x == "v" else F.col("main").alias("u_main"), F.col("s1").alias(f"{x}_s1"), F.col("s2").alias(f"{x}_s2"), *[F.col(c).alias(f"{x}_{c}") for c in AGAINST])
+    differ = F.bit_count(F.col("u_s1").bitwiseXOR(F.col("v_s1"))) + F.bit_count(F.col("u_s2").bitwiseXOR(F.col("v_s2")))
+    bound = at_most("u", "v")
+    may = (differ <= DIFFER) & (100 * bound >= share * (F.col("u_nu") + F.col("v_nu") - bound))
+    other = (F.col("u_comp") != F.col("v_comp")) & ((F.col("v_comp") == F.col("main")) | (F.col("u") > F.col("v")))
+    rest = side("u").where("u_comp <> u_main").join(side("v"), (F.col("u_band") == F.col("v_band")) & other & may)
+    rest = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    more = compared(written(rest, "rest"), texts, words, share).where("ok").select("u", "v")
     if more.take(1):
         # Components of components: what was found already comes in as its stars.
         comps = written(components(more.unionByName(comps.where("k <> comp").select(F.col("k").alias("u"), F.col("comp").alias("v")))), "components")
