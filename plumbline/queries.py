@@ -594,3 +594,6 @@ def source_report(spark, d):
 def probit_table(spark, d):
     p = spark.range(1, 1000).select((F.col("id") / 1000).alias("p"))
     return p.select("p", six(probit(F.col("p"))).alias("z"))
+
+
+from plumbline import source_queries  # noqa: E402, F401  (registers further queries)
