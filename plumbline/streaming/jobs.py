@@ -16,8 +16,9 @@ from plumbline.sources.records import fresh
 
 
 def stream(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table as a stream of its files."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A Parquet table, a folder or a single file, as a stream of its files."""
+    # As a pattern, for a plain path has to be a folder.
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def drained(df: DataFrame, mode: str, tag: str) -> DataFrame:
