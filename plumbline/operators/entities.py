@@ -61,30 +61,36 @@ def chains(renames: DataFrame, old: str, new: str, depth: int = 8) -> DataFrame:
     return ended.select(old, "end", "steps")
 
 
-def connected(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
-    """Least label of each node's component, by labels that spread and jump until nothing changes.
-
-    Each round is written to the folder in spark.checkpoint.dir by checkpoint(), so a lost executor
-    costs a read of it.
-    """
-    spark = edges.sparkSession
+def _checkpoints(spark) -> None:
+    """Sets the folder of checkpoint() where none is set: spark.checkpoint.dir, or a local one."""
     if not spark.sparkContext.getCheckpointDir():
         import tempfile
 
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix=f"plumbline-{uuid.uuid4().hex}-"))
+
+
+def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """Least label of each node's component, by labels that spread, hook and jump until nothing changes.
+
+    A node's find goes to the node it is labelled with as well (FastSV), so that a small label need not
+    walk a long path node by node. Each round is written to the folder in spark.checkpoint.dir by
+    checkpoint(), so a lost executor costs a read of it.
+    """
+    _checkpoints(edges.sparkSession)
     pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    pairs = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct().checkpoint()
+    pairs = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).where("x is not null").distinct().checkpoint()
     labels = pairs.groupBy("x").agg(F.least(F.min("x"), F.min("y")).alias("label")).checkpoint()
-    for _ in range(rounds):
-        near = pairs.join(labels.select(F.col("x").alias("y"), F.col("label").alias("_l")), "y").groupBy("x").agg(F.min("_l").alias("_l"))
-        new = labels.join(near, "x").select("x", F.least("label", "_l").alias("label"))
-        jump = new.select(F.col("x").alias("label"), F.col("label").alias("_j"))
-        new = new.join(jump, "label", "left").select("x", F.least("label", F.coalesce("_j", "label")).alias("label")).checkpoint()
+    while True:
+        up = labels.select(F.col("x").alias("label"), F.col("label").alias("_up"))
+        at = labels.join(up, "label")
+        near = pairs.join(at.select(F.col("x").alias("y"), "_up"), "y").groupBy("x").agg(F.min("_up").alias("_near"))
+        found = at.join(near, "x", "left").select("x", "label", F.least("_up", "_near").alias("_least"))
+        new = found.select("x", F.col("_least").alias("label")).unionByName(found.select(F.col("label").alias("x"), F.col("_least").alias("label")))
+        new = new.groupBy("x").agg(F.min("label").alias("label")).checkpoint()
         changed = new.join(labels.withColumnRenamed("label", "_old"), "x").where("label <> _old").take(1)
         labels = new
         if not changed:
-            break
-    return labels.select(F.col("x").alias("node"), "label")
+            return labels.select(F.col("x").alias("node"), "label")
 
 
 def drop_code(df: DataFrame, family: str, code: str, order: list[str], unanimous: str) -> DataFrame:

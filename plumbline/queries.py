@@ -366,7 +366,8 @@ def rename_chains(spark, d):
 @query("""with recursive e as (select distinct o_custkey % 600 x, 1000 + (o_orderkey % 350) y from orders where o_orderkey % 97 = 0), s as (select x, y from e union select y, x from e),
  r(n, l) as (select x, x from s union select s.y, r.l from r join s on s.x = r.n) select n as node, min(l) as label from r group by 1""")
 def connected_names(spark, d):
-    e = table(spark, d, "orders").where("o_orderkey % 97 = 0").select((F.col("o_custkey") % 600).alias("x"), (F.col("o_orderkey") % 350 + 1000).alias("y")).distinct()
+    # Orders count down from -1, so that no order has a customer's number.
+    e = table(spark, d, "orders").select(F.col("o_custkey").alias("x"), (-1 - F.col("o_orderkey")).alias("y"))
     return entities.connected(e, "x", "y")
 
 
