@@ -49,16 +49,24 @@ def abstentions(found: DataFrame, keys: list[str], reason: str, order: list[str]
     return found.groupBy(*keys).agg(F.min_by(reason, rank).alias(reason))
 
 
-def chains(renames: DataFrame, old: str, new: str, depth: int = 8) -> DataFrame:
-    """Where each old name ends: renames are followed up to `depth` times; names on a cycle have no end."""
-    hop = renames.groupBy(old).agg(F.min(new).alias(new))
-    out = hop.select(F.col(old), F.col(new).alias("end"), F.lit(1).alias("steps"))
-    step = hop.select(F.col(old).alias("_from"), F.col(new).alias("_to"))
-    for _ in range(depth - 1):
-        # One more hop for all names at once; those at their end keep it.
-        out = out.join(step, out["end"] == step["_from"], "left").select(old, F.coalesce("_to", "end").alias("end"), (F.col("steps") + F.col("_to").isNotNull().cast("int")).alias("steps"))
-    ended = out.join(step.select(F.col("_from").alias("end")), "end", "left_anti")
-    return ended.select(old, "end", "steps")
+def chains(renames: DataFrame, old: str, new: str) -> DataFrame:
+    """Where each old name ends, however many renames away; names on a cycle, or leading to one, have no end.
+
+    Each round doubles how far every name has been followed, and is written by checkpoint(). A chain of
+    n renames holds one of each length below n, so that a round after which no further name is at its
+    end leaves none but those of cycles.
+    """
+    _checkpoints(renames.sparkSession)
+    out = renames.groupBy(old).agg(F.min(new).alias("end")).select(old, "end", F.lit(1).alias("steps")).checkpoint()
+    before = None
+    while True:
+        step = out.select(F.col(old).alias("_from"), F.col("end").alias("_to"), F.col("steps").alias("_steps"))
+        moves = F.col("_from").isNotNull()
+        out = out.join(step, out["end"] == step["_from"], "left").select(old, F.when(moves, F.col("_to")).otherwise(F.col("end")).alias("end"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), moves.alias("_moved")).checkpoint()
+        moved = out.where("_moved").count()
+        if moved in (0, before):
+            return out.where("not _moved").select(old, "end", "steps")
+        before = moved
 
 
 def _checkpoints(spark) -> None:

@@ -37,3 +37,29 @@ def test_connected_names_has_every_order(spark):
     found = QUERIES["connected_names"](spark, DATA).collect()
     assert len(found) == orders.o_orderkey.nunique() + orders.o_custkey.nunique()
     assert {tuple(r) for r in found} == components(edges)
+
+
+def ends(hop):
+    out = set()
+    for old in hop:
+        at, steps, seen = old, 0, set()
+        while at in hop and at not in seen:
+            seen.add(at)
+            at, steps = hop[at], steps + 1
+        if at not in hop:
+            out.add((old, at, steps))
+    return out
+
+
+def test_chains_of_any_length(spark):
+    # 100 renames in a row, a branch into them, a name without an end that leads to a cycle, and the cycle.
+    hop = {**{k: k + 1 for k in range(100)}, 200: 50, 300: 301, 301: 302, 302: 303, 303: 301, 400: 400}
+    found = entities.chains(spark.createDataFrame(list(hop.items()), "old long, new long"), "old", "new").collect()
+    assert len(found) == 101 and {tuple(r) for r in found} == ends(hop)
+
+
+def test_rename_chains_has_every_name(spark):
+    p = pd.read_parquet(f"{DATA}/part.parquet").p_partkey.unique().tolist()
+    found = QUERIES["rename_chains"](spark, DATA).select("old", "end", "steps").collect()
+    assert {tuple(r) for r in found} == ends({k: k + k % 3 * 7 + 1 for k in p if k % 5})
+    assert len(found) == len([k for k in p if k % 5])
