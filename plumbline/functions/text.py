@@ -22,16 +22,19 @@ def search_key_of(name: str) -> str:
     return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", match_key_of(name)) if unicodedata.category(c) != "Mn"))
 
 
-def with_keys(df: DataFrame, name: str) -> DataFrame:
-    """df with match_key and search_key of a name; Python sees each distinct name once."""
+def keyed(names: DataFrame, name: str) -> DataFrame:
+    """names, each of which stands there once, with match_key and search_key; nothing is dealt out again."""
 
     @F.pandas_udf("match string, search string")
     def keys_of(names: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"match": names.map(match_key_of), "search": names.map(search_key_of)})
+        return pd.DataFrame({"match": names.map(match_key_of, na_action="ignore"), "search": names.map(search_key_of, na_action="ignore")})
+
+    return names.withColumn("_k", keys_of(F.col(name))).select(*names.columns, F.col("_k.match").alias("match_key"), F.col("_k.search").alias("search_key"))
 
-    distinct = df.select(name).where(F.col(name).isNotNull()).distinct().withColumn("_k", keys_of(F.col(name)))
-    keys = distinct.select(name, F.col("_k.match").alias("match_key"), F.col("_k.search").alias("search_key"))
-    return df.join(keys, name, "left")
+
+def with_keys(df: DataFrame, name: str) -> DataFrame:
+    """df with match_key and search_key of a name; Python sees each distinct name once."""
+    return df.join(keyed(df.select(name).where(F.col(name).isNotNull()).distinct(), name), name, "left")
 
 
 def slug(name: Column) -> Column:

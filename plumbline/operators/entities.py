@@ -109,7 +109,16 @@ def drop_code(df: DataFrame, family: str, code: str, order: list[str], unanimous
 
 
 def ids_minted(names: DataFrame, name: str, slug: Column) -> DataFrame:
-    """A slug for each name, numbered from -2 on where names share one, in name order."""
-    w = Window.partitionBy("_slug").orderBy(name)
-    out = names.withColumn("_slug", slug).withColumn("_n", F.row_number().over(w))
-    return out.withColumn("id", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", F.col("_n").cast("string")))).drop("_slug", "_n")
+    """A slug for each name, numbered from -2 on where names share one, in name order.
+
+    Names are dealt out by ranges of slug and name; a number is the place within its range and the count
+    in the ranges before, so that a slug of many names is not one task.
+    """
+    _checkpoints(names.sparkSession)
+    cut = names.withColumn("_slug", slug).repartitionByRange("_slug", name).withColumn("_range", F.spark_partition_id()).checkpoint()
+    upto = Window.partitionBy("_slug").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy("_slug", "_range").agg(F.count(F.lit(1)).alias("_size"))
+    bases = sizes.select(F.col("_slug").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_slug", "_range").orderBy(name))
+    out = cut.withColumn("_in", inside).join(bases, F.expr("_slug <=> _s and _range = _r")).withColumn("_n", F.col("_base") + F.col("_in"))
+    return out.withColumn("id", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", F.col("_n").cast("string")))).select(*names.columns, "id")

@@ -374,7 +374,7 @@ def connected_names(spark, d):
 @query("""with r as (select s_name, lower(s_name) s, row_number() over (partition by trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) order by s_name) n, trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) k from (select distinct s_name from supplier))
  select s_name, case when n = 1 then k else k || '-' || n end id from r""")
 def ids_minted(spark, d):
-    return entities.ids_minted(table(spark, d, "supplier").select("s_name").distinct(), "s_name", text.slug(F.substring("s_name", 1, 8)))
+    return entities.ids_minted(table(spark, d, "supplier").select("s_name").distinct(), "s_name", text.slug(F.col("s_name")))
 
 
 @query("""select c_nationkey family, case when max(case when m in ('icon','symbol') then 1 end) = 1 then case when bool_or(m = 'icon') then 'icon' else 'symbol' end when bool_and(coalesce(m, '') = 'proprietary') then 'proprietary' end drop_code
@@ -534,8 +534,8 @@ def match_key_ascii(spark, d):
 
 @query()
 def match_keys(spark, d):
-    words = table(spark, d, "documents").select(F.substring("text", 1, 60).alias("name")).distinct()
-    return text.with_keys(words, "name").select("name", "match_key", "search_key")
+    words = table(spark, d, "documents").select(F.col("text").alias("name")).distinct()
+    return text.keyed(words, "name")
 
 
 @query("select distinct p_name, trim(both '-' from regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g')) slug from part")

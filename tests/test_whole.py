@@ -1,7 +1,11 @@
 """Operators and queries on the whole job, against brute force."""
 
+import re
+
 import pandas as pd
+from pyspark.sql import functions as F
 
+from plumbline.functions import text
 from plumbline.operators import entities
 from plumbline.queries import QUERIES
 
@@ -63,3 +67,30 @@ def test_rename_chains_has_every_name(spark):
     found = QUERIES["rename_chains"](spark, DATA).select("old", "end", "steps").collect()
     assert {tuple(r) for r in found} == ends({k: k + k % 3 * 7 + 1 for k in p if k % 5})
     assert len(found) == len([k for k in p if k % 5])
+
+
+def test_ids_minted_with_whole_names(spark):
+    suppliers = pd.read_parquet(f"{DATA}/supplier.parquet").s_name.unique().tolist()
+    found = {tuple(r) for r in QUERIES["ids_minted"](spark, DATA).select("s_name", "id").collect()}
+    assert found == {(s, re.sub("[^a-z0-9]+", "-", s.lower()).strip("-")) for s in suppliers}
+    assert len(found) == len(suppliers)
+
+
+def test_ids_minted_numbers_one_slug_over_tasks(spark):
+    names = [f"Same{'_' * k}name" for k in range(1, 301)] + ["Other"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    out = entities.ids_minted(df, "name", text.slug(F.col("name")))
+    same = sorted(n for n in names if n != "Other")
+    assert {tuple(r) for r in out.collect()} == {("Other", "other")} | {(n, "same-name" if k == 1 else f"same-name-{k}") for k, n in enumerate(same, 1)}
+
+
+def test_match_keys_of_whole_texts(spark):
+    docs = pd.read_parquet(f"{DATA}/documents.parquet").text
+    found = QUERIES["match_keys"](spark, DATA).collect()
+    assert sorted(r["name"] for r in found if r["name"] is not None) == sorted(docs.dropna().unique())
+    assert all((r["match_key"], r["search_key"]) == (text.match_key_of(r["name"]), text.search_key_of(r["name"])) for r in found if r["name"] is not None)
+
+
+def test_keyed_keeps_null(spark):
+    found = {tuple(r) for r in text.keyed(spark.createDataFrame([("A b",), (None,)], "name string"), "name").collect()}
+    assert found == {("A b", text.match_key_of("A b"), text.search_key_of("A b")), (None, None, None)}
