@@ -10,11 +10,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What a key leaves out (hexadecimal code points and ranges): white space, dashes, underscore, joiners.
+LEFT_OUT = "0009-000D 0020 0085 00A0 1680 2000-200A 2028 2029 202F 205F 3000 002D 00AD 2010-2014 2212 FE63 FF0D 005F 200B-200D 2060 FEFF"
+_LEFT_OUT = dict.fromkeys(k for r in LEFT_OUT.split() for k in range(int(r.split("-")[0], 16), int(r.split("-")[-1], 16) + 1))
+#: Latin letters without a decomposition.
+LETTERS = {"ß": "ss", "ẞ": "SS", "ł": "l", "Ł": "L", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "TH", "ħ": "h", "Ħ": "H", "ı": "i", "ŀ": "l", "Ŀ": "L"}
+_LETTERS = str.maketrans(LETTERS)
+
+
 def match_key_of(name: str) -> str:
-    """Compatibility forms folded, case folded, spaces and joining marks dropped."""
+    """Compatibility forms and case folded; white space, dashes, underscores and joiners dropped."""
     out = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", name).casefold())
-    out = "".join(c for c in out if not (c.isspace() or unicodedata.category(c) in ("Cf", "Cc") or c in "-_"))
-    return unicodedata.normalize("NFC", out)
+    return unicodedata.normalize("NFC", out.translate(_LEFT_OUT))
+
+
+def ascii_of(name: str) -> str:
+    """Lower case, letters folded to ASCII as far as they can be."""
+    out = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", name).translate(_LETTERS))
+    return "".join(c for c in out if not unicodedata.combining(c)).lower()
 
 
 def search_key_of(name: str) -> str:
@@ -37,9 +50,25 @@ def with_keys(df: DataFrame, name: str) -> DataFrame:
     return df.join(keyed(df.select(name).where(F.col(name).isNotNull()).distinct(), name), name, "left")
 
 
+def folded(name: Column) -> Column:
+    """The name in lower-case ASCII as far as it folds; only names with other characters go through Python."""
+
+    @F.pandas_udf("string")
+    def fold_of(names: pd.Series) -> pd.Series:
+        return names.map(ascii_of, na_action="ignore")
+
+    other = F.when(~name.rlike(r"^[\x00-\x7F]*$"), name)
+    return F.coalesce(fold_of(other), F.lower(name))
+
+
 def slug(name: Column) -> Column:
-    """ASCII words in lower case, joined by hyphens."""
-    return F.regexp_replace(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "-"), "^-|-$", "")
+    """ASCII words in lower case, joined by hyphens; other letters are dropped."""
+    return F.regexp_replace(F.regexp_replace(folded(name), "[^a-z0-9]+", "-"), "^-|-$", "")
+
+
+def folder_slug(name: Column) -> Column:
+    """Lower-case ASCII letters and digits alone."""
+    return F.regexp_replace(folded(name), "[^a-z0-9]+", "")
 
 
 def fold(name: Column) -> Column:
@@ -48,19 +77,24 @@ def fold(name: Column) -> Column:
 
 
 def code_points(ranges: Column) -> Column:
-    """Code points of a list such as 'U+41-43, U+4??'; null if any part is malformed."""
-    parts = F.transform(F.split(F.upper(ranges), ","), lambda p: F.trim(p))
-    single, span, wild = r"^U\+[0-9A-F]{1,6}$", r"^U\+[0-9A-F]{1,6}-[0-9A-F]{1,6}$", r"^U\+[0-9A-F]{0,5}\?{1,5}$"
-    ok = F.forall(parts, lambda p: p.rlike(single) | p.rlike(span) | p.rlike(wild))
+    """Code points of a list such as 'U+41-43, U+4??'; null for an empty, cut off ('...') or malformed list.
+
+    A range that runs backwards or beyond 10FFFF is malformed; ends are looked at before anything is made.
+    """
+    parts = F.transform(F.split(F.upper(ranges), ","), lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
     hexed = lambda x: F.conv(x, 16, 10).cast("int")
 
-    def points(p: Column) -> Column:
+    def ends(p: Column) -> Column:
         body = F.substring(p, 3, 20)
-        low = F.when(p.rlike(span), F.split_part(body, F.lit("-"), F.lit(1))).otherwise(F.translate(body, "?", "0"))
-        high = F.when(p.rlike(span), F.split_part(body, F.lit("-"), F.lit(2))).otherwise(F.translate(body, "?", "F"))
-        return F.when(hexed(low) <= hexed(high), F.sequence(hexed(low), hexed(high))).otherwise(F.array().cast("array<int>"))
+        ranged = body.contains("-")
+        low = F.when(ranged, F.split_part(body, F.lit("-"), F.lit(1))).otherwise(F.translate(body, "?", "0"))
+        high = F.when(ranged, F.split_part(body, F.lit("-"), F.lit(2))).otherwise(F.translate(body, "?", "F"))
+        return F.struct(hexed(low).alias("low"), hexed(high).alias("high"))
 
-    return F.when(ok, F.array_sort(F.array_distinct(F.flatten(F.transform(parts, points)))))
+    good = F.forall(parts, lambda p: p.rlike(r"^U\+([0-9A-F]{1,6}(-[0-9A-F]{1,6})?|(?=.{1,6}$)[0-9A-F]*\?+)$"))
+    pairs = F.when(good & (F.length(ranges) > 0) & ~ranges.contains("...") & ~ranges.contains("…"), F.transform(parts, ends))
+    sound = F.forall(pairs, lambda e: (e["low"] <= e["high"]) & (e["high"] <= 0x10FFFF))
+    return F.when(sound, F.array_sort(F.array_distinct(F.flatten(F.transform(pairs, lambda e: F.sequence(e["low"], e["high"]))))))
 
 
 def runs(df: DataFrame, key: str, point: str) -> DataFrame:
@@ -72,63 +106,3 @@ def runs(df: DataFrame, key: str, point: str) -> DataFrame:
     return isles.groupBy(key, "_isle").agg(F.min(point).alias("low"), F.max(point).alias("high")).drop("_isle")
 
 
-#: Classes of licences, the best first.
-LICENSE_CLASSES = {"open": ["MIT", "Apache-2.0", "OFL-1.1", "CC0-1.0", "BSD-3-Clause"], "copyleft": ["GPL-3.0-only", "LGPL-3.0-only", "AGPL-3.0-only"], "excluded": []}
-
-
-def license_class_of(expression: str) -> str:
-    """Class of an SPDX expression: the best of alternatives, the strictest of what holds together; unlisted is excluded."""
-    order = list(LICENSE_CLASSES)
-    tokens = re.findall(r"\(|\)|[^\s()]+", expression or "")
-    at = 0
-
-    def peek() -> str:
-        return tokens[at].upper() if at < len(tokens) else ""
-
-    def leaf() -> int:
-        nonlocal at
-        if peek() == "(":
-            at += 1
-            out = either()
-            if peek() != ")":
-                raise ValueError(expression)
-            at += 1
-            return out
-        name = tokens[at]
-        at += 1
-        if peek() == "WITH":
-            at += 2
-        return next((k for k, c in enumerate(order) if name in LICENSE_CLASSES[c]), len(order) - 1)
-
-    def both() -> int:
-        nonlocal at
-        out = leaf()
-        while peek() == "AND":
-            at += 1
-            out = max(out, leaf())
-        return out
-
-    def either() -> int:
-        nonlocal at
-        out = both()
-        while peek() == "OR":
-            at += 1
-            out = min(out, both())
-        return out
-
-    try:
-        found = either()
-        return order[found] if at == len(tokens) else "excluded"
-    except (IndexError, ValueError):
-        return "excluded"
-
-
-def with_license_class(df: DataFrame, expression: str) -> DataFrame:
-    """df with license_class; each distinct expression is parsed once."""
-
-    @F.pandas_udf("string")
-    def classes(expressions: pd.Series) -> pd.Series:
-        return expressions.map(license_class_of)
-
-    distinct = df.select(expression).where(F.col(expression).isNotNull()).distinct().withColumn("license_class", classes(expression))
-    return df.join(distinct, expression, "left")

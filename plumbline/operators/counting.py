@@ -18,39 +18,60 @@ def count_window(obs: DataFrame, keys: list[str], value: str, day: str) -> DataF
     return out.withColumn("days", days).withColumn("per_year", F.col("total") * 365.0 / snapped_days(F.col("days")))
 
 
-def pooled_share(obs: DataFrame, key: str, series: str, value: str, periods: int) -> DataFrame:
-    """A key's total over the last periods by the total sample of all these periods, present in them or not."""
-    sample = obs.groupBy(series).agg(F.sum(value).alias("sample"))
+def pooled_share(obs: DataFrame, key: str, series: str, value: str, periods: int, samples: str | None = None, unit: str | None = None) -> DataFrame:
+    """A key's total over the last periods by the sample of all these periods, present in them or not.
+
+    samples: column with the period's sample (one number by period; 1 where nobody gives it), else the
+    period's own total. Rows whose `unit` is 'share' count as that share of the sample. A key without
+    installs has the share 0, one without any value none. start: its first period with installs, null
+    if that is the first of all.
+    """
+    size = F.coalesce(F.max(samples).cast("double"), F.lit(1.0)) if samples else F.sum(value)
+    sample = obs.groupBy(series).agg(size.alias("_sample"))
     recent = sample.orderBy(F.desc(series)).limit(periods)  # a handful of periods
-    inside = obs.join(F.broadcast(recent.select(series, F.lit(True).alias("_in"))), series)
-    whole = recent.agg(F.sum("sample").alias("samples"), F.min(series).alias("first"))
-    by_key = inside.groupBy(key).agg(F.sum(value).alias("installs"), F.min(F.when(F.col(value) > 0, F.col(series))).alias("begin"))
+    inside = obs.join(F.broadcast(recent), series)
+    count = F.when(F.col(unit) == "share", F.col(value) * F.col("_sample")).otherwise(F.col(value)) if unit else F.col(value)
+    whole = recent.agg(F.sum("_sample").alias("samples"), F.min(series).alias("_first"))
+    by_key = inside.groupBy(key).agg(F.sum(count).alias("installs"), F.min(F.when(F.col(value) > 0, F.col(series))).alias("_begin"))
     out = by_key.join(F.broadcast(whole))  # one row
-    return out.where("installs > 0").select(key, "installs", "samples", (F.col("installs") / F.col("samples")).alias("share"), F.when(F.col("begin") > F.col("first"), F.col("begin")).alias("start"))
-
-
-def snapshot_growth(now: DataFrame, baseline: DataFrame, keys: list[str], value: str, created: str, since: Column) -> DataFrame:
-    """Growth of each asset since the baseline: new ones count whole, older ones that it lacks do not, shrinkage is none."""
-    base = baseline.select(*keys, F.col(value).alias("_base"))
-    grown = F.when(F.col("_base").isNotNull(), F.greatest(F.col(value) - F.col("_base"), F.lit(0))).when(F.col(created) >= since, F.col(value))
-    return now.join(base, keys, "left").withColumn("growth", grown).drop("_base")
-
-
-def weekly_mean(obs: DataFrame, key: str, week: str, value: str, weeks: int) -> DataFrame:
-    """Mean over the last weeks of the data, weeks without the key counting as nothing."""
-    last = obs.select(week).distinct().orderBy(F.desc(week)).limit(weeks)
-    n = last.agg(F.count(F.lit(1)).alias("weeks"))
-    inside = obs.join(F.broadcast(last), week)
+    share = F.when(F.col("_begin").isNotNull() & (F.col("samples") > 0), F.col("installs") / F.col("samples")).when(F.col("installs").isNotNull(), 0.0)
+    return out.select(key, "installs", "samples", share.alias("share"), F.when(F.col("_begin") > F.col("_first"), F.col("_begin")).alias("start"))
+
+
+def snapshot_growth(now: DataFrame, baseline: DataFrame, keys: list[str], value: str, created: str, end: str, per: float = 365.0) -> DataFrame:
+    """Growth of each asset since the baseline, scaled to `per` days.
+
+    An asset of both counts its growth (shrinkage is none) over the days between its two data days; one
+    created after the baseline's last day counts whole over the days since then; an older one that the
+    baseline lacks does not count. An empty baseline gives no growth at all.
+    """
+    base = baseline.select(*keys, F.col(value).alias("_base"), F.col(end).alias("_day"))
+    since = base.agg(F.max("_day").alias("_since"))  # one row
+    days = lambda a: F.greatest(F.datediff(F.col(end), F.col(a)), F.lit(1))
+    grown = F.when(F.col("_base").isNotNull(), F.greatest(F.col(value) - F.col("_base"), F.lit(0)) * per / days("_day"))
+    grown = grown.when(F.col(created) > F.col("_since"), F.col(value) * per / days("_since"))
+    return now.join(base, keys, "left").join(F.broadcast(since)).withColumn("growth", grown).drop("_base", "_day", "_since")
+
+
+def weekly_mean(obs: DataFrame, key: str, week: str, value: str, end: str, days: int = 31) -> DataFrame:
+    """Mean over the weeks that end within the last `days` of the data, weeks without the key counting as nothing."""
+    ends = obs.groupBy(week).agg(F.max(end).alias("_end"))  # one row by week
+    last = ends.agg(F.max("_end").alias("_last"))
+    month = ends.join(F.broadcast(last)).where(F.col("_end") > F.date_sub("_last", days)).select(week)
+    n = month.agg(F.count(F.lit(1)).alias("weeks"))
+    inside = obs.join(F.broadcast(month), week)
     return inside.groupBy(key).agg(F.sum(value).alias("total")).join(F.broadcast(n)).select(key, "total", "weeks", (F.col("total") / F.col("weeks")).alias("mean"))
 
 
 def capped_share(obs: DataFrame, period: str, category: str, capped: str, value: str, cap: float) -> DataFrame:
-    """Values reweighted so that one category has at most the share `cap` of its period."""
-    mine = F.when(F.col(category) == capped, F.col(value)).otherwise(0)
-    sums = obs.groupBy(period).agg(F.sum(mine).alias("_mine"), F.sum(value).alias("_all"))
-    others = F.col("_all") - F.col("_mine")
-    factor = F.when((F.col(category) == capped) & (F.col("_mine") > cap * F.col("_all")), cap * others / ((1 - cap) * F.col("_mine"))).otherwise(1.0)
-    return obs.join(F.broadcast(sums), period).withColumn("factor", factor).drop("_mine", "_all")
+    """Factors by which one category gets at most the share `cap` of its period, the period keeping its whole.
+
+    A period without that category, or with nothing else, is left as it is.
+    """
+    sums = obs.groupBy(period).agg(F.sum(F.when(F.col(category) == capped, F.col(value)).otherwise(0)).alias("_s"), F.sum(value).alias("_n"))
+    over = (F.col("_s") > 0) & (F.col("_s") < F.col("_n")) & (F.col("_s") > cap * F.col("_n"))
+    factor = F.when(~over, 1.0).when(F.col(category) == capped, cap * F.col("_n") / F.col("_s")).otherwise((1 - cap) * F.col("_n") / (F.col("_n") - F.col("_s")))
+    return obs.join(sums, period).withColumn("factor", factor).drop("_s", "_n")
 
 
 def largest_of_case(df: DataFrame, fold: Column, key: str, value: str) -> DataFrame:
@@ -60,8 +81,12 @@ def largest_of_case(df: DataFrame, fold: Column, key: str, value: str) -> DataFr
 
 
 def family_sums(links: DataFrame, family: str, key: str, value: str, credit: str, bundled: str) -> DataFrame:
-    """By family: the credited sum, the largest single value, and whether every part came in a bundle. Each key counts once."""
-    once = links.dropDuplicates([family, key])
+    """By family: the credited sum, the largest single value, and whether every part came in a bundle.
+
+    Each key counts once (of repeated links the least one); a family whose keys all lack a value has none.
+    """
+    rest = [c for c in links.columns if c not in (family, key)]
+    once = links.groupBy(family, key).agg(F.min(F.struct(*rest)).alias("_l")).select(family, key, "_l.*")
     return once.groupBy(family).agg(F.sum(F.col(value) * F.col(credit)).alias("credited"), F.max(value).alias("largest"), F.count(F.lit(1)).alias("n_keys"), F.every(F.col(bundled)).alias("bundle_only"))
 
 
@@ -104,4 +129,4 @@ def shares(df: DataFrame, parts: list[str], value: str) -> DataFrame:
     """Positive values by their part's total."""
     some = df.where(F.col(value) > 0)
     totals = some.groupBy(*parts).agg(F.sum(value).alias("_total"))
-    return some.join(F.broadcast(totals), parts).withColumn("share", F.col(value) / F.col("_total")).drop("_total")
+    return some.join(totals, parts).withColumn("share", F.col(value) / F.col("_total")).drop("_total")

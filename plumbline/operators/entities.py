@@ -4,15 +4,29 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from plumbline.sources.records import shared_dir
 
-def resolved(records: DataFrame, aliases: DataFrame, keys: list[str], eligible: DataFrame, family: str = "family") -> DataFrame:
-    """Every record with its family: 'matched', 'ineligible' (family known, but not to be ranked) or 'unmatched'."""
-    found = records.join(aliases, keys, "left").join(eligible.select(family, F.lit(True).alias("_ok")), family, "left")
-    state = F.when(F.col(family).isNull(), "unmatched").when(F.col("_ok").isNull(), "ineligible").otherwise("matched")
-    return found.withColumn("resolution", state).withColumn(family, F.when(F.col("_ok"), F.col(family))).drop("_ok")
+
+#: Relations of an alias that keep a key from being credited.
+BLOCKING = ["sibling", "distinct"]
+
+
+def resolved(records: DataFrame, aliases: DataFrame, keys: list[str], eligible: DataFrame, family: str = "family", relation: str | None = None) -> DataFrame:
+    """Every record with its family: 'matched', 'ineligible' (known, but not to be ranked) or 'unmatched'.
+
+    Exact lookup by keys. An alias of a blocking relation leaves its key unmatched; one of the relation
+    'ineligible' resolves without a family, and so does a family that is not in `eligible`.
+    """
+    named = aliases.where(~F.col(relation).isin(BLOCKING)) if relation else aliases
+    barred = F.coalesce(F.col(relation) == "ineligible", F.lit(False)) if relation else F.lit(False)
+    found = records.join(named.withColumn("_hit", F.lit(True)), keys, "left").join(eligible.select(family, F.lit(True).alias("_ok")).distinct(), family, "left")
+    state = F.when(F.col("_hit").isNull(), "unmatched").when(barred | F.col("_ok").isNull(), "ineligible").otherwise("matched")
+    return found.withColumn("resolution", state).withColumn(family, F.when(F.col("resolution") == "matched", F.col(family))).drop("_ok", "_hit")
 
 
 def unmatched(records: DataFrame, aliases: DataFrame, keys: list[str], value: str, floor: float, top: int) -> DataFrame:
@@ -72,9 +86,7 @@ def chains(renames: DataFrame, old: str, new: str) -> DataFrame:
 def _checkpoints(spark) -> None:
     """Sets the folder of checkpoint() where none is set: spark.checkpoint.dir, or a local one."""
     if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix=f"plumbline-{uuid.uuid4().hex}-"))
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/plumbline-{uuid.uuid4().hex}")
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -108,17 +120,51 @@ def drop_code(df: DataFrame, family: str, code: str, order: list[str], unanimous
     return out.select(family, F.when(F.col("_any").isNotNull(), F.col("_any")).when(F.col("_all"), F.lit(unanimous)).alias("drop_code"))
 
 
-def ids_minted(names: DataFrame, name: str, slug: Column) -> DataFrame:
-    """A slug for each name, numbered from -2 on where names share one, in name order.
+def ids_minted(names: DataFrame, name: str, slug: Column, taken: DataFrame | None = None) -> DataFrame:
+    """An id for each name, in name order: its slug ('family' if that is empty), or slug-2, slug-3, ... the first not taken.
 
-    Names are dealt out by ranges of slug and name; a number is the place within its range and the count
-    in the ranges before, so that a slug of many names is not one task.
+    taken: ids (id) that are in use already. A name's number is its place among equal slugs, counted over
+    tasks. Only where one slug is another one with a number behind it (or an id taken is) does the order
+    of minting decide beyond that; names of such slugs go through one group by root.
     """
-    _checkpoints(names.sparkSession)
-    cut = names.withColumn("_slug", slug).repartitionByRange("_slug", name).withColumn("_range", F.spark_partition_id()).checkpoint()
+    base = F.when(slug == "", "family").otherwise(slug)
+    cut = names.withColumn("_slug", base)
+    slugs = cut.select("_slug").distinct()
+    used = taken.select("id") if taken is not None else slugs.select(F.col("_slug").alias("id")).limit(0)
+    every = slugs.select(F.col("_slug").alias("id")).unionByName(used)
+    parent = F.regexp_extract("id", r"^(.+)-([2-9]|[1-9][0-9]+)$", 1)
+    pairs = every.select("id", parent.alias("_slug")).join(slugs, "_slug")
+    clashing = pairs.select("_slug").unionByName(pairs.select(F.col("id").alias("_slug"))).unionByName(used.select(F.col("id").alias("_slug"))).distinct()
+    root = lambda c: F.regexp_replace(c, r"(-[0-9]+)+$", "")
+    held = used.groupBy(root(F.col("id")).alias("_root")).agg(F.collect_set("id").alias("_held"))
+    plain = _numbered(cut.join(clashing, "_slug", "left_anti"), name)
+    plain = plain.select(*names.columns, F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", F.col("_n").cast("string"))).alias("id"))
+    rest = cut.join(clashing, "_slug", "left_semi").withColumn("_root", root(F.col("_slug"))).join(held, "_root", "left")
+
+    columns = [*names.columns, "id"]
+
+    def mint(group: pd.DataFrame) -> pd.DataFrame:
+        first = group["_held"].iloc[0]
+        used, out = set() if first is None else set(first), []
+        group = group.sort_values(name)
+        for own in group["_slug"]:
+            n = 1
+            while (own if n == 1 else f"{own}-{n}") in used:
+                n += 1
+            out.append(own if n == 1 else f"{own}-{n}")
+            used.add(out[-1])
+        return group.assign(id=out)[columns]
+
+    schema = StructType([*names.schema.fields, StructField("id", StringType())])
+    return plain.unionByName(rest.groupBy("_root").applyInPandas(mint, schema))
+
+
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with _n, each name's place among those of its _slug, counted in ranges of the names' first characters."""
+    range_ = F.substring(F.col(name), 1, 8)
+    inside = F.row_number().over(Window.partitionBy("_slug", "_range").orderBy(name))
+    cut = df.withColumn("_range", range_)
     upto = Window.partitionBy("_slug").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = cut.groupBy("_slug", "_range").agg(F.count(F.lit(1)).alias("_size"))
-    bases = sizes.select(F.col("_slug").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_base"))
-    inside = F.row_number().over(Window.partitionBy("_slug", "_range").orderBy(name))
-    out = cut.withColumn("_in", inside).join(bases, F.expr("_slug <=> _s and _range = _r")).withColumn("_n", F.col("_base") + F.col("_in"))
-    return out.withColumn("id", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", F.col("_n").cast("string")))).select(*names.columns, "id")
+    bases = sizes.select("_slug", "_range", F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_base"))
+    return cut.withColumn("_in", inside).join(bases, ["_slug", "_range"]).withColumn("_n", F.col("_base") + F.col("_in"))

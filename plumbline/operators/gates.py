@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Scripts whose families count as CJK.
-CJK = ["Hans", "Hant", "Jpan", "Kore"]
+CJK = ["Hani", "Hans", "Hant", "Hira", "Kana", "Hrkt", "Jpan", "Hang", "Kore", "Bopo"]
 
 
 def script_verdict(script: Column, subsets: Column) -> Column:
@@ -29,12 +29,6 @@ def first_of(facts: DataFrame, keys: list[str], value: str, source: str, order:
     return known.groupBy(*keys).agg(F.min_by(F.struct(value, source), F.struct(place, *ties)).alias("_f")).select(*keys, "_f.*")
 
 
-def text_print(text: Column) -> Column:
-    """SHA-256 of a licence text without copyright lines, case, punctuation and runs of white space."""
-    lines = F.filter(F.split(text, "\n"), lambda x: ~F.lower(F.trim(x)).rlike(r"^(copyright|\(c\)|©)"))
-    return F.sha2(F.trim(F.regexp_replace(F.lower(F.array_join(lines, " ")), r"[^a-z0-9]+", " ")), 256)
-
-
 def age_share(first_seen: Column, end: Column, days: int) -> Column:
     """Share of a window that a family has existed for; 1 where its first day is unknown."""
     return F.when(first_seen.isNull(), 1.0).otherwise(F.least(F.greatest(F.datediff(end, first_seen) / days, F.lit(0.0)), F.lit(1.0)))

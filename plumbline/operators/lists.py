@@ -15,15 +15,21 @@ def spearman(df: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
 
 
 def rank_biased_overlap(a: DataFrame, b: DataFrame, item: str, rank: str, p: float = 0.98) -> DataFrame:
-    """Extrapolated rank-biased overlap of two lists, cut to the shorter one's length."""
-    n = a.agg(F.count(F.lit(1)).alias("na")).join(b.agg(F.count(F.lit(1)).alias("nb"))).select(F.least("na", "nb").alias("n"))
+    """Extrapolated rank-biased overlap of two lists, cut to the shorter one's length; two empty lists agree, one empty one never.
+
+    sum over depths of p^d * overlap(d) / d: as the overlap only grows where an item is met by both
+    lists, prefix sums over these depths, spread over tasks, and the depths themselves are enough.
+    """
+    from plumbline.functions.kernel import running
+
+    n = a.agg(F.count(F.lit(1)).alias("na")).join(b.agg(F.count(F.lit(1)).alias("nb"))).select("na", "nb", F.least("na", "nb").alias("n"))  # one row
     met = a.select(item, F.col(rank).alias("_ra")).join(b.select(item, F.col(rank).alias("_rb")), item)
     met = met.groupBy(F.greatest("_ra", "_rb").cast("long").alias("d")).agg(F.count(F.lit(1)).alias("_new"))
-    spine = n.select("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("d"))
-    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # the list's depths
-    seen = spine.join(met, "d", "left").withColumn("_x", F.sum(F.coalesce("_new", F.lit(0))).over(w))
-    ahead = seen.agg(F.sum(F.col("_x") / F.col("d") * F.pow(F.lit(p), F.col("d") - 1)).alias("_s"), F.max_by("_x", "d").alias("_xn"), F.max("n").alias("n"))
-    return ahead.select("n", ((1 - p) * F.col("_s") + F.col("_xn") / F.col("n") * F.pow(F.lit(p), F.col("n"))).alias("rbo"))
+    spine = n.where("n > 0").select("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("d"))
+    seen = running(spine.join(met, "d", "left"), [], "d", ["d"], {"_x": F.coalesce("_new", F.lit(0))})
+    ahead = seen.agg(F.sum(F.col("_x") / F.col("d") * F.pow(F.lit(p), F.col("d") - 1)).alias("_s"), F.max("_x").alias("_xn"))
+    rbo = F.when(F.col("n") > 0, (1 - p) * F.col("_s") + F.try_divide("_xn", "n") * F.pow(F.lit(p), F.col("n"))).otherwise(F.when(F.col("na") == F.col("nb"), 1.0).otherwise(0.0))
+    return ahead.join(n).select("n", rbo.alias("rbo"))
 
 
 def changes(before: DataFrame, after: DataFrame, keys: list[str], rank: str, top: int) -> DataFrame:
@@ -64,22 +70,48 @@ def scenarios(terms: DataFrame, plans: DataFrame, source: str, weight: str) -> D
     return every.join(F.broadcast(plans), ["scenario", source], "left").withColumn(weight, F.col(weight) * F.coalesce("factor", F.lit(1.0))).drop("factor")
 
 
-def tier(width: Column, rank: Column, groups: Column, narrow: float = 0.1, wide: float = 0.3) -> Column:
-    """How sure a rank is, by the width of its range against it and by independent groups."""
-    share = width / rank
-    return F.when((share <= narrow) & (groups >= 3), "A").when((share <= wide) & (groups >= 2), "B").otherwise("C")
+def tier(width: Column, rank: Column, groups: Column, least_groups: int = 2, least_width: int = 10, narrow: float = 0.3, wide: float = 1.0) -> Column:
+    """How sure a rank is: A with enough groups and a range no wider than least_width or a share of the rank; B by the width alone."""
+    a = (groups >= least_groups) & (width <= F.greatest(F.lit(float(least_width)), narrow * rank))
+    return F.when(a, "A").when(width <= wide * rank, "B").otherwise("C")
+
+
+#: Bits of a rank among distinct first values.
+BITS = 31
 
 
-def dominance_violations(df: DataFrame, key: str, signature: str, values: str, score: str) -> DataFrame:
-    """Pairs of one signature where one has no value lower and one higher, yet a lower score.
+def dominance_violations(df: DataFrame, key: str, signature: str, values: list[str], score: str) -> DataFrame:
+    """Items (low) that another one of their signature dominates though it scores lower, with one witness (high) each.
 
-    Only values of a signature are compared, and of those with equal first values only the best score
-    so far is needed for two values; for more, pairs are made within a signature.
+    high dominates low: no value is lower and one is higher; the witness named is the one of least
+    score, then key. By the first two values no pair is made: ranks of the first value are cut into
+    dyadic ranges, an item looks into the at most BITS ranges that hold all higher ranks, and in each
+    the least score among second values not below its own is a running minimum. With more than two
+    values this finds the candidates (few, in a sound ranking), which alone meet their signature's items.
     """
-    a = df.select(F.col(signature), F.col(key).alias("high"), F.col(values).alias("_va"), F.col(score).alias("_sa"))
-    b = df.select(F.col(signature).alias("_sig"), F.col(key).alias("low"), F.col(values).alias("_vb"), F.col(score).alias("_sb"))
-    over = F.forall(F.zip_with("_va", "_vb", lambda x, y: x >= y), lambda x: x) & F.exists(F.zip_with("_va", "_vb", lambda x, y: x > y), lambda x: x)
-    return a.join(b, (F.col(signature) == F.col("_sig")) & (F.col("_sa") < F.col("_sb")) & over).select(signature, "high", "low")
+    from plumbline.functions.kernel import row_numbers, running
+
+    x, y = values[:2]
+    best = F.struct(F.col(score).alias("s"), F.col(key).alias("k"))
+    ranks = row_numbers(df.select(signature, x).distinct(), [signature], x, [x], "_r")
+    rows = df.select(signature, key, *values, score).join(ranks, [signature, x]).withColumn("_j", F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))))
+    node = F.expr("shiftright(_r, greatest(_j, 0))")
+    bit = node.bitwiseAND(1)
+    # Range -1: equal first values, where the second one must be higher; there each item asks and is asked.
+    high = rows.where((F.col("_j") < 0) | (bit == 1)).withColumn("_asks", F.lit(False))
+    low = rows.where((F.col("_j") < 0) | (bit == 0)).withColumn("_asks", F.lit(True))
+    node = F.when(F.col("_j") < 0, F.col("_r")).otherwise(node + F.col("_asks").cast("int"))
+    # Where second values are equal, who asks comes last; not so for two values and equal first ones.
+    turn = (F.col("_asks") != ((F.col("_j") < 0) & F.lit(len(values) == 2))).cast("int")
+    both = high.unionByName(low).withColumn("_node", node).withColumn("_turn", turn)
+    seen = running(both, [signature, "_j", "_node"], y, [F.desc(y), "_turn"], {}, falling=True, least={"_least": F.when(~F.col("_asks"), best)})
+    found = seen.where("_asks").groupBy(signature, key, *values, score).agg(F.min("_least").alias("_least")).where(F.col("_least.s") < F.col(score))
+    if len(values) == 2:
+        return found.select(signature, F.col("_least.k").alias("high"), F.col(key).alias("low"))
+    other = df.select(F.col(signature).alias("_sig"), F.col(key).alias("high"), F.array(*values).alias("_va"), F.col(score).alias("_sa"))
+    over = F.forall(F.zip_with("_va", F.array(*values), lambda p, q: p >= q), lambda t: t) & F.exists(F.zip_with("_va", F.array(*values), lambda p, q: p > q), lambda t: t)
+    pairs = found.join(other, (F.col(signature) == F.col("_sig")) & (F.col("_sa") < F.col(score)) & over)
+    return pairs.groupBy(signature, F.col(key).alias("low")).agg(F.min(F.struct("_sa", "high")).alias("_w")).select(signature, F.col("_w.high").alias("high"), "low")
 
 
 def display_score(score: Column) -> Column:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.kernel import hazen_position, prefix_counts, probit, tie_blocks, with_midrank
+from plumbline.functions.kernel import hazen_position, prefix_counts, probit, running, tie_blocks, with_midrank
+
+#: Places that the pool's blocks and the wanted places are joined by at once.
+SPAN = 1024
 
 
 def ruler(counts: DataFrame, family: str, count: str) -> DataFrame:
@@ -27,20 +30,20 @@ def equate(terms: DataFrame, ruler_z: DataFrame, source: str, family: str, value
     sizes = blocks.groupBy(source).agg(F.max("n").alias("n"))
     # Values that the pool lacks stand between its values: their rank is what lies below them.
     every = values.join(blocks.select(source, "_v", "here"), [source, "_v"], "left").withColumn("here", F.coalesce("here", F.lit(0)))
-    placed = prefix_counts(every, [source], "_v", "here").join(F.broadcast(sizes), source)
+    placed = prefix_counts(every, [source], "_v", "here").join(sizes, source)
     lower, upper = F.col("before"), F.col("before") + F.col("here")
     p = F.when(F.col("here") > 0, (lower + upper) / (2 * F.col("n"))).otherwise((lower + upper + 1) / (2 * (F.col("n") + 1)))
     placed = placed.withColumn("h", hazen_position(p, F.col("n"))).select(source, "_v", "h")
 
-    # The pool's z by place: one row per distinct z with the places it holds.
+    # The pool's z by place: a tie block of z holds the places low to high. Blocks and wanted places
+    # meet in ranges of SPAN places, so a block of any size is a row for each range, not for each member.
     steps = tie_blocks(on, [source], "z").select(source, "z", (F.col("lower") + 1).alias("low"), (F.col("lower") + F.col("here")).alias("high"))
-    spine = steps.select(source, "z", F.explode(F.sequence("low", "high")).alias("place"))
-    under = spine.select(source, F.col("place").alias("_k"), F.col("z").alias("z0"))
-    over = spine.select(source, F.col("place").alias("_k1"), F.col("z").alias("z1"))
-    placed = placed.withColumn("_k", F.floor("h").cast("long")).withColumn("_k1", F.ceil("h").cast("long"))
-    placed = placed.join(under, [source, "_k"]).join(over, [source, "_k1"])
-    z = F.col("z0") + (F.col("h") - F.col("_k")) * (F.col("z1") - F.col("z0"))
-    return terms.join(placed.select(source, F.col("_v").alias(value), z.alias("z")), [source, value])
+    steps = steps.withColumn("_span", F.explode(F.sequence(F.floor(F.col("low") / SPAN), F.floor(F.col("high") / SPAN))))
+    wanted = placed.withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))))).withColumn("_span", F.floor(F.col("_k") / SPAN))
+    found = wanted.join(steps, [source, "_span"]).where(F.col("_k").between(F.col("low"), F.col("high")))
+    ends = found.groupBy(source, "_v").agg(F.min_by("z", "_k").alias("z0"), F.max_by("z", "_k").alias("z1"), F.min("h").alias("h"), F.min("_k").alias("_k0"))
+    z = F.col("z0") + (F.col("h") - F.col("_k0")) * (F.col("z1") - F.col("z0"))
+    return terms.join(ends.select(source, F.col("_v").alias(value), z.alias("z")), [source, value])
 
 
 def overlap_scale(n: Column, full: int = 50, off: int = 15) -> Column:
@@ -70,22 +73,24 @@ def fused(terms: DataFrame, keys: list[str], weight: str, whole: float | Column,
     return out.withColumn("score", F.least(F.greatest(score, low), high)).drop("_wz", "_low", "_high")
 
 
-def placed(scored: DataFrame, order: list, passes: str, top: int, parts: list[str] | None = None) -> DataFrame:
+def placed(scored: DataFrame, by: str, order: list, passes: str, top: int, parts: list[str] | None = None) -> DataFrame:
     """Places in a list whose exact top takes families that pass the gate only.
 
-    The first `top` passers have the places 1 to top. Families passed over before the last of them
-    come next, then the rest, each in the order given.
+    The order falls by the numeric column `by` first. The first `top` passers have the places 1 to
+    top. Families passed over before the last of them (all failing ones, if the top is never full)
+    come next, then the rest, each in the order given. gate_held: failing, and within the first `top`
+    of the order itself. A null verdict fails.
     """
     parts = parts or []
-    by = Window.partitionBy(*parts).orderBy(*order)
-    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = scored.withColumn("_rn", F.row_number().over(by)).withColumn("_passers", F.sum(F.col(passes).cast("int")).over(upto))
-    last = F.max(F.when(F.col(passes) & (F.col("_passers") <= top), F.col("_rn"))).over(Window.partitionBy(*parts))
-    full = F.max("_passers").over(Window.partitionBy(*parts)) >= top
-    kind = F.when(F.col(passes) & (F.col("_passers") <= top), 0).when(~full | (F.col("_rn") <= last), 1).otherwise(2)
-    ranked = ranked.withColumn("_kind", kind)
-    out = ranked.withColumn("place", F.row_number().over(Window.partitionBy(*parts).orderBy("_kind", "_rn")))
-    return out.withColumn("rank", F.when(F.col("_kind") == 0, F.col("place"))).withColumn("gate_held", F.col("_kind") == 1).drop("_rn", "_passers", "_kind")
+    ok = F.coalesce(F.col(passes), F.lit(False))
+    ranked = running(scored, parts, by, order, {"_rn": F.lit(1), "_passers": ok.cast("int")}, falling=True)
+    filled = ranked.groupBy(*parts).agg(F.max(F.when(ok & (F.col("_passers") <= top), F.col("_rn"))).alias("_last"), F.max("_passers").alias("_all"))
+    ranked = ranked.join(filled, parts) if parts else ranked.join(F.broadcast(filled))  # one row
+    first = ok & (F.col("_passers") <= top)
+    over = ~ok & ((F.col("_all") < top) | (F.col("_rn") <= F.col("_last")))
+    place = F.when(first, F.col("_passers")).when(over, F.least(F.col("_all"), F.lit(top)) + F.col("_rn") - F.col("_passers")).otherwise(F.col("_rn"))
+    out = ranked.withColumn("place", place.cast("long")).withColumn("rank", F.when(first, F.col("place"))).withColumn("gate_held", ~ok & (F.col("_rn") <= top))
+    return out.drop("_rn", "_passers", "_last", "_all")
 
 
 def band(place: Column, rank: Column, bands: list[tuple[int, int]], open_from: int) -> Column:

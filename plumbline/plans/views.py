@@ -20,8 +20,9 @@ def terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    """The ruler's counts: events of each family of even number."""
-    return observations(spark, d).where("family % 3 <> 0").groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+    """The ruler's counts: open urgent orders by customer, who is the family; families without one are off the ruler."""
+    o = table(spark, d, "orders").where((F.col("o_orderstatus") == "O") & F.startswith("o_orderpriority", F.lit("1")))
+    return o.groupBy(F.col("o_custkey").alias("family")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +42,7 @@ def monthly(spark: SparkSession, d: str) -> DataFrame:
 SQL = {
     "obs": "select event_type source, user_id family, value, ts::date as day, date_trunc('week', ts)::date as week from events",
     "terms": "select event_type source, user_id family, round(sum(value), 2) x from events group by all",
-    "counts": "select user_id family, count(*) n from events where user_id % 3 <> 0 group by all",
+    "counts": "select o_custkey family, count(*) n from orders where o_orderstatus = 'O' and o_orderpriority like '1%' group by all",
     "parts": "select l_partkey package, p_brand family, sum(l_quantity) n from lineitem join part on l_partkey = p_partkey group by all",
     "monthly": "select o_orderpriority source, year(o_orderdate) * 12 + month(o_orderdate) - 1 as month, sum(o_totalprice) x, count(*) n from orders group by all",
 }

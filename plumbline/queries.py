@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
-from plumbline.functions.kernel import probit, significant, six, with_midrank
-from plumbline.operators import counting, entities, lists, scoring, timeseries
+from plumbline.functions.kernel import probit, row_numbers, significant, six, with_midrank
+from plumbline.operators import counting, entities, licences, lists, scoring, timeseries
+from plumbline.operators.licences import Entry
 from plumbline.plans.views import counts, monthly, observations, parts, sql, terms
 from plumbline.session import table
 
@@ -52,33 +53,39 @@ def count_window(spark, d):
     return counting.count_window(obs, ["package"], "l_quantity", "day").withColumn("per_year", F.round("per_year", 4)).select("package", "total", "start", "end", "days", "per_year")
 
 
-@query("""with obs as (select o_custkey k, year(o_orderdate) * 12 + month(o_orderdate) - 1 as month, 1 as n from orders),
- recent as (select month, sum(n) sample from obs group by 1 order by 1 desc limit 12), whole as (select sum(sample)::bigint samples, min(month) f from recent)
- select k as customer, sum(n)::bigint installs, samples, round(sum(n) / samples, 9) share, case when min(month) > f then min(month) end as start from obs join recent using (month), whole group by k, samples, f""")
+@query("""with obs as (select o_custkey k, year(o_orderdate) * 12 + month(o_orderdate) - 1 as month, o_orderstatus st from orders),
+ recent as (select month, count(*) sample from obs group by 1 order by 1 desc limit 12), whole as (select sum(sample)::double samples, min(month) f from recent),
+ v as (select k, month, sum(case when st = 'P' then 0.0 when st = 'F' then 0.5 * sample else 1.0 end) n, max(case when st <> 'P' then month end) pos from obs join recent using (month) group by all)
+ select k as customer, round(sum(n), 6) installs, samples, round(case when max(pos) is null then 0.0 else sum(n) / samples end, 9) share, case when min(pos) > f then min(pos) end as start from v, whole group by k, samples, f""")
 def count_pooled_share(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), timeseries.month_number(F.col("o_orderdate")).cast("long").alias("month"), F.lit(1).alias("n"))
-    return counting.pooled_share(o, "customer", "month", "n", 12).withColumn("share", F.round("share", 9))
+    """Orders as installs: 'P' reports nothing, 'F' a share (0.5) of the month's sample, 'O' one install."""
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), timeseries.month_number(F.col("o_orderdate")).cast("long").alias("month"), F.col("o_orderstatus").alias("st"))
+    size = o.groupBy("month").agg(F.count(F.lit(1)).alias("sample"))
+    o = o.join(size, "month").withColumn("n", F.when(F.col("st") == "P", 0.0).when(F.col("st") == "F", 0.5).otherwise(1.0)).withColumn("unit", F.when(F.col("st") == "F", "share").otherwise("count"))
+    out = counting.pooled_share(o, "customer", "month", "n", 12, "sample", "unit")
+    return out.withColumn("share", F.round("share", 9)).withColumn("installs", F.round("installs", 6))
 
 
-@query("""with cut as (select o_custkey k, o_orderpriority p, min(o_orderdate::date) created, sum(o_totalprice) now, sum(case when o_orderdate < timestamp '1998-01-01' then o_totalprice end) old from orders group by all)
- select k as customer, p as release, round(case when old is not null then greatest(now - old, 0) when created >= date '1998-01-01' then now end, 2) growth from cut""")
+@query("""with a as (select o_custkey k, o_orderpriority p, min(o_orderdate::date) created, max(o_orderdate::date) e, sum(o_totalprice) x from orders group by all),
+ b as (select o_custkey k, o_orderpriority p, max(o_orderdate::date) e, sum(o_totalprice) x from orders where o_orderdate < timestamp '1998-01-01' group by all), s as (select max(e) since from b)
+ select k as customer, p as release, round(case when b.x is not null then greatest(a.x - b.x, 0) * 365.0 / greatest(date_diff('day', b.e, a.e), 1) when created > since then a.x * 365.0 / greatest(date_diff('day', since, a.e), 1) end, 2) growth from a left join b using (k, p), s""")
 def count_snapshot_delta(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("release"), F.col("o_totalprice").alias("x"), F.to_date("o_orderdate").alias("day"))
-    day = F.to_date(F.lit("1998-01-01"))
-    state = lambda df: df.groupBy("customer", "release").agg(F.sum("x").alias("x"), F.min("day").alias("created"))
-    grown = counting.snapshot_growth(state(o), state(o.where(F.col("day") < day)), ["customer", "release"], "x", "created", day)
+    state = lambda df: df.groupBy("customer", "release").agg(F.sum("x").alias("x"), F.min("day").alias("created"), F.max("day").alias("end"))
+    grown = counting.snapshot_growth(state(o), state(o.where(F.col("day") < F.to_date(F.lit("1998-01-01")))), ["customer", "release"], "x", "created", "end")
     return grown.select("customer", "release", F.round("growth", 2).alias("growth"))
 
 
-@query(sql(""", last as (select distinct week from obs order by 1 desc limit 4), n as (select count(*) as weeks from last)
+@query(sql(""", w as (select week, max(day) e from obs group by 1), last as (select week from w where e > (select max(e) from w) - 21), n as (select count(*) as weeks from last)
  select family, round(sum(value), 4) total, weeks, round(sum(value) / weeks, 4) mean from obs join last using (week), n group by family, weeks""", "obs"))
 def count_weekly_mean(spark, d):
-    out = counting.weekly_mean(observations(spark, d), "family", "week", "value", 4)
+    """Weeks that end within the last 21 days of the data."""
+    out = counting.weekly_mean(observations(spark, d), "family", "week", "value", "day", 21)
     return out.select("family", F.round("total", 4).alias("total"), "weeks", F.round("mean", 4).alias("mean"))
 
 
 @query(sql(""", b as (select week, source, sum(value) x from obs group by all), s as (select week, sum(case when source = 'view' then x else 0 end) m, sum(x) a from b group by 1)
- select week, source, round(x, 4) x, round(case when source = 'view' and m > 0.2 * a then 0.2 * (a - m) / (0.8 * m) else 1.0 end, 6) factor from b join s using (week)""", "obs"))
+ select week, source, round(x, 4) x, round(case when m <= 0 or m >= a or m <= 0.2 * a then 1.0 when source = 'view' then 0.2 * a / m else 0.8 * a / (a - m) end, 6) factor from b join s using (week)""", "obs"))
 def startup_cap(spark, d):
     by = observations(spark, d).groupBy("week", "source").agg(F.sum("value").alias("x"))
     return counting.capped_share(by, "week", "source", "view", "x", 0.2).select("week", "source", F.round("x", 4).alias("x"), F.round("factor", 6).alias("factor"))
@@ -125,7 +132,7 @@ _FRAME_SQL = """, f as (select distinct family from obs), s as (select distinct
 @query(sql(_FRAME_SQL, "obs", "terms"))
 def evidence_states(spark, d):
     obs = observations(spark, d)
-    every = obs.select("source").distinct().join(F.broadcast(obs.groupBy("family").agg(F.min("day").alias("first_seen"))))  # sources are few
+    every = obs.groupBy("family").agg(F.min("day").alias("first_seen")).join(F.broadcast(obs.select("source").distinct()))  # sources are few
     frame = every.where("family % 10 <> 9 or source = 'view'").select("source", "family", F.lit(True).alias("in_frame"))
     full = every.join(frame, ["source", "family"], "left").join(terms(spark, d), ["source", "family"], "left")
     state = counting.evidence_state(F.coalesce("in_frame", F.lit(False)), counting.exposed(F.col("first_seen"), F.to_date(F.lit("2024-01-30")), 25), F.col("x"), 100.0)
@@ -137,23 +144,6 @@ def group_shares(spark, d):
     return counting.shares(terms(spark, d), ["source"], "x").select("source", "family", F.round("share", 9).alias("share"))
 
 
-# --- the ranking core -------------------------------------------------------------------------------
-
-#: Probit in SQL: AS 241 as macros would need DDL, so the oracle compares mid-ranks, and tests the probit itself.
-
-
-@query(sql(""", r as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts)
- select family, round((2 * lower + here) / (2.0 * total), 9) p from r""", "counts"))
-def ruler_midrank(spark, d):
-    ranked = with_midrank(counts(spark, d).select("family", F.lit(0).alias("all"), F.col("n").cast("double").alias("x")), ["all"], "x")
-    return ranked.select("family", F.round("p", 9).alias("p"))
-
-
-@query()
-def ruler_z(spark, d):
-    return scoring.ruler(counts(spark, d), "family", "n").select("family", six(F.col("z")).alias("z"))
-
-
 def _probits(column: str) -> str:
     from plumbline.functions import kernel
 
@@ -168,6 +158,21 @@ def _probits(column: str) -> str:
     return f"case when abs({q}) <= 0.425 then {q} * {poly(kernel.CENTRAL[0], r0)} / {poly(kernel.CENTRAL[1], r0)} else sign({q}) * case when {r} <= 5 then {near} else {far} end end"
 
 
+# --- the ranking core -------------------------------------------------------------------------------
+
+@query(sql(""", r as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts)
+ select family, round((2 * lower + here) / (2.0 * total), 9) p from r""", "counts"))
+def ruler_midrank(spark, d):
+    ranked = with_midrank(counts(spark, d).select("family", F.lit(0).alias("all"), F.col("n").cast("double").alias("x")), ["all"], "x")
+    return ranked.select("family", F.round("p", 9).alias("p"))
+
+
+@query(sql(f""", rk as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts),
+ rp as (select family, (2 * lower + here)::double / (2 * total) p from rk) select family, round({_probits("p")}, 6) + 0.0 z from rp""", "counts"))
+def ruler_z(spark, d):
+    return scoring.ruler(counts(spark, d), "family", "n").select("family", six(F.col("z")).alias("z"))
+
+
 _EQUATE = f""", rk as (select family, rank() over (order by n) - 1 lower, count(*) over (partition by n) here, count(*) over () total from counts),
  rp as (select family, (2 * lower + here)::double / (2 * total) p from rk), ruler as (select family, {_probits("p")} z from rp),
  pool as (select t.source, t.x, r.z from terms t join ruler r using (family)), n as (select source, count(*) n from pool group by 1),
@@ -205,7 +210,7 @@ def outlier_guard(spark, d):
     return _guarded(spark, d).select("source", "family", "guard")
 
 
-@query()
+@query(sql(_EQUATE + """ select source, family, case when count(*) over w >= 3 and abs(z - (sum(z) over w - z) / (count(*) over w - 1)) > 1.5 then 0.5 else 1.0 end guard from eq window w as (partition by family)""", "terms", "counts"))
 def outlier_guard_others(spark, d):
     return scoring.guarded(_equated(spark, d), ["family"], gap=1.5, basis="others_mean").select("source", "family", "guard")
 
@@ -224,17 +229,17 @@ def fuse_scores(spark, d):
     return _fused(spark, d).select("family", F.round("weight", 6).alias("weight"), "n_terms", "score")
 
 
-_PLACE = _FUSE + """, r as (select *, family % 4 <> 0 ok, row_number() over (order by score desc, weight desc, family) rn from fu), r2 as (select *, sum(ok::int) over (order by rn) np from r),
+_PLACE = _FUSE + """, r as (select *, n_terms >= 4 ok, row_number() over (order by score desc, weight desc, family) rn from fu), r2 as (select *, sum(ok::int) over (order by rn) np from r),
  l as (select max(rn) filter (where ok and np <= 20) last, max(np) mx from r2), k as (select r2.*, case when ok and np <= 20 then 0 when mx < 20 or rn <= last then 1 else 2 end kind from r2, l),
- pl as (select family, score, row_number() over (order by kind, rn) place, kind from k)"""
+ pl as (select family, score, row_number() over (order by kind, rn) place, kind, not ok and rn <= 20 held from k)"""
 
 
 def _placed(spark, d):
-    scored = _fused(spark, d).withColumn("weight", F.round("weight", 6)).withColumn("ok", F.col("family") % 4 != 0)
-    return scoring.placed(scored, [F.desc("score"), F.desc("weight"), "family"], "ok", 20)
+    scored = _fused(spark, d).withColumn("weight", F.round("weight", 6)).withColumn("ok", F.col("n_terms") >= 4)
+    return scoring.placed(scored, "score", [F.desc("score"), F.desc("weight"), "family"], "ok", 20)
 
 
-@query(sql(_PLACE + """ select family, score, place, case when kind = 0 then place end as rank, kind = 1 gate_held,
+@query(sql(_PLACE + """ select family, score, place, case when kind = 0 then place end as rank, held gate_held,
  case when kind = 0 then null when greatest(place, 21) between 21 and 50 then '21-50' when greatest(place, 21) between 51 and 100 then '51-100' else '101+' end as band from pl""", "terms", "counts"))
 def place_gate_bands(spark, d):
     p = _placed(spark, d)
@@ -268,9 +273,7 @@ def rrf_coverage(spark, d):
 @query(sql(_PLACE.replace(", rp as", ", rp as", 1) + _RRF.replace(", a as", ", a0 as", 1).replace("from a group", "from a0 group").replace("from a ", "from a0 ") + """, o as (select family, row_number() over (order by rrf desc, family) other from rr), o2 as (select family, row_number() over (order by score desc, family) r1 from fu)
  select family, r1 as rank, other from o2 join o using (family) where abs(r1 - other) > 0.3 * r1""", "terms", "counts"))
 def crosscheck_moves(spark, d):
-    from pyspark.sql import Window
-
-    number = lambda df, by: df.select("family", F.row_number().over(Window.orderBy(F.desc(by), "family")).cast("long").alias("rank"))
+    number = lambda df, by: row_numbers(df, [], by, [F.desc(by), "family"], "rank", falling=True).select("family", F.col("rank").cast("long").alias("rank"))
     return lists.moves(number(_fused(spark, d), "score"), number(_rrf(spark, d), "rrf"), ["family"], "rank", 0.3)
 
 
@@ -287,15 +290,13 @@ def leave_one_out(spark, d):
 def dirichlet_ranges(spark, d):
     """5 and 95 % of the ranks over 100 draws of weights around the given ones, by one job over all draws."""
     import numpy as np
-    from pyspark.sql import Window
-
     names = sorted(WEIGHTS)
     base = np.array([WEIGHTS[k] for k in names]) / WHOLE
     draws = np.random.default_rng(20260925).dirichlet(20 * base, 100)
     plans = spark.createDataFrame([(str(i), k, float(w / b)) for i, row in enumerate(draws) for k, w, b in zip(names, row, base, strict=True)], "scenario string, source string, factor double")
     t = lists.scenarios(_guarded(spark, d).withColumn("w", weight()), plans, "source", "w")
     scores = scoring.fused(t, ["scenario", "family"], "w", WHOLE).withColumn("score", six(F.col("score")))
-    ranks = scores.withColumn("rank", F.row_number().over(Window.partitionBy("scenario").orderBy(F.desc("score"), "family")))
+    ranks = row_numbers(scores, ["scenario"], "score", [F.desc("score"), "family"], "rank", falling=True)
     return ranks.groupBy("family").agg(F.expr("percentile_disc(0.05) within group (order by rank)").cast("long").alias("low"), F.expr("percentile_disc(0.95) within group (order by rank)").cast("long").alias("high"))
 
 
@@ -307,20 +308,23 @@ def display_score(spark, d):
 # --- entities ------------------------------------------------------------------------------------------
 
 
-@query("""with rec as (select l_partkey % 2500 as k, sum(l_quantity) n from lineitem group by 1), al as (select p_partkey k, p_brand family from part where p_partkey % 5 <> 0), ok as (select distinct p_brand family from part where p_brand not like '%3')
- select rec.k, n, ok.family, case when al.family is null then 'unmatched' when ok.family is null then 'ineligible' else 'matched' end resolution from rec left join al using (k) left join ok on al.family = ok.family""")
+@query("""with rec as (select l_partkey as k, sum(l_quantity) n from lineitem group by 1), al as (select p_partkey k, p_brand family, case when p_type = 'SMALL' then 'sibling' when p_type = 'LARGE' then 'ineligible' else 'direct' end rel from part where p_size <= 40), ok as (select distinct p_brand family from part where p_brand not like '%3')
+ select rec.k, n, case when rel = 'direct' then ok.family end family, case when al.family is null then 'unmatched' when rel = 'ineligible' or ok.family is null then 'ineligible' else 'matched' end resolution from rec left join (select * from al where rel <> 'sibling') al using (k) left join ok on al.family = ok.family""")
 def alias_resolve(spark, d):
+    """Parts up to size 40 have an alias; small ones a blocking one, large ones one that makes them ineligible."""
     part = table(spark, d, "part")
-    rec = table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 2500).alias("k")).agg(F.sum("l_quantity").alias("n"))
-    al = part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("family"))
+    rec = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("k")).agg(F.sum("l_quantity").alias("n"))
+    relation = F.when(F.col("p_type") == "SMALL", "sibling").when(F.col("p_type") == "LARGE", "ineligible").otherwise("direct")
+    al = part.where("p_size <= 40").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("family"), relation.alias("rel"))
     ok = part.where("p_brand not like '%3'").select(F.col("p_brand").alias("family")).distinct()
-    return entities.resolved(rec, al, ["k"], ok).select("k", "n", "family", "resolution")
+    return entities.resolved(rec, al, ["k"], ok, relation="rel").select("k", "n", "family", "resolution")
 
 
-@query("""with rec as (select l_partkey as k, sum(l_quantity) n from lineitem group by 1) select k, n from rec where n > 100 and k not in (select p_partkey from part where p_partkey % 5 <> 0) order by n desc, k limit 100""")
+@query("""with rec as (select l_partkey as k, sum(l_quantity) n from lineitem group by 1) select k, n from rec where n > 100 and k not in (select p_partkey from part where p_size <= 40) order by n desc, k limit 100""")
 def alias_unmatched_anti(spark, d):
+    """The report's length (100) is the operator's."""
     rec = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("k")).agg(F.sum("l_quantity").alias("n"))
-    return entities.unmatched(rec, table(spark, d, "part").where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("k")), ["k"], "n", 100, 100)
+    return entities.unmatched(rec, table(spark, d, "part").where("p_size <= 40").select(F.col("p_partkey").alias("k")), ["k"], "n", 100, 100)
 
 
 @query("""with v as (select s_nationkey k, sum(s_acctbal) x from supplier group by 1), m as (select n_nationkey k, c_mktsegment family from nation join customer on c_nationkey = n_nationkey group by all), c as (select k, count(*) n_members from m group by 1)
@@ -331,13 +335,13 @@ def bundle_fanout(spark, d):
     return entities.bundles(v, m, "k")
 
 
-@query(sql(""", e as (select distinct l_suppkey dependent, l_partkey package from lineitem where l_orderkey % 4 = 0), dep as (select l_suppkey dependent, count(distinct l_orderkey) n from lineitem group by 1), ins as (select package, n from parts),
+@query(sql(""", e as (select distinct l_suppkey dependent, l_partkey package from lineitem), dep as (select l_suppkey dependent, count(distinct l_orderkey) n from lineitem group by 1), ins as (select package, n from parts),
  fn as (select family, max(n) family_n from parts group by 1)
  select family, dependent, round(max(least(1.0, least(dep.n, ins.n) / greatest(family_n, ins.n))), 6) share from e join dep using (dependent) join ins using (package) join parts using (package) join fn using (family) where not exists (select 1 from parts o where o.family = parts.family and o.package = e.dependent + 1000000) group by all""", "parts"))
 def dependency_share(spark, d):
     li = table(spark, d, "lineitem")
     shift = 1_000_000  # suppliers and parts are different packages
-    edges = li.where("l_orderkey % 4 = 0").select((F.col("l_suppkey") + shift).alias("dependent"), F.col("l_partkey").alias("package")).distinct()
+    edges = li.select((F.col("l_suppkey") + shift).alias("dependent"), F.col("l_partkey").alias("package")).distinct()
     p = parts(spark, d)
     installs = p.select("package", "n").unionByName(li.groupBy((F.col("l_suppkey") + shift).alias("package")).agg(F.count_distinct("l_orderkey").cast("double").alias("n")))
     out = entities.dependency_shares(edges, installs, p.select("package", "family"))
@@ -352,18 +356,15 @@ def abstention_views(spark, d):
     return entities.abstentions(found, ["k"], "reason", ["preinstalled", "dependency", "review"])
 
 
-_HOPS = "select distinct p_partkey a, p_partkey + (p_partkey % 3) * 7 + 1 b from part where p_partkey % 5 <> 0"
-
-
-@query(f"""with recursive h as ({_HOPS}), c(a, e, n) as (select a, b, 1 from h union all select c.a, h.b, n + 1 from c join h on h.a = c.e where n < 8), l as (select a, arg_max(e, n) e, max(n) n from c group by 1)
- select a as old, e as "end", n::int steps from l where e not in (select a from h)""")
+@query("""with recursive h as (select p_partkey a, min(p_partkey + p_size) b from part group by 1), c(a, e, n) as (select a, b, 1 from h union all select c.a, h.b, n + 1 from c join h on h.a = c.e)
+ select a as old, max(e) as "end", max(n)::int steps from c group by 1""")
 def rename_chains(spark, d):
-    p = F.col("p_partkey")
-    hops = table(spark, d, "part").where("p_partkey % 5 <> 0").select(p.alias("old"), (p + (p % 3) * 7 + 1).alias("new")).distinct()
+    """Each part is renamed to the part as far on as its size; names beyond the last part are the ends."""
+    hops = table(spark, d, "part").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") + F.col("p_size")).alias("new")).distinct()
     return entities.chains(hops, "old", "new")
 
 
-@query("""with recursive e as (select distinct o_custkey % 600 x, 1000 + (o_orderkey % 350) y from orders where o_orderkey % 97 = 0), s as (select x, y from e union select y, x from e),
+@query("""with recursive e as (select distinct o_custkey x, -1 - o_orderkey y from orders), s as (select x, y from e union select y, x from e),
  r(n, l) as (select x, x from s union select s.y, r.l from r join s on s.x = r.n) select n as node, min(l) as label from r group by 1""")
 def connected_names(spark, d):
     # Orders count down from -1, so that no order has a customer's number.
@@ -371,18 +372,18 @@ def connected_names(spark, d):
     return entities.connected(e, "x", "y")
 
 
-@query("""with r as (select s_name, lower(s_name) s, row_number() over (partition by trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) order by s_name) n, trim(both '-' from regexp_replace(lower(left(s_name, 8)), '[^a-z0-9]+', '-', 'g')) k from (select distinct s_name from supplier))
- select s_name, case when n = 1 then k else k || '-' || n end id from r""")
+@query("""with r as (select s_name, trim(both '-' from regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g')) k from (select distinct s_name from supplier)), n as (select *, row_number() over (partition by k order by s_name) n from r)
+ select s_name, case when n = 1 then k else k || '-' || n end id from n""")
 def ids_minted(spark, d):
     return entities.ids_minted(table(spark, d, "supplier").select("s_name").distinct(), "s_name", text.slug(F.col("s_name")))
 
 
 @query("""select c_nationkey family, case when max(case when m in ('icon','symbol') then 1 end) = 1 then case when bool_or(m = 'icon') then 'icon' else 'symbol' end when bool_and(coalesce(m, '') = 'proprietary') then 'proprietary' end drop_code
- from (select c_nationkey, case c_custkey % 40 when 1 then 'icon' when 2 then 'symbol' when 3 then 'proprietary' end m from customer where c_custkey % 3 = 0) group by 1""")
+ from (select c_nationkey, case c_custkey % 40 when 1 then 'icon' when 2 then 'symbol' when 3 then 'proprietary' end m from customer) group by 1""")
 def drop_codes(spark, d):
     k = F.col("c_custkey") % 40
     code = F.when(k == 1, "icon").when(k == 2, "symbol").when(k == 3, "proprietary")
-    rec = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_nationkey").alias("family"), code.alias("code"))
+    rec = table(spark, d, "customer").select(F.col("c_nationkey").alias("family"), code.alias("code"))
     return entities.drop_code(rec, "family", "code", ["icon", "symbol", "proprietary"], "proprietary")
 
 
@@ -396,32 +397,56 @@ def ewma_smooth(spark, d):
     return timeseries.smoothed(at(1998 * 12), at(1998 * 12 - 1), ["source"], "x", 0.3).select("source", F.round("smooth", 2).alias("smooth"))
 
 
-@query(sql(", s as (select source, month, x / sum(x) over (partition by month) share from monthly) select source, list(round(share, 9) order by month) history from s where month between 1996 * 12 and 1996 * 12 + 5 group by 1", "monthly"))
+@query(sql(""", v as (select source, week, family, sum(value) x from obs where week <= date '2024-01-15' and not (source = 'error' and week = date '2024-01-15') group by all), s as (select source, week, family, x / sum(x) over (partition by source, week) share from v),
+ n as (select source, family, min(week) f, case when source = 'error' then date '2024-01-08' else date '2024-01-15' end l from s group by all), w as (select source, family, unnest(generate_series(greatest(f, l - 7), l, interval 7 day))::date as week from n),
+ h as (select source, family, list(round(coalesce(share, 0), 9) order by week) history from w left join s using (source, family, week) group by all) select * from h where list_max(history) > 0""", "obs"))
 def share_history(spark, d):
-    shares = counting.shares(monthly(spark, d), ["month"], "x").where(F.col("month").between(1996 * 12, 1996 * 12 + 5))
-    old = shares.where(F.col("month") < 1996 * 12 + 5).groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("month", "share"))), lambda x: x["share"]).alias("history"))
-    out = timeseries.history(old, shares.where(F.col("month") == 1996 * 12 + 5), ["source"], "share", 12)
-    return out.select("source", F.transform("history", lambda x: F.round(x, 9)).alias("history"))
-
-
-@query(sql(""", s as (select source, month, x / sum(x) over (partition by month) share from monthly), r as (select *, row_number() over (partition by source order by month desc) k from s)
- select source, round(ln(avg(share) filter (where k <= 3) / avg(share)), 6) + 0.0 ratio from r where k <= 12 group by 1""", "monthly"))
+    """Three weeks, of which two are kept; source 'error' has no data in the third."""
+    weekly = observations(spark, d).groupBy("source", "family", "week").agg(F.sum("value").alias("x")).where("week <= date '2024-01-15' and not (source = 'error' and week = date '2024-01-15')")
+    shares = counting.shares(weekly, ["source", "week"], "x").select("source", "family", "week", "share")
+    out = shares.select("source", "family", F.array().cast("array<double>").alias("history")).limit(0)
+    for week in ("2024-01-01", "2024-01-08", "2024-01-15"):
+        out = timeseries.history(out, shares.where(F.col("week") == F.to_date(F.lit(week))), "source", "family", "share", 2)
+    return out.select("source", "family", F.transform("history", lambda x: F.round(x, 9)).alias("history"))
+
+
+@query("""with m as (select o_orderpriority source, c_nationkey family, year(o_orderdate) * 12 + month(o_orderdate) - 1 as month, sum(o_totalprice) x from orders join customer on o_custkey = c_custkey group by all),
+ s as (select source, family, month, x / sum(x) over (partition by source, month) share from m), z as (select source, max(month) l from s group by 1), n as (select source, family, min(month) f, any_value(l) l from s join z using (source) group by all), w as (select source, family, unnest(range(greatest(f, l - 11), l + 1)) as month, l, l - greatest(f, l - 11) + 1 as size from n),
+ h as (select source, family, avg(coalesce(share, 0)) base, avg(coalesce(share, 0)) filter (where month > l - 3) recent, any_value(size) size from w left join s using (source, family, month) group by all)
+ select source, family, round(ln(recent / base), 6) + 0.0 ratio from h where size >= 3 and recent >= 0.0002 and base > 0""")
 def rising_ratio(spark, d):
-    out = timeseries.rising(counting.shares(monthly(spark, d), ["month"], "x"), ["source"], "month", "share")
-    return out.select("source", six(F.col("ratio")).alias("ratio"))
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    m = o.groupBy(F.col("o_orderpriority").alias("source"), F.col("c_nationkey").alias("family"), timeseries.month_number(F.col("o_orderdate")).alias("month")).agg(F.sum("o_totalprice").alias("x"))
+    own = timeseries.histories(counting.shares(m, ["source", "month"], "x"), "source", "family", "month", "share", 12)
+    return timeseries.rising(own, ["source", "family"]).select("source", "family", six(F.col("ratio")).alias("ratio"))
 
 
 _MEMBER = """, w as (select family, sum(value) x, date_trunc('week', day)::date wk from obs group by all), o as (select family, wk, row_number() over (partition by wk order by round(x, 2) desc, family) place from w),
  a as (select family from o where wk = date '2024-01-08' and place <= 40), n as (select family, place from o where wk = date '2024-01-15')"""
 
 
-@query(sql(_MEMBER + """ select coalesce(n.family, a.family) family, true as member, (case when coalesce(place <= 40, false) then 0 when coalesce(place <= 60, false) then 0 else 1 end)::int runs_outside from n full join a on n.family = a.family where coalesce(place <= 40, false) or a.family is not null""", "obs"))
+@query(sql(_MEMBER + """, k as (select family from n where place <= 5), j as (select coalesce(n.family, a.family) family, place, a.family is not null was, place <= 60 or k.family is not null inside from n full join a on n.family = a.family left join k on k.family = n.family)
+ select family, case when was then coalesce(inside, false) or 1 < 2 else place <= 40 end as member, case when was then date '2024-01-08' else date '2024-01-15' end entered, (case when was and not coalesce(inside, false) then 1 else 0 end)::int runs_outside from j where was or place <= 40""", "obs"))
 def hysteresis_membership(spark, d):
+    """Two weeks of events, by their design: the first week's top 40 are the members that the second week finds."""
     w = observations(spark, d).groupBy("family", F.col("week").alias("wk")).agg(F.round(F.sum("value"), 2).alias("x"))
-    o = lists.top(w, ["wk"], [F.desc("x"), "family"], 1 << 30).withColumnRenamed("n", "place")
+    o = row_numbers(w, ["wk"], "x", [F.desc("x"), "family"], falling=True)
     week = lambda s: o.where(F.col("wk") == F.to_date(F.lit(s)))
-    state = week("2024-01-08").where("place <= 40").select("family", F.lit(True).alias("member"), F.lit(0).alias("runs_outside"))
-    return timeseries.hysteresis(week("2024-01-15").select("family", "place"), state, ["family"], 40, 60, 2)
+    state = week("2024-01-08").where("place <= 40").select("family", F.lit(True).alias("member"), F.to_date(F.lit("2024-01-08")).alias("entered"), F.lit(0).alias("runs_outside"))
+    now = week("2024-01-15").select("family", "place")
+    return timeseries.hysteresis(now, state, [], "family", 40, 60, 2, 45, F.to_date(F.lit("2024-01-15")), now.where("place <= 5").select("family"))
+
+
+@query(sql(""", o as (select source as list, family, row_number() over (partition by source order by x desc, family) place from terms), t as (select list, family, true as member, date '2024-02-01' entered, 0 runs_outside from o where place <= 30),
+ c as (select family, row_number() over (order by sum(x) desc, family) place from (select family, round(sum(x), 2) x from terms group by 1) group by 1) select 'all' as list, family from (select family from c where place <= 50 union select family from t where list in ('view', 'click')) union all select list, family from t""", "terms"))
+def membership_first_run(spark, d):
+    """A first run: every source's top 30, and a catalog of the top 50 that admits the members of two lists."""
+    t = terms(spark, d)
+    every = t.groupBy("family").agg(F.round(F.sum("x"), 2).alias("x")).withColumn("list", F.lit("all"))
+    o = row_numbers(t.select(F.col("source").alias("list"), "family", "x").unionByName(every), ["list"], "x", [F.desc("x"), "family"], falling=True).select("list", "family", "place")
+    none = spark.createDataFrame([], "list string, family long, member boolean, entered date, runs_outside int")
+    tops, catalog = timeseries.membership(o, none, none.drop("list"), "family", "all", ["view", "click"], F.to_date(F.lit("2024-02-01")), (25, 35, 2, 30), (45, 55, 2, 50))
+    return tops.where("member and list <> 'all'").select("list", "family").unionByName(catalog.where("member").select(F.lit("all").alias("list"), "family"))
 
 
 @query("""with a as (select user_id k, min(ts::date) m from events where event_id % 2 = 0 group by 1), b as (select user_id k, min(ts::date) m from events where event_id % 2 = 1 group by 1) select coalesce(a.k, b.k) k, least(a.m, b.m) m from a full join b using (k)""")
@@ -443,12 +468,12 @@ def latest_run_islands(spark, d):
     return timeseries.latest_run(m, ["k"], "m")
 
 
-@query("""with r as (select distinct o_custkey k, o_orderdate::date as day from orders where o_orderkey % 3 = 0), s as (select distinct o_custkey k, o_orderdate::date snap from orders where o_orderkey % 3 = 1)
+@query("""with r as (select distinct o_custkey k, o_orderdate::date as day from orders where o_orderstatus = 'O'), s as (select distinct o_custkey k, o_orderdate::date snap from orders where o_orderstatus = 'F')
  select k, day, case when date_diff('day', max(snap), day) <= 200 then max(snap) end as snapshot from r left join s using (k) where snap is null or snap <= day group by k, day union all
  select k, day, null from r where exists (select 1 from s where s.k = r.k) and not exists (select 1 from s where s.k = r.k and snap <= day)""")
 def asof_snapshot(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 3).alias("m"))
-    return timeseries.as_of(o.where("m = 0").select("k", "day").distinct(), o.where("m = 1").select("k", F.col("day").alias("snap")).distinct(), ["k"], "day", "snap", 200)
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("m"))
+    return timeseries.as_of(o.where("m = 'O'").select("k", "day").distinct(), o.where("m = 'F'").select("k", F.col("day").alias("snap")).distinct(), ["k"], "day", "snap", 200)
 
 
 # --- comparing lists -------------------------------------------------------------------------------------
@@ -465,7 +490,7 @@ _LISTS = """, v as (select family, row_number() over (partition by source order
 
 
 def _two_lists(spark, d):
-    v = lists.top(terms(spark, d), ["source"], [F.desc("x"), "family"], 1 << 30).withColumnRenamed("n", "r")
+    v = row_numbers(terms(spark, d), ["source"], "x", [F.desc("x"), "family"], "r", falling=True)
     return (v.where(F.col("source") == s).select("family", F.col("r").cast("long")) for s in ("view", "click"))
 
 
@@ -496,15 +521,17 @@ def share_jumps(spark, d):
     return lists.share_jumps(side("view"), side("click"), ["family"], "share", 0.005).select("family", F.round("jump", 6).alias("jump"))
 
 
-@query("""with c as (select c_nationkey, c_custkey, [floor(c_acctbal / 500), (c_custkey % 17)::double] v, c_custkey % 101 s from customer) select a.c_nationkey nation, a.c_custkey high, b.c_custkey low from c a join c b on a.c_nationkey = b.c_nationkey and a.s < b.s and a.v[1] >= b.v[1] and a.v[2] >= b.v[2] and (a.v[1] > b.v[1] or a.v[2] > b.v[2])""")
+@query("""with c as (select c_nationkey n, c_custkey k, floor(c_acctbal / 500) x, (c_custkey % 17)::double y, c_custkey % 101 s from customer)
+ select a.n nation, arg_min(b.k, (b.s, b.k)) high, a.k low from c a join c b on a.n = b.n and b.s < a.s and b.x >= a.x and b.y >= a.y and (b.x > a.x or b.y > a.y) group by a.n, a.k""")
 def dominance_violations(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey", F.array(F.floor(F.col("c_acctbal") / 500).cast("double"), (F.col("c_custkey") % 17).cast("double")).alias("v"), (F.col("c_custkey") % 101).alias("s"))
-    return lists.dominance_violations(c, "c_custkey", "nation", "v", "s")
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey", F.floor(F.col("c_acctbal") / 500).cast("double").alias("x"), (F.col("c_custkey") % 17).cast("double").alias("y"), (F.col("c_custkey") % 101).alias("s"))
+    return lists.dominance_violations(c, "c_custkey", "nation", ["x", "y"], "s")
 
 
-@query("""with t as (select p_brand, p_size::bigint r from part where p_size % 6 <> 0) select p_brand, h as r from (select p_brand, unnest(range(1, max(r) + 1)) h from t group by 1) where (p_brand, h) not in (select p_brand, r from t)""")
+@query("""with t as (select p_brand || p_type as list, p_size::bigint r from part) select list, h as r from (select list, unnest(range(1, max(r) + 1)) h from t group by 1) where (list, h) not in (select list, r from t)""")
 def rank_gap(spark, d):
-    return lists.rank_holes(table(spark, d, "part").where("p_size % 6 <> 0").select("p_brand", F.col("p_size").alias("r")), ["p_brand"], "r")
+    p = table(spark, d, "part").select(F.concat("p_brand", "p_type").alias("list"), F.col("p_size").alias("r"))
+    return lists.rank_holes(p, ["list"], "r")
 
 
 @query("""select p_partkey, p_name, p_size, n from (select p_partkey, p_name, p_size, row_number() over (partition by p_brand order by p_size desc, p_partkey) n from part where p_size & 4 = 0 and contains(lower(p_name), 'a')) where n <= 20""")
@@ -518,10 +545,17 @@ def top_k(spark, d):
     return lists.top(terms(spark, d).where("x > 0"), ["source"], [F.desc("x"), "family"], 10).withColumn("n", F.col("n").cast("long"))
 
 
-@query(sql(_PLACE + """ select family, case when place * 0.02 / place <= 0.1 and n >= 3 then 'A' else 'B' end tier from (select pl.*, f.n_terms n from pl join fu f using (family)) where n >= 2""", "terms", "counts"))
+@query(sql(_PLACE + f""", sc as (select unnest(['click', 'view', 'purchase', 'signup', 'error']) off), lw as (select off, g.*, case when off = source then 0 else {W_SQL} end w from g, sc),
+ ls as (select off, family, sum(w * guard * z) wz, sum(w * guard) weight, min(z) lo, max(z) hi from lw where w > 0 group by all), lf as (select off, family, round(least(greatest(wz / (0.2 * {WHOLE} + weight), least(lo, 0)), greatest(hi, 0)), 6) + 0.0 score from ls),
+ lr as (select off, family, row_number() over (partition by off order by score desc, family) r from lf), rg as (select family, max(r) - min(r) width from lr group by 1)
+ select family, width, case when n_terms >= 2 and width <= greatest(10, 0.3 * place) then 'A' when width <= place then 'B' else 'C' end tier from pl join fu using (family) join rg using (family)""", "terms", "counts"))
 def tiers(spark, d):
-    p = _placed(spark, d).where("n_terms >= 2")
-    return p.select("family", lists.tier(F.col("place") * 0.02, F.col("place"), F.col("n_terms")).alias("tier"))
+    """Tiers by the width of a family's ranks when each source is left out."""
+    plans = spark.createDataFrame([(k, k, 0.0) for k in WEIGHTS], "scenario string, source string, factor double")
+    t = lists.scenarios(_guarded(spark, d).withColumn("w", weight()), plans, "source", "w")
+    out = scoring.fused(t, ["scenario", "family"], "w", WHOLE).select("scenario", "family", six(F.col("score")).alias("score"))
+    width = row_numbers(out, ["scenario"], "score", [F.desc("score"), "family"], "r", falling=True).groupBy("family").agg((F.max("r") - F.min("r")).alias("width"))
+    return _placed(spark, d).join(width, "family").select("family", "width", lists.tier(F.col("width"), F.col("place"), F.col("n_terms")).alias("tier"))
 
 
 # --- names and numbers --------------------------------------------------------------------------------------
@@ -543,10 +577,10 @@ def slugs(spark, d):
     return table(spark, d, "part").select("p_name").distinct().select("p_name", text.slug(F.col("p_name")).alias("slug"))
 
 
-@query("""select r, unnest(range(lo, hi + 1))::int as point from (select * from (values ('U+41-45', 65, 69), ('U+4?', 64, 79), ('U+20AC', 8364, 8364)) t(r, lo, hi))""")
+@query("""select r, case when hi >= lo and hi <= 1114111 then range(lo, hi + 1)::int[] end points from (values ('U+41-45', 65, 69), ('U+4?', 64, 79), (' u+20ac ', 8364, 8364), ('U+44-43', 68, 67), ('U+FFFFFF', 16777215, 16777215), ('U+4?-50', 1, 0), ('U+41, ...', 1, 0), ('', 1, 0)) t(r, lo, hi)""")
 def unicode_range_expand(spark, d):
-    given = spark.createDataFrame([("U+41-45",), ("U+4?",), ("U+20AC",), ("U+XYZ",)], "r string")
-    return given.select("r", F.explode(text.code_points(F.col("r"))).alias("point"))
+    given = spark.createDataFrame([("U+41-45",), ("U+4?",), (" u+20ac ",), ("U+44-43",), ("U+FFFFFF",), ("U+4?-50",), ("U+41, ...",), ("",)], "r string")
+    return given.select("r", text.code_points(F.col("r")).alias("points"))
 
 
 @query("""with p as (select distinct l_suppkey k, l_partkey p from lineitem), i as (select k, p, p - row_number() over (partition by k order by p) g from p) select k, min(p) low, max(p) high from i group by k, g""")
@@ -554,15 +588,27 @@ def cmap_runs(spark, d):
     return text.runs(table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("p")), "k", "p")
 
 
-_EXPR = {0: "MIT", 1: "MIT OR GPL-3.0-only", 2: "(Apache-2.0 AND GPL-3.0-only) OR Foo", 3: "Foo AND MIT", 4: "GPL-3.0-only WITH Font-exception-2.0"}
+#: An example's licences: what is known of each id.
+LICENCES = {"OFL-1.1": Entry("allowed", "open-font"), "MIT": Entry("allowed", "permissive"), "Apache-2.0": Entry("allowed", "permissive"), "CC-BY-4.0": Entry("allowed", "attribution", attribution=True), "CC-BY-ND-4.0": Entry("allowed", "freeware", redistributable=False), "WTFPL": Entry("ruling")}
+#: Expressions with what they come to, by hand: (deciding expression, status, group, attribution).
+EXPRESSIONS = {
+    "MIT OR OFL-1.1": ("OFL-1.1", "allowed", "open-font", False),
+    "MIT AND OFL-1.1": ("MIT AND OFL-1.1", "allowed", "open-font", False),
+    "CC-BY-4.0 and MIT": ("CC-BY-4.0 AND MIT", "allowed", "attribution", True),
+    "(MIT AND Foo) OR WTFPL": ("WTFPL", "ruling", "", False),
+    "MIT WITH Font-exception-2.0": ("MIT WITH Font-exception-2.0", "allowed", "permissive", False),
+    "CC-BY-ND-4.0": ("CC-BY-ND-4.0", "excluded", "", False),
+    "(MIT": (None, "excluded", "", False),
+    "NOASSERTION OR MIT": ("MIT", "allowed", "permissive", False),
+}
+_EXPR_SQL = "(values " + ", ".join(f"('{e}', {'null' if v[0] is None else repr(v[0])}, '{v[1]}', '{v[2]}', {str(v[3]).lower()})" for e, v in EXPRESSIONS.items()) + ") t(expression, spdx, status, grp, attribution)"
 
 
-@query("select p_partkey, case p_partkey % 5 when 0 then 'open' when 1 then 'open' when 2 then 'copyleft' when 3 then 'excluded' else 'copyleft' end license_class from part")
+@query(f"with e as (select *, row_number() over () - 1 as i from {_EXPR_SQL}) select p_partkey, expression, spdx, status, grp, attribution from part join e on p_partkey % {len(EXPRESSIONS)} = i")
 def license_classify(spark, d):
-    expr = F
-    for k, v in _EXPR.items():
-        expr = expr.when(F.col("p_partkey") % 5 == k, v)
-    return text.with_license_class(table(spark, d, "part").select("p_partkey", expr.alias("expression")), "expression").select("p_partkey", "license_class")
+    names = F.array(*[F.lit(e) for e in EXPRESSIONS])
+    p = table(spark, d, "part").select("p_partkey", F.get(names, (F.col("p_partkey") % len(EXPRESSIONS)).cast("int")).alias("expression"))
+    return licences.with_class(p, "expression", LICENCES)
 
 
 @query("select p_partkey, case when p_retailprice = 0 then 0.0 else round(p_retailprice * pow(10.0, 5 - 1 - floor(log10(abs(p_retailprice))))) / pow(10.0, 5 - 1 - floor(log10(abs(p_retailprice)))) end x from part")

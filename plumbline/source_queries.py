@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import gates, model
+from plumbline.operators import gates, licences, model
 from plumbline.plans.views import monthly, observations, sql
 from plumbline.queries import query
 from plumbline.session import table
@@ -48,22 +48,23 @@ def shrink_guard(spark, d):
 
 
 def _packages(spark, d):
-    """Package lists in text, one by nation: a stanza for each supplier."""
+    """A package list as text files of stanzas, one for each supplier, read back by stanza."""
     s, k = table(spark, d, "supplier"), F.col("s_suppkey").cast("string")
     m = lambda n: (F.col("s_suppkey") % n).cast("string")
-    text = F.concat(F.lit("Package: pkg-"), k, F.lit("\nVersion: 1."), m(9), F.lit("\nDepends: lib"), m(7), F.lit(" (>= 1.2) | lib"), m(5), F.lit(":any,\n core"), m(3), F.lit("\nNote: a: b"))
-    return s.groupBy("s_nationkey").agg(F.array_join(F.array_sort(F.collect_list(text)), "\n\n").alias("text"))
+    text = F.concat(F.lit("Package: pkg-"), k, F.lit("\nVersion: 1."), m(9), F.lit("\nDepends: lib"), m(7), F.lit(" (>= 1.2) | lib"), m(5), F.lit(":any,\n core"), m(3), F.lit(", |\nNote: a: b"))
+    path = records.fresh(spark, "packages")
+    s.select(text.alias("value")).write.option("lineSep", "\n\n").text(path)
+    return records.read_stanzas(spark, path)
 
 
-@query("select s_nationkey::bigint nation, 'pkg-' || s_suppkey as package, '1.' || s_suppkey % 9 as version, 'a: b' as note from supplier")
+@query("select 'pkg-' || s_suppkey as package, '1.' || s_suppkey % 9 as version, 'a: b' as note from supplier")
 def stanza_fields(spark, d):
-    f = records.stanzas(_packages(spark, d), "text", ["s_nationkey"])
-    return f.select(F.col("s_nationkey").cast("long").alias("nation"), *[F.col("fields")[c].alias(c) for c in ("package", "version", "note")])
+    return _packages(spark, d).select(*[F.col("fields")[c].alias(c) for c in ("package", "version", "note")])
 
 
-@query("""select 'pkg-' || s_suppkey as package, 0 grp, 0 alt, 'lib' || s_suppkey % 7 as object from supplier union all select 'pkg-' || s_suppkey, 0, 1, 'lib' || s_suppkey % 5 from supplier union all select 'pkg-' || s_suppkey, 1, 0, 'core' || s_suppkey % 3 from supplier""")
+@query("""select 'pkg-' || s_suppkey as package, 0 grp, 0 alt, 'lib' || s_suppkey % 7 as object from supplier union all select 'pkg-' || s_suppkey, 0, 1, 'lib' || s_suppkey % 5 from supplier where s_suppkey % 7 <> s_suppkey % 5 union all select 'pkg-' || s_suppkey, 1, 0, 'core' || s_suppkey % 3 from supplier""")
 def relation_groups(spark, d):
-    f = records.stanzas(_packages(spark, d), "text", ["s_nationkey"]).select(F.col("fields")["package"].alias("package"), F.col("fields")["depends"].alias("depends"))
+    f = _packages(spark, d).select(F.col("fields")["package"].alias("package"), F.col("fields")["depends"].alias("depends"))
     return records.relation_groups(f, "depends", ["package"])
 
 
@@ -100,12 +101,13 @@ def weekly_sites(spark, d):
     return records.weekly_sites(rows, "week", "site", "name", F.lower("name"))
 
 
-@query("select p_partkey, 'font' || p_partkey % 10 as base from part")
+@query("""select p_partkey, 'font' || p_partkey % 10 || case when p_partkey % 3 = 0 then '.tar.gz' else '' end as base, case when p_partkey % 2 = 0 then 'own/repo' || p_size else 'named/repo' end repo from part""")
 def asset_names(spark, d):
-    p = table(spark, d, "part").withColumn("tag", F.concat(F.lit("v"), F.col("p_size").cast("string"), F.lit(".1")))
-    ending = F.when(F.col("p_partkey") % 2 == 0, ".tar.gz").otherwise(".zip")
-    name = F.concat(F.lit("font"), (F.col("p_partkey") % 10).cast("string"), F.lit("-"), F.when(F.col("p_partkey") % 3 == 0, F.col("tag")).otherwise(F.substr("tag", F.lit(2))), ending)
-    return p.select("p_partkey", records.asset_base(name, F.col("tag")).alias("base"))
+    k = F.col("p_partkey")
+    font = F.concat(F.lit("font"), (k % 10).cast("string"))
+    name = F.concat(F.lit("a/b/"), font, F.when(k % 3 == 0, ".tar.gz").when(k % 3 == 1, ".tar.xz").otherwise(".zip"))
+    key = F.concat(F.lit("Own/Repo"), F.col("p_size").cast("string"), F.lit("/"), font)
+    return table(spark, d, "part").select("p_partkey", records.asset_base(name).alias("base"), records.repository(F.when(k % 2 == 1, "Named/Repo"), key).alias("repo"))
 
 
 # --- gates -----------------------------------------------------------------------------------------------
@@ -135,11 +137,11 @@ def glyph_gate(spark, d):
     return gates.glyph_coverage(table(spark, d, "part").select("p_partkey", have.alias("points")), "points", kernel, 0.5).drop("points")
 
 
-@query("""select s_suppkey, sha256('permission is granted to use this ' || s_suppkey % 3) print from supplier""")
+@query("""select s_suppkey, sha256('permission is hereby granted to use this ' || s_suppkey % 3) print from supplier""")
 def license_print(spark, d):
     k = F.col("s_suppkey")
-    text = F.concat(F.lit("Copyright (c) 20"), (k % 90 + 10).cast("string"), F.lit(" Someone\n(c) Another\n\nPermission is GRANTED,\n to use  this: "), (k % 3).cast("string"), F.lit(".\n"))
-    return table(spark, d, "supplier").select("s_suppkey", gates.text_print(text).alias("print"))
+    text = F.concat(F.lit("The Title\r\nCopyright (c) 20"), (k % 90 + 10).cast("string"), F.lit(" Someone\n(c) 2019 Another\nwith Reserved Font Name X.\n\n1. Permission is HEREBY granted,\n to use https://x.org/a  this: "), (k % 3).cast("string"), F.lit(".\n"))
+    return table(spark, d, "supplier").select("s_suppkey", licences.text_print(text).alias("print"))
 
 
 # --- the measurement model ---------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ OBSERVATION = "source string, series string, ns string, key string, value double
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or a local one of this process where it is unset."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or local_dir()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def local_dir() -> str:
+    """Stands in for the shared folder on a single machine, where the session names none (tests)."""
+    return "file://" + tempfile.mkdtemp(prefix="plumbline-")
 
 
 def fresh(spark: SparkSession, tag: str) -> str:
@@ -89,20 +92,45 @@ def shrunken(now: DataFrame, before: DataFrame, source: str, share: float) -> Da
 
 
 def stanzas(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """Paragraphs of 'Field: value' lines: keys, stanza (its number), fields (a map); lines that start blank go on."""
-    joined = F.regexp_replace(F.col(text), r"\n[ \t]+", " ")
-    parts = df.select(*keys, F.posexplode(F.split(joined, r"\n\s*\n")).alias("stanza", "_part")).where(F.trim("_part") != "")
-    lines = F.filter(F.split(F.trim(F.col("_part"), F.lit("\n")), "\n"), lambda x: x.contains(":"))
-    pair = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value")))
-    return parts.select(*keys, "stanza", F.map_from_entries(pair).alias("fields"))
+    """Paragraphs of 'Field: value' lines: keys, stanza (its number), fields (a map); lines that start blank go on.
+
+    A line that is neither a field, nor goes on from one, nor is blank is an error. One row is to hold
+    one paragraph, or a few: large files are read with read_stanzas.
+    """
+    joined = F.regexp_replace(F.regexp_replace(F.col(text), "\r", ""), r"\n[ \t]+(?=\S)", "\n ")
+    parts = df.select(*keys, F.posexplode(F.split(joined, r"\n[ \t]*\n\s*")).alias("stanza", "_part")).where(F.regexp_replace("_part", r"\s+", "") != "")
+    return parts.select(*keys, "stanza", fields_of(F.col("_part")).alias("fields"))
+
+
+def fields_of(paragraph: Column) -> Column:
+    """Fields of one paragraph as a map, names in lower case; anything malformed is an error."""
+    whole = F.regexp_replace(F.regexp_replace(paragraph, r"^\n+|\n+$", ""), r"\n ", "\u0001")
+    lines = F.split(whole, "\n")
+    name = lambda x: F.trim(F.substring_index(x, ":", 1))
+    ok = F.forall(lines, lambda x: x.contains(":") & (F.length(name(x)) > 0) & ~x.rlike("^[ \\t]"))
+    value = lambda x: F.translate(F.trim(F.substr(x, F.instr(x, ":") + 1)), "\u0001", "\n")
+    pairs = F.transform(lines, lambda x: F.struct(F.lower(name(x)).alias("key"), value(x).alias("value")))
+    return F.map_from_entries(F.when(ok, pairs).otherwise(F.raise_error(F.concat(F.lit("not a field: "), F.substring(paragraph, 1, 80)))))
+
+
+def read_stanzas(spark: SparkSession, path: str) -> DataFrame:
+    """Paragraphs of text files of any size, one a row (fields): the reader splits at blank lines, so a file is dealt out."""
+    rows = spark.read.option("lineSep", "\n\n").text(path)
+    rows = rows.select(F.regexp_replace(F.regexp_replace("value", "\r", ""), r"\n[ \t]+(?=\S)", "\n ").alias("v")).where(F.regexp_replace("v", r"\s+", "") != "")
+    return rows.select(fields_of(F.col("v")).alias("fields"))
 
 
 def relation_groups(df: DataFrame, relations: str, keys: list[str]) -> DataFrame:
-    """'a (>= 1) | b, c' as edges: keys, grp (place of the group), alt (place in it), object (name alone)."""
-    groups = df.select(*keys, F.posexplode(F.split(relations, ",")).alias("grp", "_group"))
-    names = groups.select(*keys, "grp", F.posexplode(F.split("_group", r"\|")).alias("alt", "_one"))
-    name = F.trim(F.regexp_replace("_one", r"\(.*?\)|\[.*?\]|<.*?>|:[a-z0-9-]+", ""))
-    return names.select(*keys, "grp", "alt", name.alias("object")).where(F.col("object") != "")
+    """'a (>= 1) | b, c' as edges: keys, grp (place of the group), alt (place in it), object (name alone).
+
+    A name repeated in its group is there once; what is no package name is skipped, and a group without
+    names does not count.
+    """
+    groups = F.split(F.translate(F.col(relations), "\n", " "), ",")
+    name = lambda a: F.regexp_extract(a, r"^\s*([a-z0-9][a-z0-9+.-]*)", 1)
+    named = F.filter(F.transform(groups, lambda g: F.array_distinct(F.filter(F.transform(F.split(g, r"\|"), name), lambda n: n != ""))), lambda g: F.size(g) > 0)
+    rows = df.select(*keys, F.posexplode(named).alias("grp", "_names"))
+    return rows.select(*keys, "grp", F.posexplode("_names").alias("alt", "object"))
 
 
 def unpivoted(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -139,8 +167,12 @@ def weekly_sites(rows: DataFrame, week: str, site: str, name: str, fold: Column)
     return sites.join(spelled, "fold").select(week, "fold", "spelling", "sites")
 
 
-def asset_base(name: Column, tag: Column) -> Column:
-    """A release file's name without its version, its extension and what joined them."""
-    bare = F.regexp_replace(name, r"\.(tar\.(gz|xz|bz2)|zip|7z|ttf|otf|exe|dmg)$", "")
-    version = F.regexp_replace(tag, "^[vV]", "")
-    return F.regexp_replace(F.replace(F.replace(bare, tag, F.lit("")), version, F.lit("")), r"[-_.]+$|^[-_.]+", "")
+def asset_base(name: Column) -> Column:
+    """A release file's name without its folder and a final .zip or .tar.xz."""
+    return F.regexp_replace(F.substring_index(name, "/", -1), r"\.(zip|tar\.xz)$", "")
+
+
+def repository(repo: Column, key: Column) -> Column:
+    """A release's repository in lower case: the one it names, else the first two parts of a key of three or more."""
+    parts = F.split(key, "/")
+    return F.lower(F.when(F.length(repo) > 0, repo).when(F.size(parts) >= 3, F.concat_ws("/", F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))).otherwise(""))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text
 from plumbline.functions.kernel import probit, tie_blocks, with_midrank
-from plumbline.operators import entities, lists, scoring, timeseries
+from plumbline.operators import entities, lists, scoring
 
 
 def test_probit(spark):
@@ -42,39 +42,17 @@ def test_worked_example(spark, basis, jet):
     assert got == {"jet": jet, "inter": 2.1458, "mona": 1.9756}
 
 
-def test_placement(spark):
-    """Failing families met before the list is full come right behind it."""
-    ok = [True, False, True, False, False, True, True]
-    df = spark.createDataFrame(list(enumerate(ok)), "f int, ok boolean")
-    got = [r["f"] for r in scoring.placed(df, ["f"], "ok", 2).orderBy("place").collect()]
-    assert got == [0, 2, 1, 3, 4, 5, 6]
-    short = [r["f"] for r in scoring.placed(df, ["f"], "ok", 5).orderBy("place").collect()]
-    assert short == [0, 2, 5, 6, 1, 3, 4]
-
-
 def test_rbo_of_equal_lists_is_one(spark):
     a = spark.createDataFrame([(i, i + 1) for i in range(20)], "id int, r int")
     assert math.isclose(lists.rank_biased_overlap(a, a, "id", "r").first()["rbo"], 1.0, abs_tol=1e-9)
 
 
-def test_hysteresis(spark):
-    orders = spark.createDataFrame([("in", 5), ("stay", 50), ("near", 70), ("new", 45)], "id string, place int")
-    state = spark.createDataFrame([("stay", True, 0), ("near", True, 0), ("gone", True, 1)], "id string, member boolean, runs_outside int")
-    got = {r["id"]: r["runs_outside"] for r in timeseries.hysteresis(orders, state, ["id"], 40, 60, 2).collect()}
-    assert got == {"in": 0, "stay": 0, "near": 1}
-
-
 def test_chains_drop_cycles(spark):
     hops = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("y", "x")], "o string, n string")
     got = {(r["o"], r["end"], r["steps"]) for r in entities.chains(hops, "o", "n").collect()}
     assert got == {("a", "c", 2), ("b", "c", 1)}
 
 
-def test_dominance(spark):
-    df = spark.createDataFrame([("a", "s", [2.0, 2.0], 1), ("b", "s", [1.0, 2.0], 2), ("c", "s", [9.0, 0.0], 0)], "k string, sig string, v array<double>, s int")
-    assert [(r["high"], r["low"]) for r in lists.dominance_violations(df, "k", "sig", "v", "s").collect()] == [("a", "b")]
-
-
 def test_keys():
     assert text.match_key_of("ＦＩＲＡ  Code-Straße") == text.match_key_of("fira codestrasse")
     assert text.search_key_of("Éclair") == "eclair"
@@ -82,11 +60,6 @@ def test_keys():
         assert text.match_key_of(text.match_key_of(s)) == text.match_key_of(s)
 
 
-@pytest.mark.parametrize(("expression", "found"), [("MIT", "open"), ("MIT AND GPL-3.0-only", "copyleft"), ("Foo OR MIT", "open"), ("(MIT", "excluded"), ("", "excluded"), ("MIT MIT", "excluded")])
-def test_license_class(expression, found):
-    assert text.license_class_of(expression) == found
-
-
 def test_code_points(spark):
     df = spark.createDataFrame([("U+41, U+43-44",), ("u+4?",), ("U+110-",), (None,)], "r string").select(text.code_points(F.col("r")).alias("p"))
     got = [r["p"] for r in df.collect()]
