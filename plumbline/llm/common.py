@@ -1,12 +1,12 @@
-"""What the text operators share: table access, lineage cuts, word rules."""
+"""What the text operators share: table access, lineage cuts, hot keys, row keys."""
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -16,12 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder all executors share: spark.checkpoint.dir, or a local one of this process where that is unset."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or local_dir()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def local_dir() -> str:
+    """Stands in for the shared folder on a single machine, where the session names none (tests)."""
+    return "file://" + tempfile.mkdtemp(prefix="plumbline-")
 
 
 #: Rows that go to a Python worker at once, so that long texts don't fill its memory.
@@ -29,26 +31,41 @@ BATCH_ROWS = 1000
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, in whose session workers get BATCH_ROWS rows at once at most."""
+    """df, in whose session workers get BATCH_ROWS rows at once at most (the setting is read when df runs, so it stays)."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
     return df
 
 
+#: Spark removes the shuffle files of an execution at its end while this is set.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again.
 
     This cuts the lineage: a lost executor costs a re-read of the written files, not the work
-    before them. The schema is given on reading, so an empty table keeps its columns.
+    before them. The schema is given on reading, so an empty table keeps its columns. Shuffle files
+    of the write are of no more use after it, so Spark is asked to remove them, for this write alone.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plumbline/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # The shuffle files behind df are of no more use; Spark drops them once the JVM forgets them.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def done(*tables: DataFrame) -> None:
+    """Empties written tables that nothing reads any more: what was made of them is written itself."""
+    for t in tables:
+        t.limit(0).write.mode("overwrite").parquet(t.written_to)
 
 
 def body(text_col: str) -> Column:
@@ -56,11 +73,31 @@ def body(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+#: Rows from which a key may be hot, the most hot keys there can be, and into how many parts each is dealt.
+HOT_ROWS, HOT_KEYS, SALTS = 500, 4096, 64
+
+
+def dealt(rows: DataFrame, sizes: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with sizes (keys, n: how many rows each key has, and more) by keys, hot keys in SALTS parts.
+
+    A key is hot with over HOT_ROWS rows and over 1/HOT_KEYS of all, so at most HOT_KEYS keys are hot;
+    they are broadcast to mark their rows, which are dealt out at random; sizes has its hot keys once for
+    each part. sizes must be a written table.
+    """
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    marks = sizes.where(F.col("n") > least).select(*keys, F.lit(True).alias("_hot"))  # HOT_KEYS rows at most
+    rows = rows.join(F.broadcast(marks), keys, "left")
+    rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * SALTS)).otherwise(0).cast("int")).drop("_hot")
+    parts = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(sizes.withColumn("_salt", F.explode(parts)).drop("n"), [*keys, "_salt"], how).drop("_salt")
+
+
 def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df with a unique key k that goes up with the id, and with the text among rows of one id.
+    """df with a unique key k that goes up with the id (null first), and with the text among rows of one id.
 
-    Unique integer ids are the key themselves. Else rows are sorted and numbered, once, and kept in
-    the shared folder, so that a lost executor doesn't change numbers.
+    Unique integer ids are the key themselves. Else rows are sorted, written, and numbered by their
+    place in their part and the sizes of the parts before, so that a lost executor doesn't change numbers.
     """
     df = small_batches(df)
     whole = df.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
@@ -69,9 +106,9 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         whole = not ids.where((F.col("n") > 1) | F.col(id_col).isNull()).take(1)
     if whole:
         return df.withColumn("k", F.col(id_col).cast("long"))
-    spark = df.sparkSession
-    # Equal rows are told apart by their place in the written table.
-    ordered = written(df.orderBy(F.col(id_col).asc_nulls_first(), text_col), "numbered").withColumn("place", F.monotonically_increasing_id())
-    ordered = written(ordered, "placed")
-    keys = ordered.orderBy(F.col(id_col).asc_nulls_first(), F.xxhash64(text_col), "place").select("place").rdd.map(lambda r: r[0]).zipWithIndex()
-    return ordered.join(written(spark.createDataFrame(keys, "place long, k long"), "keys"), "place").drop("place")
+    ordered = df.orderBy(F.col(id_col).asc_nulls_first(), text_col)
+    ordered = written(ordered.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id()), "numbered")
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each part
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ordered.join(F.broadcast(sizes), "_part").withColumn("k", F.col("_before") + F.col("_in").bitwiseAND((1 << 33) - 1)).drop("_part", "_in", "_before")

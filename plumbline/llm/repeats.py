@@ -1,19 +1,27 @@
-"""Exact removal of repeated byte strings: suffix buckets refined by later offsets.
+"""Exact removal of repeated byte strings: bucket-pointer refinement of sampled suffixes.
 
 A byte goes if a string of `length` bytes that covers it also starts earlier (in a document of
 smaller id, or earlier in its own). Suffixes are sorted into buckets only as deep as `length`, as
-deeper order decides nothing here. Instead of one suffix for each byte the first level holds one
-for each anchor: every string's anchor is the gram in it with the least fingerprint, so equal
-strings meet in one bucket at equal distances.
-
-    level 0  bucket: fingerprint of the anchor's gram; class: all bytes of the strings it answers for
-    level 1  bucket: what the strings of a block of STEP neighbouring starts have in common; class: all their bytes
-    level 2  bucket and class: the string itself
-
-In each level the first member of a class stands for it; later members are repeats as a whole.
-Buckets with one class are done. What stands for a class in a bucket with more classes goes down a
-level, where its bucket is refined by the fingerprints at later offsets; only first members go on, so
-the work of a level serves all that repeats it. Fingerprints of 64 bits each name bucket and class.
+deeper order decides nothing here.
+
+    anchors  One suffix is sampled for each neighbourhood: every string's anchor is the gram in it with
+             the least fingerprint, so equal strings meet at equal distances from equal anchors. An
+             anchor gram that stands once closes its strings; strings whose whole neighbourhood stands
+             earlier (128-bit digests) are repeats as they are. What is left is open: neighbourhoods
+             that share an anchor and differ somewhere.
+    q-grams  Open neighbourhoods are cut at every CELL-th byte from their anchor. The suffix at each cut
+             gets its initial bucket by its first q = 2 * CELL bytes; a bucket's identifier is a pointer
+             to its first member.
+    refining Suffixes are sorted by the pair of their own bucket and the bucket q bytes on, which gives
+             buckets of 2q bytes, whose pointers replace the old ones; a bucket of one member is closed.
+             CELL starts share the bytes from the next cut on: they are sorted by its bucket (2q bytes)
+             and by the q-bucket 3 * CELL bytes behind it, 5 * CELL bytes in all.
+    edges    In such a bucket starts are told apart by the bytes themselves: those before the first cut
+             and behind the last one; whole blocks first, then start by start where blocks differ.
+
+In each step the first member of a class stands for it, and only first members go on, so the work of
+a step serves all that repeats it. From the q-grams on everything rests on bytes and pointers, not on
+fingerprints. Hot buckets are dealt out in parts.
 """
 
 from __future__ import annotations
@@ -26,11 +34,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body, numbered, written
+from plumbline.llm.common import body, dealt, done, numbered, written
 from plumbline.llm.grams import Spans, anchors
 
-#: Bytes of a gram; starts of a block on level 1; bytes that a task fingerprints at once.
-GRAM, STEP, SLICE = 32, 8, 1 << 18
+#: Bytes of an anchor's gram; bytes between two cuts; bytes that a task fingerprints at once.
+GRAM, CELL, SLICE = 32, 16, 1 << 18
 
 
 def packed(first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -55,7 +63,7 @@ def slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.n
 
 
 def level0(length: int, whole: bool):
-    """Anchors of all texts: their gram's fingerprint, and if `whole` also class and run."""
+    """Anchors of all texts: their gram's fingerprint, and if `whole` also digests of what they answer for and the run."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for own, data, starts, ends in slices(batches):
@@ -65,65 +73,123 @@ def level0(length: int, whole: bool):
                 yield pd.DataFrame({"bucket": bucket})
                 continue
             text = np.searchsorted(starts, a.at, side="right") - 1
-            kind = Spans(data).prints(a.first, a.last + length, a.at - a.first)[0]
+            d1, d2 = Spans(data).prints(a.first, a.last + length, a.at - a.first)
             at = starts[text]
-            yield pd.DataFrame({"bucket": bucket, "class": kind, "k": own["k"].to_numpy()[text], "run": packed(a.first - at, a.last - at, a.at - at)})
+            yield pd.DataFrame({"bucket": bucket, "d1": d1, "d2": d2, "k": own["k"].to_numpy()[text], "run": packed(a.first - at, a.last - at, a.at - at)})
 
     return rows
 
 
-def deeper(length: int, step: int):
-    """Blocks of `step` starts of the open runs (step 1: single strings), with bucket and class."""
+def cuts_of(run: int, length: int) -> tuple[int, int, int, int, int]:
+    """first and last start and anchor of a run, its first cut (at or before its first start), and its number of cuts."""
+    first, last, at = (int(x) for x in unpacked(np.int64(run)))
+    low = at - CELL * (-(-(at - first) // CELL))
+    return first, last, at, low, (last + length - low) // CELL
+
+
+def grams_of(length: int):
+    """The q-grams at the cuts of open runs: (r, i) the run's number and the cut's, gram."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for own, data, starts, _ in slices(batches):
-            n = own["runs"].map(len).to_numpy()
-            text = np.repeat(np.arange(len(own)), n)
-            first, last, at = unpacked(np.concatenate([np.asarray(x, dtype=np.int64) for x in own["runs"]]))
-            # Blocks are counted by the distance to the anchor, so that equal strings fall into equal blocks.
-            low, high = (at - last) // step, (at - first) // step
-            n = high - low + 1
-            of = np.repeat(np.arange(len(n)), n)
-            block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[of]
-            anchor, base = at[of], starts[text[of]]
-            top, bottom = anchor - step * block, anchor - step * block - (step - 1)
-            a, b = np.maximum(bottom, first[of]), np.minimum(top, last[of])
-            spans = Spans(data)
-            bucket, second = spans.prints(top + base, bottom + base + length, block)
-            kind = second if step == 1 else spans.prints(a + base, b + base + length, anchor - a)[0]
-            yield pd.DataFrame({"bucket": bucket, "class": kind, "k": own["k"].to_numpy()[text[of]], "run": packed(a, b, anchor)})
+        for batch in batches:
+            out = []
+            for text, runs in zip(batch["t"], batch["runs"], strict=True):
+                for one in runs:
+                    r, run = one["r"], one["run"]
+                    first, last, _, low, n = cuts_of(run, length)
+                    # No string of the run reaches beyond last + length, and none starts before first.
+                    out += [(r, i, text[p : p + 2 * CELL]) for i in range(n) if (p := low + CELL * i) >= first and p + 2 * CELL <= last + length]
+            yield pd.DataFrame(out, columns=["r", "i", "gram"])
 
     return rows
 
 
-ROWS = "bucket long, class long, k long, run long"
+def pointed(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """rows (r, i, ...) with `out`, a pointer to the first member of their bucket; members of buckets of one are dropped."""
+    first = F.min(F.col("r") * 64 + F.col("i"))
+    buckets = written(rows.groupBy(*keys).agg(first.alias(out), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-pointers")
+    return dealt(rows, buckets, keys)
+
 
+def refined_pointers(texts: DataFrame, left: DataFrame, length: int) -> DataFrame:
+    """By open run (r), maps from cuts to the pointers of their buckets of q and of 2q bytes."""
+    shorts = written(pointed(open_texts(texts, left).mapInPandas(grams_of(length), "r long, i int, gram binary"), ["gram"], "short").select("r", "i", "short"), "repeat-short")
+    later = shorts.select("r", (F.col("i") - 2).alias("i"), F.col("short").alias("later"))
+    longs = written(pointed(shorts.join(later, ["r", "i"]), ["short", "later"], "long").select("r", "i", "long"), "repeat-long")
+    by = lambda rows, name: rows.groupBy("r").agg(F.map_from_entries(F.collect_list(F.struct("i", name))).alias(name + "s"))
+    return by(shorts, "short").join(by(longs, "long"), "r")
 
-def refined(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """First members of the classes (k, run), and those of them whose bucket has more classes."""
-    classes = written(members.groupBy("bucket", "class").agg(F.min(F.struct("k", "run")).alias("first")).select("bucket", "first.k", "first.run"), "repeat-classes")
-    several = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    return classes.select("k", "run"), classes.join(several, "bucket", "left_semi").select("k", "run")
+
+def blocks_of(length: int):
+    """Blocks of CELL neighbouring starts of open runs: bucket (long, short), where they start, and the bytes at their edges.
+
+    A block from cut i on shares the bytes of the cells i + 1 to i + 5; `low` and `high` are its first
+    and last start, from its own cut; `head` the bytes from its first start to cell i + 1, `tail` those
+    behind cell i + 5 up to the end of its last string.
+    """
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for k, text, runs in zip(batch["k"], batch["t"], batch["found"], strict=True):
+                for one in runs:
+                    run, longs, shorts = one["run"], *({e["key"]: e["value"] for e in one[c]} for c in ("longs", "shorts"))
+                    first, last, at, cut, _ = cuts_of(run, length)
+                    for i in range((last - cut) // CELL + 1):
+                        x, y = longs.get(i + 1), shorts.get(i + 4)
+                        if x is None or y is None:
+                            continue
+                        p = cut + CELL * i
+                        a, b = max(p, first), min(p + CELL - 1, last)
+                        out.append((x, y, a - p, b - p, text[a : p + CELL], text[p + 6 * CELL : b + length], k, packed(a, b, at)))
+            yield pd.DataFrame(out, columns=["x", "y", "low", "high", "head", "tail", "k", "run"])
+
+    return rows
+
+
+BLOCKS = "x long, y long, low int, high int, head binary, tail binary, k long, run long"
+
+
+def firsts_of(members: DataFrame, bucket: list[str], kind: list[str]) -> tuple[DataFrame, DataFrame]:
+    """First members of the classes (k, run), and all columns of those of them whose bucket has more classes."""
+    classes = written(members.groupBy(*bucket, *kind).agg(F.min(F.struct("k", "run")).alias("first")).select(*bucket, *kind, "first.k", "first.run"), "repeat-classes")
+    several = written(classes.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-several")
+    return classes.select("k", "run"), dealt(classes, several, bucket)
 
 
 def open_texts(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    return texts.join(runs.groupBy("k").agg(F.collect_list("run").alias("runs")), "k")
+    return texts.join(runs.groupBy("k").agg(F.collect_list(F.struct("r", "run")).alias("runs")), "k")
 
 
 def repeated_runs(texts: DataFrame, length: int) -> DataFrame:
-    """By text (k), the numbers xs of its runs and first members on all levels; see covered()."""
+    """By text (k), the numbers xs of its runs and first members in all steps; see covered()."""
     prints = texts.select("t").mapInPandas(level0(length, False), "bucket long")
-    shared = written(prints.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "repeat-buckets")
-    members = written(texts.mapInPandas(level0(length, True), ROWS).join(shared, "bucket", "left_semi"), "repeat-anchors")
-    firsts, left = refined(members)
+    shared = written(prints.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-buckets")
+    members = written(dealt(texts.mapInPandas(level0(length, True), "bucket long, d1 long, d2 long, k long, run long"), shared, ["bucket"]), "repeat-anchors")
+    done(shared)
+    firsts, left = firsts_of(members, ["bucket"], ["d1", "d2"])
     found, kept = [members.select("k", "run")], [firsts]
-    for step in (STEP, 1):
-        members = written(open_texts(texts, left).mapInPandas(deeper(length, step), ROWS), "repeat-blocks")
-        firsts, left = refined(members)
-        found.append(members.select("k", "run"))
-        kept.append(firsts)
-    # On deeper levels the first members of the level above come again, cut in blocks: they are
-    # repeats where a block is not a first member itself. So runs of different levels never mix.
+
+    left = written(left.select("k", "run", F.monotonically_increasing_id().alias("r")), "repeat-open")
+    pointers = left.join(refined_pointers(texts, left, length), "r").groupBy("k").agg(F.collect_list(F.struct("run", F.map_entries("longs").alias("longs"), F.map_entries("shorts").alias("shorts"))).alias("found"))
+    blocks = written(texts.join(pointers, "k").mapInPandas(blocks_of(length), BLOCKS), "repeat-blocks")
+    firsts, left = firsts_of(blocks, ["x", "y"], ["low", "high", "head", "tail"])
+    found.append(blocks.select("k", "run"))
+    kept.append(firsts)
+
+    # Start by start: `off` from the cut, and the string's bytes at either edge.
+    single = left.withColumn("off", F.explode(F.sequence("low", "high")))
+    start = F.shiftright("run", 16) + F.col("off") - F.col("low")
+    far = F.shiftright("run", 16) + F.col("run").bitwiseAND(255) - start
+    edge = lambda c, at, n: F.substr(F.col(c), at.cast("int"), n.cast("int"))
+    single = single.select("x", "y", "off", edge("head", F.col("off") - F.col("low") + 1, F.lit(CELL)).alias("head"), edge("tail", F.lit(1), F.col("off") + length - 6 * CELL).alias("tail"), "k", F.shiftleft(start, 16).bitwiseOR(far).alias("run"))
+    single = written(single, "repeat-starts")
+    firsts, _ = firsts_of(single, ["x", "y", "off"], ["head", "tail"])
+    found.append(single.select("k", "run"))
+    kept.append(firsts)
+
+    # In later steps the first members of the step before come again, cut in blocks: they are repeats
+    # where a block is not a first member itself. So runs of different steps never mix.
     out = None
     for level, (a, b) in enumerate(zip(found, kept, strict=True)):
         for first, rows in enumerate((a, b)):
@@ -164,8 +230,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     rows of docs with all their columns, the text without what was removed (letters of which only
     some bytes went are dropped whole). Null texts count as empty (and stay null). Repeated rows, or rows of
     one id, are documents of their own, in the order of their texts; null ids come first. Extra
-    columns may have any names. An empty table gives an empty result.
+    columns may have any names. An empty table gives an empty result. `length` must be 6 * CELL or more,
+    and leave an anchor's neighbourhood under 64 cuts.
     """
+    if not 6 * CELL <= length <= 255:
+        raise ValueError(f"length {length} is not between {6 * CELL} and 255")
     base = numbered(docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body(text_col).cast("binary").alias("t")), "id", "t")
     runs = repeated_runs(base.select("k", "t"), length)
     joined = base.drop("row") if digest else base
