@@ -1,10 +1,12 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Pass one looks at each block alone: where it stands
-(navigation, footers, forms, adverts, comments and the like are out), its link density, its length
-and its stop-word density make it good, bad, or ambiguous. Pass two gives ambiguous blocks the label
-of the nearest decided neighbours; where those differ, the nearer one counts, and inside an article
-element the article.
+A page is cut into blocks at block-level tags. Pass one looks at each block alone: its link density,
+its length and its stop-word density make it good, bad, or ambiguous (near good, if only its length is wanting). Where a language has no known
+stop words, sentence marks stand in for them. Where a block stands is evidence that moves this: an
+article or main element asks for less, while navigation, footers, asides, forms and elements whose
+names say that they surround a text (comments, sidebars, adverts, notices) lower what they hold to
+bad, unless they hold most of the page's text, as a wrapper does. Pass two gives ambiguous blocks the
+label of the nearest neighbours that their own text decides, on their side of an article's border.
 """
 
 from __future__ import annotations
@@ -33,7 +35,11 @@ STOP_WORDS = frozenset(
     """.split()
 )
 #: Elements that are never part of a text.
-DROPPED = frozenset("head script style noscript template svg canvas iframe object audio video map math select option datalist button input textarea form nav footer aside dialog menu".split())
+DROPPED = frozenset("head script style noscript template svg canvas iframe object audio video map select option datalist button input textarea".split())
+#: Elements that surround a text; a header does so outside an article only.
+SURROUND = frozenset("form nav footer aside dialog menu header".split())
+#: Those of them that never hold the text, unless an article stands in them.
+FIRM = frozenset("nav footer aside dialog menu".split())
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title noscript xmp iframe".split())
 #: Elements without an end tag.
@@ -45,14 +51,18 @@ AROUND = frozenset(
     """
     ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup
     modal overlay newsletter subscribe subscription signup login nav navbar navigation menu menus breadcrumb breadcrumbs crumbs sidebar side aside widget widgets
-    related recommended recommendations share sharing social footer foot copyright toolbar comment comments commentlist respond reply replies disqus discussion search
+    related recommended recommendations share sharing social footer foot copyright toolbar search
     pagination pager complementary contentinfo toc hidden skip teaser outbrain taboola paywall disclaimer
     """.split()
 )
+#: Such words that mark what readers wrote; it may well be longer than the text.
+TALK = frozenset("comment comments commentlist respond reply replies disqus discussion".split())
 #: Such words that mark a header, which counts as one outside an article only.
 TOP = frozenset("header masthead topbar hero".split())
-#: Words that speak for a main text even beside others.
+#: Words that speak for a main text.
 MAIN = frozenset("article main content post entry story".split())
+#: First words of a name that says how an element looks or what it has, not what it is.
+STATES = frozenset("has have with without no not is are overflow show hide hover toggle enable include js".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -60,11 +70,32 @@ UNSEEN = re.compile(r"""\shidden(?=[\s=/>]|$)|aria-hidden\s*=\s*["']?true|displa
 WORD = re.compile(r"[^\W\d_]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|[^A-Za-z0-9]+")
 
-#: Characters from which a block is long, and up to which it is short; link density above which it is bad;
-#: stop-word densities from which a block is good, and under which a long one is bad.
-LONG, SHORT, LINKS, STOP_HIGH, STOP_LOW = 140, 60, 0.5, 0.25, 0.08
+#: Characters from which a block is long, and up to which it is short; link density above which it is bad, and
+#: above which it can't be ambiguous; stop-word densities from which a block is good, and under which a long one is bad.
+LONG, SHORT, LINKS, SOME_LINKS, STOP_HIGH, STOP_LOW = 140, 60, 0.5, 0.2, 0.25, 0.08
+#: The same inside an article: length, and the two densities.
+INSIDE = 60, 0.1, 0.0
+#: Stop-word density of all text under which the page's language has no known stop words.
+UNKNOWN = 0.04
+#: Characters from which a text without spaces between words is long.
+LONG_DENSE = 40
 
-GOOD, BAD, OPEN = 1, -1, 0
+GOOD, BAD, OPEN, NEAR = 1, -1, 0, 2
+
+#: Sentence marks, and scripts that are written without spaces between words.
+SENTENCE = re.compile(r"[.!?…。！？｡．।؟۔]")
+DENSE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+LATIN = re.compile(r"[A-Za-z\u00c0-\u024f\u1e00-\u1eff]")
+
+
+@dataclass
+class Zone:
+    """An element that may surround a text."""
+
+    firm: bool = False  # surrounds the text even if it holds most of the page's
+    unseen: bool = False
+    wraps: bool = False  # holds an article or a main element
+    size: int = 0
 
 
 @dataclass
@@ -73,31 +104,44 @@ class Block:
     linked: int = 0
     article: bool = False
     heading: bool = False
+    zones: tuple[Zone, ...] = ()
     text: str = ""
 
 
-def names(attributes: str) -> set[str]:
-    """Words of an element's class, id and role."""
-    return {w.lower() for m in NAMED.finditer(attributes) for w in CAMEL.split(m[2] or m[3] or m[4] or "") if w} if attributes else set()
+def names(attributes: str) -> list[list[str]]:
+    """The names in an element's class, id and role, each as its words."""
+    found = " ".join(m[2] or m[3] or m[4] or "" for m in NAMED.finditer(attributes)) if attributes else ""
+    return [[w.lower() for w in CAMEL.split(name) if w] for name in found.split()]
 
 
-def around(attributes: str, article: bool) -> bool:
-    """Whether an element's names say that it is not part of a text."""
-    words = names(attributes)
-    return bool(words & AROUND or (not article and words & TOP) or UNSEEN.search(attributes))
+def surrounds(named: list[list[str]], article: bool) -> set[str]:
+    """Words of the names that say an element surrounds a text; states ('has-sidebar') say nothing."""
+    words = {w for name in named if name and name[0] not in STATES for w in name}
+    main = any(len(name) == 1 and name[0] in MAIN or name[:2] in (["main", "content"], ["post", "content"], ["entry", "content"], ["article", "body"]) for name in named)
+    return set() if main else words & (AROUND | TALK | (frozenset() if article else TOP))
+
+
+@dataclass
+class Element:
+    name: str
+    gone: bool
+    article: bool
+    zones: tuple[Zone, ...]
 
 
 def blocks_of(html: str) -> list[Block]:
+    """Blocks of a page in order, with what they stand in."""
     out: list[Block] = []
+    root = Element("", False, False, ())
+    stack: list[Element] = []
     block = Block()
-    stack: list[tuple[str, bool, bool]] = []  # element, whether it is out, whether it is an article
-    gone = article = False
-    link = 0
-    heading = False
-    at = 0
+    link, heading, at, n = 0, False, 0, len(html)
+
+    def here() -> Element:
+        return stack[-1] if stack else root
 
     def add(text: str) -> None:
-        if text and not gone:
+        if text and not here().gone:
             block.parts.append(text)
             if link:
                 block.linked += len(text.strip())
@@ -108,9 +152,15 @@ def blocks_of(html: str) -> list[Block]:
             block.text = " ".join(unescape("".join(block.parts)).split())
             if block.text:
                 out.append(block)
-        block = Block(article=article, heading=heading)
+        block = Block(article=here().article, heading=heading, zones=here().zones)
+
+    def leave(k: int) -> None:
+        nonlocal link, heading
+        for e in stack[k:]:
+            link -= e.name == "a"
+            heading = heading and not (e.name[0] == "h" and e.name[1:].isdigit())
+        del stack[k:]
 
-    n = len(html)
     while at < n:
         m = TOKEN.search(html, at)
         if m is None:
@@ -119,113 +169,148 @@ def blocks_of(html: str) -> list[Block]:
         add(html[at : m.start()])
         at = m.end()
         name = (m[2] or "").lower()
-        if not name:
+        if not name or (m[1] and name in VOID):
             continue
         if m[1]:
-            if name in VOID:
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    break
-            else:
-                continue
-            if any(x not in INLINE for x, _, _ in stack[k:]):
-                close()
-            for x, _, _ in stack[k:]:
-                link -= x == "a"
-                if x[0] == "h" and x[1:].isdigit():
-                    heading = False
-            del stack[k:]
-            gone = stack[-1][1] if stack else False
-            article = stack[-1][2] if stack else False
-            block.article, block.heading = article, heading
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
+            if k is not None:
+                parted = any(e.name not in INLINE for e in stack[k:])
+                if parted:
+                    close()
+                leave(k)
+                if parted:
+                    block.article, block.heading, block.zones = here().article, heading, here().zones
             continue
-        if name == "br" or name == "hr":
+        if name in ("br", "hr"):
             add(" ")
             if name == "hr":
                 close()
-            continue
         if name in VOID:
             continue
         if name not in INLINE:
             close()
             # A block-level element ends an open paragraph, and an item the item before it.
             ends = {"p"} | ({name} if name in ("li", "dt", "dd", "tr", "td", "th", "option") else set())
-            while stack and (stack[-1][0] in ends or (stack[-1][0] in INLINE and any(x in ends for x, _, _ in stack[-4:]))):
-                x = stack.pop()[0]
-                link -= x == "a"
-            gone = stack[-1][1] if stack else False
-            article = stack[-1][2] if stack else False
-        if name in RAW:
+            while stack and (stack[-1].name in ends or (stack[-1].name in INLINE and any(e.name in ends for e in stack[-4:]))):
+                leave(len(stack) - 1)
+        if name in RAW and (name == "title" or name in DROPPED):
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-            if name == "title" or name in DROPPED:
-                at = end.end() if end else n
-                continue
-        inside = article or name in ("article", "main") or (name in ("div", "section", "td") and bool(names(m[3]) & MAIN))
-        own = name in DROPPED or (name == "header" and not article) or (m[3] and around(m[3], inside))
-        if not gone and article and name == "header":
-            own = False
-        stack.append((name, gone or bool(own), inside))
+            at = end.end() if end else n
+            continue
+        above, named = here(), names(m[3]) if m[3] else []
+        main = name in ("article", "main") or any(len(x) == 1 and x[0] in MAIN for x in named) and name in ("div", "section", "td")
+        article = above.article or main
+        zones = above.zones
+        if m[3] and UNSEEN.search(m[3]):
+            zones = (*zones, Zone(unseen=True))
+        elif name not in ("html", "body", "main", "article"):
+            words = surrounds(named, article)
+            if words or (name in SURROUND and not (name == "header" and article)):
+                zones = (*zones, Zone(firm=bool(words & TALK) or name in FIRM))
+        if name in ("article", "main"):
+            for z in zones:
+                z.wraps = True
+        stack.append(Element(name, above.gone or name in DROPPED, article, zones))
         link += name == "a"
-        if name[0] == "h" and name[1:].isdigit():
-            heading = True
-        gone, article = stack[-1][1], inside
+        heading = heading or (name[0] == "h" and name[1:].isdigit())
         block.article, block.heading = article, heading
+        if name not in INLINE:
+            block.zones = zones
     close()
     return out
 
 
-def first_pass(b: Block) -> int:
+def lowered(blocks: list[Block]) -> list[bool]:
+    """Which blocks stand in an element that surrounds the text; one that holds most of the page's text does not, unless it is firm."""
+    plain = [len(b.text) - min(b.linked, len(b.text)) for b in blocks]
+    zones = {id(z): z for b in blocks for z in b.zones}.values()
+    for z in zones:
+        z.size = 0
+    for b, size in zip(blocks, plain, strict=True):
+        for z in b.zones:
+            z.size += 0 if any(o.unseen for o in b.zones) else size
+    whole = sum(size for b, size in zip(blocks, plain, strict=True) if not any(z.unseen for z in b.zones))
+    return [any(z.unseen or not (2 * z.size > whole and (z.wraps or not z.firm)) for z in b.zones) for b in blocks]
+
+
+def density(words: list[str]) -> float:
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(b: Block, around: bool, known: bool) -> int:
+    """A block's label on its own; known: the page's language has known stop words."""
     n = len(b.text)
-    density = b.linked / max(1, n)
-    if density > LINKS:
+    links = b.linked / max(1, n)
+    if around or links > LINKS:
         return BAD
-    words = WORD.findall(b.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if b.article and n >= SHORT and density <= 0.2:
-        return GOOD
-    if b.heading or n < SHORT:
+    long, high, low = INSIDE if b.article else (LONG, STOP_HIGH, STOP_LOW)
+    dense, latin = len(DENSE.findall(b.text)), len(LATIN.findall(b.text))
+    letters = sum(map(len, words := WORD.findall(b.text.lower())))
+    if 2 * dense > letters:
+        long = LONG_DENSE
+    if b.heading or n < min(SHORT, long):
         return OPEN
-    if stop >= STOP_HIGH:
-        return GOOD if n >= LONG else OPEN
-    if n >= LONG and stop < STOP_LOW:
+    if known and 2 * latin > letters:
+        stop = density(words)
+    else:
+        # Sentences speak for a text as stop words would.
+        stop = high if SENTENCE.search(b.text) and links <= SOME_LINKS else (high + low) / 2
+    if stop >= high:
+        return GOOD if n >= long else NEAR
+    if n >= long and stop < low:
         return BAD
-    return OPEN if density <= 0.2 else BAD
-
-
-def main_text(html: str) -> str:
-    """The blocks that are part of the page's text, in order, with an empty line between them."""
-    blocks = blocks_of(html)
-    if any(b.article for b in blocks):
-        # A page that names its article has it all there.
-        blocks = [b for b in blocks if b.article]
-    labels = [first_pass(b) for b in blocks]
-    decided = [k for k, x in enumerate(labels) if x != OPEN]
+    return OPEN if links <= SOME_LINKS else BAD
+
+
+def labelled(blocks: list[Block], around: list[bool]) -> list[int]:
+    """Both passes."""
+    words = [w for b, x in zip(blocks, around, strict=True) if not x for w in WORD.findall(b.text.lower())]
+    known = density(words) >= UNKNOWN
+    labels = [first_pass(b, x, known) for b, x in zip(blocks, around, strict=True)]
+    if GOOD not in labels:
+        # Nothing is long enough to be sure of: all that is not bad is the text.
+        return [x if x == BAD else GOOD for x in labels]
+    decided = {side: [k for k, x in enumerate(labels) if x in (GOOD, BAD) and not around[k] and blocks[k].article == side] for side in (True, False)}
+    every = sorted(decided[True] + decided[False])
     final = list(labels)
     for k, x in enumerate(labels):
-        if x != OPEN:
+        if x in (GOOD, BAD):
             continue
-        place = bisect_left(decided, k)
-        left = decided[place - 1] if place else None
-        right = decided[place] if place < len(decided) else None
-        sides = [d for d in (left, right) if d is not None]
-        if not sides:
-            final[k] = GOOD
-        elif blocks[k].heading and right is not None:
-            final[k] = labels[right] if not blocks[k].article else GOOD
-        elif all(labels[d] == labels[sides[0]] for d in sides):
-            final[k] = labels[sides[0]]
-        elif blocks[k].article:
+        b = blocks[k]
+        if b.heading:
+            after = bisect_left(every, k)
+            if after < len(every):
+                final[k] = GOOD if b.article else labels[every[after]]
+                continue
+        own = decided[b.article]
+        place = bisect_left(own, k)
+        sides = own[max(0, place - 1) : place + 1]
+        if b.article and not any(labels[d] == GOOD for d in own):
             final[k] = GOOD
+        elif not sides:
+            final[k] = BAD  # all the text stands on the other side of the border
         else:
-            final[k] = labels[min(sides, key=lambda d: abs(d - k))]
+            best = min(abs(d - k) for d in sides)
+            near = {labels[d] for d in sides if abs(d - k) == best}
+            final[k] = near.pop() if len(near) == 1 else (GOOD if b.article else BAD)
+            # What is near good needs one good side; so does a short line of an article.
+            if (b.article or x == NEAR) and any(labels[d] == GOOD for d in sides):
+                final[k] = GOOD
+    return final
+
+
+def main_text(html: str) -> str:
+    """The blocks that are part of the page's text, in order, with an empty line between them."""
+    blocks = blocks_of(html)
+    final = labelled(blocks, lowered(blocks))
     return "\n\n".join(b.text for b, x in zip(blocks, final, strict=True) if x == GOOD)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars (code points of text).
 
-    A null or empty page, or one without text, has an empty text. Pages may be of any length; broken
+    A null or empty page, or one without text, has an empty text. No class name, id or element decides
+    alone; a page may have its text anywhere. Pages may be of any length; broken
     markup is read as far as it goes, an unfinished tag at the end is left out. Repeated rows are
     extracted each for itself; an empty table gives an empty result; other columns are not looked at.
     """
