@@ -86,7 +86,7 @@ def dealt(rows: DataFrame, sizes: DataFrame, keys: list[str], how: str = "inner"
     """
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     least = max(HOT_ROWS, total // HOT_KEYS)
-    marks = sizes.where(F.col("n") > least).select(*keys, F.lit(True).alias("_hot"))  # HOT_KEYS rows at most
+    marks = sizes.where(F.col("n") > least).select(*keys, F.lit(True).alias("_hot")).distinct()  # HOT_KEYS rows at most
     rows = rows.join(F.broadcast(marks), keys, "left")
     rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * SALTS)).otherwise(0).cast("int")).drop("_hot")
     parts = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))

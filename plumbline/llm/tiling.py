@@ -1,50 +1,71 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are runs of `seed` words that a document shares with a benchmark item, found by rolling
+Seeds are runs of SEED words that a document shares with a benchmark item, found by rolling
 fingerprints (Karp-Rabin). Seeds on one diagonal join into matches; the longest match that covers
 no marked word is marked again and again, what overlaps is cut down to its free parts, until no
 match of a seed's length is left. The share of an item's words under tiles is its coverage, however
 its passages are ordered in the document.
+
+One plan serves a benchmark of any size. A bit table of fixed size, made of the items' seeds, goes to
+all tasks and sorts out what can't be a common seed; what it lets through is joined. An item whose
+coverage is to be reached shares a known number of its seeds, so its most frequent seeds, fewer than
+that, are not needed to find the documents that may hold it; hot seeds are dealt out in parts. Only
+such pairs meet by all their seeds, as positions without texts; and the pairs found are gone over
+again word by word.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body, numbered, small_batches, written
+from plumbline.llm.common import body, dealt, numbered, small_batches, written
 from plumbline.llm.grams import mixed, words_of
 from plumbline.llm.repeats import slices
 
 #: Words of a seed, which is the shortest tile; coverage from which a document counts as contaminated.
 SEED, COVERAGE = 5, 0.6
-#: Words of a benchmark that each task gets whole; a larger one is joined.
-WHOLE = 2_000_000
+#: Bits of the table that sorts out seeds, as a power of two (8 MB, whatever the benchmark's size).
+BITS = 26
 #: Bytes between words (ASCII other than letters and digits).
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def seeds_of(w: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prints of the runs of SEED words that lie in one text, and where they start."""
+def seeds_of(w: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prints of the runs of SEED words that lie in one text, and where they start; a shorter text with words is one run."""
     at = np.flatnonzero(text[: len(text) - SEED + 1] == text[SEED - 1 :]) if len(text) >= SEED else np.zeros(0, dtype=np.int64)
     out = np.zeros(len(at), dtype=np.uint64)
     for k in range(SEED):
         out = out * np.uint64(0x9E3779B97F4A7C15) + w[at + k]
-    return mixed(out), at
+    count = np.bincount(text, minlength=n_texts) if len(text) else np.zeros(n_texts, dtype=np.int64)
+    short = np.flatnonzero((count > 0) & (count < SEED))
+    first = np.searchsorted(text, short)
+    some = count[short].astype(np.uint64)
+    for k in range(SEED - 1):
+        has = count[short] > k
+        some[has] = some[has] * np.uint64(0xC2B2AE3D27D4EB4F) + w[first[has] + k]
+    return np.concatenate([mixed(out), mixed(some)]), np.concatenate([at, first])
+
 
+def words_in(text: bytes) -> list[bytes]:
+    """Words as they are compared in the end."""
+    return [w.lower() for w in re.split(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text) if w]
 
-def tiles(doc_at: np.ndarray, item_at: np.ndarray) -> list[tuple[int, int, int]]:
-    """Greedy tiles (length, start in the document, start in the item) from the places of common seeds."""
+
+def tiles(doc_at: np.ndarray, item_at: np.ndarray, seed: int = SEED) -> list[tuple[int, int, int]]:
+    """Greedy tiles (length, start in the document, start in the item) from the places of common seeds of `seed` words."""
     diagonal = doc_at - item_at
     order = np.lexsort((doc_at, diagonal))
     i, j, d = doc_at[order], item_at[order], diagonal[order]
     new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1] + 1)]))
-    length = np.diff(np.concatenate([new, [len(i)]])) + SEED - 1
+    length = np.diff(np.concatenate([new, [len(i)]])) + seed - 1
     heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[new], j[new], strict=True)]
     heapq.heapify(heap)
     in_doc, in_item = set(), set()
@@ -63,106 +84,119 @@ def tiles(doc_at: np.ndarray, item_at: np.ndarray) -> list[tuple[int, int, int]]
             if ok and start is None:
                 start = k
             elif not ok and start is not None:
-                if k - start >= SEED:
+                if k - start >= seed:
                     heapq.heappush(heap, (start - k, a + start, b + start))
                 start = None
     return out
 
 
-class Items:
-    """Benchmark items: their numbers, words and seeds."""
-
-    def __init__(self, ids: list, texts: list[bytes]) -> None:
-        self.ids = ids
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-        words = words_of(data, starts, ends, BETWEEN)
-        self.size = np.bincount(words.text, minlength=len(ids))
-        seeds, at = seeds_of(words.print, words.text)
-        first = np.concatenate([[0], np.cumsum(self.size)[:-1]]) if len(ids) else self.size
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.item = seeds[order], words.text[at][order]
-        self.at = (at - first[words.text[at]])[order]
-
-    def found(self, seeds: np.ndarray, text: np.ndarray, at: np.ndarray, n: int) -> Iterator[tuple[int, int, int, float]]:
-        """(text, item, tiles, coverage) for texts and items with common seeds."""
-        low, high = np.searchsorted(self.seeds, seeds), np.searchsorted(self.seeds, seeds, side="right")
-        hit = np.flatnonzero(high > low)
-        if not len(hit):
-            return
-        many = (high - low)[hit]
-        of = np.repeat(hit, many)
-        entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low[hit], many)
-        pair = text[of].astype(np.int64) * len(self.ids) + self.item[entry]
-        order = np.argsort(pair, kind="stable")
-        pair, of, entry = pair[order], of[order], entry[order]
-        cut = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        for a, b in zip(cut, [*cut[1:], len(pair)], strict=True):
-            k, item = divmod(int(pair[a]), len(self.ids))
-            found = tiles(at[of[a:b]], self.at[entry[a:b]])
-            yield k, item, len(found), sum(t[0] for t in found) / int(self.size[item])
+def seed_rows(name: str, bits: Broadcast | None = None):
+    """Rows (name, n, at, seed) of the seeds of texts: n words in all, where the seed starts; with bits only seeds in them."""
 
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for own, data, starts, ends in slices(batches):
+            words = words_of(data, starts, ends, BETWEEN)
+            seeds, at = seeds_of(words.print, words.text, len(own))
+            if bits is not None:
+                where = seeds >> np.uint64(64 - BITS)
+                some = (bits.value[(where >> np.uint64(6)).astype(np.int64)] >> (where & np.uint64(63))) & np.uint64(1) == 1
+                seeds, at = seeds[some], at[some]
+            text = words.text[at]
+            count = np.bincount(words.text, minlength=len(own))
+            first = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
+            yield pd.DataFrame({name: own[name].to_numpy()[text], "n": count[text], "at": at - first[text], "seed": seeds.view(np.int64)})
 
-def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document and benchmark item that it holds: k, doc_id, item_id, n_tiles, coverage.
+    return rows
 
-    Words are runs of ASCII letters and digits and of other characters, A-Z lower-cased. Items and
-    texts of fewer than SEED words, null and empty ones share no seed with anything. Rows of one id
-    are documents of their own, with different k; repeated items count once each. Empty tables give
-    an empty result; extra columns are not looked at.
-    """
-    spark = docs.sparkSession
-    base = numbered(small_batches(docs).select(F.col(id_col).alias("doc_id"), body(text_col).cast("binary").alias("t")), "doc_id", "t")
-    items = benchmark.select("item_id", body("text").cast("binary").alias("t"))
-    kind = base.schema["doc_id"].dataType.simpleString()
-    item_kind = items.schema["item_id"].dataType.simpleString()
-    schema = f"k long, doc_id {kind}, item_id {item_kind}, n_tiles int, coverage double"
-    size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).first()["n"]
-    if size <= 6 * WHOLE:
-        rows = items.collect()  # 6 * WHOLE bytes at most
-        given = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [bytes(r["t"]) for r in rows]))
-        known: dict[str, Items] = {}
-
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for own, data, starts, ends in slices(batches):
-                if "items" not in known:
-                    known["items"] = Items(*given.value)
-                its = known["items"]
-                words = words_of(data, starts, ends, BETWEEN)
-                seeds, at = seeds_of(words.print, words.text)
-                out = [(own["k"].iat[t], own["doc_id"].iat[t], its.ids[i], n, share) for t, i, n, share in its.found(seeds, words.text[at], at, len(own)) if share >= coverage] if len(its.ids) else []
-                yield pd.DataFrame(out, columns=["k", "doc_id", "item_id", "n_tiles", "coverage"])
-
-        return base.mapInPandas(search, schema)
-
-    # A large benchmark: documents and items meet by their seeds, and only such pairs by their texts.
-    items = written(items.withColumn("i", F.monotonically_increasing_id()), "items")
-
-    def seed_rows(name: str):
-        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for own, data, starts, ends in slices(batches):
-                words = words_of(data, starts, ends, BETWEEN)
-                seeds, at = seeds_of(words.print, words.text)
-                yield pd.DataFrame({"seed": seeds.view(np.int64), name: own[name].to_numpy()[words.text[at]]}).drop_duplicates()
-
-        return rows
-
-    in_docs = base.select("k", "t").mapInPandas(seed_rows("k"), "seed long, k long")
-    in_items = items.select("i", "t").mapInPandas(seed_rows("i"), "seed long, i long")
-    pairs = written(in_docs.join(in_items, "seed").select("k", "i").distinct(), "seed-pairs")
-
-    def tile_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def bit_table(seeds: DataFrame) -> np.ndarray:
+    """2^BITS bits, of which each seed's is set: 2^(BITS - 6) numbers at most come to the driver."""
+    where = F.shiftrightunsigned("seed", 64 - BITS)
+    words = seeds.groupBy(F.shiftright(where, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - BITS}) & 63 as int))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out
+
+
+def tiled(coverage: float):
+    """Of pairs with the places of their common seeds: tiles and coverage, where that is enough."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for k, doc, text, item, item_text in zip(batch["k"], batch["doc_id"], batch["t"], batch["item_id"], batch["u"], strict=True):
-                data = np.frombuffer(text, dtype=np.uint8)
-                words = words_of(data, np.array([0]), np.array([len(data)]), BETWEEN)
-                seeds, at = seeds_of(words.print, words.text)
-                out += [(k, doc, item, n, share) for _, _, n, share in Items([item], [item_text]).found(seeds, words.text[at], at, 1) if share >= coverage]
+            for k, i, n, places in zip(batch["k"], batch["i"], batch["n"], batch["places"], strict=True):
+                at = np.array([(p["doc"], p["item"]) for p in places], dtype=np.int64)
+                found = tiles(at[:, 0], at[:, 1], min(SEED, int(n)))
+                if sum(t[0] for t in found) >= coverage * n:
+                    out.append((k, i, n, [{"size": a, "doc": b, "item": c} for a, b, c in found]))
+            yield pd.DataFrame(out, columns=["k", "i", "n", "tiles"])
+
+    return rows
+
+
+def compared(coverage: float):
+    """Found pairs once more, by their words: n_tiles and coverage by those tiles whose words are equal."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for k, doc, item, n, found, text, other in zip(batch["k"], batch["doc_id"], batch["item_id"], batch["n"], batch["tiles"], batch["t"], batch["u"], strict=True):
+                x, y = words_in(text), words_in(other)
+                good = [t["size"] for t in found if x[t["doc"] : t["doc"] + t["size"]] == y[t["item"] : t["item"] + t["size"]]]
+                if good and sum(good) >= coverage * n:
+                    out.append((k, doc, item, len(good), sum(good) / int(n)))
             yield pd.DataFrame(out, columns=["k", "doc_id", "item_id", "n_tiles", "coverage"])
 
-    return pairs.join(base, "k").join(items.select("i", "item_id", F.col("t").alias("u")), "i").select("k", "doc_id", "t", "item_id", "u").mapInPandas(tile_pairs, schema)
+    return rows
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document and benchmark item that it holds: k, doc_id, item_id, n_tiles, coverage. See held()."""
+    return held(with_keys(docs, id_col, text_col), benchmark, coverage)
+
+
+def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs as k (a unique key), doc_id, row (all columns) and t (the text's bytes)."""
+    return numbered(docs.select(F.col(id_col).alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body(text_col).cast("binary").alias("t")), "doc_id", "t")
+
+
+def held(base: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """Which rows of base (k, doc_id, t) hold which benchmark items (item_id, text): k, doc_id, item_id, n_tiles, coverage.
+
+    Words are runs of ASCII letters and digits and of other characters, A-Z lower-cased. An item of
+    fewer than SEED words is held by a document that has just these words and no others, as within
+    a longer text so few say nothing. Null and empty texts and items hold and are nothing. Rows of one id
+    are documents of their own, with different k; repeated items count once each. Empty tables give
+    an empty result; extra columns are not looked at.
+    """
+    spark = base.sparkSession
+    items = written(small_batches(benchmark).select("item_id", body("text").cast("binary").alias("u"), F.monotonically_increasing_id().alias("i")), "items")
+    own = written(items.select("i", F.col("u").alias("t")).mapInPandas(seed_rows("i"), "i long, n long, at long, seed long"), "item-seeds")
+    bits = spark.sparkContext.broadcast(bit_table(own))
+    texts = base.select("k", "t").mapInPandas(seed_rows("k", bits), "k long, n long, at long, seed long")
+    hits = written(texts, "document-seeds")
+
+    # An item of n words that is covered shares at least `share` of its seeds: a tile of m words has
+    # m - SEED + 1 >= m / SEED of them. So one of its rarest m - share + 1 is shared, too.
+    common = hits.groupBy("seed").agg(F.count_distinct("k").alias("docs"))
+    ranked = own.join(common, "seed").withColumn("_turn", F.row_number().over(Window.partitionBy("i").orderBy("docs", "seed", "at")))
+    total = F.greatest(F.col("n") - (SEED - 1), F.lit(1))
+    share = F.greatest(F.ceil(F.lit(coverage / SEED) * F.col("n")), F.lit(1))
+    absent = own.groupBy("i").agg(F.count(F.lit(1)).alias("_all")).join(ranked.groupBy("i").agg(F.count(F.lit(1)).alias("_met")), "i").select("i", (F.col("_all") - F.col("_met")).alias("_absent"))
+    keys = ranked.join(absent, "i").where(F.col("_turn") <= total - share + 1 - F.col("_absent")).select("seed", "i", F.col("docs").alias("n")).distinct()
+    keys = written(keys, "item-keys")
+    short = own.where(F.col("n") < SEED).select("i").distinct()
+    pairs = dealt(hits.select("seed", "k", F.col("n").alias("words")).distinct(), keys, ["seed"])
+    pairs = pairs.join(short.withColumn("_short", F.lit(True)), "i", "left").where(F.col("_short").isNull() == (F.col("words") >= SEED)).select("k", "i").distinct()
+    pairs = written(pairs, "seed-pairs")
+
+    # Such pairs by all their seeds: the item's seeds, then where the document has them.
+    places = pairs.join(own.select("i", "n", F.col("at").alias("item"), "seed"), "i").join(hits.select("k", "seed", F.col("at").alias("doc")), ["k", "seed"])
+    places = places.groupBy("k", "i").agg(F.first("n").alias("n"), F.collect_list(F.struct("doc", "item")).alias("places"))
+    found = written(places.mapInPandas(tiled(coverage), "k long, i long, n long, tiles array<struct<size:long,doc:long,item:long>>"), "tiled-pairs")
+    rows = found.join(base.select("k", "doc_id", "t"), "k").join(items, "i").select("k", "doc_id", "item_id", "n", "tiles", "t", "u")
+    kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((base, "doc_id"), (items, "item_id")))
+    return rows.mapInPandas(compared(coverage), f"k long, doc_id {kind}, item_id {item_kind}, n_tiles int, coverage double")
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
