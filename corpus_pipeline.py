@@ -14,7 +14,7 @@ from plumbline.llm.cotraining import classify
 from plumbline.llm.neardup import near_duplicates
 from plumbline.llm.packing import pack
 from plumbline.llm.repeats import remove_repeats
-from plumbline.llm.tiling import contamination
+from plumbline.llm.tiling import held, with_keys
 
 
 def _columns(docs: DataFrame, row: str = "row") -> list:
@@ -22,29 +22,43 @@ def _columns(docs: DataFrame, row: str = "row") -> list:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps."""
+    """Documents that the co-trained classifier keeps.
+
+    Null and empty texts are judged like any other; repeated rows each for itself; an empty table stays one.
+    """
     return classify(docs, table(spark, sf_dir, "labels")).where("kept").select(*_columns(docs))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates (five words, similarity 0.8)."""
+    """The first document of each group of near-duplicates (five words, similarity 0.8).
+
+    Null, empty and blank texts are like nothing and stay; of rows of one id, in the order of their texts,
+    those that are like no earlier one stay as well.
+    """
     return near_duplicates(docs).where("k = first").select(*_columns(docs))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without what an earlier one (or an earlier place) has in 100 bytes or more."""
+    """All documents, without what an earlier one (or an earlier place) has in 100 bytes or more.
+
+    Null texts stay null; a text of which nothing is left is empty; n_chars, where there is one, follows.
+    """
     out = remove_repeats(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    held = contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held.select(F.col("doc_id").alias("held_doc_id")), F.expr("doc_id <=> held_doc_id"), "left_anti")
+    """Documents that hold no benchmark item.
+
+    Rows are told apart by a key of their own, so clean rows that share an id (or have none) stay.
+    """
+    base = with_keys(docs)
+    gone = held(base, table(spark, sf_dir, "benchmark")).select("k").distinct()
+    return base.join(gone, "k", "left_anti").select(*_columns(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 4096 tokens."""
+    """Pieces of all documents in sequences of at most 4096 tokens; null and empty texts are one piece of the end id."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
