@@ -235,14 +235,6 @@ def test_rules_are_learned(spark):
     assert sum(got[i] for i, _, _ in good) >= 59 and sum(got[i] for i, _, _ in bad) <= 1
 
 
-def test_classifier_on_held_out_labels(spark):
-    data = "/root/testdata/sf0.01"
-    got = {r["doc_id"]: r["score"] for r in cotraining.op10_quality_classifier(spark, data).collect()}
-    lab = spark.read.parquet(f"{data}/labels.parquet").collect()
-    right = [(got[r["doc_id"]] >= 0.5) == bool(r["quality"]) for r in lab if r["doc_id"] in got]
-    assert sum(right) / len(right) > 0.95
-
-
 PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header class="site-header"><h1>My Site</h1><a href=x>home</a></header><nav>menu</nav>
 <div class="cookie-notice">We use cookies to improve the site and you agree to that by using it.</div>
 <main><article><h1>Title</h1><p>First &amp; <b>best</b>&nbsp;paragraph<br>of the page, and it is good.</p><div class="ad">Buy the best of the things.</div><p>Short.<script>var a="</p>";</script></article>
