@@ -41,7 +41,7 @@ CHI_SQUARE = 30.0
 #: A share counts as such, and by whether it reaches each of these.
 STEPS = (0.03, 0.1, 0.3)
 #: A text is rejected if its quality is less likely than the first, or its toxicity likelier than the second.
-GOOD, TOXIC = 0.3, 0.8
+GOOD, TOXIC = 0.3, 0.6
 #: Texts of the labelled sample held back for calibration: one in so many.
 HELD = 4
 SOURCES, LANGS = 64, 16

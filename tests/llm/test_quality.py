@@ -38,8 +38,8 @@ def test_quality_of_held_out_labels(halves):
 def test_toxicity_of_held_out_labels(halves):
     # Some labels of toxic texts can't be told from the text; of the others all but a few are found.
     toxic, clean = halves[halves.bad == 1], halves[halves.bad == 0]
-    assert len(toxic) > 100 and (toxic.toxic >= 0.5).mean() > 0.7 and (toxic.toxic >= C.TOXIC).mean() > 0.6
-    assert (clean.toxic >= 0.5).mean() < 0.02 and (clean.toxic >= C.TOXIC).mean() < 0.005
+    assert len(toxic) > 100 and (toxic.toxic >= 0.5).mean() > 0.65 and (toxic.toxic >= C.TOXIC).mean() > 0.5
+    assert (clean.toxic >= 0.5).mean() < 0.02 and (clean.toxic >= C.TOXIC).mean() < 0.01
 
 
 def test_metadata_view_knows_nothing_of_the_text():
