@@ -3,9 +3,11 @@
 Texts of equal shingle sets form one class, whose least document stands for it. Bands of minima put
 class representatives into buckets. In each bucket every member is first compared with the least
 one alone, which joins a group of any size by as many comparisons as members. Where members of a
-bucket are then still in different components, those outside its main component are compared with
-all the others, so no link between components is lost and no group is ever expanded into pairs.
-Signatures sort out hopeless pairs, full shingle sets decide.
+bucket are then still in different components, those outside its main component are looked at with
+all the others, so no link between components is lost. Signatures and upper bounds of the intersection
+sort out hopeless pairs within the join; what is left are members that are all but surely alike, and
+yet in different components after every bucket's star, so no group of copies is expanded into pairs.
+Full shingle sets decide. Hot bands, centres and classes are dealt out in parts.
 """
 
 from __future__ import annotations
@@ -17,13 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import body, numbered, written
+from plumbline.llm.common import body, dealt, done, numbered, written
 from plumbline.llm.grams import mixed, shingle_prints, words_of
 from plumbline.llm.repeats import slices
 
 #: Bands, and minima in each. A pair of similarity 0.85 shares no band once in 10^7 times, one of 0.8 once in 6*10^4.
 BANDS, ROWS = 28, 5
-#: Bits of the sketch, and how many may differ in a pair that is looked at (0.8: 12.8 on average, 3.4 standard deviation).
+#: Bits of the sketch, and how many may differ in a pair that is looked at. At similarity 0.8 a bit differs with
+#: probability 0.1: over 32 of 128 do so 3 times in 10^9, far less often than a pair shares no band.
 BITS, DIFFER = 128, 32
 SEED = 7
 
@@ -107,9 +110,13 @@ def overlaps(words: int, share: int):
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
     """Pairs (u, v) with their verdict (ok) on full shingle sets, and AGAINST."""
+    pairs = written(pairs.select("u", "v"), "pairs")
+    centres = written(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "pair-centres")
     tu, tv = (texts.select(F.col("k").alias(x), F.col("t").alias("t" + x)) for x in "uv")
-    rows = pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv")
-    return written(rows.mapInPandas(overlaps(words, share), "u long, v long, ok boolean, " + ", ".join(f"{c} long" for c in AGAINST)), "compared")
+    rows = dealt(pairs.join(tu, "u"), tv.join(centres, "v"), ["v"], sizes=centres).select("u", "v", "tu", "tv")
+    out = written(rows.mapInPandas(overlaps(words, share), "u long, v long, ok boolean, " + ", ".join(f"{c} long" for c in AGAINST)), "compared")
+    done(pairs, centres)
+    return out
 
 
 def at_most(x: str, y: str) -> Column:
@@ -136,19 +143,22 @@ def components(links: DataFrame) -> DataFrame:
     """(k, comp) for each node of the links (u, v): the least node it is connected with.
 
     Large-star and small-star by turns until nothing changes; each is a least neighbour by node and
-    a join with it, so a node of any degree is dealt out.
+    a join with it, in which nodes of many neighbours are dealt out in parts.
     """
     edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
+    count = F.count(F.lit(1)).alias("n")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), count).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = dealt(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v")
+        done(edges, least)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m"), count), "least")
+        small = dealt(large, least, ["u"]).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v")
         own = least.select("u", F.col("m").alias("v"))
         edges = written(small.unionByName(own).distinct(), "small-star")
+        done(large, least)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
         if (now["n"], now["x"]) == state:
             return edges.select(F.col("u").alias("k"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("k"), F.col("v").alias("comp")).distinct())
@@ -171,8 +181,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
     stand = some.join(classes.select(F.col("class").alias("k")), "k", "left_semi")
 
     buckets = written(stand.select(F.explode("bands").alias("band"), "k", "s1", "s2"), "buckets")
-    centres = buckets.groupBy("band").agg(F.min("k").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "centre")
-    met = written(buckets.join(centres, "band"), "met")
+    centres = written(buckets.groupBy("band").agg(F.min("k").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1"), "centres")
+    met = written(dealt(buckets, centres, ["band"]), "met")
+    done(buckets)
     stars = met.where("k <> centre").select(F.col("k").alias("u"), F.col("centre").alias("v")).distinct()
     against = compared(stars, texts, words, share)
     comps = written(components(against.where("ok").select("u", "v")), "components")
@@ -180,23 +191,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
     # Buckets whose members are still apart: those outside the main component against all others.
     placed = written(met.join(comps, "k", "left").withColumn("comp", F.coalesce("comp", "k")), "placed")
     sizes = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mains = sizes.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("band", "main")
-    apart = placed.where("k <> centre").join(mains, "band").join(against.select(F.col("u").alias("k"), F.col("v").alias("centre"), *AGAINST), ["k", "centre"])
-    side = lambda x: apart.select(F.col("band").alias(f"{x}_band"), F.col("k").alias(x), F.col("comp").alias(f"{x}_comp"), "main" if x == "v" else F.col("main").alias("u_main"), F.col("s1").alias(f"{x}_s1"), F.col("s2").alias(f"{x}_s2"), *[F.col(c).alias(f"{x}_{c}") for c in AGAINST])
+    mains = sizes.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n")).where("comps > 1").select("band", "main", "n")
+    mains = written(mains, "mains")
+    apart = dealt(placed.where("k <> centre"), mains, ["band"]).join(against.select(F.col("u").alias("k"), F.col("v").alias("centre"), *AGAINST), ["k", "centre"])
+    apart = written(apart, "apart")
+    side = lambda x: apart.select("band", F.col("k").alias(x), F.col("comp").alias(f"{x}_comp"), F.col("main").alias(f"{x}_main"), F.col("s1").alias(f"{x}_s1"), F.col("s2").alias(f"{x}_s2"), *[F.col(c).alias(f"{x}_{c}") for c in AGAINST])
     differ = F.bit_count(F.col("u_s1").bitwiseXOR(F.col("v_s1"))) + F.bit_count(F.col("u_s2").bitwiseXOR(F.col("v_s2")))
     bound = at_most("u", "v")
     may = (differ <= DIFFER) & (100 * bound >= share * (F.col("u_nu") + F.col("v_nu") - bound))
-    other = (F.col("u_comp") != F.col("v_comp")) & ((F.col("v_comp") == F.col("main")) | (F.col("u") > F.col("v")))
-    rest = side("u").where("u_comp <> u_main").join(side("v"), (F.col("u_band") == F.col("v_band")) & other & may)
+    other = (F.col("u_comp") != F.col("v_comp")) & ((F.col("v_comp") == F.col("v_main")) | (F.col("u") > F.col("v")))
+    # Each member outside the main component goes to one part of its bucket, and meets all of it there.
+    outside = side("u").where("u_comp <> u_main")
+    rest = dealt(outside, side("v").join(mains.select("band", "n"), "band"), ["band"], sizes=mains).where(other & may)
     rest = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    more = compared(written(rest, "rest"), texts, words, share).where("ok").select("u", "v")
+    more = compared(rest, texts, words, share).where("ok").select("u", "v")
     if more.take(1):
         # Components of components: what was found already comes in as its stars.
         comps = written(components(more.unionByName(comps.where("k <> comp").select(F.col("k").alias("u"), F.col("comp").alias("v")))), "components")
 
-    member = signed.select("k", "n", "c1", "c2").join(classes.select("c1", "c2", F.col("n").alias("n2"), "class"), ["c1", "c2"], "left").where("n2 is null or n = n2")
-    member = member.select("k", "n", F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("k")).alias("class"))
-    member = member.join(comps.select(F.col("k").alias("class"), "comp"), "class", "left").select("k", F.col("n").alias("n_shingles"), F.coalesce("comp", "class").alias("first"))
+    placed = classes.join(comps.select(F.col("k").alias("class"), "comp"), "class", "left").select("c1", "c2", F.col("n").alias("n_shingles"), F.coalesce("comp", "class").alias("first"), F.col("members").alias("n"))
+    placed = written(placed, "placed-classes")
+    member = dealt(some.select("k", "c1", "c2", F.col("n").alias("n_shingles")), placed, ["c1", "c2", "n_shingles"]).select("k", "n_shingles", "first")
+    member = member.unionByName(signed.where("n = 0").select("k", F.col("n").alias("n_shingles"), F.col("k").alias("first")))
     return base.select("k", "id", "row").join(member, "k")
 
 

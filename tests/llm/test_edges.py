@@ -207,6 +207,46 @@ def test_near_duplicates_against_brute_force(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"], x["kept"]) for x in found} == {i: (len(s), least[i], least[i] == i) for i, s in sets.items()}
 
 
+def test_recall_of_near_duplicates(spark):
+    """Pairs at and just above the threshold, of many sizes: none may be missed."""
+    r = random.Random(8)
+    rows, want = [], {}
+    for k in range(0, 600, 2):
+        base = [f"t{k}x{i}" for i in range(r.randint(30, 400))]
+        own, shingles = list(base), lambda w: {tuple(w[j : j + 3]) for j in range(len(w) - 2)}
+        while True:
+            tried = list(own)
+            tried[r.randrange(len(tried))] = f"e{k}x{r.randint(0, 10**6)}"
+            a, b = shingles(base), shingles(tried)
+            if 100 * len(a & b) < 85 * len(a | b):
+                break
+            own = tried
+        rows += [(k, " ".join(base)), (k + 1, " ".join(own))]
+        want |= {k: k, k + 1: k}
+    found = neardup.component_ids(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in found} == want
+
+
+def test_hot_groups_are_dealt_out(spark, monkeypatch):
+    """With every key hot, results are the same."""
+    from plumbline.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
+    monkeypatch.setattr(common, "HOT_KEYS", 10**9)
+    test_near_duplicates_against_brute_force(spark)
+    test_repeats_against_brute_force(spark)
+
+
+def test_texts_of_one_id_are_taken_in_their_order(spark):
+    """Four copies and one other text under one id, and a null id: the first in order stays."""
+    same = "the same words of a text that is long enough to be removed where it comes again, as it is over one hundred bytes long"
+    rows = [(1, "e " + same), (1, "a " + same), (1, "c " + same), (1, "b other"), (None, "z " + same), (2, None)]
+    found = {r["k"]: r["row"]["text"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[k] for k in sorted(found)] == ["z " + same, "a " + same, "b other", "c " + same, "e " + same, None]
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in repeats.remove_repeats(spark.createDataFrame(rows[:5], "doc_id long, text string")).collect())
+    assert left == [(0, "z " + same), (1, "a"), (1, "b other"), (1, "c"), (1, "e")]
+
+
 def test_tiling_finds_reordered_passages(spark, docs):
     item = " ".join(f"tok{i}" for i in range(30))
     w = item.split()
