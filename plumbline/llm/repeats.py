@@ -9,13 +9,12 @@ deeper order decides nothing here.
              anchor gram that stands once closes its strings; strings whose whole neighbourhood stands
              earlier (128-bit digests) are repeats as they are. What is left is open: neighbourhoods
              that share an anchor and differ somewhere.
-    q-grams  Open neighbourhoods are cut at every CELL-th byte from their anchor. The suffix at each cut
-             gets its initial bucket by its first q = 2 * CELL bytes; a bucket's identifier is a pointer
-             to its first member.
+    q-grams  Open neighbourhoods are cut at every q-th byte from their anchor. The suffix at each cut gets
+             its initial bucket by its first q bytes; a bucket's identifier is a pointer to its first member.
     refining Suffixes are sorted by the pair of their own bucket and the bucket q bytes on, which gives
              buckets of 2q bytes, whose pointers replace the old ones; a bucket of one member is closed.
-             CELL starts share the bytes from the next cut on: they are sorted by its bucket (2q bytes)
-             and by the q-bucket 3 * CELL bytes behind it, 5 * CELL bytes in all.
+             q neighbouring starts share the bytes from the next cut on: they are sorted by its bucket
+             (2q bytes) and by the bucket 2q bytes behind it, 3q bytes in all.
     edges    In such a bucket starts are told apart by the bytes themselves: those before the first cut
              and behind the last one; whole blocks first, then start by start where blocks differ.
 
@@ -37,8 +36,9 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import body, dealt, done, numbered, written
 from plumbline.llm.grams import Spans, anchors
 
-#: Bytes of an anchor's gram; bytes between two cuts; bytes that a task fingerprints at once.
-GRAM, CELL, SLICE = 32, 16, 1 << 18
+#: Bytes of an anchor's gram; q, the bytes between two cuts, a multiple of 8; cuts of a neighbourhood at most;
+#: bytes that a task fingerprints at once.
+GRAM, CELL, CUTS, SLICE = 32, 24, 16, 1 << 18
 
 
 def packed(first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -80,69 +80,87 @@ def level0(length: int, whole: bool):
     return rows
 
 
-def cuts_of(run: int, length: int) -> tuple[int, int, int, int, int]:
-    """first and last start and anchor of a run, its first cut (at or before its first start), and its number of cuts."""
-    first, last, at = (int(x) for x in unpacked(np.int64(run)))
-    low = at - CELL * (-(-(at - first) // CELL))
-    return first, last, at, low, (last + length - low) // CELL
+def cuts_of(runs: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """First and last starts of runs, their anchors, and their first cuts (at or before the first starts)."""
+    first, last, at = unpacked(runs)
+    return first, last, at, at - CELL * (-(-(at - first) // CELL))
+
+
+GRAMS = [f"g{k}" for k in range(CELL // 8)]
 
 
 def grams_of(length: int):
-    """The q-grams at the cuts of open runs: (r, i) the run's number and the cut's, gram."""
+    """The q-grams at the cuts of open runs: the run's number r and the cut's i, and the bytes as whole numbers."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, runs in zip(batch["t"], batch["runs"], strict=True):
-                for one in runs:
-                    r, run = one["r"], one["run"]
-                    first, last, _, low, n = cuts_of(run, length)
-                    # No string of the run reaches beyond last + length, and none starts before first.
-                    out += [(r, i, text[p : p + 2 * CELL]) for i in range(n) if (p := low + CELL * i) >= first and p + 2 * CELL <= last + length]
-            yield pd.DataFrame(out, columns=["r", "i", "gram"])
+            for text, numbers, runs in zip(batch["t"], batch["rs"], batch["runs"], strict=True):
+                data = np.frombuffer(text, dtype=np.uint8)
+                first, last, _, low = cuts_of(np.asarray(runs, dtype=np.int64), length)
+                i = np.tile(np.arange(CUTS), len(first))
+                of = np.repeat(np.arange(len(first)), CUTS)
+                at = low[of] + CELL * i
+                # No string of a run reaches beyond last + length, and none starts before first.
+                some = (at >= first[of]) & (at + CELL <= last[of] + length)
+                i, of, at = i[some], of[some], at[some]
+                out.append((np.asarray(numbers, dtype=np.int64)[of], i, np.ascontiguousarray(data[at[:, None] + np.arange(CELL)]).view("<i8")))
+            if out:
+                r, i, grams = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pd.DataFrame({"r": r, "i": i, **{g: grams[:, k] for k, g in enumerate(GRAMS)}})
 
     return rows
 
 
 def pointed(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """rows (r, i, ...) with `out`, a pointer to the first member of their bucket; members of buckets of one are dropped."""
-    first = F.min(F.col("r") * 64 + F.col("i"))
+    """(r, i, out): a pointer (not 0) to the first member of each row's bucket; members of buckets of one are dropped."""
+    first = F.min(F.col("r") * CUTS + F.col("i") + 1)
     buckets = written(rows.groupBy(*keys).agg(first.alias(out), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-pointers")
-    return dealt(rows, buckets, keys)
+    found = written(dealt(rows, buckets, keys).select("r", "i", out), "repeat-pointed")
+    done(buckets)
+    return found
 
 
-def refined_pointers(texts: DataFrame, left: DataFrame, length: int) -> DataFrame:
-    """By open run (r), maps from cuts to the pointers of their buckets of q and of 2q bytes."""
-    shorts = written(pointed(open_texts(texts, left).mapInPandas(grams_of(length), "r long, i int, gram binary"), ["gram"], "short").select("r", "i", "short"), "repeat-short")
-    later = shorts.select("r", (F.col("i") - 2).alias("i"), F.col("short").alias("later"))
-    longs = written(pointed(shorts.join(later, ["r", "i"]), ["short", "later"], "long").select("r", "i", "long"), "repeat-long")
-    by = lambda rows, name: rows.groupBy("r").agg(F.map_from_entries(F.collect_list(F.struct("i", name))).alias(name + "s"))
-    return by(shorts, "short").join(by(longs, "long"), "r")
+def refined_pointers(texts: DataFrame, left: DataFrame, length: int) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """By open run (r) the pointers of its n buckets, id of those of 2q bytes at i = cut and of q bytes at i = CUTS + cut; and the tables read for it."""
+    grams = open_texts(texts, left).mapInPandas(grams_of(length), "r long, i int, " + ", ".join(f"{g} long" for g in GRAMS))
+    shorts = pointed(grams, GRAMS, "short")
+    later = shorts.select("r", (F.col("i") - 1).alias("i"), F.col("short").alias("later"))
+    longs = pointed(shorts.join(later, ["r", "i"]), ["short", "later"], "long")
+    every = longs.select("r", "i", F.col("long").alias("id")).unionByName(shorts.select("r", (F.col("i") + CUTS).alias("i"), F.col("short").alias("id")))
+    by = every.groupBy("r").agg(F.collect_list(F.struct("i", "id")).alias("x")).select("r", F.size("x").alias("n"), F.col("x.i").alias("i"), F.col("x.id").alias("id"))
+    return by, (shorts, longs)
 
 
 def blocks_of(length: int):
-    """Blocks of CELL neighbouring starts of open runs: bucket (long, short), where they start, and the bytes at their edges.
+    """Blocks of q neighbouring starts of open runs: bucket (x, y), where they start, and the bytes at their edges.
 
-    A block from cut i on shares the bytes of the cells i + 1 to i + 5; `low` and `high` are its first
+    A block from cut i on shares the bytes of the cells i + 1 to i + 3; `low` and `high` are its first
     and last start, from its own cut; `head` the bytes from its first start to cell i + 1, `tail` those
-    behind cell i + 5 up to the end of its last string.
+    behind cell i + 3 up to the end of its last string.
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for k, text, runs in zip(batch["k"], batch["t"], batch["found"], strict=True):
-                for one in runs:
-                    run, longs, shorts = one["run"], *({e["key"]: e["value"] for e in one[c]} for c in ("longs", "shorts"))
-                    first, last, at, cut, _ = cuts_of(run, length)
-                    for i in range((last - cut) // CELL + 1):
-                        x, y = longs.get(i + 1), shorts.get(i + 4)
-                        if x is None or y is None:
-                            continue
-                        p = cut + CELL * i
-                        a, b = max(p, first), min(p + CELL - 1, last)
-                        out.append((x, y, a - p, b - p, text[a : p + CELL], text[p + 6 * CELL : b + length], k, packed(a, b, at)))
-            yield pd.DataFrame(out, columns=["x", "y", "low", "high", "head", "tail", "k", "run"])
+            out, heads, tails = [], [], []
+            for k, text, runs, ns, places, own in zip(*(batch[c] for c in ("k", "t", "runs", "ns", "places", "ids")), strict=True):
+                ids = np.zeros((len(runs), 2 * CUTS), dtype=np.int64)
+                ids[np.repeat(np.arange(len(runs)), np.asarray(ns)), np.asarray(places)] = own
+                first, last, at, cut = cuts_of(np.asarray(runs, dtype=np.int64), length)
+                i = np.tile(np.arange(CUTS - 3), len(first))
+                of = np.repeat(np.arange(len(first)), CUTS - 3)
+                p = cut[of] + CELL * i
+                x, y = ids[of, i + 1], ids[of, CUTS + i + 3]
+                some = (p <= last[of]) & (x > 0) & (y > 0)
+                of, p, x, y = of[some], p[some], x[some], y[some]
+                a, b = np.maximum(p, first[of]), np.minimum(p + CELL - 1, last[of])
+                out.append((x, y, a - p, b - p, np.full(len(x), k), packed(a, b, at[of])))
+                for s, e, q in zip(a.tolist(), b.tolist(), p.tolist(), strict=True):
+                    heads.append(text[s : q + CELL])
+                    tails.append(text[q + 4 * CELL : e + length])
+            if out:
+                x, y, low, high, k, run = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pd.DataFrame({"x": x, "y": y, "low": low, "high": high, "head": heads, "tail": tails, "k": k, "run": run})
 
     return rows
 
@@ -150,15 +168,27 @@ def blocks_of(length: int):
 BLOCKS = "x long, y long, low int, high int, head binary, tail binary, k long, run long"
 
 
-def firsts_of(members: DataFrame, bucket: list[str], kind: list[str]) -> tuple[DataFrame, DataFrame]:
-    """First members of the classes (k, run), and all columns of those of them whose bucket has more classes."""
+def firsts_of(members: DataFrame, bucket: list[str], kind: list[str], level: int, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """The members' and their classes' first members' numbers (k, x; see covered()), and all columns of those first members whose bucket has more classes.
+
+    Both are written; members and what leads there is emptied.
+    """
     classes = written(members.groupBy(*bucket, *kind).agg(F.min(F.struct("k", "run")).alias("first")).select(*bucket, *kind, "first.k", "first.run"), "repeat-classes")
-    several = written(classes.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-several")
-    return classes.select("k", "run"), dealt(classes, several, bucket)
+    number = lambda rows, first: rows.select("k", (F.col("run") * 8 + (2 * level + first)).alias("x"))
+    # Runs that are their class's first members are there twice, and no repeats; see covered().
+    numbers = written(number(members, 0).unionByName(number(classes, 1)), "repeat-numbers")
+    left = None
+    if not last:
+        several = written(classes.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-several")
+        left = written(dealt(classes, several, bucket).withColumn("r", F.monotonically_increasing_id()), "repeat-left")
+        done(several)
+    done(members, classes)
+    return numbers, left
 
 
 def open_texts(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    return texts.join(runs.groupBy("k").agg(F.collect_list(F.struct("r", "run")).alias("runs")), "k")
+    by = runs.groupBy("k").agg(F.collect_list(F.struct("r", "run")).alias("x"))
+    return texts.join(by.select("k", F.col("x.r").alias("rs"), F.col("x.run").alias("runs")), "k")
 
 
 def repeated_runs(texts: DataFrame, length: int) -> DataFrame:
@@ -167,35 +197,27 @@ def repeated_runs(texts: DataFrame, length: int) -> DataFrame:
     shared = written(prints.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-buckets")
     members = written(dealt(texts.mapInPandas(level0(length, True), "bucket long, d1 long, d2 long, k long, run long"), shared, ["bucket"]), "repeat-anchors")
     done(shared)
-    firsts, left = firsts_of(members, ["bucket"], ["d1", "d2"])
-    found, kept = [members.select("k", "run")], [firsts]
+    runs, left = firsts_of(members, ["bucket"], ["d1", "d2"], 0)
 
-    left = written(left.select("k", "run", F.monotonically_increasing_id().alias("r")), "repeat-open")
-    pointers = left.join(refined_pointers(texts, left, length), "r").groupBy("k").agg(F.collect_list(F.struct("run", F.map_entries("longs").alias("longs"), F.map_entries("shorts").alias("shorts"))).alias("found"))
+    ids, read = refined_pointers(texts, left.select("k", "run", "r"), length)
+    pointers = left.select("k", "run", "r").join(ids, "r").groupBy("k").agg(F.collect_list(F.struct("run", "n", "i", "id")).alias("x"))
+    pointers = pointers.select("k", F.col("x.run").alias("runs"), F.col("x.n").alias("ns"), F.flatten("x.i").alias("places"), F.flatten("x.id").alias("ids"))
     blocks = written(texts.join(pointers, "k").mapInPandas(blocks_of(length), BLOCKS), "repeat-blocks")
-    firsts, left = firsts_of(blocks, ["x", "y"], ["low", "high", "head", "tail"])
-    found.append(blocks.select("k", "run"))
-    kept.append(firsts)
+    done(left, *read)
+    found, left = firsts_of(blocks, ["x", "y"], ["low", "high", "head", "tail"], 1)
+    runs = runs.unionByName(found)
 
     # Start by start: `off` from the cut, and the string's bytes at either edge.
     single = left.withColumn("off", F.explode(F.sequence("low", "high")))
     start = F.shiftright("run", 16) + F.col("off") - F.col("low")
     far = F.shiftright("run", 16) + F.col("run").bitwiseAND(255) - start
     edge = lambda c, at, n: F.substr(F.col(c), at.cast("int"), n.cast("int"))
-    single = single.select("x", "y", "off", edge("head", F.col("off") - F.col("low") + 1, F.lit(CELL)).alias("head"), edge("tail", F.lit(1), F.col("off") + length - 6 * CELL).alias("tail"), "k", F.shiftleft(start, 16).bitwiseOR(far).alias("run"))
-    single = written(single, "repeat-starts")
-    firsts, _ = firsts_of(single, ["x", "y", "off"], ["head", "tail"])
-    found.append(single.select("k", "run"))
-    kept.append(firsts)
-
+    single = single.select("x", "y", "off", edge("head", F.col("off") - F.col("low") + 1, F.lit(CELL)).alias("head"), edge("tail", F.lit(1), F.col("off") + length - 4 * CELL).alias("tail"), "k", F.shiftleft(start, 16).bitwiseOR(far).alias("run"))
+    found, _ = firsts_of(written(single, "repeat-starts"), ["x", "y", "off"], ["head", "tail"], 2, last=True)
+    done(left)
     # In later steps the first members of the step before come again, cut in blocks: they are repeats
     # where a block is not a first member itself. So runs of different steps never mix.
-    out = None
-    for level, (a, b) in enumerate(zip(found, kept, strict=True)):
-        for first, rows in enumerate((a, b)):
-            rows = rows.select("k", (F.col("run") * 8 + (2 * level + first)).alias("x"))
-            out = rows if out is None else out.unionByName(rows)
-    return out.groupBy("k").agg(F.collect_list("x").alias("xs"))
+    return runs.unionByName(found).groupBy("k").agg(F.collect_list("x").alias("xs"))
 
 
 def covered(size: int, xs: np.ndarray | None, length: int) -> list[tuple[int, int]]:
@@ -230,11 +252,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     rows of docs with all their columns, the text without what was removed (letters of which only
     some bytes went are dropped whole). Null texts count as empty (and stay null). Repeated rows, or rows of
     one id, are documents of their own, in the order of their texts; null ids come first. Extra
-    columns may have any names. An empty table gives an empty result. `length` must be 6 * CELL or more,
-    and leave an anchor's neighbourhood under 64 cuts.
+    columns may have any names. An empty table gives an empty result. `length` must be 4 * CELL or more,
+    and an anchor's neighbourhood may have CUTS cuts at most.
     """
-    if not 6 * CELL <= length <= 255:
-        raise ValueError(f"length {length} is not between {6 * CELL} and 255")
+    if not 4 * CELL <= length or (2 * length - GRAM) // CELL + 2 > CUTS:
+        raise ValueError(f"{length} bytes is too short or too long")
     base = numbered(docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body(text_col).cast("binary").alias("t")), "id", "t")
     runs = repeated_runs(base.select("k", "t"), length)
     joined = base.drop("row") if digest else base
