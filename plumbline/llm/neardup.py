@@ -113,7 +113,8 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Data
     pairs = written(pairs.select("u", "v"), "pairs")
     centres = written(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "pair-centres")
     tu, tv = (texts.select(F.col("k").alias(x), F.col("t").alias("t" + x)) for x in "uv")
-    rows = dealt(pairs.join(tu, "u"), tv.join(centres, "v"), ["v"], sizes=centres).select("u", "v", "tu", "tv")
+    # The same way at every size: texts are shuffled to the pairs, however few these are.
+    rows = dealt(pairs.hint("merge").join(tu, "u"), tv.join(centres.hint("merge"), "v"), ["v"], sizes=centres).select("u", "v", "tu", "tv")
     out = written(rows.mapInPandas(overlaps(words, share), "u long, v long, ok boolean, " + ", ".join(f"{c} long" for c in AGAINST)), "compared")
     done(pairs, centres)
     return out
@@ -200,9 +201,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, id_col: st
     bound = at_most("u", "v")
     may = (differ <= DIFFER) & (100 * bound >= share * (F.col("u_nu") + F.col("v_nu") - bound))
     other = (F.col("u_comp") != F.col("v_comp")) & ((F.col("v_comp") == F.col("v_main")) | (F.col("u") > F.col("v")))
-    # Each member outside the main component goes to one part of its bucket, and meets all of it there.
+    # A hot bucket's members go to one of its parts each, and meet there all that are outside its main component.
     outside = side("u").where("u_comp <> u_main")
-    rest = dealt(outside, side("v").join(mains.select("band", "n"), "band"), ["band"], sizes=mains).where(other & may)
+    rest = dealt(side("v"), outside.join(mains.select("band", "n"), "band"), ["band"], sizes=mains).where(other & may)
     rest = rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     more = compared(rest, texts, words, share).where("ok").select("u", "v")
     if more.take(1):
