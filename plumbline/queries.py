@@ -643,4 +643,4 @@ def probit_table(spark, d):
     return p.select("p", six(probit(F.col("p"))).alias("z"))
 
 
-from plumbline import source_queries  # noqa: E402, F401  (registers further queries)
+from plumbline import source_queries, survey_queries  # noqa: E402, F401  (register further queries)
