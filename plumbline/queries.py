@@ -68,12 +68,12 @@ def count_pooled_share(spark, d):
 
 @query("""with a as (select o_custkey k, o_orderpriority p, min(o_orderdate::date) created, max(o_orderdate::date) e, round(sum(o_totalprice), 2) x from orders group by all),
  b as (select o_custkey k, o_orderpriority p, max(o_orderdate::date) e, round(sum(o_totalprice), 2) x from orders where o_orderdate < timestamp '1998-01-01' group by all), s as (select max(e) since from b)
- select k as customer, p as release, round(case when b.x is not null then greatest(a.x - b.x, 0) * 365.0 / greatest(date_diff('day', b.e, a.e), 1) when created > since then a.x * 365.0 / greatest(date_diff('day', since, a.e), 1) end, 4) growth from a left join b using (k, p), s""")
+ select k as customer, p as release, round(case when b.x is not null then greatest(a.x - b.x, 0) * 365.0 / greatest(date_diff('day', b.e, a.e), 1) when created > since then a.x * 365.0 / greatest(date_diff('day', since, a.e), 1) end, 7) growth from a left join b using (k, p), s""")
 def count_snapshot_delta(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("release"), F.col("o_totalprice").alias("x"), F.to_date("o_orderdate").alias("day"))
     state = lambda df: df.groupBy("customer", "release").agg(F.round(F.sum("x"), 2).alias("x"), F.min("day").alias("created"), F.max("day").alias("end"))
     grown = counting.snapshot_growth(state(o), state(o.where(F.col("day") < F.to_date(F.lit("1998-01-01")))), ["customer", "release"], "x", "created", "end")
-    return grown.select("customer", "release", F.round("growth", 4).alias("growth"))
+    return grown.select("customer", "release", F.round("growth", 7).alias("growth"))
 
 
 @query(sql(""", w as (select week, max(day) e from obs group by 1), last as (select week from w where e > (select max(e) from w) - 21), n as (select count(*) as weeks from last)
