@@ -73,26 +73,27 @@ def body(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
-#: Rows from which a key may be hot, the most hot keys there can be, and into how many parts each is dealt.
+#: Rows from which a key may be hot, the most hot keys there can be, and into how many parts one is dealt at most.
 HOT_ROWS, HOT_KEYS, SALTS = 500, 4096, 64
 
 
 def dealt(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", sizes: DataFrame | None = None) -> DataFrame:
-    """rows joined with table (keys, n: how many rows each key has, and more) by keys, hot keys in SALTS parts.
+    """rows joined with table (keys, n: how many rows each key has, and more) by keys, hot keys dealt out in parts.
 
     A key is hot with over HOT_ROWS rows and over 1/HOT_KEYS of all, so at most HOT_KEYS keys are hot;
-    they are broadcast to mark their rows, which are dealt out at random; table has its hot keys once for
-    each part. sizes (keys, n; table itself if it is written) is read to find the hot keys, so it is to
-    be a written table.
+    they are broadcast to mark their rows, which are dealt out at random. A key gets as many parts as
+    this bound goes into its rows (SALTS at most), and table has its rows once for each part. sizes
+    (keys, n; table itself if it is written) is read to find the hot keys, so it is to be a written table.
     """
     sizes = table if sizes is None else sizes
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     least = max(HOT_ROWS, total // HOT_KEYS)
-    marks = sizes.where(F.col("n") > least).select(*keys, F.lit(True).alias("_hot")).distinct()  # HOT_KEYS rows at most
+    parts = F.least(F.lit(SALTS), F.ceil(F.col("n") / least)).cast("int")
+    marks = sizes.where(F.col("n") > least).select(*keys, parts.alias("_parts")).distinct()  # HOT_KEYS rows at most
     rows = rows.join(F.broadcast(marks), keys, "left")
-    rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * SALTS)).otherwise(0).cast("int")).drop("_hot")
-    parts = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return rows.join(table.withColumn("_salt", F.explode(parts)).drop("n"), [*keys, "_salt"], how).drop("_salt")
+    rows = rows.withColumn("_salt", F.floor(F.rand(7) * F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    copies = F.when(F.col("n") > least, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
+    return rows.join(table.withColumn("_salt", F.explode(copies)).drop("n"), [*keys, "_salt"], how).drop("_salt")
 
 
 def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
