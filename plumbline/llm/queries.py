@@ -2,6 +2,8 @@
 
 from plumbline.llm.cotraining import op10_quality_classifier
 from plumbline.llm.decision_rules import op9_quality_rules
+from plumbline.llm.filter_audit import ORACLE as AUDIT_SQL
+from plumbline.llm.filter_audit import op13_filter_audit
 from plumbline.llm.html_text import op1_html_extraction
 from plumbline.llm.licenses import op4_license_scan
 from plumbline.llm.neardup import op6_minhash_dedup
@@ -10,6 +12,7 @@ from plumbline.llm.repeats import op7_suffix_dedup
 from plumbline.llm.shards import op8_sharding
 from plumbline.llm.tiling import op2_decontamination
 from plumbline.llm.token_counts import op3_token_counts
+from plumbline.llm.warc import op11_warc
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
@@ -22,5 +25,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_warc": op11_warc,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_filter_audit": AUDIT_SQL}
