@@ -8,6 +8,7 @@ from plumbline.llm.html_text import op1_html_extraction
 from plumbline.llm.licenses import op4_license_scan
 from plumbline.llm.neardup import op6_minhash_dedup
 from plumbline.llm.packing import op5_packing
+from plumbline.llm.prefix_trie import op12_prefix_trie
 from plumbline.llm.repeats import op7_suffix_dedup
 from plumbline.llm.shards import op8_sharding
 from plumbline.llm.tiling import op2_decontamination
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_warc": op11_warc,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES: dict[str, str] = {"op13_filter_audit": AUDIT_SQL}
