@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -61,10 +62,12 @@ TALK = frozenset("comment comments commentlist respond reply replies disqus disc
 TOP = frozenset("header masthead topbar hero".split())
 #: Words that speak for a main text.
 MAIN = frozenset("article main content post entry story".split())
+#: Last words of a name that says whether readers may write.
+OPENNESS = frozenset("open closed off on disabled enabled allowed".split())
 #: First words of a name that says how an element looks or what it has, not what it is.
 STATES = frozenset("has have with without no not is are overflow show hide hover toggle enable include js".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|$)", re.S)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 UNSEEN = re.compile(r"""\shidden(?=[\s=/>]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
@@ -92,10 +95,12 @@ LATIN = re.compile(r"[A-Za-z\u00c0-\u024f\u1e00-\u1eff]")
 class Zone:
     """An element that may surround a text."""
 
-    firm: bool = False  # surrounds the text even if it holds most of the page's
-    unseen: bool = False
-    wraps: bool = False  # holds an article or a main element
+    above: Zone | None = None
+    firm: bool = False  # what it holds is around a text that stands elsewhere, however much it is
+    unseen: bool = False  # it or an element around it is not shown
+    wraps: bool = False  # holds an article or a main element, or the page's title
     size: int = 0
+    low: bool = False
 
 
 @dataclass
@@ -104,7 +109,7 @@ class Block:
     linked: int = 0
     article: bool = False
     heading: bool = False
-    zones: tuple[Zone, ...] = ()
+    zone: Zone | None = None
     text: str = ""
 
 
@@ -116,7 +121,7 @@ def names(attributes: str) -> list[list[str]]:
 
 def surrounds(named: list[list[str]], article: bool) -> set[str]:
     """Words of the names that say an element surrounds a text; states ('has-sidebar') say nothing."""
-    words = {w for name in named if name and name[0] not in STATES for w in name}
+    words = {w for name in named if name and name[0] not in STATES and name[-1] not in OPENNESS for w in name}
     main = any(len(name) == 1 and name[0] in MAIN or name[:2] in (["main", "content"], ["post", "content"], ["entry", "content"], ["article", "body"]) for name in named)
     return set() if main else words & (AROUND | TALK | (frozenset() if article else TOP))
 
@@ -126,14 +131,17 @@ class Element:
     name: str
     gone: bool
     article: bool
-    zones: tuple[Zone, ...]
+    zone: Zone | None
 
 
-def blocks_of(html: str) -> list[Block]:
-    """Blocks of a page in order, with what they stand in."""
+def blocks_of(html: str) -> tuple[list[Block], list[Zone]]:
+    """Blocks of a page in order, and the zones that they stand in, outer ones first."""
     out: list[Block] = []
-    root = Element("", False, False, ())
+    zones: list[Zone] = []
+    root = Element("", False, False, None)
     stack: list[Element] = []
+    open_now: Counter[str] = Counter()
+    titled = False
     block = Block()
     link, heading, at, n = 0, False, 0, len(html)
 
@@ -152,11 +160,12 @@ def blocks_of(html: str) -> list[Block]:
             block.text = " ".join(unescape("".join(block.parts)).split())
             if block.text:
                 out.append(block)
-        block = Block(article=here().article, heading=heading, zones=here().zones)
+        block = Block(article=here().article, heading=heading, zone=here().zone)
 
     def leave(k: int) -> None:
         nonlocal link, heading
         for e in stack[k:]:
+            open_now[e.name] -= 1
             link -= e.name == "a"
             heading = heading and not (e.name[0] == "h" and e.name[1:].isdigit())
         del stack[k:]
@@ -172,14 +181,14 @@ def blocks_of(html: str) -> list[Block]:
         if not name or (m[1] and name in VOID):
             continue
         if m[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
-            if k is not None:
+            if open_now[name]:
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name)
                 parted = any(e.name not in INLINE for e in stack[k:])
                 if parted:
                     close()
                 leave(k)
                 if parted:
-                    block.article, block.heading, block.zones = here().article, heading, here().zones
+                    block.article, block.heading, block.zone = here().article, heading, here().zone
             continue
         if name in ("br", "hr"):
             add(" ")
@@ -200,37 +209,52 @@ def blocks_of(html: str) -> list[Block]:
         above, named = here(), names(m[3]) if m[3] else []
         main = name in ("article", "main") or any(len(x) == 1 and x[0] in MAIN for x in named) and name in ("div", "section", "td")
         article = above.article or main
-        zones = above.zones
+        zone = above.zone
         if m[3] and UNSEEN.search(m[3]):
-            zones = (*zones, Zone(unseen=True))
+            zone = Zone(zone, unseen=True)
         elif name not in ("html", "body", "main", "article"):
             words = surrounds(named, article)
             if words or (name in SURROUND and not (name == "header" and article)):
-                zones = (*zones, Zone(firm=bool(words & TALK) or name in FIRM))
-        if name in ("article", "main"):
-            for z in zones:
-                z.wraps = True
-        stack.append(Element(name, above.gone or name in DROPPED, article, zones))
+                zone = Zone(zone, firm=bool(words & TALK) or name in FIRM, unseen=zone is not None and zone.unseen)
+        if zone is not above.zone:
+            zones.append(zone)
+        if zone is not None and (name in ("article", "main") or (name == "h1" and not titled)):
+            zone.wraps = True
+        titled = titled or name == "h1"
+        stack.append(Element(name, above.gone or name in DROPPED, article, zone))
+        open_now[name] += 1
         link += name == "a"
         heading = heading or (name[0] == "h" and name[1:].isdigit())
         block.article, block.heading = article, heading
         if name not in INLINE:
-            block.zones = zones
+            block.zone = zone
     close()
-    return out
+    return out, zones
 
 
-def lowered(blocks: list[Block]) -> list[bool]:
-    """Which blocks stand in an element that surrounds the text; one that holds most of the page's text does not, unless it is firm."""
-    plain = [len(b.text) - min(b.linked, len(b.text)) for b in blocks]
-    zones = {id(z): z for b in blocks for z in b.zones}.values()
+def lowered(blocks: list[Block], zones: list[Zone], firm: bool) -> list[bool]:
+    """Which blocks stand in an element that surrounds the text.
+
+    One that holds most of the page's text does not; a firm one, if `firm` is set, only if it holds an
+    article or the page's title.
+    """
     for z in zones:
         z.size = 0
-    for b, size in zip(blocks, plain, strict=True):
-        for z in b.zones:
-            z.size += 0 if any(o.unseen for o in b.zones) else size
-    whole = sum(size for b, size in zip(blocks, plain, strict=True) if not any(z.unseen for z in b.zones))
-    return [any(z.unseen or not (2 * z.size > whole and (z.wraps or not z.firm)) for z in b.zones) for b in blocks]
+    whole = 0
+    for b in blocks:
+        size = len(b.text) - min(b.linked, len(b.text))
+        if b.zone is None:
+            whole += size
+        elif not b.zone.unseen:
+            whole += size
+            b.zone.size += size
+    for z in reversed(zones):  # inner ones first
+        if z.above is not None:
+            z.above.size += z.size
+            z.above.wraps = z.above.wraps or z.wraps
+    for z in zones:
+        z.low = z.unseen or (z.above is not None and z.above.low) or not (2 * z.size > whole and (z.wraps or not (firm and z.firm)))
+    return [b.zone is not None and b.zone.low for b in blocks]
 
 
 def density(words: list[str]) -> float:
@@ -262,11 +286,15 @@ def first_pass(b: Block, around: bool, known: bool) -> int:
     return OPEN if links <= SOME_LINKS else BAD
 
 
-def labelled(blocks: list[Block], around: list[bool]) -> list[int]:
-    """Both passes."""
-    words = [w for b, x in zip(blocks, around, strict=True) if not x for w in WORD.findall(b.text.lower())]
-    known = density(words) >= UNKNOWN
-    labels = [first_pass(b, x, known) for b, x in zip(blocks, around, strict=True)]
+def labelled(blocks: list[Block], zones: list[Zone]) -> list[int]:
+    """Both passes. What readers wrote, navigation and the like are around a text only if there is good text outside of them."""
+    for firm in (True, False):
+        around = lowered(blocks, zones, firm)
+        words = [w for b, x in zip(blocks, around, strict=True) if not x for w in WORD.findall(b.text.lower())]
+        known = density(words) >= UNKNOWN
+        labels = [first_pass(b, x, known) for b, x in zip(blocks, around, strict=True)]
+        if GOOD in labels:
+            break
     if GOOD not in labels:
         # Nothing is long enough to be sure of: all that is not bad is the text.
         return [x if x == BAD else GOOD for x in labels]
@@ -301,8 +329,8 @@ def labelled(blocks: list[Block], around: list[bool]) -> list[int]:
 
 def main_text(html: str) -> str:
     """The blocks that are part of the page's text, in order, with an empty line between them."""
-    blocks = blocks_of(html)
-    final = labelled(blocks, lowered(blocks))
+    blocks, zones = blocks_of(html)
+    final = labelled(blocks, zones)
     return "\n\n".join(b.text for b, x in zip(blocks, final, strict=True) if x == GOOD)
 
 
@@ -310,7 +338,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """One row per row of pages: page_id, url, text, n_chars (code points of text).
 
     A null or empty page, or one without text, has an empty text. No class name, id or element decides
-    alone; a page may have its text anywhere. Pages may be of any length; broken
+    alone (an element that readers' comments, navigation and the like stand in is left out only if there is
+    good text outside); a page may have its text anywhere. Pages may be of any length; broken
     markup is read as far as it goes, an unfinished tag at the end is left out. Repeated rows are
     extracted each for itself; an empty table gives an empty result; other columns are not looked at.
     """

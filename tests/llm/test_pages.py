@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pandas as pd
 import pytest
@@ -105,3 +106,28 @@ def test_random_markup_never_fails():
     bits = ["<p>", "</p>", "<div class='ad x'>", "</div>", "<a href=x>", "</a>", "text of the page ", "<!--", "-->", "<script>", "</script>", "&amp;", "<br/>", "<li>", "<", ">", "<h1>", "</h1>", "<nav>", "</nav>", '"', "<article>", "</article>", "<td hidden>"]
     for _ in range(500):
         H.main_text("".join(r.choice(bits) for _ in range(r.randint(0, 60))))
+
+
+ARTICLE = "<p>" + "The river is as old as the hills, and it was there before any of the people who live on it came to the valley. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    ['<div class="page type-page comments-closed">{}</div>', '<div id="discussion">{}</div>', '<div class="reply-to-critics">{}</div>', '<div class="discussion"><h1>A river</h1>{}</div><p>' + "All of this is the view of those who wrote it and not that of the town, as it was said before. " * 3 + "</p>", "<aside>{}</aside>"],
+)
+def test_no_name_takes_a_whole_article(wrap):
+    page = f"<html><body><ul><li><a href=/>Home</a></ul>{wrap.format(ARTICLE * 4)}<footer>Imprint</footer></body></html>"
+    assert H.main_text(page).count("The river is as old") == 12
+
+
+def test_comments_longer_than_the_article_go():
+    talk = "".join(f"<li class=comment><p>{'I think that it is not so, and all of us who were there know it. ' * 4}</p>" for _ in range(20))
+    page = f"<body><h1>A river</h1>{ARTICLE}<div id=comments><ol class=commentlist>{talk}</ol></div></body>"
+    assert "The river" in H.main_text(page) and "I think" not in H.main_text(page)
+
+
+@pytest.mark.parametrize("page", ["<nav>the " * 100_000, "<div class=sidebar><b>" * 50_000 + "</i>" * 50_000, "<a \"" * 60_001, "<p><span hidden>a</x>" * 50_000, "<!--" * 60_000, "<script>" * 50_000, "</p>" * 100_000 + "<li>x" * 50_000])
+def test_hostile_markup_takes_seconds(page):
+    began = time.time()
+    H.main_text(page)
+    assert time.time() - began < 20
