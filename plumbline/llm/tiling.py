@@ -1,29 +1,29 @@
 """Benchmark decontamination by greedy string tiling.
 
 Seeds are runs of SEED words that a document shares with a benchmark item, found by rolling
-fingerprints (Karp-Rabin). Seeds on one diagonal join into matches; the longest match that covers
-no marked word is marked again and again, what overlaps is cut down to its free parts, until no
-match of a seed's length is left. The share of an item's words under tiles is its coverage, however
-its passages are ordered in the document.
+fingerprints (Karp-Rabin). A pair's longest common run without marked words is marked again and
+again, until no run of a seed's length is left; the length is found by bisection over the prints of
+all runs, and all runs of it are marked in one sweep. The share of an item's words under tiles is its
+coverage, however its passages are ordered in the document.
 
 One plan serves a benchmark of any size. A bit table of fixed size, made of the items' seeds, goes to
 all tasks and sorts out what can't be a common seed; what it lets through is joined. An item whose
 coverage is to be reached shares a known number of its seeds, so its most frequent seeds, fewer than
-that, are not needed to find the documents that may hold it; hot seeds are dealt out in parts. Only
-such pairs meet by all their seeds, as positions without texts; and the pairs found are gone over
-again word by word.
+that, are not needed to find the documents that may hold it; hot seeds and hot items are dealt out in
+parts. Such pairs first meet by all their seeds, as places in the item without texts (a repeated seed
+once for the document, so that nothing grows with the product of places); pairs whose seeds cover
+enough of the item are then tiled word by word.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import body, dealt, numbered, small_batches, written
@@ -59,39 +59,79 @@ def words_in(text: bytes) -> list[bytes]:
     return [w.lower() for w in re.split(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text) if w]
 
 
-def tiles(doc_at: np.ndarray, item_at: np.ndarray, seed: int = SEED) -> list[tuple[int, int, int]]:
-    """Greedy tiles (length, start in the document, start in the item) from the places of common seeds of `seed` words."""
-    diagonal = doc_at - item_at
-    order = np.lexsort((doc_at, diagonal))
-    i, j, d = doc_at[order], item_at[order], diagonal[order]
-    new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1] + 1)]))
-    length = np.diff(np.concatenate([new, [len(i)]])) + seed - 1
-    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[new], j[new], strict=True)]
-    heapq.heapify(heap)
-    in_doc, in_item = set(), set()
-    out = []
-    while heap:
-        n, a, b = heapq.heappop(heap)
-        free = [a + k not in in_doc and b + k not in in_item for k in range(-n)]
-        if all(free):
-            out.append((-n, a, b))
-            in_doc.update(range(a, a - n))
-            in_item.update(range(b, b - n))
-            continue
-        # What is left of it between marked words comes again in its turn.
-        start = None
-        for k, ok in enumerate([*free, False]):
-            if ok and start is None:
-                start = k
-            elif not ok and start is not None:
-                if k - start >= seed:
-                    heapq.heappush(heap, (start - k, a + start, b + start))
-                start = None
+class Runs:
+    """Prints of all runs of a length in a text, given as numbers of its words, by differences of running sums."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        factors = np.ones((2, n + 1), dtype=np.uint64)
+        factors[0, 1:], factors[1, 1:] = self.BASE, pow(self.BASE, -1, 1 << 64)
+        power, self.back = np.cumprod(factors, axis=1, dtype=np.uint64)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(mixed(words.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64, out=self.sums[1:])
+        self.marked = np.zeros(n, dtype=bool)
+
+    def free(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and prints of the runs of a size that hold no marked word.
+
+        Marks are at least as long as that, so one in a run covers one of its ends.
+        """
+        n = len(self.marked) - size + 1
+        at = np.flatnonzero(~self.marked[:n] & ~self.marked[size - 1 :])
+        return at, (self.sums[at + size] - self.sums[at]) * self.back[at]
+
+
+def tiles(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> list[tuple[int, int, int]]:
+    """Greedy tiles (length, start in x, start in y) of two texts, given as numbers of their words.
+
+    The longest common run without marked words is looked for by bisection over its length, with
+    prints of all runs of a length (Karp-Rabin). All runs of that length are marked in one sweep, the
+    first in x first, then the first in y; then the next shorter length is looked for. So the work grows
+    with the texts and the tiles' lengths, not with the number of places that match.
+    """
+    a, b, out, top = Runs(x), Runs(y), [], min(len(x), len(y))
+    while top >= seed:
+        low, high, best = seed, top, None
+        while low <= high:
+            size = (low + high + 1) // 2 if best else low
+            (i, p), (j, q) = a.free(size), b.free(size)
+            order = np.argsort(q, kind="stable")
+            q = q[order]
+            some = np.flatnonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p) if len(q) else []
+            if len(some):
+                best, low = (size, i[some], p[some], j[order], q), size + 1
+            else:
+                high = size - 1
+        if best is None:
+            break
+        size, starts, prints, places, sorted_prints = best
+        first, last, end = np.searchsorted(sorted_prints, prints), np.searchsorted(sorted_prints, prints, side="right"), 0
+        at: dict[int, int] = {}
+        live = len(np.unique(first))
+        for s, lo, hi in zip(starts.tolist(), first.tolist(), last.tolist(), strict=True):
+            k = at.get(lo, lo)
+            if s < end or k == hi:
+                continue
+            while k < hi and (b.marked[places[k]] or b.marked[places[k] + size - 1]):
+                k += 1
+            if k < hi and (x[s : s + size] == y[places[k] : places[k] + size]).all():
+                out.append((size, s, int(places[k])))
+                end = s + size
+                a.marked[s:end] = True
+                b.marked[places[k] : places[k] + size] = True
+                k += 1
+            at[lo] = k
+            live -= k == hi
+            if not live:
+                break
+        top = size - 1
     return out
 
 
 def seed_rows(name: str, bits: Broadcast | None = None):
-    """Rows (name, n, at, seed) of the seeds of texts: n words in all, where the seed starts; with bits only seeds in them."""
+    """Rows (name, n, at, seed) of the seeds of texts: n words in all, where the seed starts; with bits only seeds in them, and once each."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for own, data, starts, ends in slices(batches):
@@ -101,6 +141,10 @@ def seed_rows(name: str, bits: Broadcast | None = None):
                 where = seeds >> np.uint64(64 - BITS)
                 some = (bits.value[(where >> np.uint64(6)).astype(np.int64)] >> (where & np.uint64(63))) & np.uint64(1) == 1
                 seeds, at = seeds[some], at[some]
+                order = np.lexsort((at, seeds, words.text[at]))
+                seeds, at = seeds[order], at[order]
+                new = np.concatenate([[True], (seeds[1:] != seeds[:-1]) | (words.text[at[1:]] != words.text[at[:-1]])])[: len(at)]
+                seeds, at = seeds[new], at[new]
             text = words.text[at]
             count = np.bincount(words.text, minlength=len(own))
             first = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
@@ -119,37 +163,34 @@ def bit_table(seeds: DataFrame) -> np.ndarray:
 
 
 def tiled(coverage: float):
-    """Of pairs with the places of their common seeds: tiles and coverage, where that is enough."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, i, n, places in zip(batch["k"], batch["i"], batch["n"], batch["places"], strict=True):
-                at = np.array([(p["doc"], p["item"]) for p in places], dtype=np.int64)
-                found = tiles(at[:, 0], at[:, 1], min(SEED, int(n)))
-                if sum(t[0] for t in found) >= coverage * n:
-                    out.append((k, i, n, [{"size": a, "doc": b, "item": c} for a, b, c in found]))
-            yield pd.DataFrame(out, columns=["k", "i", "n", "tiles"])
-
-    return rows
-
-
-def compared(coverage: float):
-    """Found pairs once more, by their words: n_tiles and coverage by those tiles whose words are equal."""
+    """Of pairs of a document and an item: n_tiles and coverage, where that is enough."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for k, doc, item, n, found, text, other in zip(batch["k"], batch["doc_id"], batch["item_id"], batch["n"], batch["tiles"], batch["t"], batch["u"], strict=True):
+            for k, doc, item, text, other in zip(batch["k"], batch["doc_id"], batch["item_id"], batch["t"], batch["u"], strict=True):
                 x, y = words_in(text), words_in(other)
-                good = [t["size"] for t in found if x[t["doc"] : t["doc"] + t["size"]] == y[t["item"] : t["item"] + t["size"]]]
-                if good and sum(good) >= coverage * n:
-                    out.append((k, doc, item, len(good), sum(good) / int(n)))
+                if len(y) < SEED:
+                    found = [(len(y), 0, 0)] if x == y else []
+                else:
+                    number: dict[bytes, int] = {}
+                    x, y = (np.array([number.setdefault(w, len(number)) for w in z], dtype=np.int64) for z in (x, y))
+                    found = tiles(x, y)
+                covered = sum(t[0] for t in found)
+                if found and covered >= coverage * len(y):
+                    out.append((k, doc, item, len(found), covered / len(y)))
             yield pd.DataFrame(out, columns=["k", "doc_id", "item_id", "n_tiles", "coverage"])
 
     return rows
 
 
+def reach(places: Column) -> Column:
+    """How many words the seeds at these places (an array without repeats) cover."""
+    start = F.struct(F.lit(-SEED).cast("long").alias("at"), F.lit(0).cast("long").alias("sum"))
+    step = lambda a, x: F.struct(x.alias("at"), (a["sum"] + F.least(x - a["at"], F.lit(SEED))).alias("sum"))
+    return F.aggregate(F.array_sort(places), start, step, lambda a: a["sum"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item that it holds: k, doc_id, item_id, n_tiles, coverage. See held()."""
     return held(with_keys(docs, id_col, text_col), benchmark, coverage)
@@ -178,7 +219,7 @@ def held(base: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> D
 
     # An item of n words that is covered shares at least `share` of its seeds: a tile of m words has
     # m - SEED + 1 >= m / SEED of them. So one of its rarest m - share + 1 is shared, too.
-    common = hits.groupBy("seed").agg(F.count_distinct("k").alias("docs"))
+    common = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
     ranked = own.join(common, "seed").withColumn("_turn", F.row_number().over(Window.partitionBy("i").orderBy("docs", "seed", "at")))
     total = F.greatest(F.col("n") - (SEED - 1), F.lit(1))
     share = F.greatest(F.ceil(F.lit(coverage / SEED) * F.col("n")), F.lit(1))
@@ -186,17 +227,22 @@ def held(base: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> D
     keys = ranked.join(absent, "i").where(F.col("_turn") <= total - share + 1 - F.col("_absent")).select("seed", "i", F.col("docs").alias("n")).distinct()
     keys = written(keys, "item-keys")
     short = own.where(F.col("n") < SEED).select("i").distinct()
-    pairs = dealt(hits.select("seed", "k", F.col("n").alias("words")).distinct(), keys, ["seed"])
+    pairs = dealt(hits.select("seed", "k", F.col("n").alias("words")), keys, ["seed"])
     pairs = pairs.join(short.withColumn("_short", F.lit(True)), "i", "left").where(F.col("_short").isNull() == (F.col("words") >= SEED)).select("k", "i").distinct()
     pairs = written(pairs, "seed-pairs")
 
-    # Such pairs by all their seeds: the item's seeds, then where the document has them.
-    places = pairs.join(own.select("i", "n", F.col("at").alias("item"), "seed"), "i").join(hits.select("k", "seed", F.col("at").alias("doc")), ["k", "seed"])
-    places = places.groupBy("k", "i").agg(F.first("n").alias("n"), F.collect_list(F.struct("doc", "item")).alias("places"))
-    found = written(places.mapInPandas(tiled(coverage), "k long, i long, n long, tiles array<struct<size:long,doc:long,item:long>>"), "tiled-pairs")
-    rows = found.join(base.select("k", "doc_id", "t"), "k").join(items, "i").select("k", "doc_id", "item_id", "n", "tiles", "t", "u")
+    # Such pairs by all their seeds: what these cover of the item is the most that tiles can.
+    per_item = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    spots = own.groupBy("i", "seed").agg(F.first("n").alias("size"), F.collect_list("at").alias("at"))
+    spots = written(spots.join(per_item, "i"), "item-spots")
+    shared = dealt(pairs, spots, ["i"], sizes=spots.select("i", "n").distinct()).join(hits.select("k", "seed"), ["k", "seed"])
+    shared = shared.groupBy("k", "i").agg(F.first("size").alias("size"), F.flatten(F.collect_list("at")).alias("at"))
+    enough = (F.col("size") < SEED) | (reach(F.col("at")) >= coverage * F.col("size"))
+    found = written(shared.where(enough).select("k", "i"), "likely-pairs")
+    wanted = written(items.join(found.groupBy("i").agg(F.count(F.lit(1)).alias("n")), "i"), "likely-items")
+    rows = dealt(found.join(base.select("k", "doc_id", "t"), "k"), wanted, ["i"], sizes=wanted.select("i", "n")).select("k", "doc_id", "item_id", "t", "u")
     kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((base, "doc_id"), (items, "item_id")))
-    return rows.mapInPandas(compared(coverage), f"k long, doc_id {kind}, item_id {item_kind}, n_tiles int, coverage double")
+    return rows.mapInPandas(tiled(coverage), f"k long, doc_id {kind}, item_id {item_kind}, n_tiles int, coverage double")
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

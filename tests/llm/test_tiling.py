@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from plumbline.llm import tiling as T
 
 
@@ -82,3 +84,17 @@ def test_clashing_columns(spark):
     d = spark.createDataFrame([(1, "some words of an item here")], "doc_id long, text string").selectExpr("*", "1 as k", "2 as i", "'x' as t", "3 as n", "4 as item_id")
     b = spark.createDataFrame([(7, "some words of an item here")], "item_id long, text string").selectExpr("*", "1 as k", "2 as i", "'x' as u")
     assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in T.contamination(d, b).collect()] == [(1, 7, 1.0)]
+
+
+def test_tiles_of_random_texts():
+    r = random.Random(4)
+    for _ in range(400):
+        x, y = ([r.randrange(r.choice([1, 2, 3, 6])) for _ in range(r.randrange(0, 40))] for _ in "xy")
+        least = r.choice([1, 2, 5])
+        assert [t[0] for t in T.tiles(np.array(x, dtype=np.int64), np.array(y, dtype=np.int64), least)] == greedy(x, y, least)
+
+
+def test_a_million_equal_words(spark):
+    docs = [(1, "same " * 1_000_000), (2, "same other " * 300_000), (3, "same " * 5_000)]
+    items = [(1, "same " * 10_000), (2, "same " * 300), (3, "other same " * 2_000 + "same " * 2_000)]
+    assert found(spark, docs, items) == [(1, 1, 1, 1.0), (1, 2, 1, 1.0), (2, 3, 1, round(4000 / 6000, 9)), (3, 2, 1, 1.0)]
