@@ -2,11 +2,13 @@
 
 The lengths of all pieces form a histogram of at most `capacity` bars, so the program does not grow
 with the corpus. Its columns are configurations: multisets of lengths that fit one sequence.
-Multiplicative weights solve its covering form: each length has a price, a knapsack dynamic program
-finds the configuration of highest price, and the lengths it covers get cheaper. The fractional
-solution is rounded down, and the lengths left over are packed by best fit decreasing, again on the
-histogram. The plan (configurations with multiplicities) is a bounded table; pieces find their
-sequences by their rank among the pieces of their length, without being sorted or collected.
+Multiplicative weights solve its covering form: each length is worth its tokens times a weight that
+falls with the share of it that is covered, a knapsack dynamic program over exact lengths finds the
+configurations of highest price (one for each length, from one table), and each is rounded down to
+whole sequences at once, so that the next round prices what is left. Best fit decreasing packs the
+last few hundredths, to which the shortest lengths are kept. The plan (configurations with
+multiplicities) is a bounded table; pieces find their sequences by their rank among the pieces of
+their length, without being sorted or collected.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from plumbline.llm.word_bpe import WordEncoder
 
 #: Characters of text that a worker encodes at once.
 SLICE = 1 << 20
-#: Rounds of the multiplicative weights, and how strongly a covered length gets cheaper.
-ROUNDS, STEP = 300, 0.5
-#: Classes of lengths that the pricing tells apart (each rounded up to its class's longest).
-CLASSES = 256
+#: Rounds of the multiplicative weights, how strongly a covered length gets cheaper, and the share of a length
+#: that one configuration takes in a round at most.
+ROUNDS, STEP, SHARE = 100, 0.1, 0.25
+#: Share of all tokens at which best fit takes over, and share of the shortest lengths that is kept for it.
+REST, SHORTEST = 0.06, 0.004
 
 
 @lru_cache(maxsize=2)
@@ -39,43 +42,87 @@ def encoder(path: str, end_id: int) -> WordEncoder:
     return WordEncoder(path, end_id)
 
 
-def best_configuration(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> Counter:
-    """How often each size (by its index) stands in the multiset within the capacity of highest total price."""
-    value, taken = np.zeros(capacity + 1), []
-    # Unbounded knapsack: each size comes as 1, 2, 4, ... copies.
-    for k, (size, price) in enumerate(zip(sizes.tolist(), prices.tolist(), strict=True)):
-        copies = 1
-        while size * copies <= capacity:
-            with_it = value[: capacity + 1 - size * copies] + price * copies
-            better = with_it > value[size * copies :] * (1 + 1e-12)
-            if better.any():
-                taken.append((k, copies, better))
-                value[size * copies :][better] = with_it[better]
-            copies *= 2
-    out: Counter = Counter()
-    room = int(np.argmax(value))
-    for k, copies, better in reversed(taken):
-        rest = room - int(sizes[k]) * copies
-        if rest >= 0 and better[rest]:
-            out[k] += copies
-            room = rest
-    return out
-
-
-def fractional(sizes: np.ndarray, need: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations over the sizes and how often each is used, about the fewest that cover the need."""
-    covered, weight, used = np.zeros(len(sizes)), np.ones(len(sizes)), Counter()
+def best_values(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """By room from 0 to capacity: the highest total price of sizes (ascending) that fit, and the size to take first (-1: a free token)."""
+    value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
+    for room in range(1, capacity + 1):
+        value[room] = value[room - 1]
+        if n := fitting[room]:
+            worth = value[room - sizes[:n]] + prices[:n]
+            best = int(worth.argmax())
+            if worth[best] > value[room]:
+                value[room], choice[room] = worth[best], best
+    return value, choice
+
+
+def configuration(first: int, left: np.ndarray, sizes: np.ndarray, prices: np.ndarray, value: np.ndarray, choice: np.ndarray) -> tuple[dict[int, int], int]:
+    """The best configuration with `first` in it that the stock allows (by index), and the tokens that it leaves free.
+
+    Where the table's choice is used up, the best one of those in stock stands in.
+    """
+    use, room = {first: 1}, len(value) - 1 - int(sizes[first])
+    while room > 0:
+        k = int(choice[room])
+        if k >= 0 and use.get(k, 0) >= left[k]:
+            n = int(np.searchsorted(sizes, room, side="right"))
+            worth = np.where(left[:n] > 0, value[room - sizes[:n]] + prices[:n], -1.0)
+            for i, x in use.items():
+                if i < n and x >= left[i]:
+                    worth[i] = -1.0
+            k = int(worth.argmax())
+            if worth[k] < 0:
+                break
+        if k < 0:
+            free = np.flatnonzero(choice[:room] >= 0)
+            if not len(free):
+                break
+            room = int(free[-1])
+            continue
+        use[k] = use.get(k, 0) + 1
+        room -= int(sizes[k])
+    return use, len(value) - 1 - sum(int(sizes[k]) * n for k, n in use.items())
+
+
+def priced(stock: Counter, capacity: int, rounds: int) -> Counter:
+    """Sequences by configurations of the program; takes their pieces out of the stock.
+
+    A configuration may leave no token free, as long as a round finds any such; else what it may leave is
+    raised until one is found.
+    """
+    plan: Counter = Counter()
+    lengths = np.array(sorted(stock), dtype=np.int64)
+    need = np.array([stock[int(x)] for x in lengths], dtype=np.int64)
+    left, total = need.copy(), int((lengths * need).sum())
+    kept = np.cumsum(lengths * need) <= SHORTEST * total
+    slack = 0
     for _ in range(rounds):
-        config = best_configuration(sizes, weight / need, capacity)
-        if not config:
+        live = np.flatnonzero((left > 0) & ~kept)
+        if not len(live) or (left * lengths).sum() <= REST * total:
             break
-        times = min(need[k] / n for k, n in config.items())
-        used[tuple(sorted(config.items()))] += times
-        for k, n in config.items():
-            covered[k] += n * times / need[k]
-            weight[k] *= np.exp(-STEP * n * times / need[k])
-    scale = 1 / max(float(np.median(covered)), 1e-9)
-    return [(dict(config), times * scale) for config, times in used.most_common()]
+        sizes, own, most = lengths[live], left[live], np.maximum(1, (SHARE * need[live]).astype(np.int64))
+        prices = sizes * np.exp(-STEP * (1 - own / need[live]))
+        value, choice = best_values(sizes, prices, capacity)
+        found = 0
+        for first in np.argsort(-(prices + value[capacity - sizes]), kind="stable").tolist():
+            if own[first] <= 0:
+                continue
+            use, free = configuration(first, own, sizes, prices, value, choice)
+            if free > slack:
+                continue
+            runs = max(1, min(int(min(own[k], most[k])) // n for k, n in use.items()))
+            plan[tuple(sorted((int(sizes[k]) for k, n in use.items() for _ in range(n)), reverse=True))] += runs
+            found += runs
+            for k, n in use.items():
+                own[k] -= n * runs
+        left[live] = own
+        if not found:
+            if slack >= capacity:
+                break
+            slack = min(capacity, max(1, 4 * slack))
+    for x, n in zip(lengths.tolist(), left.tolist(), strict=True):
+        stock[x] = n
+    return plan
 
 
 def fill(keys: list[int], stock: Counter, use: Counter, room: int) -> None:
@@ -93,69 +140,37 @@ def fill(keys: list[int], stock: Counter, use: Counter, room: int) -> None:
         k -= 1
 
 
+def best_fit(stock: Counter, capacity: int) -> Counter:
+    """Best fit decreasing, for all sequences of equal contents at once; empties the stock."""
+    plan, lengths = Counter(), sorted(stock)
+    while keys := [x for x in lengths if stock[x] > 0]:
+        use: Counter = Counter()
+        fill(keys, stock, use, capacity)
+        runs = min(stock[x] // n for x, n in use.items())
+        plan[tuple(sorted(use.elements(), reverse=True))] += runs
+        for x, n in use.items():
+            stock[x] -= n * runs
+    return plan
+
+
 def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
     """A packing plan: (lengths of a configuration, how many sequences use it).
 
-    Every length of the histogram is covered exactly; lengths of `capacity` fill a sequence alone.
+    Every length of the histogram is covered exactly; lengths of `capacity` fill a sequence alone. Should
+    best fit alone need fewer sequences (a few pieces, in which nothing can be rounded), its plan is taken.
     """
     stock = Counter({int(k): int(v) for k, v in histogram.items() if v > 0})
     full = stock.pop(capacity, 0)
-    plan: Counter = Counter()
-    if stock:
-        # Neighbouring lengths share a class of about equal tokens, priced at its longest length.
-        lengths = np.array(sorted(stock), dtype=np.int64)
-        demand = np.array([stock[int(x)] for x in lengths], dtype=np.float64)
-        mass = np.cumsum(lengths * demand)
-        _, cls = np.unique(np.minimum(mass / mass[-1] * CLASSES, CLASSES - 1).astype(int), return_inverse=True)
-        members = [[int(x) for x in lengths[cls == k][::-1]] for k in range(cls.max() + 1)]
-        configs = fractional(np.array([m[0] for m in members]), np.bincount(cls, weights=demand), capacity, rounds)
-        plans = [rounded(stock.copy(), configs, members, capacity, slack) for slack in (0, capacity // 512, capacity)]
-        plan = min(plans, key=lambda p: sum(p.values()))
+    plain = best_fit(stock.copy(), capacity)
+    plan = priced(stock, capacity, rounds)
+    plan += best_fit(stock, capacity)
+    if sum(plain.values()) < sum(plan.values()):
+        plan = plain
     if full:
         plan[(capacity,)] += full
     return sorted(plan.items(), reverse=True)
 
 
-def rounded(stock: Counter, configs: list[tuple[dict[int, int], float]], members: list[list[int]], capacity: int, slack: int) -> Counter:
-    """Whole sequences of the fractional solution; a configuration that leaves more than `slack` free waits for best fit."""
-    plan, lengths = Counter(), sorted(stock)
-
-    def take(use: Counter, wanted: int | None = None) -> int:
-        runs = min(stock[x] // n for x, n in use.items())
-        runs = runs if wanted is None else min(runs, wanted)
-        plan[tuple(sorted(use.elements(), reverse=True))] += runs
-        for x, n in use.items():
-            stock[x] -= n * runs
-        return runs
-
-    for config, times in configs:
-        wanted = int(times)
-        while wanted > 0:
-            # The longest members in stock stand for their class; shorter pieces fill what is left.
-            use: Counter = Counter()
-            for k, n in config.items():
-                for length in members[k]:
-                    if (more := min(n, stock[length])) > 0:
-                        use[length] += more
-                        n -= more
-                if n:
-                    use.clear()
-                    break
-            if not use:
-                break
-            fill([x for x in lengths if stock[x] > 0], stock, use, capacity - sum(x * n for x, n in use.items()))
-            if capacity - sum(x * n for x, n in use.items()) > slack:
-                break
-            wanted -= take(use, wanted)
-
-    # What rounding has left: best fit decreasing, for all sequences of equal contents at once.
-    while keys := [x for x in lengths if stock[x] > 0]:
-        use = Counter()
-        fill(keys, stock, use, capacity)
-        take(use)
-    return plan
-
-
 def seats(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
     """The plan by length: ranks from `low` to `high` - 1 of a length go to sequences from `sequence` on, at `offset`."""
     rows, used, sequence = [], Counter(), 0
