@@ -109,32 +109,13 @@ def information_shares(terms: DataFrame, keys: list[str]) -> DataFrame:
     return told.withColumn("share", F.when(every > 0, F.col("info") / every))
 
 
-def marginal(terms: DataFrame, keys: list[str], plans: DataFrame) -> DataFrame:
-    """Log marginal likelihood of all data under each plan (plan, term, alpha, k): one job for all plans.
+def log_sum_moments(bulk: Column, popularity: Column, tau: Column, sigma: Column) -> tuple[Column, Column]:
+    """Mean and sd of the logarithm of bulk * e^(tau Z1) + popularity * e^(sigma Z2), by the log-normal of equal mean and variance (Fenton and Wilkinson).
 
-    plans is a small table (plans times terms); terms' own alpha and k are put aside.
+    In logs, so that neither part overflows; a part of nothing counts as 1e-300.
     """
-    tried = terms.drop("alpha", "k").join(F.broadcast(plans), "term")
-    return posterior(tried, ["plan", *keys]).groupBy("plan").agg(F.sum("evidence").alias("loglik"))
-
-
-def fit(terms: DataFrame, keys: list[str], start: dict[str, tuple[float, float]], rounds: int = 3, width: float = 1.0) -> dict[str, tuple[float, float]]:
-    """Marginal maximum likelihood of each term's (alpha, k), by a pattern search whose every round is one job.
-
-    Terms are fitted one by one against the scores that the other terms leave, in a fixed order; the
-    driver sees one number for each plan that was tried.
-    """
-    spark = terms.sparkSession
-    best = dict(start)
-    for r in range(rounds):
-        step = width / 2**r
-        for name in sorted(best):
-            alpha, k = best[name]
-            tries = [(alpha + a * step, k * math.exp(b * step)) for a in (-1, 0, 1) for b in (-1, 0, 1)]
-            rows = [(i, term, *(tries[i] if term == name else best[term])) for i in range(len(tries)) for term in best]
-            plans = spark.createDataFrame(rows, "plan int, term string, alpha double, k double")
-            found = marginal(terms, keys, plans).collect()  # 9 rows
-            if found:
-                top = max(found, key=lambda x: (round(x["loglik"], 6), x["plan"] == 4, -x["plan"]))
-                best[name] = tries[top["plan"]]
-    return best
+    b = F.log(F.greatest(bulk, F.lit(1e-300))) + tau * tau / 2
+    p = F.log(F.greatest(popularity, F.lit(1e-300))) + sigma * sigma / 2
+    whole = F.greatest(b, p) + F.log1p(F.exp(-F.abs(b - p)))
+    spread = F.log1p(F.exp(2 * (b - whole)) * F.expm1(tau * tau) + F.exp(2 * (p - whole)) * F.expm1(sigma * sigma))
+    return whole - spread / 2, F.sqrt(spread)

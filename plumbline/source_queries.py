@@ -188,14 +188,6 @@ def model_information(spark, d):
     return model.information_shares(_model_terms(spark, d), ["family"]).select("family", "term", F.round("share", 4).alias("share"))
 
 
-@query()
-def model_fit(spark, d):
-    """Fitted (alpha, k) of each term, by marginal likelihood."""
-    terms = _model_terms(spark, d).checkpoint() if spark.sparkContext.getCheckpointDir() else _model_terms(spark, d)
-    found = model.fit(terms, ["family"], {t: (g[0], g[3]) for t, g in MODEL.items()}, rounds=2)
-    return spark.createDataFrame([(t, a, k) for t, (a, k) in sorted(found.items())], "term string, alpha double, k double")
-
-
 @query("select c_custkey, round(case when c_custkey % 7 = 0 then 1.0 else least(greatest(c_custkey % 500 / 365.0, 0), 1) end, 6) share from customer")
 def age_share(spark, d):
     k = F.col("c_custkey")
