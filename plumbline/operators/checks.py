@@ -55,24 +55,49 @@ def views_differ(chosen: DataFrame, installed: DataFrame, linux: list[str], fami
     return failure(both.withColumn("_what", what).where("_what is not null"), "desktop_views_differ", family, F.concat_ws(":", "source", "_what"))
 
 
-def raw_published(document: DataFrame, private: DataFrame, source: str, key: str, value: str, family: str) -> DataFrame:
-    """Values of private sources that a published table repeats."""
-    hits = document.where(F.col(value).isNotNull()).join(F.broadcast(private.select(source).distinct()), source, "left_semi")  # a row by source
-    return failure(hits, "raw_value_published", family, F.concat_ws(":", source, key))
+#: A number as reports write it: whole or with decimals, with or without commas between thousands.
+NUMBER = r"(?<![0-9.,])([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?(?![0-9,]|\.[0-9])"
 
 
-def share_sums(shares: DataFrame, family: str, share: str, tolerance: float = 1e-6) -> DataFrame:
-    """Families whose published shares do not sum to 1 and are not all missing."""
-    by = shares.groupBy(family).agg(F.sum(share).alias("_s"), F.count(share).alias("_n"), F.count(F.lit(1)).alias("_all"))
-    bad = (F.col("_n") > 0) & ((F.col("_n") < F.col("_all")) | (F.abs(F.col("_s") - 1) > tolerance))
-    return failure(by.where(bad), "private_share", family, F.round("_s", 6).cast("string"))
+def raw_published(reports: DataFrame, hidden: DataFrame, report: str = "report", text: str = "text") -> DataFrame:
+    """Reports that show a value which no output may show, on a line that names its font.
+
+    hidden: value (a number) and label (a name of its font). A number with decimals stands for the whole
+    numbers on both sides. Numbers of all reports meet the hidden values by equality, and the labels of
+    those alone are looked for in the line.
+    """
+    lines = reports.select(F.col(report).alias("_report"), F.explode(F.split(F.lower(text), r"\r\n|\r|\n")).alias("_line"))
+    number = F.explode(F.array_distinct(F.regexp_extract_all("_line", F.lit(NUMBER), F.lit(0)))).alias("_number")
+    shown = lines.select("*", number).withColumn("_number", F.regexp_replace("_number", ",", "").cast("decimal(38,6)"))
+    shown = shown.select("_report", "_line", F.explode(F.array_distinct(F.array(F.floor("_number").cast("decimal(38,0)"), F.ceil("_number").cast("decimal(38,0)")))).alias("_whole"))
+    value = F.col("value").cast("decimal(38,6)")
+    kept = hidden.select(F.explode(F.array_distinct(F.array(F.floor(value).cast("decimal(38,0)"), F.ceil(value).cast("decimal(38,0)")))).alias("_whole"), F.lower("label").alias("_label")).distinct()
+    hits = shown.join(kept, "_whole").where(F.col("_line").contains(F.col("_label"))).groupBy("_report").agg(F.count_distinct("_whole").alias("_n"))
+    return failure(hits, "raw_value_published", "_report", F.concat_ws(" ", F.col("_n").cast("string"), F.lit("values")))
+
+
+def share_sums(shares: DataFrame, family: str, source: str, share: str, private: list[str], digits: int = 6) -> DataFrame:
+    """Private sources that carry a published share, and families whose known open shares don't sum to 1 within their rounding.
+
+    A share that is null counts for nothing; a family all of whose open shares are null is right.
+    """
+    known = shares.where(F.col(share).isNotNull())
+    closed = F.col(source).isin(list(private))
+    by = known.where(~closed).groupBy(family).agg(F.sum(share).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    off = by.where(F.abs(F.col("_s") - 1) > F.col("_n") * F.lit(10.0**-digits))
+    return failure(known.where(closed), "private_share", family, F.col(source)).unionByName(failure(off, "private_share", family, F.round("_s", digits).cast("string")))
 
 
 def previous_differs(now: DataFrame, last: DataFrame, changed: DataFrame, keys: list[str], family: str) -> DataFrame:
-    """previous has to be the last published score; a key whose method changed starts from its own score."""
-    both = now.join(last.select(*keys, F.col("score").alias("_last")), keys, "left").join(F.broadcast(changed.select(keys[0], F.lit(True).alias("_new"))), keys[0], "left")
-    want = F.when(F.col("_new"), F.col("score")).otherwise(F.coalesce("_last", "score"))
-    return failure(both.where(~F.col("previous").eqNullSafe(want)), "previous_score", family, F.col("previous").cast("string"))
+    """previous has to be the last published score, null for what was not published then.
+
+    It is the own score where nothing at all was published before, and in a rank (keys[0]) whose method changed.
+    """
+    some = last.select(F.lit(True).alias("_some")).limit(1)  # one row or none
+    both = now.join(last.select(*keys, F.col("score").alias("_last")), keys, "left").join(F.broadcast(changed.select(keys[0], F.lit(True).alias("_new")).distinct()), keys[0], "left")
+    both = both.join(F.broadcast(some), F.lit(True), "left")
+    want = F.when(F.col("_some").isNull() | F.col("_new"), F.col("score")).otherwise(F.col("_last"))
+    return failure(both.where(~F.col("previous").eqNullSafe(want)), "previous_score", family, F.coalesce(F.col("previous").cast("string"), F.lit("null")))
 
 
 def run(checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:

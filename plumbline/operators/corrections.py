@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: What placeholders of a series' name stand for.
-PLACEHOLDERS = {"YYYY-Www": r"\d{4}-W\d{2}", "YYYY-MM": r"\d{4}-\d{2}"}
+#: Placeholders of a series' name and the form of what they stand for (a digit by 0).
+PLACEHOLDERS = {"YYYY-Www": "0000-W00", "YYYY-MM": "0000-00"}
 
 
-def series_pattern(series: str) -> str:
-    """A series' name with placeholders as an anchored pattern."""
-    out = re.escape(series)
-    for name, pattern in PLACEHOLDERS.items():
-        out = out.replace(re.escape(name), pattern)
-    return f"^{out}$"
+def of_series(column: Column, series: str) -> Column:
+    """Whether a series' name is this one, read piece by piece: fixed text as it is, a period where a placeholder stands."""
+    pieces = re.split("(" + "|".join(PLACEHOLDERS) + ")", series)
+    ok, at = F.lit(True), 1
+    for piece in pieces:
+        here = F.substring(column, at, len(piece)) if piece not in PLACEHOLDERS else F.translate(F.substring(column, at, len(PLACEHOLDERS[piece])), "123456789", "000000000")
+        ok = ok & (here == PLACEHOLDERS.get(piece, piece))
+        at += len(PLACEHOLDERS.get(piece, piece))
+    return ok & (F.length(column) == at - 1)
 
 
 def in_scopes(key: Column, scopes: list[str]) -> Column:
@@ -33,20 +37,24 @@ def selected(obs: DataFrame, collector: str, series: str, scopes: list[str] = ()
     Prereleases count for the repositories in `early` alone; assets in left_out, unpackaged keys and
     other methods don't. Missing attributes never exclude.
     """
-    ok = (F.col("source") == collector) & F.col("series").rlike(series_pattern(series)) & in_scopes(F.col("key"), list(scopes))
+    ok = (F.col("source") == collector) & of_series(F.col("series"), series) & in_scopes(F.col("key"), list(scopes))
     ok = ok & (~F.coalesce("prerelease", F.lit(False)) | F.coalesce(F.col("repo").isin(list(early)), F.lit(False)))
     ok = ok & ~F.coalesce(F.col("base").isin(list(left_out)), F.lit(False)) & F.coalesce("packaged", F.lit(True))
     return obs.where(ok & (F.col("method").isNull() | F.col("method").isin(list(methods)))) if methods else obs.where(ok)
 
 
-def release_history(obs: DataFrame, mode: str, repo: str = "repo", tag: str = "release", day: str = "published") -> DataFrame:
-    """All releases, those of the last 24 months of the data ('24months'), or the latest 24 by repository ('latest24')."""
+def release_history(obs: DataFrame, mode: str, repo: str = "repo", tag: str = "release", day: str = "published", start: str = "start") -> DataFrame:
+    """All releases, those of the last 24 months of the data ('24months'), or the latest 24 by repository ('latest24').
+
+    A release without a day of publication counts from its observation's start.
+    """
+    since = F.coalesce(day, start)
     if mode == "24months":
         last = obs.agg(F.max("end").alias("_last"))
-        return obs.join(F.broadcast(last)).where(F.col(day) >= F.date_sub("_last", 730)).drop("_last")  # one row
+        return obs.join(F.broadcast(last)).where(since >= F.date_sub("_last", 730)).drop("_last")  # one row
     if mode == "latest24":
-        turn = Window.partitionBy(repo).orderBy(F.desc(day), F.desc(tag))
-        releases = obs.select(repo, tag, day).distinct().withColumn("_n", F.row_number().over(turn)).where("_n <= 24")
+        turn = Window.partitionBy(repo).orderBy(F.desc("_since"), F.desc(tag))
+        releases = obs.select(repo, tag, since.alias("_since")).distinct().withColumn("_n", F.row_number().over(turn)).where("_n <= 24")
         return obs.join(releases.select(repo, tag).distinct(), [repo, tag], "left_semi")
     return obs
 
@@ -97,15 +105,32 @@ def without_abstaining(terms: DataFrame, abstaining: DataFrame, views: list[str]
     return out.where(~(F.col("view").isin(views) & F.col("_gone").isNotNull())).drop("_gone")
 
 
-def cases(abstaining: DataFrame, shares: DataFrame, ruled: DataFrame, least: float, family: str) -> DataFrame:
-    """Cases for the owner: abstentions and dependency shares of some size, with whether they are ruled on."""
-    a = abstaining.select("source", family, "reason")
-    b = shares.where(F.col("share") >= least).select("source", family, F.lit("dependency").alias("reason"))
-    both = a.unionByName(b).groupBy("source", family).agg(F.max("reason").alias("reason"))
-    prefix = F.when(F.col("reason") == "preinstalled", "pre").otherwise("dep")
-    base = F.concat_ws("-", prefix, "source", F.col(family).cast("string"))
-    both = both.withColumn("case", case_id(base))
-    return both.join(ruled.select("case", F.lit(True).alias("ruled")), "case", "left").withColumn("ruled", F.coalesce("ruled", F.lit(False)))
+#: How the ids of the kinds of cases begin, and the answer that overrules one.
+CASES, OVERRULED = {"preinstalled": "pre", "dependency": "dep", "review": "rev"}, "b"
+
+
+def cases(abstaining: DataFrame, shares: DataFrame, terms: DataFrame, rulings: DataFrame, abstain: float, review: float, family: str) -> DataFrame:
+    """Cases for the owner (case, kind, source, family, share, status) on families that the source has a term for.
+
+    abstaining has a row by source and family with why ('preinstalled' or 'dependency') and share; shares
+    the largest dependency share by source and family. A share of `abstain` or more makes a dependency
+    case, one of `review` or more a review case, where the family doesn't abstain already; a preinstalled
+    case that was overruled leaves it to its share. rulings (case, answer): none makes a case new.
+    """
+    ruled = rulings.select("case", F.when(F.col("answer") == OVERRULED, "overruled").otherwise("accepted").alias("_status"))
+
+    def named(df: DataFrame) -> DataFrame:
+        prefix = F.create_map(*[F.lit(x) for kind in CASES.items() for x in kind])[F.col("kind")]
+        out = df.withColumn("case", case_id(F.concat_ws("-", prefix, "source", F.col(family).cast("string"))))
+        return out.join(ruled, "case", "left").select("case", "kind", "source", family, "share", F.coalesce("_status", F.lit("new")).alias("status"))
+
+    has = terms.select("source", family).distinct()
+    first = named(abstaining.select("source", family, F.col("why").alias("kind"), "share").join(has, ["source", family], "left_semi"))
+    settled = first.where((F.col("kind") == "dependency") | (F.col("status") != "overruled"))
+    kind = F.when(F.round("share", 6) >= abstain, "dependency").when(F.round("share", 6) >= review, "review")
+    rest = shares.select("source", family, F.round("share", 6).alias("share"), kind.alias("kind")).where("kind is not null")
+    rest = rest.join(has, ["source", family], "left_semi").join(settled.select("source", family), ["source", family], "left_anti")
+    return first.unionByName(named(rest))
 
 
 def case_id(base: Column) -> Column:
@@ -113,11 +138,25 @@ def case_id(base: Column) -> Column:
     return F.when(F.length(base) <= 64, base).otherwise(F.concat_ws("-", F.substring(base, 1, 55), F.substring(F.sha2(base, 256), 1, 8)))
 
 
-def width_parents(names: DataFrame, key: str, suffixes: list[str]) -> DataFrame:
-    """(key, parent): keys that are another key with a width or weight word behind it."""
-    cut = F.regexp_replace(F.col(key), "(" + "|".join(suffixes) + ")$", "")
-    own = names.select(key, cut.alias("parent")).where((F.col("parent") != F.col(key)) & (F.col("parent") != ""))
-    return own.join(names.select(F.col(key).alias("parent")), "parent", "left_semi").select(key, "parent")
+#: Words of a width, words of degree that may stand before one, and the weight that counts as one.
+WIDTHS, DEGREES, HEAVY = ("condensed", "narrow", "compressed"), ("semi", "extra", "ultra"), "black"
+
+
+def without_width(name: Column) -> Column:
+    """A name without a width at its end, with the word of degree before it, or joined to it; only whole words count, and null if it ends in none."""
+    words = F.split(F.trim(name), r"\s+")
+    n, last = F.size(words), F.lower(F.element_at(words, -1))
+    joined = [f"{d}{mark}{w}" for w in WIDTHS for d in DEGREES for mark in ("", "-")]
+    degree = F.lower(F.get(words, n - 2)).isin(*DEGREES)
+    taken = F.when(last.isin(*WIDTHS), F.when(degree, 2).otherwise(1)).when(last.isin(HEAVY, *joined), 1)
+    return F.when(n > taken, F.array_join(F.slice(words, 1, n - taken), " "))
+
+
+def width_parents(names: DataFrame, name: str, fold: Callable[[Column], Column]) -> DataFrame:
+    """(name, parent): names that are another one, by their folded forms, with a width behind it."""
+    own = names.select(name, fold(without_width(F.col(name))).alias("_fold")).where("_fold is not null")
+    other = names.select(F.col(name).alias("parent"), fold(F.col(name)).alias("_fold"))
+    return own.join(other, "_fold").where(F.col(name) != F.col("parent")).select(name, "parent")
 
 
 def shares_repository(a: DataFrame, b: DataFrame, family: str, repos: str) -> DataFrame:

@@ -229,7 +229,20 @@ def text_print(text: Column, starts: list[str] = BODY_STARTS) -> Column:
 
 
 def mentions(text: Column, phrases: dict[str, str]) -> Column:
-    """Names of the phrases whose words stand in the text one after another, sorted."""
+    """Names of the phrases whose words stand in the text one after another, sorted.
+
+    A phrase that was found is taken out of the text before shorter ones are looked for, so one inside
+    another isn't found with it; phrases are looked for from the longest on.
+    """
     flat = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    return F.array_sort(F.array_compact(F.array(*[F.when(flat.contains(f" {p} "), F.lit(n)) for n, p in phrases.items()])))
+    order = sorted(phrases.items(), key=lambda x: (-len(x[1].split()), -len(x[1]), x[0]))
+    start = F.struct(flat.alias("text"), F.array().cast("array<string>").alias("found"))
+    listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(f" {p} ").alias("phrase")) for n, p in order])
+    step = lambda a, x: F.when(a["text"].contains(x["phrase"]), F.struct(F.replace(a["text"], x["phrase"], F.lit(" # ")).alias("text"), F.array_append(a["found"], x["name"]).alias("found"))).otherwise(a)
+    return F.array_sort(F.array_distinct(F.aggregate(listed, start, step, lambda a: a["found"])))
 
+
+def restrictions(text: Column, phrases: list[str]) -> Column:
+    """The phrases that the text holds, in their order."""
+    flat = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    return F.filter(F.array(*[F.lit(p) for p in phrases]), lambda p: flat.contains(F.concat(F.lit(" "), p, F.lit(" "))))

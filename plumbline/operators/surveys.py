@@ -50,11 +50,15 @@ def score(terms: DataFrame, ruler: DataFrame, weights: DataFrame, family: str, g
     return scoring.guarded(used.drop("x").join(z.drop("x"), ["source", family]), [family], **guard)
 
 
-def placed(scored: DataFrame, groups: DataFrame, family: str, top: int, least_groups: int = 2, least_observed: int = 1) -> DataFrame:
-    """Places of the families with enough observed terms; the gate asks for groups among score and gate-only terms."""
+def placed(scored: DataFrame, groups: DataFrame, family: str, top: int, least_groups: int = 2, least_observed: int = 1, ruler_z: str | None = None, name: Column | None = None) -> DataFrame:
+    """Places of the families with enough observed terms; the gate asks for groups among score and gate-only terms.
+
+    Equal scores go by weight, then by the ruler's z (none comes last), then by the folded name, then by id.
+    """
     both = scored.join(groups, family).where(F.col("n_observed") >= least_observed)
     both = both.withColumn("passes", F.size("groups") + F.size("gate_groups") >= least_groups)
-    return scoring.placed(both, "score", [F.desc("score"), F.desc("weight"), family], "passes", top)
+    ties = ([F.desc_nulls_last(ruler_z)] if ruler_z else []) + ([F.lower(name)] if name is not None else [])
+    return scoring.placed(both, "score", [F.desc("score"), F.desc("weight"), *ties, family], "passes", top)
 
 
 def overall(parts: DataFrame, weights: DataFrame, family: str, kappa: float = 0.2) -> DataFrame:

@@ -426,13 +426,13 @@ _MEMBER = """, w as (select family, sum(value) x, date_trunc('week', day)::date
 
 
 @query(sql(_MEMBER + """, k as (select family from n where place <= 5), j as (select coalesce(n.family, a.family) family, place, a.family is not null was, place <= 60 or k.family is not null inside from n full join a on n.family = a.family left join k on k.family = n.family)
- select family, case when was then coalesce(inside, false) or 1 < 2 else place <= 40 end as member, case when was then date '2024-01-08' else date '2024-01-15' end entered, (case when was and not coalesce(inside, false) then 1 else 0 end)::int runs_outside from j where was or place <= 40""", "obs"))
+ select family, case when was then coalesce(inside, false) or family % 2 + 1 < 2 else place <= 40 end as member, case when was then date '2024-01-08' else date '2024-01-15' end entered, (case when was and not coalesce(inside, false) then family % 2 + 1 else 0 end)::int runs_outside from j where was or place <= 40""", "obs"))
 def hysteresis_membership(spark, d):
-    """Two weeks of events, by their design: the first week's top 40 are the members that the second week finds."""
+    """Two weeks of events: the first week's top 40 are the members that the second week finds; every other one was outside once already."""
     w = observations(spark, d).groupBy("family", F.col("week").alias("wk")).agg(F.round(F.sum("value"), 2).alias("x"))
     o = row_numbers(w, ["wk"], "x", [F.desc("x"), "family"], falling=True)
     week = lambda s: o.where(F.col("wk") == F.to_date(F.lit(s)))
-    state = week("2024-01-08").where("place <= 40").select("family", F.lit(True).alias("member"), F.to_date(F.lit("2024-01-08")).alias("entered"), F.lit(0).alias("runs_outside"))
+    state = week("2024-01-08").where("place <= 40").select("family", F.lit(True).alias("member"), F.to_date(F.lit("2024-01-08")).alias("entered"), (F.col("family") % 2).cast("int").alias("runs_outside"))
     now = week("2024-01-15").select("family", "place")
     return timeseries.hysteresis(now, state, [], "family", 40, 60, 2, 45, F.to_date(F.lit("2024-01-15")), now.where("place <= 5").select("family"))
 

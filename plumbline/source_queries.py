@@ -101,13 +101,17 @@ def weekly_sites(spark, d):
     return records.weekly_sites(rows, "week", "site", "name", F.lower("name"))
 
 
-@query("""select p_partkey, 'font' || p_partkey % 10 || case when p_partkey % 3 = 0 then '.tar.gz' else '' end as base, case when p_partkey % 2 = 0 then 'own/repo' || p_size else 'named/repo' end repo from part""")
+@query("""with p as (select p_partkey, regexp_replace(p_name, '[^A-Za-z]', '', 'g') n, (p_size % 9) || '.' || (p_partkey % 12) v, p_size from part)
+ select p_partkey, n || case p_partkey % 5 when 1 then '-ttf' else '' end || case when p_partkey % 3 = 0 then '.tar.gz' when p_partkey % 3 = 1 then '.tar.xz' else '.zip' end as base, case when p_partkey % 2 = 0 then 'own/repo' || p_size else 'named/repo' end repo from p""")
 def asset_names(spark, d):
+    """Files of a release that carry its version in several ways, another version, or a commit; all releases of one come to one key."""
     k = F.col("p_partkey")
-    font = F.concat(F.lit("font"), (k % 10).cast("string"))
-    name = F.concat(F.lit("a/b/"), font, F.when(k % 3 == 0, ".tar.gz").when(k % 3 == 1, ".tar.xz").otherwise(".zip"))
-    key = F.concat(F.lit("Own/Repo"), F.col("p_size").cast("string"), F.lit("/"), font)
-    return table(spark, d, "part").select("p_partkey", records.asset_base(name).alias("base"), records.repository(F.when(k % 2 == 1, "Named/Repo"), key).alias("repo"))
+    n, v = F.regexp_replace("p_name", "[^A-Za-z]", ""), F.concat((F.col("p_size") % 9).cast("string"), F.lit("."), (k % 12).cast("string"))
+    stem = F.when(k % 5 == 0, F.concat(n, F.lit("-v"), v)).when(k % 5 == 1, F.concat(n, F.lit("_"), v, F.lit("-ttf"))).when(k % 5 == 2, F.concat(n, F.lit("-3f174fcef6"))).when(k % 5 == 3, F.concat(n, F.lit("_v77.1_2"))).otherwise(n)
+    name = F.concat(stem, F.when(k % 3 == 0, ".tar.gz").when(k % 3 == 1, ".tar.xz").otherwise(".zip"))
+    key = F.concat(F.lit("Own/Repo"), F.col("p_size").cast("string"), F.lit("/x"))
+    tag = F.concat(F.lit("release-"), F.when(k % 5 < 2, v).otherwise(""))
+    return table(spark, d, "part").select("p_partkey", records.asset_key(name, tag).alias("base"), records.repository(F.when(k % 2 == 1, "Named/Repo"), key).alias("repo"))
 
 
 # --- gates -----------------------------------------------------------------------------------------------

@@ -167,9 +167,44 @@ def weekly_sites(rows: DataFrame, week: str, site: str, name: str, fold: Column)
     return sites.join(spelled, "fold").select(week, "fold", "spelling", "sites")
 
 
+#: Endings of archives and font files that stay with an asset's name.
+ENDINGS = (".tar.xz", ".tar.gz", ".tar.bz2", ".tar.zst", ".tgz", ".txz", ".zip", ".7z", ".ttf", ".otf", ".ttc", ".woff", ".woff2", ".dmg", ".pkg")
+
+
+#: Fixed value: a version of two parts or more between separators.
+VERSION = r"(?:^|[-_. ])[vV]?\d+(?:[._]\d+)+(?=$|[-_. ])"
+
+
 def asset_base(name: Column) -> Column:
     """A release file's name without its folder and a final .zip or .tar.xz."""
-    return F.regexp_replace(F.substring_index(name, "/", -1), r"\.(zip|tar\.xz)$", "")
+    bare = F.substring_index(name, "/", -1)
+    return F.when(bare.endswith(".tar.xz"), F.left(bare, F.length(bare) - 7)).when(bare.endswith(".zip"), F.left(bare, F.length(bare) - 4)).otherwise(bare)
+
+
+def tag_version(tag: Column) -> Column:
+    """The version a tag names: its longest run of digits with dots or underscores between them, the first of equals; null without digits."""
+    runs = F.regexp_extract_all(tag, F.lit("[0-9]+(?:[._][0-9]+)*"), F.lit(0))
+    longest = F.array_max(F.transform(runs, F.length))
+    return F.get(F.filter(runs, lambda r: F.length(r) == longest), F.lit(0))
+
+
+def asset_key(name: Column, tag: Column) -> Column:
+    """A release file's name without versions, so that all releases of an asset share it; its ending stays.
+
+    The tag's version, any other one of several parts (both between separators, with or without a v before
+    them) and a commit's hash at the end go, in this order. A name of which nothing would be left stays as
+    it is.
+    """
+    ending = F.coalesce(*[F.when(F.lower(name).endswith(e) & (F.length(name) > len(e)), F.right(name, F.lit(len(e)))) for e in ENDINGS], F.lit(""))
+    stem = F.left(name, F.length(name) - F.length(ending))
+    version = tag_version(tag)
+    own = F.concat(F.lit(r"(?:^|[-_. ])[vV]?\Q"), version, F.lit(r"\E(?=$|[-_. ])"))
+    stem = F.when(version.isNotNull(), F.regexp_replace(stem, own, F.lit(""))).otherwise(stem)
+    stem = F.regexp_replace(stem, VERSION, "")
+    commit = F.regexp_extract(stem, "[-_]([0-9a-f]{7,12})$", 1)
+    stem = F.when(commit.rlike("[0-9]") & commit.rlike("[a-f]"), F.left(stem, F.length(stem) - F.length(commit) - 1)).otherwise(stem)
+    stem = F.regexp_replace(stem, "^[-_. ]+|[-_. ]+$", "")
+    return F.when(stem == "", name).otherwise(F.concat(stem, ending))
 
 
 def repository(repo: Column, key: Column) -> Column:

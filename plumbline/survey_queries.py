@@ -111,12 +111,14 @@ def published_orders(spark, d):
     return surveys.published(p, ["list"], "family", 20, held).select("family", "published")
 
 
-@query(sql(f""", v as (select family, source, case when x < 60 then 'too_new' when x < 100 then 'censored' else 'observed' end st from terms), view as (select * from v where source in ('click', 'purchase')), placed as (select distinct family from view where st = 'observed'),
+@query(sql(""", v as (select family, source, case when source in ('click', 'purchase') then case family % 5 when 0 then 'too_new' when 1 then 'censored' else 'observed' end when family % 3 = 0 then 'observed' else 'censored' end st from terms), view as (select * from v where source in ('click', 'purchase')), placed as (select distinct family from view where st = 'observed'),
  lost as (select distinct a.family from v a where source in ('view', 'signup') and st = 'observed')
  select f.family, case when lost.family is not null then 'no_deliberate_evidence' when f.family in (select family from view where st = 'too_new') then 'too_new' else 'no_evidence' end reason from (select distinct family from terms) f left join lost using (family) where f.family not in (select family from placed)""", "terms"))
 def unranked_reasons(spark, d):
-    """A view of two sources against one of four: why families without an observed term in it have no place."""
-    v = terms(spark, d).withColumn("state", F.when(F.col("x") < 60, "too_new").when(F.col("x") < 100, "censored").otherwise("observed"))
+    """A view of two sources against one of four, with families that are too new, censored or seen elsewhere alone."""
+    part = F.col("family") % 5
+    inside = F.when(part == 0, "too_new").when(part == 1, "censored").otherwise("observed")
+    v = terms(spark, d).withColumn("state", F.when(F.col("source").isin("click", "purchase"), inside).when(F.col("family") % 3 == 0, "observed").otherwise("censored"))
     view = v.where(F.col("source").isin("click", "purchase"))
     return surveys.unranked_reasons(v, view.where("state = 'observed'").select("family").distinct(), view, v, ["view", "signup"], "family")
 
@@ -132,10 +134,14 @@ def selected_observations(spark, d):
     return corrections.selected(obs, "view", "YYYY-MM", ["@fonts"], list(range(20))).select("event_id", "event_type")
 
 
-@query("with r as (select *, row_number() over (partition by o_custkey order by o_orderdate::date desc, o_orderkey desc) n from orders) select o_custkey as repo, o_orderkey as release from r where n <= 24")
+@query("""with o as (select o_custkey, o_orderkey, coalesce(case when o_orderkey % 5 > 0 then o_orderdate::date end, o_orderdate::date - 400) s from orders), r as (select *, row_number() over (partition by o_custkey order by s desc, o_orderkey desc) n from o),
+ m as (select max(o_orderdate::date) - 730 c from orders) select o_custkey as repo, o_orderkey as release, 'latest24' as mode from r where n <= 24 union all select o_custkey, o_orderkey, '24months' from o, m where s >= c""")
 def release_history(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("repo"), F.col("o_orderkey").alias("release"), F.to_date("o_orderdate").alias("published"))
-    return corrections.release_history(o, "latest24").select("repo", "release")
+    """Orders as releases, of which one in five has no day of publication, only a start."""
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("repo"), k.alias("release"), F.when(k % 5 > 0, day).alias("published"), F.date_sub(day, 400).alias("start"), day.alias("end"))
+    modes = [corrections.release_history(o, m).select("repo", "release", F.lit(m).alias("mode")) for m in ("latest24", "24months")]
+    return modes[0].unionByName(modes[1])
 
 
 @query("""with v as (select c_custkey k, c_nationkey g, c_acctbal x, min(o_orderdate::date) s, date '1998-07-01' e from customer left join orders on o_custkey = c_custkey group by all), t as (select *, g < 10 and (s is null or (year(e) - year(s)) * 12 + month(e) - month(s) + 1 >= 60) long from v), f as (select coalesce(quantile_cont(x, 0.1), 0) fl from t where long and x > 0)
@@ -166,19 +172,28 @@ def view_assembly(spark, d):
     return corrections.without_abstaining(every, t.where("source = 'click' and x < 100"), ["chosen"], "family").select("view", "source", "family")
 
 
-@query(sql(""", a as (select source, family, 'preinstalled' reason from terms where source = 'click' and x < 60), s as (select source, family, 'dependency' reason from terms where source in ('click', 'view') and x >= 200), b as (select source, family, max(reason) reason from (select * from a union all select * from s) group by all),
- c as (select *, case reason when 'preinstalled' then 'pre' else 'dep' end || '-' || source || '-' || family as k from b) select k as "case", source, family, reason, family < 50 as ruled from c""", "terms"))
+@query(sql(""", a as (select source, family, case when family % 2 = 0 then 'preinstalled' else 'dependency' end why, 0.9 share from terms where source = 'click' and x < 120), s as (select source, family, round(x / 1000, 6) share from terms where source in ('click', 'view')),
+ f as (select a.*, case why when 'preinstalled' then 'pre-' else 'dep-' end || source || '-' || family as c from a), g as (select f.*, case when family % 3 = 0 then 'overruled' when family % 3 = 1 then 'accepted' else 'new' end st from f),
+ r as (select source, family, share, case when share >= 0.2 then 'dependency' when share >= 0.1 then 'review' end kind from s where share >= 0.1 and not exists (select 1 from g where g.source = s.source and g.family = s.family and not (why = 'preinstalled' and st = 'overruled')))
+ select c as "case", why kind, source, family, share, st status from g union all
+ select case kind when 'dependency' then 'dep-' else 'rev-' end || source || '-' || family, kind, source, family, share, case when family % 3 = 0 then 'overruled' when family % 3 = 1 then 'accepted' else 'new' end from r""", "terms"))
 def case_build(spark, d):
+    """Abstentions of both kinds and shares on both sides of both thresholds, with rulings that accept and overrule."""
     t = terms(spark, d)
+    a = t.where("source = 'click' and x < 120").select("source", "family", F.when(F.col("family") % 2 == 0, "preinstalled").otherwise("dependency").alias("why"), F.lit(0.9).alias("share"))
     shares = t.where("source in ('click', 'view')").withColumn("share", F.col("x") / 1000)
-    ruled = t.where("family < 50").select(F.explode(F.array(*[F.concat(F.lit(p), "source", F.lit("-"), F.col("family").cast("string")) for p in ("pre-", "dep-")])).alias("case")).distinct()
-    return corrections.cases(t.where("source = 'click' and x < 60").withColumn("reason", F.lit("preinstalled")), shares, ruled, 0.2, "family").select("case", "source", "family", "reason", "ruled")
+    case = F.explode(F.array(*[F.concat(F.lit(p), "source", F.lit("-"), F.col("family").cast("string")) for p in ("pre-", "dep-", "rev-")]))
+    rulings = t.where("family % 3 < 2").select(case.alias("case"), F.when(F.col("family") % 3 == 0, "b").otherwise("a").alias("answer")).distinct()
+    return corrections.cases(a, shares, t, rulings, 0.2, 0.1, "family")
 
 
-@query("""with n as (select distinct regexp_replace(lower(p_name), '[^a-z]', '', 'g') || case when p_size <= 10 then 'condensed' when p_size <= 20 then 'black' else '' end k from part), p as (select k, regexp_replace(k, '(condensed|narrow|compressed|black)$', '') parent from n) select k, parent from p where k <> parent and parent <> '' and parent in (select k from n)""")
+@query("""with n as (select distinct p_name || case p_size % 8 when 0 then ' Condensed' when 1 then ' Extra Narrow' when 2 then ' semi-compressed' when 3 then ' black' when 4 then 'black' when 5 then ' UltraCondensed' else '' end k from part),
+ p as (select k, lower(regexp_replace(k, '\\s+((semi|extra|ultra)[\\s-]?)?(condensed|narrow|compressed)$|\\s+black$', '', 'i')) f from n) select p.k, n.k parent from p join n on p.f = lower(n.k) where p.f <> lower(p.k) and p.f <> ''""")
 def width_parents(spark, d):
-    k = F.concat(F.regexp_replace(F.lower("p_name"), "[^a-z]", ""), F.when(F.col("p_size") <= 10, "condensed").when(F.col("p_size") <= 20, "black").otherwise(""))
-    return corrections.width_parents(table(spark, d, "part").select(k.alias("k")).distinct(), "k", ["condensed", "narrow", "compressed", "black"])
+    """Part names with widths behind them, in all ways of writing; 'xblack' is no width."""
+    ends = F.array(*[F.lit(x) for x in (" Condensed", " Extra Narrow", " semi-compressed", " black", "black", " UltraCondensed", "", "")])
+    k = F.concat("p_name", F.get(ends, F.col("p_size") % 8))
+    return corrections.width_parents(table(spark, d, "part").select(k.alias("k")).distinct(), "k", F.lower)
 
 
 @query("""with a as (select l_partkey f, list(distinct l_suppkey) r from lineitem where l_returnflag = 'A' group by 1), b as (select l_partkey f, list(distinct l_suppkey) r from lineitem where l_returnflag = 'R' group by 1) select a.f, list_has_any(a.r, b.r) same from a join b using (f)""")
@@ -246,9 +261,11 @@ def license_crosscheck(spark, d):
     return licences.cross_checked(facts, "fam", "s", "e", ["gr", "arch", "deb"], known)
 
 
-@query("""select doc_id, list_filter(['apache', 'mit'], lambda x: case x when 'mit' then contains(t, ' mit license ') else contains(t, ' apache license ') end) as found from (select doc_id, ' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ' as t from documents)""")
+@query("""select doc_id, list_filter(['apache', 'gpl', 'lgpl', 'mit'], lambda x: case x when 'mit' then contains(t, ' mit license ') when 'apache' then contains(t, ' apache license ') when 'lgpl' then contains(t, ' lesser general public license ') else contains(replace(t, ' lesser general public license ', ' # '), ' general public license ') end) as found from (select doc_id, ' ' || trim(regexp_replace(lower(text || case doc_id % 3 when 0 then ' GNU Lesser General Public License' when 1 then ' the general public license' else '' end), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ' as t from documents)""")
 def license_mentions(spark, d):
-    return table(spark, d, "documents").select("doc_id", licences.mentions(F.col("text"), {"mit": "mit license", "apache": "apache license"}).alias("found"))
+    """Texts that end in a longer licence name, in a shorter one that stands inside it, or in neither."""
+    more = F.when(F.col("doc_id") % 3 == 0, " GNU Lesser General Public License").when(F.col("doc_id") % 3 == 1, " the general public license").otherwise("")
+    return table(spark, d, "documents").select("doc_id", licences.mentions(F.concat("text", more), {"mit": "mit license", "gpl": "general public license", "apache": "apache license", "lgpl": "lesser general public license"}).alias("found"))
 
 
 # --- links -------------------------------------------------------------------------------------------------
@@ -276,13 +293,16 @@ def link_choice(spark, d):
 # --- checks and flags --------------------------------------------------------------------------------------
 
 
-@query(sql(""", bad as (select distinct family from obs where source = 'error' and value > 150)
+@query(sql(""", bad as (select distinct family from obs where source = 'error' and value > 150),
+ ps as (select source, family, case when source = 'view' and family % 7 > 0 or source = 'click' and family % 5 = 0 then null else x / sum(x) filter (where source <> 'view' and not (source = 'click' and family % 5 = 0)) over (partition by family) * (case when family % 11 = 0 then 1.1 else 1 end) end s from terms)
  select 'ineligible_ranked' as "check", family::varchar family, 'terms' as what from terms join bad using (family) group by family union all
  select 'ineligible_ranked', family::varchar, 'ruler' from counts join bad using (family) union all
  select 'alias_target', k::varchar, b from (select p_partkey k, p_brand b from part) where b not in (select p_brand from part where p_size > 49) union all
- select 'private_share', family::varchar, round(sum(s), 6)::varchar from (select family, x / 1000 s from terms) group by family having abs(sum(s) - 1) > 1e-6 union all
+ select 'private_share', family::varchar, 'view' from ps where source = 'view' and s is not null union all
+ select 'private_share', family::varchar, round(sum(s), 6)::varchar from ps where source <> 'view' group by family having count(s) > 0 and abs(sum(s) - 1) > count(s) * 0.01 union all
  select 'fot_only_ranked', family::varchar, 'view' from (select family from terms where x >= 200 group by 1 having count(*) = 1 and max(source) = 'view') union all
- select 'raw_value_published', family::varchar, source || ':' || family from terms where source = 'error' and x > 300 union all
+ select 'raw_value_published', r, count(distinct v) || ' values' from (select distinct 'r' || o.family % 5 r, h.v from (select family, floor(x) v from terms where source = 'error' and x > 100 union select family, ceil(x) from terms where source = 'error' and x > 100) h
+  join (select family, floor(x + family % 3) v from terms where source = 'error' union select family, ceil(x + family % 3) from terms where source = 'error') o on o.v = h.v and contains('font' || o.family || ';', 'font' || h.family || ';')) group by r union all
  select 'rerun_differs', family::varchar, case when family % 2 = 0 then 'changed' else 'gone' end from terms where source = 'click' and x > 250""", "obs", "terms", "counts"))
 def hard_checks(spark, d):
     """Several checks over tables with planted faults, as one table of failures."""
@@ -293,12 +313,20 @@ def hard_checks(spark, d):
     stated = t.where("x >= 200").withColumn("state", F.lit("observed"))
     clicks = t.where("source = 'click'")
     again = clicks.where("not (x > 250 and family % 2 = 1)").withColumn("x", F.when(F.col("x") > 250, F.col("x") + 1).otherwise(F.col("x")))
+    # Shares of which some are null, some carry a private source, and some don't sum to 1.
+    unknown = ((F.col("source") == "view") & (F.col("family") % 7 > 0)) | ((F.col("source") == "click") & (F.col("family") % 5 == 0))
+    open_ = t.where((F.col("source") != "view") & ~unknown).groupBy("family").agg(F.sum("x").alias("_sum"))
+    shares = t.join(open_, "family", "left").withColumn("s", F.when(~unknown, F.col("x") / F.col("_sum") * F.when(F.col("family") % 11 == 0, 1.1).otherwise(1.0)))
+    # Five reports, a line by font; values that were moved are not the hidden ones.
+    errors, label = t.where("source = 'error'"), F.concat(F.lit("font"), F.col("family").cast("string"), F.lit(";"))
+    line = F.concat(F.lit("| Font"), F.col("family").cast("string"), F.lit("; | "), F.format_number(F.col("x") + F.col("family") % 3, 2), F.lit(" |"))
+    reports = errors.groupBy(F.concat(F.lit("r"), (F.col("family") % 5).cast("string")).alias("report")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("text"))
     return checks.run({
         "ineligible_ranked": lambda: checks.ineligible_ranked(bad, {"terms": t, "ruler": c}, "family"),
         "alias_target": lambda: checks.subset(part, known, ["b"], "alias_target", "k"),
-        "private_share": lambda: checks.share_sums(t.withColumn("s", F.col("x") / 1000), "family", "s"),
+        "private_share": lambda: checks.share_sums(shares, "family", "source", "s", ["view"], 2),
         "fot_only_ranked": lambda: checks.single_source_ranked(stated, stated.select("family").distinct(), "view", "family"),
-        "raw_value_published": lambda: checks.raw_published(t.where("source = 'error' and x > 300").withColumn("k", F.col("family").cast("string")), spark.createDataFrame([("error",)], "source string"), "source", "k", "x", "family"),
+        "raw_value_published": lambda: checks.raw_published(reports, errors.where("x > 100").select(F.col("x").alias("value"), label.alias("label"))),
         "rerun_differs": lambda: checks.rerun_differs(clicks, again, ["source", "family"], "family"),
     })
 
@@ -311,12 +339,13 @@ def desktop_views_differ(spark, d):
     return checks.views_differ(c, a, ["click"], "family")
 
 
-@query(sql(""", p as (select source, family, x score, case when family < 20 then x + 1 else x end previous from terms), l as (select source, family, x score from terms where family % 3 <> 0)
- select 'previous_score' as "check", family::varchar family, previous::varchar what from p where family < 20""", "terms"))
+@query(sql(""", p as (select source, family, x score, case when family < 20 then x + 1 when family % 3 = 0 and family % 2 = 0 then null else x end previous from terms), l as (select source, family, x score from terms where family % 3 <> 0)
+ select 'previous_score' as "check", p.family::varchar family, coalesce(previous::varchar, 'null') what from p left join l using (source, family) where previous is distinct from (case when source = 'error' then p.score else l.score end)""", "terms"))
 def previous_scores(spark, d):
+    """Last scores of two thirds of the families; one rank's method has changed."""
     t = terms(spark, d).withColumnRenamed("x", "score")
-    now = t.withColumn("previous", F.when(F.col("family") < 20, F.col("score") + 1).otherwise(F.col("score")))
-    return checks.previous_differs(now, t.where("family % 3 <> 0"), spark.createDataFrame([("error",)], "source string"), ["source", "family"], "family")
+    kept = F.when(F.col("family") < 20, F.col("score") + 1).when(F.col("family") % 6 == 0, None).otherwise(F.col("score"))
+    return checks.previous_differs(t.withColumn("previous", kept), t.where("family % 3 <> 0"), spark.createDataFrame([("error",)], "source string"), ["source", "family"], "family")
 
 
 @query(sql(""", w as (select family, source, row_number() over (partition by source order by x desc, family) p from terms where source in ('click', 'view')), b as (select family from w where source = 'click' and p <= 40), n as (select family from w where source = 'view' and p <= 40)
@@ -349,10 +378,10 @@ def overlap_flags(spark, d):
     return checks.overlap_flags(n, 500)
 
 
-@query("""with n as (select o_orderpriority p, sum(o_totalprice) x from orders where year(o_orderdate) = 1996 group by 1), b as (select o_orderpriority p, sum(o_totalprice) x from orders where year(o_orderdate) = 1998 group by 1) select p, round(n.x / b.x - 1, 6) growth from n join b using (p) where n.x > 1.2 * b.x""")
+@query("""with n as (select o_orderpriority || o_orderstatus p, sum(o_totalprice) x from orders where year(o_orderdate) = 1996 group by 1), b as (select o_orderpriority || o_orderstatus p, sum(o_totalprice) x from orders where year(o_orderdate) = 1998 group by 1) select p, round(n.x / b.x - 1, 6) growth from n join b using (p) where n.x > 1.2 * b.x""")
 def growth_flags(spark, d):
-    o = table(spark, d, "orders")
-    year = lambda y: o.where(F.year("o_orderdate") == y).groupBy(F.col("o_orderpriority").alias("p")).agg(F.sum("o_totalprice").alias("x"))
+    o = table(spark, d, "orders").withColumn("p", F.concat("o_orderpriority", "o_orderstatus"))
+    year = lambda y: o.where(F.year("o_orderdate") == y).groupBy("p").agg(F.sum("o_totalprice").alias("x"))
     return checks.growth_flags(year(1996), year(1998), "p", "x")
 
 
