@@ -25,6 +25,8 @@ from plumbline.llm.repeats import slices
 
 #: Bands, and minima in each. A pair of similarity 0.85 shares no band once in 10^7 times, one of 0.8 once in 6*10^4.
 BANDS, ROWS = 28, 5
+#: Rows of links for which a written table of the components has a part of its own.
+PART_ROWS = 10_000
 #: Bits of the sketch, and how many may differ in a pair that is looked at. At similarity 0.8 a bit differs with
 #: probability 0.1: over 32 of 128 do so 3 times in 10^9, far less often than a pair shares no band.
 BITS, DIFFER = 128, 32
@@ -144,21 +146,22 @@ def components(links: DataFrame) -> DataFrame:
     """(k, comp) for each node of the links (u, v): the least node it is connected with.
 
     Large-star and small-star by turns until nothing changes; each is a least neighbour by node and
-    a join with it, in which nodes of many neighbours are dealt out in parts.
+    a join with it, in which nodes of many neighbours are dealt out in parts. Tables are written in as
+    many parts as their links ask for, as few links in many files cost more than they are worth.
     """
     edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = None
-    count = F.count(F.lit(1)).alias("n")
+    state, count = None, F.count(F.lit(1)).alias("n")
+    parts = 1 + edges.count() // PART_ROWS
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m"), count).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), count).select("u", F.least("u", "m").alias("m"), "n").coalesce(parts), "least")
         large = dealt(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "large-star")
+        large = written(large.coalesce(parts), "large-star")
         done(edges, least)
-        least = written(large.groupBy("u").agg(F.min("v").alias("m"), count), "least")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m"), count).coalesce(parts), "least")
         small = dealt(large, least, ["u"]).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v")
         own = least.select("u", F.col("m").alias("v"))
-        edges = written(small.unionByName(own).distinct(), "small-star")
+        edges = written(small.unionByName(own).distinct().coalesce(parts), "small-star")
         done(large, least)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
         if (now["n"], now["x"]) == state:
