@@ -209,23 +209,85 @@ def cross_checked(facts: DataFrame, family: str, source: str, expression: str, o
 #: First words of licence bodies; what stands before them is a title or a notice.
 BODY_STARTS = [
     "preamble the goals of the open font license",
+    "preamble this license allows the licensed fonts",
+    "definitions license shall mean the terms and conditions",
     "permission is hereby granted",
     "permission to use copy modify",
     "redistribution and use in source and binary forms",
+    "creative commons corporation is not a law firm",
+    "creative commons corporation creative commons is not a law firm",
+    "this is free and unencumbered software",
+    "everyone is permitted to copy and distribute verbatim",
+    "everyone is allowed to distribute verbatim copies",
+    "this software is provided as is without any express or implied warranty",
+    "the licensor provides the licensed program",
+    "definitions 1 1 contributor means",
+    "you are hereby granted permission under all bitstream propriety rights",
+    "these fonts are free softwares",
+    "licensing agreement for the fonts with original name",
+    "as a special exception",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "this work may be distributed and or modified under the conditions of the latex project public license",
 ]
+#: Words that licence lists take for equal, each with the spelling that stands for it, and such pairs.
+EQUAL_WORDS = """
+acknowledgement acknowledgment, analogue analog, analyse analyze, artefact artifact, authorisation authorization, authorised authorized,
+calibre caliber, cancelled canceled, capitalisations capitalizations, catalogue catalog, categorise categorize, centre center,
+emphasised emphasized, favour favor, favourite favorite, fulfil fulfill, fulfilment fulfillment, initialise initialize, judgement judgment,
+labelling labeling, labour labor, licence license, licences licenses, licenced licensed, licencing licensing, maximise maximize,
+merchantibility merchantability, modelled modeled, modelling modeling, offence offense, optimise optimize, organisation organization,
+organise organize, practise practice, programme program, realise realize, recognise recognize, signalling signaling, utilisation utilization,
+whilst while, wilful wilfull
+"""
+EQUAL_PAIRS = {"sub license": "sublicense", "non commercial": "noncommercial", "per cent": "percent", "copyright owner": "copyright holder"}
+_WORD = r"[\p{L}\p{N}]+"
+
+
+def _is_notice(line: Column) -> Column:
+    """Whether a line (lower case) begins as a copyright notice does: the word, the sign or (c), and then whose or when."""
+    marks = F.regexp_extract_all(line, F.lit(r"\(c\)|©|[\[<{]|\p{L}+|\p{N}+"), F.lit(0))
+    at = lambda k: F.coalesce(F.get(marks, k), F.lit(""))
+    skip = F.when(at(0) == "portions", 1).when((at(0) == "digitized") & (at(1) == "data"), 2).otherwise(0)
+    first, then = at(skip), at(skip + 1)
+    year = then.rlike(r"^\p{N}")
+    return (first == "©") | ((first == "(c)") & year) | ((first == "copyright") & (year | then.isin("©", "(c)", "by", "[", "<", "{", "yyyy")))
+
+
+def _without_bullet(line: Column) -> Column:
+    """A line without marks and a short number, letter or Roman numeral in front of it, if that ends in a dot or a bracket."""
+    bare = F.regexp_replace(line, r"^[\s*•>#-]+", "")
+    head = F.substring_index(bare, " ", 1)
+    core = F.translate(head, "().", "")
+    numbered = core.rlike("^([0-9]{1,2}|[a-z]|[ivx]{1,4})$") & (head.endswith(".") | head.endswith(")")) & (F.length(head) - F.length(core) <= 2)
+    return F.when(numbered & (F.length(bare) > F.length(head)), F.substr(bare, F.length(head) + 1)).otherwise(bare)
+
+
+def _words(line: Column) -> Column:
+    """A line's words: addresses are none, and "&" is "and"."""
+    pieces = F.split(F.regexp_replace(line, "&", " and "), r"\s+")
+    kept = F.filter(pieces, lambda p: ~(p.contains("http://") | p.contains("https://") | p.contains("www.") | p.rlike(r"^\W*[\w.-]+\.(org|com|net|io)(/|\W*$)")))
+    return F.regexp_extract_all(F.array_join(kept, " "), F.lit(_WORD), F.lit(0))
 
 
 def text_print(text: Column, starts: list[str] = BODY_STARTS) -> Column:
-    """SHA-256 of a licence text's body: without copyright lines, reserved-name statements, bullets, URLs, case, punctuation and white space.
+    """SHA-256 of a licence text's body: without copyright lines, reserved-name statements, bullets, addresses, case, punctuation and white space, and with one spelling for equal words.
 
     The body starts at the earliest of `starts`; a text without any of them is taken whole.
     """
-    words = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"(https?://|www\.)\S+", " "), r"^\s*[-*•>#]*\s*\(?([0-9]{1,2}|[a-z]|[ivx]{1,4})[.)](?=\s)", " "), r"[^\p{L}\p{N}]+", " "))
-    lines = F.filter(F.split(F.lower(text), r"\r\n|\r|\n"), lambda x: ~x.rlike(r"^\W*(portions\s+|digitized\s+data\s+)?(copyright\b\W*(©|\(c\)|\d|by\b|\[|<|\{|yyyy)|©|\(c\)\s*\d)"))
-    lines = F.filter(F.transform(lines, words), lambda w: (w != "") & ~w.startswith("with reserved font") & ~(w.startswith("reserved font ") & ~w.rlike(r"^reserved font \S+ refers\b")))
-    flat = F.concat(F.lit(" "), F.array_join(lines, " "), F.lit(" "))
-    at = F.array_min(F.filter(F.array(*[F.instr(flat, F.lit(f" {s} ")) for s in starts]), lambda i: i > 0))
-    return F.sha2(F.trim(F.substr(flat, F.coalesce(at, F.lit(1)))), 256)
+    lines = F.filter(F.split(F.regexp_replace(F.lower(text), "^\ufeff", ""), r"\r\n|\r|\n"), lambda x: ~_is_notice(x))
+    words = F.transform(lines, lambda x: _words(_without_bullet(x)))
+    first = lambda w, k: F.coalesce(F.get(w, F.lit(k)), F.lit(""))
+    reserved = lambda w: ((first(w, 0) == "with") & (first(w, 1) == "reserved") & (first(w, 2) == "font")) | ((first(w, 0) == "reserved") & (first(w, 1) == "font") & (first(w, 3) != "refers"))
+    equal = dict(pair.split() for pair in " ".join(EQUAL_WORDS.split()).split(", "))
+    spelled = F.create_map(*[F.lit(x) for pair in equal.items() for x in pair])
+    flat = F.transform(F.flatten(F.filter(words, lambda w: ~reserved(w))), lambda w: F.coalesce(F.try_element_at(spelled, w), w))
+    # Each word has a blank on both sides, so that pairs can be met anywhere.
+    body = F.concat(F.lit(" "), F.array_join(flat, "  "), F.lit(" "))
+    for pair, other in EQUAL_PAIRS.items():
+        body = F.replace(body, F.lit(f" {pair.replace(' ', '  ')} "), F.lit(f" {other.replace(' ', '  ')} "))
+    body = F.regexp_replace(body, " +", " ")
+    at = F.array_min(F.filter(F.array(*[F.instr(body, F.lit(f" {s} ")) for s in starts]), lambda i: i > 0))
+    return F.sha2(F.trim(F.substr(body, F.coalesce(at, F.lit(1)))), 256)
 
 
 def mentions(text: Column, phrases: dict[str, str]) -> Column:

@@ -140,3 +140,29 @@ def top(df: DataFrame, parts: list[str], order: list, n: int) -> DataFrame:
     """First n rows by part (a top-k report)."""
     w = Window.partitionBy(*parts).orderBy(*order)
     return df.withColumn("n", F.row_number().over(w)).where(F.col("n") <= n)
+
+
+def quantile_ranges(scores: DataFrame, quantiles: DataFrame, parts: list[str], key: str, score: str = "score", low: str = "low", high: str = "high") -> DataFrame:
+    """(parts, key, best, worst): a rank at the high and at the low quantile, among all other scores of the part.
+
+    A rank is one more than the others that score above the quantile: these are counted by a running sum
+    over scores and quantiles in one order, so no score meets another. A key without a score of its own
+    ranks among all; a null quantile gives a null rank.
+    """
+    from plumbline.functions.kernel import running
+
+    probes = quantiles.select(*parts, key, F.inline(F.array(F.struct(F.lit("best").alias("_end"), F.col(high).cast("double").alias("_v")), F.struct(F.lit("worst").alias("_end"), F.col(low).cast("double").alias("_v"))))).withColumn("_probe", F.lit(1))
+    own = scores.select(*parts, key, F.lit(None).cast("string").alias("_end"), F.col(score).cast("double").alias("_v"), F.lit(0).alias("_probe")).where("_v is not null")
+    # At one value scores come before quantiles: they don't lie above them.
+    upto = running(own.unionByName(probes.where("_v is not null")), parts, "_v", ["_v", "_probe", key], {"_upto": 1 - F.col("_probe")}).where("_probe = 1")
+    total = own.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n")) if parts else own.agg(F.count(F.lit(1)).alias("_n"))
+    upto = upto.join(total, parts, "left") if parts else upto.join(F.broadcast(total))  # one row
+    upto = upto.join(scores.select(*parts, key, F.col(score).alias("_own")), [*parts, key], "left")
+    above = F.coalesce("_n", F.lit(0)) - F.col("_upto") - F.coalesce((F.col("_own") > F.col("_v")).cast("int"), F.lit(0))
+    ranks = upto.select(*parts, key, "_end", (1 + above).alias("_rank"))
+    return ranks.groupBy(*parts, key).agg(F.max(F.when(F.col("_end") == "best", F.col("_rank"))).alias("best"), F.max(F.when(F.col("_end") == "worst", F.col("_rank"))).alias("worst"))
+
+
+def holding(ranges: DataFrame, low: str, high: str, point: str) -> DataFrame:
+    """ranges widened, where need be, to hold the point rank itself."""
+    return ranges.withColumn(low, F.least(low, point)).withColumn(high, F.greatest(high, point))

@@ -643,4 +643,4 @@ def probit_table(spark, d):
     return p.select("p", six(probit(F.col("p"))).alias("z"))
 
 
-from plumbline import alias_queries, model_queries, source_queries, survey_queries  # noqa: E402, F401  (register further queries)
+from plumbline import alias_queries, model_queries, owned_queries, source_queries, survey_queries, window_queries  # noqa: E402, F401  (register further queries)

@@ -33,6 +33,13 @@ def fresh(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/plumbline/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df written once to the shared folder and read from there, so what is made of it twice is computed once."""
+    path = fresh(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- line JSON, tables, snapshots --------------------------------------------------------------------
 
 
@@ -211,3 +218,46 @@ def repository(repo: Column, key: Column) -> Column:
     """A release's repository in lower case: the one it names, else the first two parts of a key of three or more."""
     parts = F.split(key, "/")
     return F.lower(F.when(F.length(repo) > 0, repo).when(F.size(parts) >= 3, F.concat_ws("/", F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))).otherwise(""))
+
+
+# --- package versions --------------------------------------------------------------------------------------
+
+
+def _version_part(part: Column) -> Column:
+    """A version or revision as text that sorts as it does: runs of other characters and of digits by turns.
+
+    Of other characters a tilde comes before the end of a run, letters after it, and the rest after them;
+    digits come with their number of digits, without leading zeros. An empty part is a zero.
+    """
+    part = F.when(part == "", "0").otherwise(part)
+    text = F.regexp_extract_all(part, F.lit("([^0-9]*)([0-9]*)"), F.lit(1))
+    digits = F.regexp_extract_all(part, F.lit("([^0-9]*)([0-9]*)"), F.lit(2))
+
+    def run(t: Column, d: Column) -> Column:
+        marked = F.regexp_replace(F.regexp_replace(t, "([^A-Za-z~])", "3$1"), "([A-Za-z])", "2$1")
+        number = F.regexp_replace(d, "^0+", "")
+        return F.concat(F.translate(marked, "~", "0"), F.lit("1"), F.lpad(F.length(number).cast("string"), 4, "0"), number)
+
+    return F.array_join(F.zip_with(text, digits, run), "")
+
+
+def version_key(version: Column) -> Column:
+    """A package version (epoch:upstream-revision) as text whose order is the package manager's; null stays null.
+
+    Epoch first, then upstream up to the last dash, then the revision, one that is missing being empty.
+    """
+    epoch = F.regexp_replace(F.regexp_extract(version, "^([0-9]*):", 1), "^0+", "")
+    rest = F.when(version.contains(":"), F.substr(version, F.instr(version, ":") + 1)).otherwise(version)
+    dash = F.length(rest) - F.instr(F.reverse(rest), "-")  # characters before the last dash
+    has = F.instr(rest, "-") > 0
+    upstream = F.when(has, F.left(rest, dash)).otherwise(rest)
+    revision = F.when(has, F.substr(rest, dash + 2)).otherwise("")
+    return F.concat(F.lpad(F.length(epoch).cast("string"), 4, "0"), epoch, _version_part(upstream), _version_part(revision))
+
+
+def latest_versions(stanzas: DataFrame, package: str, version: str) -> DataFrame:
+    """Of each package the row of its highest version, of equal ones the last by content; rows without a package are left out."""
+    columns = [c for c in stanzas.columns if c not in (package, version)]
+    order = F.struct(version_key(F.coalesce(version, F.lit(""))).alias("k"), version, *columns)
+    best = stanzas.where(F.trim(package) != "").groupBy(F.trim(package).alias(package)).agg(F.max(order).alias("_b"))
+    return best.select(package, F.col(f"_b.{version}").alias(version), *[F.col(f"_b.{c}").alias(c) for c in columns])

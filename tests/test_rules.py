@@ -189,6 +189,57 @@ def test_licence_texts_without_notices_are_equal(spark):
     assert one == two != three
 
 
+def test_licence_texts_by_their_words(spark):
+    body = "permission is hereby granted to organize & license this on non-commercial terms; the copyright holder keeps it."
+    same = [
+        body, "Title\n" + body.replace("organize", "ORGANISE").replace("license", "licence"), body.replace("&", "and"), body.replace("non-commercial", "noncommercial"), body.replace("holder", "owner"),
+        body.replace("terms", "terms (see https://a.b/c) at example.org/x"), "© 2001 Foo\nCopyright by Foo\nCopyright: [years]\nportions copyright 1999 Bar\nDigitized data copyright (c) 2012-2018 Z\n" + body, body.replace("; the", ";\n iv. the"), body.replace("; the", ";\n* (b) the"), body + "\nReserved Font Name Foo.",
+    ]
+    other = [body + " Copyright notices stay.", body.replace("; the", ";\ncopyright law applies; the"), body.replace("; the", ";\nabc. the"), body + "\nReserved Font Name refers to it", body + " a.organ"]
+    prints = [r["p"] for r in spark.createDataFrame([(t,) for t in same + other], "t string").select(licences.text_print(F.col("t")).alias("p")).collect()]
+    assert len(set(prints[: len(same)])) == 1 and len(set(prints)) == 1 + len(other)
+
+
+def test_longest_licence_name_wins(spark):
+    phrases = {"gpl": "general public license", "lgpl": "lesser general public license", "mit": "mit license"}
+    rows = ["GNU Lesser General Public License", "the General Public License", "lesser general public license or general public license", "MIT-license", None, ""]
+    got = [r["f"] for r in spark.createDataFrame([(t,) for t in rows], "t string").select(licences.mentions(F.col("t"), phrases).alias("f")).collect()]
+    assert got[:4] == [["lgpl"], ["gpl"], ["gpl", "lgpl"], ["mit"]] and got[5] == []
+    assert spark.createDataFrame([("may not be sold by itself. No resale",)], "t string").select(licences.restrictions(F.col("t"), ["no resale", "not be sold", "old by"])).first()[0] == ["no resale", "not be sold"]
+
+
+def test_asset_keys_have_no_versions(spark):
+    rows = [("JetBrainsMono-2.304.zip", "v2.304", "JetBrainsMono.zip"), ("Fira_Code_v6.2.zip", "6.2", "Fira_Code.zip"), ("Hack-v3.003-ttf.zip", "v3.003", "Hack-ttf.zip"), ("MapleMono-TTF.zip", "latest", "MapleMono-TTF.zip"), ("Inter-3f174fcef6.zip", "nightly", "Inter.zip"), ("Inter-abcdefab.zip", "x", "Inter-abcdefab.zip"), ("1.1.0.zip", "@a/b@1.1.0", "1.1.0.zip"), ("Font2-7.zip", "r7", "Font2.zip"), ("a_1_2_3.tar.gz", "9", "a.tar.gz"), ("Plain", None, "Plain")]
+    got = [r["k"] for r in spark.createDataFrame([x[:2] for x in rows], "n string, t string").select(records.asset_key(F.col("n"), F.col("t")).alias("k")).collect()]
+    assert got == [x[2] for x in rows]
+
+
+def test_names_of_series_and_releases_without_a_day(spark):
+    from plumbline.operators import corrections
+
+    rows = [("YYYY-MM", "2024-01", True), ("YYYY-MM", "2024-1", False), ("YYYY-MM", "2024-011", False), ("YYYY-MM", "2024-W1", False), ("x-YYYY-Www.y", "x-2024-W09.y", True), ("x-YYYY-Www.y", "x-2024-W09zy", False), ("30day", "30day", True), ("30day", "30days", False)]
+    for series, name, want in rows:
+        assert spark.createDataFrame([(name,)], "s string").select(corrections.of_series(F.col("s"), series)).first()[0] is want
+    obs = spark.createDataFrame([("r", "a", "2024-05-01", "2024-01-01", "2024-06-01"), ("r", "b", None, "2024-01-01", "2024-06-01"), ("r", "c", None, "2021-01-01", "2021-06-01")], "repo string, release string, published string, start string, end string").selectExpr("repo", "release", "date(published) published", "date(start) start", "date(end) end")
+    assert {r["release"] for r in corrections.release_history(obs, "24months").collect()} == {"a", "b"}
+    assert corrections.release_history(obs, "latest24").count() == 3
+
+
+def test_shares_and_previous_scores(spark):
+    from plumbline.operators import checks
+
+    shares = spark.createDataFrame([("a", "x", None), ("a", "y", 0.6), ("a", "z", 0.4), ("b", "x", 0.5), ("b", "y", 0.4), ("c", "p", 0.1), ("c", "y", 1.0), ("d", "x", None)], "f string, s string, v double")
+    assert {(r["family"], r["what"]) for r in checks.share_sums(shares, "f", "s", "v", ["p"]).collect()} == {("b", "0.9"), ("c", "p")}
+    now = spark.createDataFrame([("k", "a", 1.0, 2.0), ("k", "b", 1.0, None), ("k", "c", 1.0, 1.0), ("m", "a", 3.0, 3.0)], "k string, f string, score double, previous double")
+    last = spark.createDataFrame([("k", "a", 2.0), ("m", "a", 9.0)], "k string, f string, score double")
+    new = spark.createDataFrame([("m",)], "k string")
+    assert [r["family"] for r in checks.previous_differs(now, last, new, ["k", "f"], "f").collect()] == ["c"]
+    assert {r["family"] for r in checks.previous_differs(now, last.limit(0), new.limit(0), ["k", "f"], "f").collect()} == {"a", "b"}
+    reports = spark.createDataFrame([("one", "| Foo Sans | 1,234.5 |\nBar 99"), ("two", "Foo Sans: 12345\nFoo Sans v1.1234"), ("three", None)], "report string, text string")
+    hidden = spark.createDataFrame([(1234.0, "foo sans"), (99.0, "foo sans")], "value double, label string")
+    assert [(r["family"], r["what"]) for r in checks.raw_published(reports, hidden).collect()] == [("one", "1 values")]
+
+
 def test_prefix_sums_over_signs_and_sizes(spark):
     import random
 
