@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.kernel import hazen_position, prefix_counts, probit, running, tie_blocks, with_midrank
+from plumbline.sources.records import written
 
 #: Places that the pool's blocks and the wanted places are joined by at once.
 SPAN = 1024
@@ -24,7 +25,8 @@ def equate(terms: DataFrame, ruler_z: DataFrame, source: str, family: str, value
     (one more is counted in for a family off the ruler whose value the pool lacks) is looked up
     among the pool's z by Hazen's quantile. A source without a pool gives nothing.
     """
-    on = terms.join(ruler_z.select(family, "z"), family)
+    terms = written(terms, "terms")  # each is read several times: as blocks, as values, and in the end
+    on = written(terms.join(ruler_z.select(family, "z"), family).select(source, family, value, "z"), "pools")
     blocks = tie_blocks(on, [source], value).select(source, F.col(value).alias("_v"), "lower", "here", "n")
     values = terms.select(source, F.col(value).alias("_v")).distinct()
     sizes = blocks.groupBy(source).agg(F.max("n").alias("n"))
@@ -43,7 +45,7 @@ def equate(terms: DataFrame, ruler_z: DataFrame, source: str, family: str, value
     found = wanted.join(steps, [source, "_span"]).where(F.col("_k").between(F.col("low"), F.col("high")))
     ends = found.groupBy(source, "_v").agg(F.min_by("z", "_k").alias("z0"), F.max_by("z", "_k").alias("z1"), F.min("h").alias("h"), F.min("_k").alias("_k0"))
     z = F.col("z0") + (F.col("h") - F.col("_k0")) * (F.col("z1") - F.col("z0"))
-    return terms.join(ends.select(source, F.col("_v").alias(value), z.alias("z")), [source, value])
+    return written(terms.join(ends.select(source, F.col("_v").alias(value), z.alias("z")), [source, value]), "equated")
 
 
 def overlap_scale(n: Column, full: int = 50, off: int = 15) -> Column:
@@ -83,7 +85,9 @@ def placed(scored: DataFrame, by: str, order: list, passes: str, top: int, parts
     """
     parts = parts or []
     ok = F.coalesce(F.col(passes), F.lit(False))
+    scored = written(scored, "scored")
     ranked = running(scored, parts, by, order, {"_rn": F.lit(1), "_passers": ok.cast("int")}, falling=True)
+    ranked = written(ranked, "ranked")
     filled = ranked.groupBy(*parts).agg(F.max(F.when(ok & (F.col("_passers") <= top), F.col("_rn"))).alias("_last"), F.max("_passers").alias("_all"))
     ranked = ranked.join(filled, parts) if parts else ranked.join(F.broadcast(filled))  # one row
     first = ok & (F.col("_passers") <= top)

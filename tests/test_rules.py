@@ -193,7 +193,7 @@ def test_licence_texts_by_their_words(spark):
     body = "permission is hereby granted to organize & license this on non-commercial terms; the copyright holder keeps it."
     same = [
         body, "Title\n" + body.replace("organize", "ORGANISE").replace("license", "licence"), body.replace("&", "and"), body.replace("non-commercial", "noncommercial"), body.replace("holder", "owner"),
-        body.replace("terms", "terms (see https://a.b/c) at example.org/x"), "© 2001 Foo\nCopyright by Foo\nCopyright: [years]\nportions copyright 1999 Bar\nDigitized data copyright (c) 2012-2018 Z\n" + body, body.replace("; the", ";\n iv. the"), body.replace("; the", ";\n* (b) the"), body + "\nReserved Font Name Foo.",
+        body.replace("terms", "terms (https://a.b/c) example.org/x"), "© 2001 Foo\nCopyright by Foo\nCopyright: [years]\nportions copyright 1999 Bar\nDigitized data copyright (c) 2012-2018 Z\n" + body, body.replace("; the", ";\n iv. the"), body.replace("; the", ";\n* (b) the"), body + "\nReserved Font Name Foo.",
     ]
     other = [body + " Copyright notices stay.", body.replace("; the", ";\ncopyright law applies; the"), body.replace("; the", ";\nabc. the"), body + "\nReserved Font Name refers to it", body + " a.organ"]
     prints = [r["p"] for r in spark.createDataFrame([(t,) for t in same + other], "t string").select(licences.text_print(F.col("t")).alias("p")).collect()]
