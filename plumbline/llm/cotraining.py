@@ -179,8 +179,8 @@ def platt(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def rows_of(of: np.ndarray, word: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of the chosen rows, numbered anew."""
-    place = np.full(n, -1)
-    place[rows] = np.arange(len(rows))
+    place = np.full(n, -1, dtype=np.int32)
+    place[rows] = np.arange(len(rows), dtype=np.int32)
     own = place[of] >= 0
     return place[of[own]], word[own]
 
@@ -265,8 +265,19 @@ def sample_of(docs: DataFrame, chosen: DataFrame) -> Sample | None:
         return None
     table = table.sort_values(["doc_id", "print"], ignore_index=True).drop_duplicates("doc_id", ignore_index=True)
     sizes = table["words"].map(len).to_numpy()
-    word = np.concatenate([np.asarray(w, dtype=np.int64) for w in table["words"]]) if sizes.sum() else np.zeros(0, dtype=np.int64)
-    return Sample(np.stack(table["dense"]), np.stack(table["meta"]), np.repeat(np.arange(len(table)), sizes), word, {m: table[m].to_numpy() for m in MODELS})
+    # Rows and hashed words fit into 32 bits; there are millions of pairs.
+    word = np.concatenate([np.asarray(w, dtype=np.int32) for w in table.pop("words")]) if sizes.sum() else np.zeros(0, dtype=np.int32)
+    return Sample(np.stack(table.pop("dense")), np.stack(table.pop("meta")), np.repeat(np.arange(len(table), dtype=np.int32), sizes), word, {m: table[m].to_numpy() for m in MODELS})
+
+
+def frequent(of: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of words that are in LEAST_TEXTS of the texts or more; a view of some of the texts has no use for others."""
+    ordered = np.sort(word)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(word) else np.zeros(0, dtype=np.int64)
+    often = ordered[first][np.diff(np.concatenate([first, [len(word)]])) >= LEAST_TEXTS]
+    at = np.minimum(np.searchsorted(often, word), max(len(often) - 1, 0))
+    kept = often[at] == word if len(often) else np.zeros(len(word), dtype=bool)
+    return of[kept], word[kept]
 
 
 def surest(docs: DataFrame, known: DataFrame, first: dict[str, tuple[View, View]], count: int) -> DataFrame:
@@ -307,14 +318,16 @@ def fit_models(docs: DataFrame, labels: DataFrame, sample: int, count: int) -> d
         if parts is not None:
             rows, y = parts[0], (own.labels[m][parts[0]] == 1).astype(float)
             one = np.ones(len(rows))
-            first[m] = (View.fit(own.dense[rows], *rows_of(own.of, own.word, rows, len(own.dense)), y, one, 150), View.fit(own.meta[rows], none, none, y, one, 100))
+            first[m] = (View.fit(own.dense[rows], *rows_of(*frequent(own.of, own.word), rows, len(own.dense)), y, one, 150), View.fit(own.meta[rows], none, none, y, one, 100))
     if not first:
         return dict.fromkeys(MODELS)
     pool = surest(docs, known, first, count).select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
     more = sample_of(docs, pool)
     if more is not None:
         n = len(own.dense)
-        own = Sample(np.concatenate([own.dense, more.dense]), np.concatenate([own.meta, more.meta]), np.concatenate([own.of, more.of + n]), np.concatenate([own.word, more.word]), {m: np.concatenate([own.labels[m], more.labels[m]]) for m in MODELS})
+        of, word = np.concatenate([own.of, more.of + np.int32(n)]), np.concatenate([own.word, more.word])
+        own = Sample(np.concatenate([own.dense, more.dense]), np.concatenate([own.meta, more.meta]), of, word, {m: np.concatenate([own.labels[m], more.labels[m]]) for m in MODELS})
+    own.of, own.word = frequent(own.of, own.word)
     return {m: cotrain(own.dense, own.meta, own.of, own.word, own.labels[m]) for m in MODELS}
 
 
