@@ -25,7 +25,7 @@ def _counts(spark, d):
 @query()
 def model_fit(spark, d):
     """Every parameter of the five terms with its standard error, and whether the search reached a maximum."""
-    found = measure.fit(_counts(spark, d), MODEL)
+    found = measure.fit(_counts(spark, d), MODEL, rounds=40)
     rows = [(*r, found.converged, found.loglik) for r in found.rows()]
     return spark.createDataFrame(rows, "parameter string, estimate double, standard_error double, state string, converged boolean, loglik double")
 

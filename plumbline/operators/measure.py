@@ -413,12 +413,13 @@ def covariance(fonts: Fonts, theta: np.ndarray, free: list[int], step: float = 1
     return out
 
 
-def fit(counts: DataFrame, model: Model, start: np.ndarray | None = None, fixed: dict[int, float] | None = None, hold: bool = True) -> Fit:
+def fit(counts: DataFrame, model: Model, start: np.ndarray | None = None, fixed: dict[int, float] | None = None, hold: bool = True, rounds: int = 200) -> Fit:
     """Marginal maximum likelihood of all parameters, with their covariance.
 
     With `hold`, a bulk that the data can't tell from none is held at none: one at its lower bound or
     under which nothing expects 0.01 of a count at once, and one with a flat likelihood (standard error
-    undefined or over 2) unless twice the loss in log-likelihood is EDGE or more.
+    undefined or over 2) unless twice the loss in log-likelihood is EDGE or more. A search ends after `rounds`
+    steps, and is then not converged.
     """
     fonts = Fonts.of(counts, model)
     names, jobs = model.names(), [0]
@@ -432,7 +433,7 @@ def fit(counts: DataFrame, model: Model, start: np.ndarray | None = None, fixed:
         for i, v in fixed.items():
             at[i] = v
             bounds[i] = v
-        return climb(value, at, bounds)
+        return climb(value, at, bounds, rounds)
 
     scale = fonts.table.select(F.explode("ts").alias("t")).groupBy("t.t").agg(*[F.max(F.col(f"t.n{k}") * F.col("t.e")).alias(f"n{k}") for k in range(model.width)]).collect()
     scale = {r["t"]: r for r in scale}
