@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.sources.records import written
+
 #: Words that name a style, words of degree before one, tokens of patched builds and of variable builds.
 STYLES = ("regular", "italic", "oblique", "bold", "light", "medium", "thin", "black", "heavy", "book", "roman")
 DEGREES = ("semi", "extra", "ultra", "demi")
@@ -52,35 +54,51 @@ def chain(name: Column, fold: Callable[[Column], Column]) -> Column:
     return F.filter(named, lambda c: c["key"] != "")
 
 
-def _dealt(rows: DataFrame, table: DataFrame, by: str, spread: Column, how: str = "inner") -> DataFrame:
+def _dealt(rows: DataFrame, table: DataFrame, by: list[str], spread: Column, how: str = "inner") -> DataFrame:
     """rows joined with a table of the catalog's size, whose keys are dealt out in PARTS parts."""
     parts = table.withColumn("_part", F.explode(F.array(*[F.lit(k) for k in range(PARTS)])))
-    return rows.withColumn("_part", F.pmod(F.hash(spread), F.lit(PARTS))).join(parts, [by, "_part"], how).drop("_part")
+    return rows.withColumn("_part", F.pmod(F.hash(spread), F.lit(PARTS))).join(parts, [*by, "_part"], how).drop("_part")
+
 
+def _entries(tries: DataFrame, codes: DataFrame, entry: str, chains: DataFrame | None) -> DataFrame:
+    """(entry, h) of every entry, h being its first hit or null; see first_hits().
 
-def first_hits(tries: DataFrame, codes: DataFrame, entry: str = "entry") -> DataFrame:
+    What a name comes to is found once for each distinct name and written, so that only the small table
+    of names meets the catalog, and Spark knows its size when the tries meet it.
+    """
+    on = ["name"] if chains is not None else ["name", "chain"]
+    names = chains if chains is not None else tries.select(*on).distinct()
+    # The outer form, as the other one's filter on chains would be moved to all tries.
+    forms = names.select(*on, F.posexplode_outer("chain").alias("turn", "c")).select(*on, "turn", "c.key", "c.patched")
+    known = _dealt(forms, codes.select("key").distinct(), ["key"], F.col("name"))
+    firsts = written(known.groupBy(*on).agg(F.min(F.struct("turn", "key", "patched")).alias("f")), "hits")
+    met = _dealt(tries.select(entry, "place", "trusted", *on), firsts, on, F.col(entry), "left")
+    hit = F.struct("place", "f.turn", "f.key", "f.patched", "trusted", F.col("name").alias("shown"))
+    return met.groupBy(entry).agg(F.min(F.when(F.col("f").isNotNull(), hit)).alias("h"))
+
+
+def first_hits(tries: DataFrame, codes: DataFrame, entry: str = "entry", chains: DataFrame | None = None) -> DataFrame:
     """(entry, key, patched, trusted, shown): the first known key of each entry, by the order of its names, then of a name's chain (of equal places the least key).
 
-    tries: entry, place, name, trusted and chain; codes: key and more.
+    tries: entry, place, name, trusted and chain, or, where `chains` (name, chain) of all distinct names
+    are given, without chain; codes: key and more.
     """
-    cand = tries.select(entry, "place", F.col("name").alias("shown"), "trusted", F.posexplode("chain").alias("turn", "c")).select(entry, "place", "turn", "shown", "trusted", "c.key", "c.patched")
-    known = _dealt(cand, codes.select("key").distinct(), "key", F.col(entry))
-    first = known.groupBy(entry).agg(F.min(F.struct("place", "turn", "key", "patched", "trusted", "shown")).alias("h"))
-    return first.select(entry, "h.key", "h.patched", "h.trusted", "h.shown")
+    return _entries(tries, codes, entry, chains).where("h is not null").select(entry, "h.key", "h.patched", "h.trusted", "h.shown")
 
 
-def outcomes(tries: DataFrame, codes: DataFrame, doubts: DataFrame, patched: bool = True, entry: str = "entry") -> DataFrame:
-    """(entry, outcome, family, why, shown): what each entry means to each family that its first known key names.
+#: What decides, beside an entry's first known key, what the entry means.
+STATE = ["key", "patched", "trusted"]
 
-    codes: key, family (null: none), letter, known (a family that isn't listed), reason (why a name is
-    ineligible). doubts: key and the families that its name may be a weight of. A trusted name owns what
-    its key's codes say; where there is a doubt, an untrusted one is near, and so are the doubted families.
-    Without `patched`, patched builds are near. Entries without family rows are 'known', 'ineligible' or 'unknown'.
+
+def _meanings(codes: DataFrame, doubts: DataFrame, patched: bool) -> DataFrame:
+    """(key, patched, trusted, means): outcome, family and why of every family that a key names, by the state of its hit; written.
+
+    A table of the catalog's size: codes of a key that say the same are one, however many parts have them.
     """
-    hit = first_hits(tries, codes, entry)
+    flags = lambda name: F.explode(F.array(F.lit(False), F.lit(True))).alias(name)
     amb = doubts.groupBy("key").agg(F.collect_set("family").alias("maybe"))  # a name's few weights
-    rows = _dealt(hit, codes.groupBy("key").agg(F.collect_list(F.struct("family", "letter", "known", "reason")).alias("codes")), "key", F.col(entry))
-    rows = _dealt(rows, amb, "key", F.col(entry), "left")
+    rows = codes.groupBy("key").agg(F.collect_set(F.struct("family", "letter", "known", "reason")).alias("codes")).join(amb, "key", "left")
+    rows = rows.select("*", flags("patched")).select("*", flags("trusted"))
     rows = rows.withColumn("maybe", F.coalesce("maybe", F.array().cast(rows.schema["maybe"].dataType))).withColumn("doubt", (F.size("maybe") > 0) & ~F.col("trusted"))
     letter = F.when(F.col("patched") & F.col("c.letter").isin(*SAME_FONT), "n").otherwise(F.col("c.letter"))
     each = rows.select("*", F.explode("codes").alias("c")).withColumn("letter", letter)
@@ -90,18 +108,47 @@ def outcomes(tries: DataFrame, codes: DataFrame, doubts: DataFrame, patched: boo
     is_ = lambda outcome, why: F.struct(F.lit(outcome).alias("o"), why.alias("w"))
     own_name = names[F.col("letter")]
     what = F.when(near_patched, is_("near", F.lit("patched"))).when(owns & F.col("doubt"), is_("near", F.lit("ambiguous"))).when(owns, is_("owned", own_name)).otherwise(is_("near", own_name))
-    of_family = each.where("c.family is not null").select(entry, "shown", F.col("c.family").alias("family"), what.alias("x")).select(entry, "x.o", "family", "x.w", "shown")
+    of_family = each.where("c.family is not null").select(*STATE, F.col("c.family").alias("family"), what.alias("x")).select(*STATE, "x.o", "family", "x.w")
     listed = F.exists("codes", lambda c: c["family"].isNotNull())
     some_known = F.exists("codes", lambda c: c["family"].isNull() & F.coalesce(c["known"], F.lit(False)))
-    maybe = rows.where(F.col("doubt") | (some_known & ~listed)).select(entry, F.lit("near").alias("o"), F.explode("maybe").alias("family"), F.lit("ambiguous").alias("w"), "shown")
+    maybe = rows.where(F.col("doubt") | (some_known & ~listed)).select(*STATE, F.lit("near").alias("o"), F.explode("maybe").alias("family"), F.lit("ambiguous").alias("w"))
     both = of_family.unionByName(maybe)
     order = F.array_position(F.array(*[F.lit(x) for x in [*HOW.values(), *WHY.values()]]), F.col("w")) + F.when(F.col("o") == "owned", 0).otherwise(100)
-    best = both.groupBy(entry, "family").agg(F.min_by(F.struct("o", "w", "shown"), order).alias("b")).select(entry, F.col("b.o").alias("outcome"), "family", F.col("b.w").alias("why"), "b.shown")
+    best = both.groupBy(*STATE, "family").agg(F.min_by(F.struct("o", "w"), order).alias("b")).select(*STATE, F.col("b.o").alias("outcome"), "family", F.col("b.w").alias("why"))
     why = F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("codes", lambda c: c["family"].isNull() & c["reason"].isNotNull()), lambda c: c["reason"]))), "+")
-    rest = rows.select(entry, F.when(some_known, "known").when(why != "", "ineligible").otherwise("unknown").alias("outcome"), F.lit(None).cast(codes.schema["family"].dataType).alias("family"), F.when(~some_known & (why != ""), why).alias("why"), "shown")
-    rest = rest.join(best.select(entry), entry, "left_anti")
-    none = tries.select(entry).distinct().join(hit.select(entry), entry, "left_anti").select(entry, F.lit("unknown").alias("outcome"), F.lit(None).cast(codes.schema["family"].dataType).alias("family"), F.lit(None).cast("string").alias("why"), F.lit(None).cast("string").alias("shown"))
-    return best.unionByName(rest).unionByName(none)
+    rest = rows.select(*STATE, F.when(some_known, "known").when(why != "", "ineligible").otherwise("unknown").alias("outcome"), F.lit(None).cast(codes.schema["family"].dataType).alias("family"), F.when(~some_known & (why != ""), why).alias("why"))
+    rest = rest.join(best.select(*STATE), STATE, "left_anti")
+    return written(best.unionByName(rest).groupBy(*STATE).agg(F.collect_list(F.struct("outcome", "family", "why")).alias("means")), "meanings")
+
+
+def _meant(hits: DataFrame, means: DataFrame, spread: Column, how: str = "inner") -> DataFrame:
+    """hits with what they mean; a hit without a word on its trust is trusted."""
+    state = [F.coalesce("patched", F.lit(False)).alias("patched"), F.coalesce("trusted", F.lit(True)).alias("trusted")]
+    return _dealt(hits.select(*[c for c in hits.columns if c not in STATE[1:]], *state), means, STATE, spread, how)
+
+
+def outcomes(tries: DataFrame, codes: DataFrame, doubts: DataFrame, patched: bool = True, entry: str = "entry", chains: DataFrame | None = None) -> DataFrame:
+    """(entry, outcome, family, why, shown): what each entry means to each family that its first known key names.
+
+    codes: key, family (null: none), letter, known (a family that isn't listed), reason (why a name is
+    ineligible). doubts: key and the families that its name may be a weight of. A trusted name owns what
+    its key's codes say; where there is a doubt, an untrusted one is near, and so are the doubted families.
+    Without `patched`, patched builds are near. Entries without family rows are 'known', 'ineligible' or 'unknown'.
+    tries and chains: see first_hits().
+    """
+    means = _meanings(codes, doubts, patched)
+    hits = _entries(tries, codes, entry, chains).select(entry, "h.key", "h.patched", "h.trusted", "h.shown")
+    none = F.array(F.struct(F.lit("unknown").alias("outcome"), F.lit(None).cast(codes.schema["family"].dataType).alias("family"), F.lit(None).cast("string").alias("why")))
+    found = _meant(hits, means, F.col(entry), "left")
+    return found.select(entry, "shown", F.explode(F.coalesce("means", none)).alias("m")).select(entry, "m.outcome", "m.family", "m.why", "shown")
+
+
+def families(tries: DataFrame, codes: DataFrame, doubts: DataFrame, patched: bool = True, entry: str = "entry", chains: DataFrame | None = None) -> DataFrame:
+    """by_family() of outcomes(), without a row for each entry and family: of the hits in one state the first entry speaks for all."""
+    means = _meanings(codes, doubts, patched)
+    hits = first_hits(tries, codes, entry, chains).groupBy(*STATE).agg(F.min(F.struct(entry, "shown")).alias("e")).select(*STATE, f"e.{entry}", "e.shown")
+    found = _meant(hits, means, F.col(entry)).select(entry, "shown", F.explode("means").alias("m"))
+    return by_family(found.select(entry, "m.outcome", "m.family", "m.why", "shown"), entry)
 
 
 def by_family(found: DataFrame, entry: str = "entry") -> DataFrame:
@@ -121,7 +168,7 @@ def collisions(names: DataFrame, catalog: DataFrame) -> DataFrame:
     holders = own.select("key", "family").distinct()
     per_key = holders.groupBy("key").agg(F.collect_set("family").alias("families"))  # families that share one name
     forms = names.select("name", "chain").distinct().select("name", F.get("chain", F.lit(0))["key"].alias("key"), F.posexplode("chain").alias("turn", "c")).where("turn > 0").select("name", "key", "turn", F.col("c.key").alias("reached"))
-    met = _dealt(forms, per_key.select(F.col("key").alias("reached"), F.col("families").alias("new")), "reached", F.col("name"))
+    met = _dealt(forms, per_key.select(F.col("key").alias("reached"), F.col("families").alias("new")), ["reached"], F.col("name"))
     first = met.groupBy("name", "key").agg(F.min_by(F.struct("reached", "new"), "turn").alias("f")).select("name", "key", "f.*")
     out = first.join(per_key, "key").select("name", "key", "reached", F.explode(F.array_except("new", "families")).alias("family"))
     return out.join(catalog.select("family", F.lit(True).alias("listed")).distinct(), "family", "left").select("name", "key", "reached", "family", F.coalesce("listed", F.lit(False)).alias("listed"))
