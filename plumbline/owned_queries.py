@@ -48,27 +48,29 @@ _FOUND = f"""with src as (select l_orderkey * 10 + l_linenumber n, p_name base,
   union all select distinct l_orderkey, 'unknown', null, null from ch where l_orderkey not in (select entry from r))"""
 
 
-def _outcomes(spark, d):
+def _matched(spark, d, how):
+    """how (outcomes or families) on the orders; chains are made of the distinct names alone."""
     p = table(spark, d, "part")
     li = table(spark, d, "lineitem").join(p.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("base")), "l_partkey").withColumn("n", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     name = _named(li, "n", "base")
-    tries = li.select(F.col("l_orderkey").alias("entry"), F.col("l_linenumber").alias("place"), name.alias("name"), ((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 2 == 0)).alias("trusted"), owned.chain(name, _fold).alias("chain"))
+    tries = li.select(F.col("l_orderkey").alias("entry"), F.col("l_linenumber").alias("place"), name.alias("name"), ((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 2 == 0)).alias("trusted"))
+    chains = tries.select("name").distinct().select("name", owned.chain(F.col("name"), _fold).alias("chain"))
     k = F.col("p_partkey")
     letter = F.when(k % 5 == 0, "f").when(k % 5 == 1, "r").when(k % 5 == 2, "b").when(k % 5 == 3, "s").otherwise("l")
     codes = p.where("p_size <= 12").select(_fold(F.col("p_name")).alias("key"), F.when(k % 7 < 5, F.col("p_brand")).alias("family"), letter.alias("letter"), (k % 7 == 5).alias("known"), F.when(k % 7 == 6, "icons").alias("reason"))
     doubts = p.where("p_size = 50").select(_fold(F.col("p_name")).alias("key"), F.col("p_brand").alias("family")).distinct()
-    return owned.outcomes(tries, codes, doubts)
+    return how(tries, codes, doubts, chains=chains)
 
 
 @query(_FOUND + " select entry, outcome, family, why from al")
 def owned_outcomes(spark, d):
     """Orders as entries of a list, their lines as names in order, matched with some of the parts."""
-    return _outcomes(spark, d).select("entry", "outcome", "family", "why")
+    return _matched(spark, d, owned.outcomes).select("entry", "outcome", "family", "why")
 
 
 @query(_FOUND + " select family, min(struct_pack(k := list_position(['family', 'rename', 'postscript', 'build', 'patched', 'ambiguous', 'sibling', 'related', 'bundle'], why) + case when outcome = 'owned' then 0 else 100 end, o := outcome, w := why)).o outcome, min(struct_pack(k := list_position(['family', 'rename', 'postscript', 'build', 'patched', 'ambiguous', 'sibling', 'related', 'bundle'], why) + case when outcome = 'owned' then 0 else 100 end, o := outcome, w := why)).w why from al where family is not null group by 1")
 def owned_families(spark, d):
-    return owned.by_family(_outcomes(spark, d)).select("family", "outcome", "why")
+    return _matched(spark, d, owned.families).select("family", "outcome", "why")
 
 
 _NAMES = f"""with src as (select p_partkey n, case when p_partkey % 3 = 0 then split_part(p_name, ' ', 1) else p_name end base, p_brand from part), {_CHAINS}, ho as (select distinct k0 as key, p_brand family from ch)"""
