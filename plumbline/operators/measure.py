@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,25 @@ class Rows:
     e: np.ndarray
     at: np.ndarray
 
+    @cached_property
+    def distinct(self) -> tuple[Rows, np.ndarray]:
+        """Rows that differ by more than their font, and which of them each row is: a likelihood is worked out once for all that are equal."""
+        _, first, of = np.unique(np.column_stack([self.y, self.high, self.e, self.n]), axis=0, return_index=True, return_inverse=True)
+        return Rows(self.y[first], self.high[first], self.n[first], self.e[first], self.at[first]), of.ravel()
+
+    @cached_property
+    def single(self) -> bool:
+        """Whether no font has two rows (rows stand in the order of fonts)."""
+        return not (np.diff(self.at) == 0).any()
+
+    def summed(self, p: np.ndarray) -> np.ndarray:
+        """Sums of the fonts' numbers by distinct row."""
+        of = self.distinct[1]
+        if not len(of):
+            return np.zeros((0, p.shape[1]))
+        order = np.argsort(of, kind="stable")
+        return np.add.reduceat(p[self.at[order]], np.flatnonzero(np.diff(of[order], prepend=-1)))
+
 
 def expected(term: Term, own: np.ndarray, r: Rows, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bulk and popularity of each row at each score."""
@@ -192,13 +212,18 @@ class Batch:
     ids: pa.Array
     rows: list[Rows]
     size: int
+    times: np.ndarray
 
     def weights(self, model: Model, theta: np.ndarray, x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Log-likelihood times prior by font and node, and its parts by term."""
         total, parts, off = np.tile(w, (self.size, 1)), [], model.offsets()
         for k, (t, r) in enumerate(zip(model.terms, self.rows, strict=True)):
-            own = loglik(t, theta[off[k] : off[k + 1]], r, x)
-            np.add.at(total, r.at, own)
+            few, of = r.distinct
+            own = loglik(t, theta[off[k] : off[k + 1]], few, x)[of]
+            if r.single:
+                total[r.at] += own
+            else:
+                np.add.at(total, r.at, own)
             parts.append(own)
         return total, parts
 
@@ -212,7 +237,7 @@ def normed(log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Fonts that a task integrates at once.
-FONTS = 512
+FONTS = 2048
 
 
 def batches(model: Model, source: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
@@ -228,7 +253,8 @@ def batches(model: Model, source: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
             for k in range(len(model.terms)):
                 own = get["t"] == k
                 rows.append(Rows(get["y"][own], get["high"][own], n[own], get["e"][own], font[own]))
-            yield Batch(b.column("id"), rows, b.num_rows)
+            times = b.column("times").to_numpy() if "times" in b.schema.names else np.ones(b.num_rows)
+            yield Batch(b.column("id"), rows, b.num_rows, times)
 
 
 def grid() -> tuple[np.ndarray, np.ndarray]:
@@ -259,9 +285,18 @@ class Fonts:
         e = F.coalesce(F.col("e").cast("double"), F.lit(1.0)) if "e" in has else F.lit(1.0)
         rows = counts.where(y.isNotNull() & place.isNotNull()).select("id", F.struct(place.alias("t"), y.alias("y"), high.alias("high"), e.alias("e"), *[c.alias(f"n{k}") for k, c in enumerate(n)]).alias("x"))
         grouped = rows.groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("ts"))  # as many as there are terms
-        path = fresh(counts.sparkSession, "fonts")
-        grouped.write.parquet(path)
-        return Fonts(model, counts.sparkSession.read.schema(grouped.schema).parquet(path))
+        return Fonts(model, Fonts.dealt(grouped))
+
+    @staticmethod
+    def dealt(rows: DataFrame) -> DataFrame:
+        """rows written in as many files as tasks can run: they are small, but the work on each is not, so sizes must not decide."""
+        path, spark = fresh(rows.sparkSession, "fonts"), rows.sparkSession
+        rows.repartition(spark.sparkContext.defaultParallelism, "id").write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    def merged(self) -> Fonts:
+        """Fonts whose terms are all equal as one (id: the least), which counts as many times: for objective() alone."""
+        return Fonts(self.model, Fonts.dealt(self.table.groupBy("ts").agg(F.min("id").alias("id"), F.count(F.lit(1)).cast("double").alias("times")).select("id", "ts", "times")))
 
     def each(self, rows: Callable[[Batch], pa.RecordBatch], schema: str) -> DataFrame:
         model = self.model
@@ -284,10 +319,14 @@ class Fonts:
                 for i, theta in enumerate(thetas):
                     total, _ = b.weights(model, theta, x, w)
                     p, whole = normed(total)
-                    out[i, 0] += whole.sum()
-                    for k, (t, r) in enumerate(zip(model.terms, b.rows, strict=True) if i < gradients else ()):
-                        for j, d in enumerate(slopes(t, theta[off[k] : off[k + 1]], r, x)):
-                            out[i, 1 + off[k] + j] += (d * p[r.at]).sum()
+                    out[i, 0] += (whole * b.times).sum()
+                    if i >= gradients:
+                        continue
+                    p *= b.times[:, None]
+                    for k, (t, r) in enumerate(zip(model.terms, b.rows, strict=True)):
+                        here = r.summed(p)
+                        for j, d in enumerate(slopes(t, theta[off[k] : off[k + 1]], r.distinct[0], x)):
+                            out[i, 1 + off[k] + j] += (d * here).sum()
             yield pa.RecordBatch.from_pydict({"k": np.arange(out.size), "v": out.ravel()})
 
         found = self.table.mapInArrow(sums, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
@@ -421,8 +460,8 @@ def fit(counts: DataFrame, model: Model, start: np.ndarray | None = None, fixed:
     undefined or over 2) unless twice the loss in log-likelihood is EDGE or more. A search ends after `rounds`
     steps, and is then not converged.
     """
-    fonts = Fonts.of(counts, model)
-    names, jobs = model.names(), [0]
+    every = Fonts.of(counts, model)
+    fonts, names, jobs = every.merged(), model.names(), [0]
 
     def value(thetas: list[np.ndarray], gradients: int) -> tuple[np.ndarray, np.ndarray]:
         jobs[0] += 1
@@ -440,7 +479,7 @@ def fit(counts: DataFrame, model: Model, start: np.ndarray | None = None, fixed:
     off = model.offsets()
     most = {off[k] + j: (scale[k][f"n{j}"] if k in scale else 0.0) for k, t in enumerate(model.terms) for j in range(len(t.groups))}
     fixed, held = dict(fixed or {}), []
-    theta, ll, ok = search(start_of(fonts) if start is None else np.array(start, float), fixed)
+    theta, ll, ok = search(start_of(every) if start is None else np.array(start, float), fixed)
     while True:
         empty = [i for i in model.bulks() if i not in fixed and (theta[i] <= NO_BULK + 1e-6 or np.exp(theta[i]) * most[i] < 0.01)] if hold else []
         if empty:

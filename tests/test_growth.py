@@ -1,8 +1,9 @@
 """Steps whose work once grew faster than their input, and results that only larger tables reach."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from plumbline.operators import owned
+from plumbline.operators import measure, owned
 
 
 def test_many_codes_of_one_name_count_once(spark):
@@ -16,3 +17,20 @@ def test_many_codes_of_one_name_count_once(spark):
     best = owned.families(tries, codes, doubts)
     assert {tuple(r) for r in best.select("family", "outcome", "why").collect()} == {("f0", "owned", "family"), ("f1", "near", "related"), ("f2", "near", "related"), ("f9", "near", "ambiguous")}
     assert sorted(map(tuple, best.collect())) == sorted(map(tuple, owned.by_family(owned.outcomes(tries, codes, doubts)).collect()))
+
+
+def test_equal_fonts_are_integrated_once_and_dealt_out(spark):
+    model = measure.Model((measure.Term("a"), measure.Term("b")))
+    counts = spark.range(600).select("id", F.explode(F.array(F.struct(F.lit("a").alias("term"), (F.col("id") % 3).alias("y")), F.struct(F.lit("b").alias("term"), (F.col("id") % 2 * 40).alias("y")))).alias("x")).select("id", "x.*")
+    fonts = measure.Fonts.of(counts, model)
+    assert fonts.table.count() == 600 and len(fonts.table.inputFiles()) > 1  # one task worked on all before
+    merged = fonts.merged()
+    assert sorted(r["times"] for r in merged.table.collect()) == [100.0] * 6
+    theta = np.array([-1.0, 0.5, 0.1, 0.7, -2.0, 1.5, 0.3, 0.2])
+    for found, want in zip(merged.objective([theta, theta + 0.1]), fonts.objective([theta, theta + 0.1])):
+        assert np.allclose(found, want, rtol=1e-10)
+    x, w = measure.grid()
+    rows = [measure.Rows(*(np.array(z, float) for z in ([3, 3, 5], [3, 9, 5], [[1.0]] * 3, [1, 1, 1])), np.array([0, 1, 1]))]
+    total, _ = measure.Batch(None, rows, 2, np.ones(2)).weights(measure.Model((measure.Term("a"),)), theta[:4], x, w)
+    own = measure.loglik(measure.Term("a"), theta[:4], rows[0], x)
+    assert np.allclose(total, [w + own[0], w + own[1] + own[2]], rtol=1e-12)
