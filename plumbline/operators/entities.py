@@ -41,15 +41,16 @@ def bundles(values: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return values.join(members, key).join(size, key)
 
 
-def dependency_shares(edges: DataFrame, installs: DataFrame, packages: DataFrame) -> DataFrame:
+def dependency_shares(edges: DataFrame, installs: DataFrame, packages: DataFrame, dependents: DataFrame | None = None) -> DataFrame:
     """Which share of a family's installs another package explains: edges (dependent, package), installs (package, n), packages (package, family).
 
     share = min(1, min(dependent's, package's installs) / the larger of the family's and the package's);
-    by family and dependent the largest counts; a family's own packages explain nothing.
+    by family and dependent the largest counts; a family's own packages explain nothing. dependents
+    (package, n): installs of dependents, where they are counted apart (else installs has them).
     """
     n = installs.select("package", "n")
     family_n = packages.join(n, "package").groupBy("family").agg(F.max("n").alias("family_n"))
-    out = edges.join(n, "package").join(n.select(F.col("package").alias("dependent"), F.col("n").alias("dependent_n")), "dependent")
+    out = edges.join(n, "package").join((n if dependents is None else dependents).select(F.col("package").alias("dependent"), F.col("n").alias("dependent_n")), "dependent")
     out = out.join(packages, "package").join(family_n, "family")
     share = F.least(F.lit(1.0), F.least("dependent_n", "n") / F.greatest("family_n", "n"))
     out = out.groupBy("family", "dependent").agg(F.max(share).alias("share")).where("share > 0")
