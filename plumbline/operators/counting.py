@@ -125,8 +125,9 @@ def exposed(first_seen: Column, data_day: Column, days: int) -> Column:
     return first_seen.isNull() | (F.datediff(data_day, first_seen) >= days)
 
 
-def shares(df: DataFrame, parts: list[str], value: str) -> DataFrame:
-    """Positive values by their part's total."""
-    some = df.where(F.col(value) > 0)
+def shares(df: DataFrame, parts: list[str], value: str, zeros: bool = False) -> DataFrame:
+    """Positive values by their part's total; with `zeros`, all values, in a part without any total 0."""
+    some = df if zeros else df.where(F.col(value) > 0)
     totals = some.groupBy(*parts).agg(F.sum(value).alias("_total"))
-    return some.join(totals, parts).withColumn("share", F.col(value) / F.col("_total")).drop("_total")
+    share = F.when(F.col("_total") != 0, F.col(value) / F.col("_total")).otherwise(0.0) if zeros else F.col(value) / F.col("_total")
+    return some.join(totals, parts).withColumn("share", share).drop("_total")

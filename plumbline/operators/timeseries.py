@@ -12,8 +12,8 @@ def smoothed(now: DataFrame, state: DataFrame, keys: list[str], z: str, lam: flo
     return now.join(prev, keys, "left").withColumn("smooth", lam * F.col(z) + (1 - lam) * F.coalesce("_prev", z)).drop("_prev")
 
 
-def history(prev: DataFrame, now: DataFrame, source: str, key: str, share: str, keep: int) -> DataFrame:
-    """Histories (arrays, oldest first) with this period's share at their end; the last `keep` stay, all-zero ones go.
+def history(prev: DataFrame, now: DataFrame, source: str, key: str, share: str, keep: int, empty: bool = False) -> DataFrame:
+    """Histories (arrays, oldest first) with this period's share at their end; the last `keep` stay, all-zero ones go unless `empty` ones are kept.
 
     A new key starts with this period alone; a key that its source no longer shows gets 0; a source
     without any data this period keeps its histories as they are.
@@ -24,7 +24,7 @@ def history(prev: DataFrame, now: DataFrame, source: str, key: str, share: str,
     new = F.concat(F.coalesce("history", F.array().cast("array<double>")), F.array(F.coalesce("_now", F.lit(0.0))))
     new = F.slice(new, F.greatest(F.size(new) - keep + 1, F.lit(1)), keep)
     out = both.select(source, key, F.col("_seen").isNull().alias("_old"), F.when(F.col("_seen"), new).otherwise(F.col("history")).alias("history"))
-    return out.where(F.col("_old") | F.exists("history", lambda x: x > 0)).drop("_old")
+    return out.where(F.col("_old") | F.lit(empty) | F.exists("history", lambda x: x > 0)).drop("_old")
 
 
 def histories(shares: DataFrame, source: str, key: str, period: str, share: str, keep: int) -> DataFrame:

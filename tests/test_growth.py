@@ -1,9 +1,11 @@
 """Steps whose work once grew faster than their input, and results that only larger tables reach."""
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from plumbline.operators import measure, owned
+from plumbline.queries import ORACLES, QUERIES
 
 
 def test_many_codes_of_one_name_count_once(spark):
@@ -34,3 +36,30 @@ def test_equal_fonts_are_integrated_once_and_dealt_out(spark):
     total, _ = measure.Batch(None, rows, 2, np.ones(2)).weights(measure.Model((measure.Term("a"),)), theta[:4], x, w)
     own = measure.loglik(measure.Term("a"), theta[:4], rows[0], x)
     assert np.allclose(total, [w + own[0], w + own[1] + own[2]], rtol=1e-12)
+
+
+def against_sql(spark, folder, name, **tables):
+    """A query's rows on small tables of one's own, and those of its SQL."""
+    con = duckdb.connect()
+    for t, df in tables.items():
+        df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{t}.parquet")
+        con.execute(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet/*.parquet')")
+    got = QUERIES[name](spark, str(folder))
+    want = con.execute(f"select {', '.join(got.columns)} from ({ORACLES[name]})").fetchall()
+    plain = lambda rows: sorted((tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in rows), key=repr)
+    assert want and plain(got.collect()) == plain(want)
+
+
+def test_suppliers_and_parts_of_one_number(spark, tmp_path):
+    # Part 1,000,001 and supplier 1 had one number, and each other's installs.
+    lines = [(1, 1_000_001, 1, 9.0), (2, 1_000_001, 2, 4.0), (3, 7, 1, 2.0), (4, 8, 1, 30.0), (5, 8, 2, 1.0)]
+    parts = [(1_000_001, "a"), (7, "a"), (8, "b")]
+    against_sql(spark, tmp_path, "dependency_share", lineitem=spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double"), part=spark.createDataFrame(parts, "p_partkey long, p_brand string"))
+
+
+def test_histories_that_begin_with_nothing(spark, tmp_path):
+    weeks = {1: "2024-01-02", 2: "2024-01-09", 3: "2024-01-16"}
+    values = {("view", 1): {2: 0.0, 3: 5.0}, ("view", 2): {1: 0.0, 3: 1.0}, ("view", 3): {1: 2.0}, ("view", 4): {1: 1.0, 2: 1.0, 3: 0.0}, ("view", 5): {3: 0.0}, ("error", 1): {1: 0.0, 2: 3.0}, ("error", 2): {1: 1.0, 3: 9.0}}
+    rows = [(s, f, weeks[w], x) for (s, f), own in values.items() for w, x in own.items()]
+    events = spark.createDataFrame(rows, "event_type string, user_id long, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    against_sql(spark, tmp_path, "share_history", events=events)
