@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def _poly(coefficients: tuple[float, ...], x: Column) -> Column:
     return out
 
 
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), where x is worked out once however often f names it: inside lambdas Spark would do so at each place."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def probit(p: Column) -> Column:
     """Inverse of the standard normal distribution function on (0, 1), null elsewhere; no Python."""
     q = p - 0.5

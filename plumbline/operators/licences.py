@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.kernel import once
+
 NOASSERTION = "NOASSERTION"
 #: Groups of allowed licences, the best first.
 GROUPS = ["open-font", "permissive", "attribution", "freeware"]
@@ -246,20 +248,27 @@ _WORD = r"[\p{L}\p{N}]+"
 def _is_notice(line: Column) -> Column:
     """Whether a line (lower case) begins as a copyright notice does: the word, the sign or (c), and then whose or when."""
     marks = F.regexp_extract_all(line, F.lit(r"\(c\)|©|[\[<{]|\p{L}+|\p{N}+"), F.lit(0))
-    at = lambda k: F.coalesce(F.get(marks, k), F.lit(""))
-    skip = F.when(at(0) == "portions", 1).when((at(0) == "digitized") & (at(1) == "data"), 2).otherwise(0)
-    first, then = at(skip), at(skip + 1)
-    year = then.rlike(r"^\p{N}")
-    return (first == "©") | ((first == "(c)") & year) | ((first == "copyright") & (year | then.isin("©", "(c)", "by", "[", "<", "{", "yyyy")))
+
+    def begins(marks: Column) -> Column:
+        at = lambda k: F.coalesce(F.get(marks, k), F.lit(""))
+        skip = F.when(at(F.lit(0)) == "portions", 1).when((at(F.lit(0)) == "digitized") & (at(F.lit(1)) == "data"), 2).otherwise(0)
+        first, then = at(skip), at(skip + 1)
+        year = then.rlike(r"^\p{N}")
+        return (first == "©") | ((first == "(c)") & year) | ((first == "copyright") & (year | then.isin("©", "(c)", "by", "[", "<", "{", "yyyy")))
+
+    return once(marks, begins)
 
 
 def _without_bullet(line: Column) -> Column:
     """A line without marks and a short number, letter or Roman numeral in front of it, if that ends in a dot or a bracket."""
-    bare = F.regexp_replace(line, r"^[\s*•>#-]+", "")
-    head = F.substring_index(bare, " ", 1)
-    core = F.translate(head, "().", "")
-    numbered = core.rlike("^([0-9]{1,2}|[a-z]|[ivx]{1,4})$") & (head.endswith(".") | head.endswith(")")) & (F.length(head) - F.length(core) <= 2)
-    return F.when(numbered & (F.length(bare) > F.length(head)), F.substr(bare, F.length(head) + 1)).otherwise(bare)
+
+    def rest(bare: Column) -> Column:
+        head = F.substring_index(bare, " ", 1)
+        core = F.translate(head, "().", "")
+        numbered = core.rlike("^([0-9]{1,2}|[a-z]|[ivx]{1,4})$") & (head.endswith(".") | head.endswith(")")) & (F.length(head) - F.length(core) <= 2)
+        return F.when(numbered & (F.length(bare) > F.length(head)), F.substr(bare, F.length(head) + 1)).otherwise(bare)
+
+    return once(F.regexp_replace(line, r"^[\s*•>#-]+", ""), rest)
 
 
 def _words(line: Column) -> Column:
@@ -286,8 +295,12 @@ def text_print(text: Column, starts: list[str] = BODY_STARTS) -> Column:
     for pair, other in EQUAL_PAIRS.items():
         body = F.replace(body, F.lit(f" {pair.replace(' ', '  ')} "), F.lit(f" {other.replace(' ', '  ')} "))
     body = F.regexp_replace(body, " +", " ")
-    at = F.array_min(F.filter(F.array(*[F.instr(body, F.lit(f" {s} ")) for s in starts]), lambda i: i > 0))
-    return F.sha2(F.trim(F.substr(body, F.coalesce(at, F.lit(1)))), 256)
+
+    def cut(body: Column) -> Column:
+        at = F.array_min(F.filter(F.array(*[F.instr(body, F.lit(f" {s} ")) for s in starts]), lambda i: i > 0))
+        return F.sha2(F.trim(F.substr(body, F.coalesce(at, F.lit(1)))), 256)
+
+    return once(body, cut)
 
 
 def mentions(text: Column, phrases: dict[str, str]) -> Column:

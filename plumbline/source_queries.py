@@ -145,7 +145,9 @@ def glyph_gate(spark, d):
 def license_print(spark, d):
     k = F.col("s_suppkey")
     text = F.concat(F.lit("The Title\r\nCopyright (c) 20"), (k % 90 + 10).cast("string"), F.lit(" Someone\n(c) 2019 Another\nwith Reserved Font Name X.\n\n1. Permission is HEREBY granted,\n to use https://x.org/a  this: "), (k % 3).cast("string"), F.lit(".\n"))
-    return table(spark, d, "supplier").select("s_suppkey", licences.text_print(text).alias("print"))
+    # A small file is one task, but the work on its rows is not small.
+    rows = table(spark, d, "supplier").repartition(3 * spark.sparkContext.defaultParallelism, "s_suppkey")
+    return rows.select("s_suppkey", licences.text_print(text).alias("print"))
 
 
 # --- the measurement model ---------------------------------------------------------------------------------
