@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -13,14 +14,18 @@ from pyspark.sql import functions as F
 #: What a key leaves out (hexadecimal code points and ranges): white space, dashes, underscore, joiners.
 LEFT_OUT = "0009-000D 0020 0085 00A0 1680 2000-200A 2028 2029 202F 205F 3000 002D 00AD 2010-2014 2212 FE63 FF0D 005F 200B-200D 2060 FEFF"
 _LEFT_OUT = dict.fromkeys(k for r in LEFT_OUT.split() for k in range(int(r.split("-")[0], 16), int(r.split("-")[-1], 16) + 1))
+_OUT = re.compile("[" + "".join(re.escape(chr(k)) for k in _LEFT_OUT) + "]+")
+_MARKS = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Mn") + "]+")
 #: Latin letters without a decomposition.
 LETTERS = {"ß": "ss", "ẞ": "SS", "ł": "l", "Ł": "L", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "TH", "ħ": "h", "Ħ": "H", "ı": "i", "ŀ": "l", "Ŀ": "L"}
 
 
 def match_key_of(name: str) -> str:
     """Compatibility forms and case folded; white space, dashes, underscores and joiners dropped."""
+    if name.isascii():
+        return name.lower().translate(_LEFT_OUT)
     out = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", name).casefold())
-    return unicodedata.normalize("NFC", out.translate(_LEFT_OUT))
+    return unicodedata.normalize("NFC", _OUT.sub("", out))
 
 
 def ascii_of(name: str) -> str:
@@ -32,7 +37,11 @@ def ascii_of(name: str) -> str:
 
 def search_key_of(name: str) -> str:
     """The match key without marks."""
-    return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", match_key_of(name)) if unicodedata.category(c) != "Mn"))
+    return unmarked(match_key_of(name))
+
+
+def unmarked(key: str) -> str:
+    return key if key.isascii() else unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFD", key)))
 
 
 def keyed(names: DataFrame, name: str) -> DataFrame:
@@ -40,7 +49,8 @@ def keyed(names: DataFrame, name: str) -> DataFrame:
 
     @F.pandas_udf("match string, search string")
     def keys_of(names: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"match": names.map(match_key_of, na_action="ignore"), "search": names.map(search_key_of, na_action="ignore")})
+        match = names.map(match_key_of, na_action="ignore")
+        return pd.DataFrame({"match": match, "search": match.map(unmarked, na_action="ignore")})
 
     return names.withColumn("_k", keys_of(F.col(name))).select(*names.columns, F.col("_k.match").alias("match_key"), F.col("_k.search").alias("search_key"))
 
@@ -98,11 +108,11 @@ def code_points(ranges: Column) -> Column:
 
 
 def runs(df: DataFrame, key: str, point: str) -> DataFrame:
-    """Runs of consecutive code points by key."""
+    """Runs of consecutive code points by key; there are more partitions as the input has more splits, so a task's share doesn't grow with it."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(key).orderBy(point)
-    isles = df.select(key, point).distinct().withColumn("_isle", F.col(point) - F.row_number().over(w))
+    n, w = 8 * df.rdd.getNumPartitions(), Window.partitionBy(key).orderBy(point)
+    isles = df.select(key, point).repartition(n, key, point).distinct().repartition(n, key).withColumn("_isle", F.col(point) - F.row_number().over(w))
     return isles.groupBy(key, "_isle").agg(F.min(point).alias("low"), F.max(point).alias("high")).drop("_isle")
 
 
