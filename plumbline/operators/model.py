@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.kernel import once
+
 #: Ends and step of the grid (a fixed number of nodes).
 LOW, HIGH, STEP = -6.0, 7.0, 0.05
 #: Places that lgamma moves its argument up before Stirling's series is good enough.
@@ -48,8 +50,7 @@ def mean(t: Column, x: Column) -> Column:
 
 def log_pmf(t: Column, x: Column) -> Column:
     """Negative-binomial log-probability of t's count, without the part that no score changes (t['c'])."""
-    m = mean(t, x)
-    return t["k"] * F.log(t["k"] / (t["k"] + m)) + t["y"] * F.log(m / (t["k"] + m))
+    return once(mean(t, x), lambda m: t["k"] * F.log(t["k"] / (t["k"] + m)) + t["y"] * F.log(m / (t["k"] + m)))
 
 
 def constant(y: Column, k: Column) -> Column:
@@ -61,21 +62,24 @@ def total(x: Column) -> Column:
 
 
 def weighed(terms: DataFrame, keys: list[str]) -> DataFrame:
-    """By keys: ts (the terms), top and p (likelihood times prior at each node, the highest one being 1)."""
-    own = terms.withColumn("c", constant(F.col("y"), F.col("k")))
+    """By keys: ts (the terms), top, p (likelihood times prior at each node, the highest one being 1) and their sum, whole.
+
+    Keys are dealt out over all tasks by number: their rows are small, but the work on each is not.
+    """
+    tasks = 3 * terms.sparkSession.sparkContext.defaultParallelism
+    own = terms.withColumn("c", constant(F.col("y"), F.col("k"))).repartition(tasks, *keys)
     by = own.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*PARTS, "c"))).alias("ts"))
     logs = F.transform(F.col("g"), lambda g: g["w"] + F.aggregate("ts", F.lit(0.0), lambda a, t: a + t["c"] + log_pmf(t, g["x"])))
     by = by.withColumn("g", grid()).withColumn("l", logs).withColumn("top", F.array_max("l"))
-    return by.withColumn("p", F.transform("l", lambda v: F.exp(v - F.col("top")))).drop("l")
+    return by.withColumn("p", F.transform("l", lambda v: F.exp(v - F.col("top")))).drop("l").withColumn("whole", total(F.col("p")))
 
 
 def quantile(q: float) -> Column:
     """Where the posterior reaches q; a node's weight is spread evenly over its cell."""
-    whole = total(F.col("p"))
     start = F.struct(F.lit(0.0).alias("cum"), F.lit(None).cast("double").alias("out"))
 
     def step(a: Column, n: Column) -> Column:
-        share = n["p"] / whole
+        share = n["p"] / F.col("whole")
         here = n["g"]["x"] - STEP / 2 + STEP * (q - a["cum"]) / share
         return F.struct((a["cum"] + share).alias("cum"), F.coalesce(a["out"], F.when(a["cum"] + share >= q, here)).alias("out"))
 
@@ -89,7 +93,7 @@ def posterior(terms: DataFrame, keys: list[str], quantiles: tuple[float, ...] =
     to be left out before; a key without terms has no row.
     """
     w = weighed(terms, keys)
-    whole = total(F.col("p"))
+    whole = F.col("whole")
     first = total(F.zip_with("g", "p", lambda g, p: g["x"] * p)) / whole
     second = total(F.zip_with("g", "p", lambda g, p: g["x"] * g["x"] * p)) / whole
     cols = [first.alias("mean"), F.sqrt(F.greatest(second - first * first, F.lit(0.0))).alias("sd"), (F.col("top") + F.log(whole)).alias("evidence")]
@@ -98,7 +102,7 @@ def posterior(terms: DataFrame, keys: list[str], quantiles: tuple[float, ...] =
 
 def information_shares(terms: DataFrame, keys: list[str]) -> DataFrame:
     """By keys and term: its share of what the terms tell about the score (mean curvature under the posterior)."""
-    w = weighed(terms, keys).withColumn("whole", total(F.col("p"))).select(*keys, "g", "p", "whole", F.explode("ts").alias("t"))
+    w = weighed(terms, keys).select(*keys, "g", "p", "whole", F.explode("ts").alias("t"))
     l = F.transform("g", lambda g: log_pmf(F.col("t"), g["x"]))  # noqa: E741
     bend = F.transform(
         F.sequence(F.lit(1), F.size("l") - 2),
