@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from plumbline.functions.kernel import once
+
 OBSERVATION = "source string, series string, ns string, key string, value double, unit string, start date, end date, attrs map<string,string>"
 
 
@@ -230,15 +232,15 @@ def _version_part(part: Column) -> Column:
     digits come with their number of digits, without leading zeros. An empty part is a zero.
     """
     part = F.when(part == "", "0").otherwise(part)
-    text = F.regexp_extract_all(part, F.lit("([^0-9]*)([0-9]*)"), F.lit(1))
-    digits = F.regexp_extract_all(part, F.lit("([^0-9]*)([0-9]*)"), F.lit(2))
-
     def run(t: Column, d: Column) -> Column:
-        marked = F.regexp_replace(F.regexp_replace(t, "([^A-Za-z~])", "3$1"), "([A-Za-z])", "2$1")
-        number = F.regexp_replace(d, "^0+", "")
-        return F.concat(F.translate(marked, "~", "0"), F.lit("1"), F.lpad(F.length(number).cast("string"), 4, "0"), number)
+        marked = F.when(t == "", "").otherwise(F.regexp_replace(F.regexp_replace(t, "([^A-Za-z~])", "3$1"), "([A-Za-z])", "2$1"))
+        return F.concat(F.translate(marked, "~", "0"), F.lit("1"), once(F.ltrim(d, F.lit("0")), lambda n: F.concat(F.lpad(F.length(n).cast("string"), 4, "0"), n)))
+
+    def runs(p: Column) -> Column:
+        of = lambda k: F.regexp_extract_all(p, F.lit("([^0-9]*)([0-9]*)"), F.lit(k))
+        return F.array_join(F.zip_with(of(1), of(2), run), "")
 
-    return F.array_join(F.zip_with(text, digits, run), "")
+    return once(part, runs)
 
 
 def version_key(version: Column) -> Column:
@@ -246,13 +248,14 @@ def version_key(version: Column) -> Column:
 
     Epoch first, then upstream up to the last dash, then the revision, one that is missing being empty.
     """
-    epoch = F.regexp_replace(F.regexp_extract(version, "^([0-9]*):", 1), "^0+", "")
-    rest = F.when(version.contains(":"), F.substr(version, F.instr(version, ":") + 1)).otherwise(version)
-    dash = F.length(rest) - F.instr(F.reverse(rest), "-")  # characters before the last dash
-    has = F.instr(rest, "-") > 0
-    upstream = F.when(has, F.left(rest, dash)).otherwise(rest)
-    revision = F.when(has, F.substr(rest, dash + 2)).otherwise("")
-    return F.concat(F.lpad(F.length(epoch).cast("string"), 4, "0"), epoch, _version_part(upstream), _version_part(revision))
+    epoch = once(F.regexp_replace(F.regexp_extract(version, "^([0-9]*):", 1), "^0+", ""), lambda e: F.concat(F.lpad(F.length(e).cast("string"), 4, "0"), e))
+
+    def parts(rest: Column) -> Column:
+        dash = F.length(rest) - F.instr(F.reverse(rest), "-")  # characters before the last dash
+        has = F.instr(rest, "-") > 0
+        return F.concat(_version_part(F.when(has, F.left(rest, dash)).otherwise(rest)), _version_part(F.when(has, F.substr(rest, dash + 2)).otherwise("")))
+
+    return F.concat(epoch, once(F.when(version.contains(":"), F.substr(version, F.instr(version, ":") + 1)).otherwise(version), parts))
 
 
 def latest_versions(stanzas: DataFrame, package: str, version: str) -> DataFrame:

@@ -4,8 +4,10 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from plumbline.operators import measure, owned
+from plumbline.functions import text
+from plumbline.operators import licences, measure, model, owned
 from plumbline.queries import ORACLES, QUERIES
+from plumbline.sources import records
 
 
 def test_many_codes_of_one_name_count_once(spark):
@@ -63,3 +65,19 @@ def test_histories_that_begin_with_nothing(spark, tmp_path):
     rows = [(s, f, weeks[w], x) for (s, f), own in values.items() for w, x in own.items()]
     events = spark.createDataFrame(rows, "event_type string, user_id long, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     against_sql(spark, tmp_path, "share_history", events=events)
+
+
+def test_small_rows_of_much_work_are_dealt_out(spark):
+    # One task had them all: their bytes are few.
+    terms = spark.range(50).select("id", F.lit("t").alias("term"), *[F.lit(v).alias(c) for c, v in (("y", 2.0), ("n", 1.0), ("e", 1.0), ("alpha", 0.5), ("lam", 0.8), ("bulk", 0.1), ("k", 2.0))])
+    for out in (model.posterior(terms, ["id"], (0.05,)), model.information_shares(terms, ["id"])):
+        assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert QUERIES["license_print"](spark, "/root/testdata/sf0.001").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    points = spark.range(4000).select((F.col("id") % 100).alias("k"), (F.col("id") * 7 % 500).alias("p")).repartition(6)
+    assert text.runs(points, "k", "p").select(F.spark_partition_id().alias("p")).distinct().count() > 6
+
+
+def test_parts_of_long_expressions_stand_in_them_once(spark):
+    size = lambda c: len(str(c))
+    assert size(records.version_key(F.col("v"))) < 3_000
+    assert size(licences.text_print(F.col("v"))) < 20_000
