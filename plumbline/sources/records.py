@@ -259,8 +259,9 @@ def version_key(version: Column) -> Column:
 
 
 def latest_versions(stanzas: DataFrame, package: str, version: str) -> DataFrame:
-    """Of each package the row of its highest version, of equal ones the last by content; rows without a package are left out."""
+    """Of each package the row of its highest version, of equal ones the last by content; rows without a package are left out. Keys are made of the distinct versions, and written."""
     columns = [c for c in stanzas.columns if c not in (package, version)]
-    order = F.struct(version_key(F.coalesce(version, F.lit(""))).alias("k"), version, *columns)
-    best = stanzas.where(F.trim(package) != "").groupBy(F.trim(package).alias(package)).agg(F.max(order).alias("_b"))
+    keys = written(stanzas.select(version).distinct().select(F.col(version).alias("_version"), version_key(F.coalesce(version, F.lit(""))).alias("k")), "versions")
+    order = F.struct("k", version, *columns)
+    best = stanzas.join(keys, F.col(version).eqNullSafe(F.col("_version"))).where(F.trim(package) != "").groupBy(F.trim(package).alias(package)).agg(F.max(order).alias("_b"))
     return best.select(package, F.col(f"_b.{version}").alias(version), *[F.col(f"_b.{c}").alias(c) for c in columns])
